@@ -4,6 +4,7 @@ import importlib
 
 FAMILY_MODULES = [
     "tidewater.plans.graph",
+    "tidewater.plans.auth",
 ]
 
 _loaded = False

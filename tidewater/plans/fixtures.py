@@ -38,3 +38,64 @@ edges AS (
   FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
   WHERE o.o_orderstatus = 'F' AND o.o_orderpriority = '1-URGENT')
 """
+
+
+# --------------------------------------------------------------------------
+# K2 SSH auth log: one syslog line per event.
+#   error    → Failed password (IP missing for every 9th event id)
+#   signup   → Accepted password
+#   click    → Failed password for invalid user <name>
+#   view     → message repeated N times: [ Failed password ... ]  (N = 2..4)
+#   purchase → noise: disconnect line (no password) or a password line that
+#              is neither accepted nor failed
+# --------------------------------------------------------------------------
+
+# fixed values: invalid user names used by the synthetic log
+INVALID_NAMES = ["admin", "test", "oracle", "support", "guest", "pi", "ubnt", "postgres"]
+
+
+def auth_log(t: Tables) -> DataFrame:
+    e = t.events
+    uid, eid, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
+    user = F.when(uid % 10 == 0, F.concat(F.lit("svc-"), uid.cast("string"))) \
+            .otherwise(F.concat(F.lit("u"), uid.cast("string")))
+    bad = F.element_at(F.array(*[F.lit(x) for x in INVALID_NAMES]), (uid % 8 + 1).cast("int"))
+    ip = F.when((kind == "error") & (eid % 9 == 0), F.lit("UNKNOWN")).otherwise(
+        F.concat_ws(".", F.lit("203"), F.lit("0"), (uid % 6).cast("string"), (eid % 4 + 1).cast("string")))
+    port = (eid % 50000 + 1024).cast("string")
+    tail = F.concat(F.lit(" from "), ip, F.lit(" port "), port, F.lit(" ssh2"))
+    prefix = F.concat(
+        F.date_format("ts", "MMM"), F.lit(" "), F.lpad(F.dayofmonth("ts").cast("string"), 2, " "),
+        F.lit(" "), F.date_format("ts", "HH:mm:ss"), F.lit(" node"), (uid % 4).cast("string"),
+        F.lit(" sshd["), (eid % 9000 + 1000).cast("string"), F.lit("]: "))
+    body = (F.when(kind == "error", F.concat(F.lit("Failed password for "), user, tail))
+            .when(kind == "signup", F.concat(F.lit("Accepted password for "), user, tail))
+            .when(kind == "click", F.concat(F.lit("Failed password for invalid user "), bad, tail))
+            .when(kind == "view", F.concat(F.lit("message repeated "), (eid % 3 + 2).cast("string"),
+                                           F.lit(" times: [ Failed password for "), user, tail, F.lit("]")))
+            .when(eid % 2 == 0, F.concat(F.lit("Received disconnect from "), ip, F.lit(" port "), port,
+                                         F.lit(":11: Bye Bye [preauth]")))
+            .otherwise(F.concat(F.lit("pam_unix(sshd:auth): password check failed for "), user)))
+    return e.select(F.concat(prefix, body).alias("line"))
+
+
+_NAMES_SQL = "[" + ", ".join(f"'{x}'" for x in INVALID_NAMES) + "]"
+
+# The oracle derives the parsed fields straight from `events`, never from
+# the text, so it checks the parse as well as the aggregation.
+AUTH_SQL = f"""
+auth AS (
+  SELECT strftime(ts, '%b') AS month, CAST(day(ts) AS VARCHAR) AS day,
+    CASE WHEN event_type = 'click' THEN {_NAMES_SQL}[user_id % 8 + 1]
+         WHEN user_id % 10 = 0 THEN 'svc-' || user_id ELSE 'u' || user_id END AS user,
+    CASE WHEN event_type = 'error' AND event_id % 9 = 0 THEN NULL
+         WHEN event_type = 'purchase' THEN NULL
+         ELSE '203.0.' || (user_id % 6) || '.' || (event_id % 4 + 1) END AS ip,
+    event_type = 'signup' AS accepted,
+    event_type IN ('error', 'click', 'view') AS failed,
+    event_type = 'click' AS invalid,
+    event_type AS etype,
+    CAST(CASE WHEN event_type = 'view' THEN event_id % 3 + 2 ELSE 1 END AS BIGINT) AS weight
+  FROM events
+  WHERE event_type <> 'purchase' OR event_id % 2 = 1)
+"""
