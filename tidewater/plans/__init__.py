@@ -5,6 +5,7 @@ import importlib
 FAMILY_MODULES = [
     "tidewater.plans.graph",
     "tidewater.plans.auth",
+    "tidewater.plans.triples",
 ]
 
 _loaded = False

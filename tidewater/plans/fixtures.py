@@ -99,3 +99,108 @@ auth AS (
   FROM events
   WHERE event_type <> 'purchase' OR event_id % 2 = 1)
 """
+
+
+# --------------------------------------------------------------------------
+# K6 university triples from the TPC-H-ish tables.
+#   teachers   ← supplier ⋈ nation ⋈ region   (every third is a senior teacher)
+#   programmes ← nation ⋈ region
+#   courses    ← part                         (programme = partkey mod 25)
+#   instances  ← lineitem (one per line; year and quarter of shipdate)
+#   hours      ← lineitem (teacher = suppkey, hours = 3 × quantity)
+#   students   ← customer; registrations ← orders (instance = CI-<priority>)
+# --------------------------------------------------------------------------
+
+
+def university_triples(t: Tables) -> DataFrame:
+    from tidewater.operators.triples import SheetRule, to_triples, union_triples
+
+    senior = F.col("s_suppkey") % 3 == 0
+    teachers = (t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+                .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+                .select(F.concat(F.lit("T"), F.col("s_suppkey").cast("string")).alias("ind"),
+                        F.when(senior, "SeniorTeacher").otherwise("Teacher").alias("typ"),
+                        F.when(senior, F.concat(F.lit("Teacher "), "s_name"))
+                         .otherwise(F.concat(F.lit("TA "), "s_name")).alias("name"),
+                        F.col("s_suppkey").cast("string").alias("tid"), "n_name", "r_name"))
+    programmes = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+                  .select(F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("ind"),
+                          "n_name", "r_name",
+                          F.concat(F.lit("T"), F.col("n_nationkey").cast("string")).alias("director")))
+    courses = t.part.select(
+        F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("ind"),
+        F.col("p_partkey").cast("string").alias("code"), "p_name", "p_type", "p_brand",
+        F.col("p_size").cast("float").alias("credits"),
+        F.concat(F.lit("P"), (F.col("p_partkey") % 25).cast("string")).alias("prog"))
+    # a course instance is a part offered in one quarter of one year; the
+    # teaching load is summed per (instance, teacher)
+    li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity",
+                           F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q"))
+    inst_id = F.concat_ws("-", F.lit("I"), F.col("l_partkey").cast("string"),
+                          F.col("y").cast("string"), F.col("q").cast("string"))
+    instances = li.groupBy("l_partkey", "y", "q").agg(F.min("l_suppkey").alias("examiner")).select(
+        inst_id.alias("ind"), F.col("l_partkey").cast("string").alias("code"),
+        F.concat(F.col("y").cast("string"), F.lit("-"), (F.col("y") + 1).cast("string")).alias("ay"),
+        F.col("q").cast("double").cast("string").alias("period"),
+        F.col("examiner").cast("string").alias("examiner"))
+    hours = li.groupBy("l_partkey", "y", "q", "l_suppkey").agg(
+        (F.sum("l_quantity") * 3).cast("float").alias("hrs")).select(
+        F.concat_ws("-", F.lit("H"), F.col("l_partkey").cast("string"), F.col("y").cast("string"),
+                    F.col("q").cast("string"), F.col("l_suppkey").cast("string")).alias("ind"),
+        inst_id.alias("inst"), F.col("l_suppkey").cast("string").alias("teacher"), "hrs")
+    students = t.customer.select(
+        F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("ind"),
+        F.col("c_custkey").cast("string").alias("sid"), "c_name",
+        F.concat(F.lit("P"), F.col("c_nationkey").cast("string")).alias("prog"),
+        (F.col("c_acctbal") > 5000).alias("grad"))
+    regs = t.orders.select(
+        F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("ind"),
+        F.concat(F.lit("CI-"), F.substring("o_orderpriority", 1, 1)).alias("inst"),
+        F.col("o_custkey").cast("string").alias("student"), "o_orderstatus")
+    parts = [
+        to_triples(teachers, SheetRule("ind", F.col("typ"), {
+            "teacherName": ("name", "string"), "teacherID": ("tid", "string"),
+            "tDepartment": ("n_name", "string"), "tDivision": ("r_name", "string")})),
+        to_triples(programmes, SheetRule("ind", "Program", {
+            "programName": ("n_name", "string"), "programCode": ("ind", "string"),
+            "pDepartment": ("r_name", "string"), "director": ("director", "string")})),
+        to_triples(courses, SheetRule("ind", "Course", {
+            "courseCode": ("code", "string"), "courseName": ("p_name", "string"),
+            "credits": ("credits", "float"), "courseLevel": ("p_type", "string"),
+            "cDivision": ("p_brand", "string"), "cProgram": ("prog", "string")})),
+        to_triples(instances, SheetRule("ind", "CourseInstance", {
+            "instanceID": ("ind", "string"), "ciCourseCode": ("code", "string"),
+            "cAcademicYear": ("ay", "string"), "studyPeriod": ("period", "string"),
+            "examiner": ("examiner", "string")})),
+        to_triples(hours, SheetRule("ind", "TeachingAssignment", {
+            "hoursCourseInstance": ("inst", "string"), "hoursTeacher": ("teacher", "string"),
+            "rHours": ("hrs", "float"), "aHours": ("hrs", "float")})),
+        to_triples(students, SheetRule("ind", "Students", {
+            "studentID": ("sid", "string"), "studentName": ("c_name", "string"),
+            "sProgram": ("prog", "string"), "graduated": ("grad", "boolean")})),
+        to_triples(regs, SheetRule("ind", "Registrations", {
+            "registrationsCourseInstance": ("inst", "string"),
+            "registrationsStudents": ("student", "string"),
+            "registrationStatus": ("o_orderstatus", "string")})),
+    ]
+    return union_triples(parts)
+
+
+# Relational form of the same data for the oracle (no triples involved).
+UNIVERSITY_SQL = """
+teachers AS (
+  SELECT 'T' || s_suppkey AS ind,
+         CASE WHEN s_suppkey % 3 = 0 THEN 'Teacher ' || s_name ELSE 'TA ' || s_name END AS name,
+         CAST(s_suppkey AS VARCHAR) AS tid, n_name, r_name
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+instances AS (
+  SELECT DISTINCT 'I-' || l_partkey || '-' || year(l_shipdate) || '-' || quarter(l_shipdate) AS ind,
+         CAST(l_partkey AS VARCHAR) AS code,
+         year(l_shipdate) || '-' || (year(l_shipdate) + 1) AS ay,
+         CAST(CAST(quarter(l_shipdate) AS DOUBLE) AS VARCHAR) AS period
+  FROM lineitem),
+hours AS (
+  SELECT 'I-' || l_partkey || '-' || year(l_shipdate) || '-' || quarter(l_shipdate) AS inst,
+         CAST(l_suppkey AS VARCHAR) AS teacher, CAST(sum(l_quantity) * 3 AS FLOAT) AS hrs
+  FROM lineitem GROUP BY l_partkey, year(l_shipdate), quarter(l_shipdate), l_suppkey)
+"""

@@ -82,3 +82,29 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path for a written intermediate table under the shared checkpoint
+    folder (never a machine-local temp folder)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{name}"
+
+
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once per session under the shared folder and read it back
+    (cuts lineage; survives executor loss; enables partition pruning)."""
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, name)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = shared_path(spark, name)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
