@@ -6,6 +6,9 @@ FAMILY_MODULES = [
     "tidewater.plans.graph",
     "tidewater.plans.auth",
     "tidewater.plans.triples",
+    "tidewater.plans.corpus",
+    "tidewater.plans.annotate",
+    "tidewater.plans.text",
 ]
 
 _loaded = False

@@ -204,3 +204,74 @@ hours AS (
          CAST(l_suppkey AS VARCHAR) AS teacher, CAST(sum(l_quantity) * 3 AS FLOAT) AS hrs
   FROM lineitem GROUP BY l_partkey, year(l_shipdate), quarter(l_shipdate), l_suppkey)
 """
+
+
+# --------------------------------------------------------------------------
+# K7 file corpus: each document is a file under /corpus/<source>/ whose
+# extension depends on its language (en → .c, fr → .h, de → .H, es → .txt);
+# each page is /web/<page_id>.html.
+# --------------------------------------------------------------------------
+
+
+def corpus_files(t: Tables) -> DataFrame:
+    lang = F.col("lang")
+    ext = (F.when(lang == "en", "c").when(lang == "fr", "h").when(lang == "de", "H").otherwise("txt"))
+    docs = t.documents.select(
+        F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/doc"), F.col("doc_id").cast("string"),
+                 F.lit("."), ext).alias("path"), ext.alias("ext"), F.col("text").alias("content"))
+    pages = t.pages.select(
+        F.concat(F.lit("/web/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"),
+        F.lit("html").alias("ext"), F.col("html").alias("content"))
+    return docs.unionByName(pages)
+
+
+def digest_manifest(t: Tables) -> DataFrame:
+    """Stored digests: exact for documents, of the right-trimmed html for
+    pages (so trailing-space pages show up as mismatches)."""
+    files = corpus_files(t)
+    c = F.when(F.col("ext") == "html", F.rtrim("content")).otherwise(F.col("content"))
+    return files.select("path", F.sha1(c.cast("binary")).alias("sha1"))
+
+
+CORPUS_SQL = """
+files AS (
+  SELECT '/corpus/' || source || '/doc' || doc_id || '.' || ext AS path, ext, text AS content
+  FROM (SELECT *, CASE lang WHEN 'en' THEN 'c' WHEN 'fr' THEN 'h' WHEN 'de' THEN 'H' ELSE 'txt' END AS ext
+        FROM documents)
+  UNION ALL
+  SELECT '/web/' || page_id || '.html', 'html', html FROM pages),
+file_lines AS (SELECT path, unnest(string_split(content, chr(10))) AS line FROM files)
+"""
+
+
+# --------------------------------------------------------------------------
+# K8 annotator votes: three votes per labelled document — quality, toxic and
+# (doc_id mod 3) − 1 — slash-joined; every tenth document has a lone "-1".
+# --------------------------------------------------------------------------
+
+
+def annotated(t: Tables) -> DataFrame:
+    lab = t.labels
+    votes = F.when(F.col("doc_id") % 10 == 0, F.lit("-1")).otherwise(F.concat_ws(
+        "/", F.col("quality").cast("string"), F.col("toxic").cast("string"),
+        (F.col("doc_id") % 3 - 1).cast("string")))
+    return lab.join(t.documents.select("doc_id", "text"), "doc_id").select("doc_id", votes.alias("votes"), "text")
+
+
+ANNOT_SQL = """
+votes AS (
+  SELECT l.doc_id,
+         CASE WHEN l.doc_id % 10 = 0 THEN '-1' ELSE l.quality || '/' || l.toxic || '/' || (l.doc_id % 3 - 1) END AS votes,
+         d.text
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+tallies AS (
+  SELECT doc_id, votes, text,
+         (CASE WHEN doc_id % 10 = 0 THEN 0 ELSE (quality = 0)::INT + (toxic = 0)::INT + (doc_id % 3 = 1)::INT END) AS n0,
+         (CASE WHEN doc_id % 10 = 0 THEN 0 ELSE (quality = 1)::INT + (toxic = 1)::INT + (doc_id % 3 = 2)::INT END) AS n1
+  FROM labels JOIN (SELECT doc_id AS d_id, text FROM documents) ON doc_id = d_id
+       JOIN (SELECT doc_id AS v_id, votes FROM votes) ON doc_id = v_id),
+merged AS (
+  SELECT doc_id, text, votes, n0, n1,
+         CAST(CASE WHEN n0 + n1 = 0 THEN -1 WHEN n1 > n0 THEN 1 WHEN n0 > n1 THEN 0 ELSE -1 END AS INTEGER) AS label
+  FROM tallies)
+"""
