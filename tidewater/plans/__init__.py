@@ -9,6 +9,7 @@ FAMILY_MODULES = [
     "tidewater.plans.corpus",
     "tidewater.plans.annotate",
     "tidewater.plans.text",
+    "tidewater.plans.sketch",
 ]
 
 _loaded = False
