@@ -10,6 +10,8 @@ FAMILY_MODULES = [
     "tidewater.plans.annotate",
     "tidewater.plans.text",
     "tidewater.plans.sketch",
+    "tidewater.plans.vectors",
+    "tidewater.plans.geo",
 ]
 
 _loaded = False

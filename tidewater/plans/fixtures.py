@@ -275,3 +275,56 @@ merged AS (
          CAST(CASE WHEN n0 + n1 = 0 THEN -1 WHEN n1 > n0 THEN 1 WHEN n0 > n1 THEN 0 ELSE -1 END AS INTEGER) AS label
   FROM tallies)
 """
+
+
+# --------------------------------------------------------------------------
+# K4 vectors: the embeddings table with a word per row ("w<vec_id>") and
+# double-precision vectors. K5 geo: customers are the points, suppliers the
+# queries, with coordinates spread over the globe by integer arithmetic on
+# the keys.
+# --------------------------------------------------------------------------
+
+
+def embedding_rows(t: Tables) -> DataFrame:
+    return t.embeddings.select(
+        F.col("vec_id").alias("id"), F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("vec"), "label")
+
+
+EMB_SQL = """
+e AS (SELECT vec_id, label, 'w' || vec_id AS word, embedding::DOUBLE[] AS v FROM embeddings),
+c AS (SELECT label, list(m ORDER BY i) AS cv FROM (
+        SELECT label, i, avg(x) AS m FROM (SELECT label, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM e)
+        GROUP BY label, i) GROUP BY label),
+nn AS (SELECT * FROM (
+        SELECT c.label AS q_id, e.vec_id AS id, list_distance(e.v, c.cv) AS d,
+               row_number() OVER (PARTITION BY c.label ORDER BY list_distance(e.v, c.cv), e.vec_id) AS rank
+        FROM e, c) WHERE rank = 1),
+u AS (SELECT vec_id, word, list_transform(v, lambda x: x / nrm) AS u, v FROM (
+        SELECT vec_id, word, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm FROM e) WHERE nrm > 0),
+medoids AS (SELECT nn.q_id AS label, u.vec_id AS q_id, u.u AS qu, u.v AS qv FROM nn JOIN u ON u.word = 'w' || nn.id)
+"""
+
+
+def _deg(key: Column, mul: int, mod: int, off: float) -> Column:
+    return ((key * mul) % mod).cast("double") / 100.0 - off
+
+
+def geo_points(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+    return t.customer.select(k.alias("id"), F.col("c_name").alias("name"),
+                             _deg(k, 7919, 17001, 85.0).alias("lat"), _deg(k, 104729, 36001, 180.0).alias("lon"))
+
+
+def geo_queries(t: Tables) -> DataFrame:
+    k = F.col("s_suppkey")
+    return t.supplier.select(k.alias("q_id"), _deg(k, 4001, 17001, 85.0).alias("lat"),
+                             _deg(k, 7727, 36001, 180.0).alias("lon"))
+
+
+GEO_SQL = """
+pts AS (SELECT c_custkey AS id, c_name AS name, ((c_custkey * 7919) % 17001) / 100.0 - 85.0 AS lat,
+               ((c_custkey * 104729) % 36001) / 100.0 - 180.0 AS lon FROM customer),
+qs AS (SELECT s_suppkey AS q_id, ((s_suppkey * 4001) % 17001) / 100.0 - 85.0 AS lat,
+              ((s_suppkey * 7727) % 36001) / 100.0 - 180.0 AS lon FROM supplier)
+"""
