@@ -12,6 +12,7 @@ FAMILY_MODULES = [
     "tidewater.plans.sketch",
     "tidewater.plans.vectors",
     "tidewater.plans.geo",
+    "tidewater.plans.prep_eval",
 ]
 
 _loaded = False

@@ -328,3 +328,28 @@ pts AS (SELECT c_custkey AS id, c_name AS name, ((c_custkey * 7919) % 17001) / 1
 qs AS (SELECT s_suppkey AS q_id, ((s_suppkey * 4001) % 17001) / 100.0 - 85.0 AS lat,
               ((s_suppkey * 7727) % 36001) / 100.0 - 180.0 AS lon FROM supplier)
 """
+
+
+# --------------------------------------------------------------------------
+# K9 predictions for the evaluation tables: a fixed rule classifier of
+# l_returnflag from the discount, so every metric is checkable in SQL.
+# --------------------------------------------------------------------------
+
+
+def rule_predictions(t: Tables) -> DataFrame:
+    disc = F.col("l_discount")
+    pred = F.when(disc < 0.035, "A").when(disc < 0.07, "N").otherwise("R")
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                             F.col("l_returnflag").alias("label"), pred.alias("prediction"),
+                             "l_discount", "l_quantity", "l_extendedprice", "l_tax")
+
+
+PRED_SQL = """
+pred AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag AS label,
+                CASE WHEN l_discount < 0.035 THEN 'A' WHEN l_discount < 0.07 THEN 'N' ELSE 'R' END AS prediction,
+                l_discount, l_quantity, l_extendedprice, l_tax FROM lineitem)
+"""
+
+
+def hash_sql(id_expr: str, seed: int) -> str:
+    return f"('0x' || substr(md5({id_expr} || ':{seed}'), 1, 8))::BIGINT"
