@@ -13,6 +13,7 @@ FAMILY_MODULES = [
     "tidewater.plans.vectors",
     "tidewater.plans.geo",
     "tidewater.plans.prep_eval",
+    "tidewater.plans.trees",
 ]
 
 _loaded = False
