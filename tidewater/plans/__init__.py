@@ -14,6 +14,7 @@ FAMILY_MODULES = [
     "tidewater.plans.geo",
     "tidewater.plans.prep_eval",
     "tidewater.plans.trees",
+    "tidewater.plans.ml",
 ]
 
 _loaded = False
