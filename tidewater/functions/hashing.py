@@ -76,6 +76,8 @@ def tabulation_hash_np(keys: np.ndarray, seed: int = 69) -> np.ndarray:
 
 def tabulation_hash(x: Column, seed: int = 69) -> Column:
     """F7 as an Arrow-batched pandas UDF → bigint in [0, 2^32)."""
+    from tidewater.session import ship_package
+    ship_package()
 
     @F.pandas_udf("bigint")
     def _tab(s: pd.Series) -> pd.Series:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import DEFAULT_BROADCAST_ROWS
+from tidewater.session import DEFAULT_BROADCAST_ROWS, ship_package
 
 METRICS = ("euclidean", "euclidean_expanded", "cosine", "haversine")
 _QUERY_BLOCK = 256  # queries per distance block inside a task (bounds task memory)
@@ -88,6 +88,7 @@ def knn(data: DataFrame, queries: DataFrame, k: int, metric: str,
     if metric not in METRICS:
         raise ValueError(metric)
     spark = data.sparkSession
+    ship_package(spark)
     qcols = [F.col(q_id).cast("bigint").alias("q_id"), F.col(q_vec).alias("qv")]
     if exclude_col:
         qcols.append(F.col(exclude_col).cast("bigint").alias("excl"))

@@ -40,6 +40,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -108,3 +109,35 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         w.parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``tidewater`` importable in Python workers (UDF-backed operators
+    pickle functions by module reference). Zips the package once per
+    application and registers it with ``addPyFile``; a no-op afterwards."""
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    target = os.path.join(base, "pkg") if "://" not in base else os.getcwd()
+    os.makedirs(target, exist_ok=True)
+    path = os.path.join(target, f"tidewater-{sc.applicationId}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
