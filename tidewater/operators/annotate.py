@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.common import attach_scalars
+from tidewater.session import spread
 
 UNDECIDED = -1
 
@@ -63,7 +64,7 @@ def text_key(text: Column) -> Column:
 
 def first_of_duplicates(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
     """(text key, first id) for every distinct text."""
-    return df.groupBy(text_key(F.col(text)).alias("_k")).agg(F.min(order).alias("_first"))
+    return spread(df).groupBy(text_key(F.col(text)).alias("_k")).agg(F.min(order).alias("_first"))
 
 
 def dedup_first(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
@@ -74,7 +75,7 @@ def dedup_first(df: DataFrame, text: str = "text", order: str = "doc_id") -> Dat
 
 def dropped_duplicates(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
     """Rows removed by ``dedup_first`` with the id that was kept."""
-    keyed = df.withColumn("_k", text_key(F.col(text)))
+    keyed = spread(df).withColumn("_k", text_key(F.col(text)))
     firsts = first_of_duplicates(df, text, order)
     return (keyed.join(firsts, "_k").filter(F.col(order) != F.col("_first"))
             .select(order, F.col("_first").alias("kept_" + order)))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import DEFAULT_BROADCAST_ROWS, ship_package
+from tidewater.session import DEFAULT_BROADCAST_ROWS, ship_package, spread
 
 METRICS = ("euclidean", "euclidean_expanded", "cosine", "haversine")
 _QUERY_BLOCK = 256  # queries per distance block inside a task (bounds task memory)
@@ -98,7 +98,7 @@ def knn(data: DataFrame, queries: DataFrame, k: int, metric: str,
         raise ValueError(f"query set larger than {max_queries}; use the LSH join (topk_lsh)")
     # bounded by max_queries (checked above): safe to ship to every task
     qrows = q.orderBy("q_id").collect()
-    d = data.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"))
+    d = spread(data.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")))
     schema = T.StructType([T.StructField("q_id", T.LongType()), T.StructField("id", T.LongType()),
                            T.StructField("d", T.DoubleType())])
     parts = []

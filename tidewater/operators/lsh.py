@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.knn import dot
-from tidewater.session import DEFAULT_BROADCAST_ROWS, checked_broadcast
+from tidewater.session import DEFAULT_BROADCAST_ROWS, checked_broadcast, spread
 
 
 def lsh_params(dim: int, n_planes: int = 16, n_tables: int = 8, bits: int = 6, seed: int = 42):
@@ -54,12 +54,16 @@ def topk_lsh(data: DataFrame, queries: DataFrame, k: int, planes: np.ndarray, po
     with the query in at least one table; ``exclude_col`` holds each query's
     own data id."""
     def keyed(df, idc, extra):
-        return (df.select(F.col(idc).alias("_id"), F.col(unit_col).alias("_u"), *extra,
-                          F.inline(bucket_keys(signature(F.col(vec_col), planes), positions))))
+        # the signature is its own projection so the 16×dim dot products run
+        # once per row, not once per referenced bit
+        sig = df.select(F.col(idc).alias("_id"), F.col(unit_col).alias("_u"), *extra,
+                        signature(F.col(vec_col), planes).alias("_sig"))
+        return sig.select("_id", "_u", *[c for c in sig.columns if c not in ("_id", "_u", "_sig")],
+                          F.inline(bucket_keys(F.col("_sig"), positions)))
     qextra = [F.col(exclude_col).alias("_excl")] if exclude_col else [F.lit(None).cast("bigint").alias("_excl")]
     qk = keyed(queries, q_id, qextra).select(F.col("_id").alias("q_id"), F.col("_u").alias("_qu"), "_excl", "t", "b")
     qk = checked_broadcast(qk, max_query_rows, "LSH query buckets")
-    dk = keyed(data.filter(F.col(unit_col).isNotNull()), id_col, [])
+    dk = keyed(spread(data.filter(F.col(unit_col).isNotNull())), id_col, [])
     cand = (dk.join(qk, ["t", "b"])
             .filter(F.col("_excl").isNull() | (F.col("_id") != F.col("_excl")))
             .select("q_id", F.col("_id").alias("id"), dot(F.col("_u"), F.col("_qu")).alias("sim")))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import hashing as H
+from tidewater.session import spread
 
 
 def hashed(df: DataFrame, col: str, log2m: int = 10, hash: str = "portable", seed: int = 69) -> DataFrame:
@@ -23,7 +24,7 @@ def hashed(df: DataFrame, col: str, log2m: int = 10, hash: str = "portable", see
     from an independent 32-bit hash of the key."""
     x = F.col(col)
     h = H.portable_hash32(x) if hash == "portable" else H.tabulation_hash(x, seed)
-    return df.select(H.multiply_shift(x, log2m).alias("register"), H.rho32(h).alias("rho"))
+    return spread(df.select(col)).select(H.multiply_shift(x, log2m).alias("register"), H.rho32(h).alias("rho"))
 
 
 def hll_registers(df: DataFrame, col: str, log2m: int = 10, **kw) -> DataFrame:

@@ -6,10 +6,13 @@ Contract (the reference's library defaults): lower-case; tokens are runs of
 tf = raw count; idf = ln((1+n)/(1+df)) + 1; each document's vector is
 L2-normalised over its vocabulary terms.
 
-Plan shape: explode (doc, term) → partial ``groupBy`` counts; the
-vocabulary is a bounded top-k (``TakeOrderedAndProject``) and is broadcast
-only because its size is the ``max_features`` parameter; document norms are
-one grouped aggregate joined back on ``doc_id``.
+Plan shape: the vocabulary comes first — corpus frequency per term is a
+partial ``groupBy(term)`` and the top ``max_features`` is a bounded top-k
+(``TakeOrderedAndProject``), broadcast because its size is that parameter.
+The (doc, term) occurrences are then semi-joined to the broadcast vocabulary
+*before* the per-document aggregation, so only vocabulary terms are shuffled.
+Document frequencies and L2 norms are grouped aggregates over that small
+table.
 """
 
 from __future__ import annotations
@@ -19,14 +22,14 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import text as TX
 from tidewater.operators.common import attach_scalars
-from tidewater.session import checked_broadcast
+from tidewater.session import checked_broadcast, spread
 
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               ngram_max: int = 1) -> DataFrame:
     """(doc_id, term) per occurrence, over whole texts."""
     grams = TX.ngrams_1_2(F.col(text_col)) if ngram_max >= 2 else TX.tokens(F.col(text_col))
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode(grams).alias("term"))
+    return spread(docs).select(F.col(id_col).alias("doc_id"), F.explode(grams).alias("term"))
 
 
 def term_counts(docs: DataFrame, **kw) -> DataFrame:
@@ -38,20 +41,36 @@ def tf_table(docs: DataFrame, **kw) -> DataFrame:
     return doc_terms(docs, **kw).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def fit_vocabulary(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
-    """(term, idf) for the vocabulary, fitted on ``docs``."""
-    tf = tf_table(docs, **kw)
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    stats = tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+def vocabulary_terms(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
+    """The ``max_features`` most frequent terms of the corpus (ties → term)."""
+    cf = term_counts(docs, **kw)
     if max_features:
-        stats = stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
-    return (attach_scalars(stats, n_docs)
+        cf = cf.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
+    return cf.select("term")
+
+
+def _vocab_tf(docs: DataFrame, terms: DataFrame, max_vocab_rows: int, **kw) -> DataFrame:
+    """(doc_id, term, tf) restricted to the vocabulary (broadcast semi-join
+    before the per-document aggregation)."""
+    v = checked_broadcast(terms, max_vocab_rows, "vocabulary")
+    return (doc_terms(docs, **kw).join(v, "term", "left_semi")
+            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def fit_vocabulary(docs: DataFrame, max_features: int | None = 1000, max_vocab_rows: int = 1_000_000,
+                   **kw) -> DataFrame:
+    """(term, idf) for the vocabulary fitted on ``docs``;
+    idf = ln((1 + n_docs) / (1 + df)) + 1."""
+    terms = vocabulary_terms(docs, max_features, **kw)
+    tf = _vocab_tf(docs, terms, max_vocab_rows, **kw)
+    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # every vocabulary term occurs in at least one document, so df ≥ 1
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    return (attach_scalars(dfreq, n_docs)
             .select("term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")))
 
 
-def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_vocab_rows: int = 1_000_000, **kw) -> DataFrame:
-    """Apply a fitted vocabulary/idf to documents → (doc_id, term, tfidf)."""
-    tf = tf_table(docs, **kw)
+def _weights(tf: DataFrame, vocab: DataFrame, max_vocab_rows: int) -> DataFrame:
     v = checked_broadcast(vocab, max_vocab_rows, "vocabulary")
     w = tf.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -59,9 +78,22 @@ def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_vocab_rows: int = 1_0
             .select("doc_id", "term", F.round(F.col("w") / F.col("norm"), 6).alias("tfidf")))
 
 
-def tfidf(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
-    """X2."""
-    return tfidf_transform(fit_vocabulary(docs, max_features, **kw), docs, **kw)
+def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_vocab_rows: int = 1_000_000, **kw) -> DataFrame:
+    """Apply a fitted vocabulary/idf to documents → (doc_id, term, tfidf)."""
+    tf = _vocab_tf(docs, vocab.select("term"), max_vocab_rows, **kw)
+    return _weights(tf, vocab, max_vocab_rows)
+
+
+def tfidf(docs: DataFrame, max_features: int | None = 1000, max_vocab_rows: int = 1_000_000, **kw) -> DataFrame:
+    """Fit on ``docs`` and transform the same documents; the
+    vocabulary-restricted tf table is shared by the fit and the transform."""
+    terms = vocabulary_terms(docs, max_features, **kw)
+    tf = _vocab_tf(docs, terms, max_vocab_rows, **kw)
+    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    vocab = attach_scalars(dfreq, n_docs).select(
+        "term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"))
+    return _weights(tf, vocab, max_vocab_rows)
 
 
 def top_terms(weights: DataFrame, n: int = 10) -> DataFrame:

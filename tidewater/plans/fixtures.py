@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.session import spread
 from tidewater.sources.tables import Tables
 
 # --------------------------------------------------------------------------
@@ -55,7 +56,7 @@ INVALID_NAMES = ["admin", "test", "oracle", "support", "guest", "pi", "ubnt", "p
 
 
 def auth_log(t: Tables) -> DataFrame:
-    e = t.events
+    e = spread(t.events)
     uid, eid, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
     user = F.when(uid % 10 == 0, F.concat(F.lit("svc-"), uid.cast("string"))) \
             .otherwise(F.concat(F.lit("u"), uid.cast("string")))
@@ -216,10 +217,10 @@ hours AS (
 def corpus_files(t: Tables) -> DataFrame:
     lang = F.col("lang")
     ext = (F.when(lang == "en", "c").when(lang == "fr", "h").when(lang == "de", "H").otherwise("txt"))
-    docs = t.documents.select(
+    docs = spread(t.documents).select(
         F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/doc"), F.col("doc_id").cast("string"),
                  F.lit("."), ext).alias("path"), ext.alias("ext"), F.col("text").alias("content"))
-    pages = t.pages.select(
+    pages = spread(t.pages).select(
         F.concat(F.lit("/web/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"),
         F.lit("html").alias("ext"), F.col("html").alias("content"))
     return docs.unionByName(pages)

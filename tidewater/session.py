@@ -141,3 +141,15 @@ def ship_package(spark: SparkSession | None = None) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the
+    cluster's default parallelism — used before CPU-heavy per-row work
+    (tokenising whole texts, regex parsing, vector math). A large input
+    already has thousands of splits, so at scale this is a no-op and adds no
+    shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
