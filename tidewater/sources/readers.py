@@ -48,7 +48,7 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 # S3 ----------------------------------------------------------------------
 def parse_edge_ids(lines: DataFrame, col: str = "value") -> DataFrame:
     """Whitespace-separated ids, flattened to one id per row."""
-    return lines.select(F.explode(_tokens(F.col(col))).cast("bigint").alias("id"))
+    return lines.select(F.explode(F.transform(_tokens(F.col(col)), lambda t: t.cast("bigint"))).alias("id"))
 
 
 def read_edge_ids(spark: SparkSession, path: str) -> DataFrame:
