@@ -21,4 +21,5 @@ def rows(df, *cols):
     """Sorted list of tuples (for order-insensitive comparisons)."""
     if cols:
         df = df.select(*cols)
-    return sorted(tuple(r) for r in df.collect())
+    key = lambda t: tuple((x is None, 0 if x is None else x) for x in t)  # noqa: E731  nulls last
+    return sorted((tuple(r) for r in df.collect()), key=key)
