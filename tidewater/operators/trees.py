@@ -4,9 +4,11 @@ Split search: features are unpivoted to ``(node, feature, x, label)``, then
 pre-aggregated to one row per distinct ``(node, feature, x)`` with per-class
 counts (or count/Σy/Σy² for regression) — partial aggregation, so the
 windows only ever see distinct values, never raw rows. Running sums over
-``x`` (W2/W3) give the left side of every candidate split, the partition
-total gives the right side, and ``lead(x)`` (W4) gives the next distinct
-value for the midpoint threshold. Scores are rounded to 9 decimals before
+``x`` (W2/W3) give the left side of every candidate split, the total gives
+the right side, and ``lead(x)`` (W4) gives the next distinct value for the
+midpoint threshold. The running sums are a two-level (block) prefix sum, so
+a continuous feature with billions of distinct values is spread over many
+window tasks instead of one. Scores are rounded to 9 decimals before
 the arg-max so ties break the same way everywhere: highest score, then
 smallest threshold (the reference keeps the first best), then feature order.
 
@@ -42,26 +44,58 @@ def _gini(cs: list[Column], n: Column) -> Column:
     return 1 - sum([(c / n) * (c / n) for c in cs[1:]], (cs[0] / n) * (cs[0] / n))
 
 
+def _running(cnt: DataFrame, keys: list[str], cols: list[str], blocks: int) -> DataFrame:
+    """Running (≤ x) and total sums of ``cols`` per ``keys`` plus the next
+    distinct value ``nx``, over a table with one row per distinct x.
+
+    With ``blocks > 1`` this is a two-level prefix sum, so no window ever
+    holds more than one block of a feature's distinct values:
+
+    1. per-key block bounds from ``percentile_approx`` (``blocks − 1`` values);
+    2. per-block totals and minima, prefix-summed over the small block table
+       (keys × blocks rows, broadcast: the bound is the parameter);
+    3. running sums inside each block plus the block's offset; the next value
+       after a block's last x is the next block's minimum.
+    Block choice only moves work between tasks; results are exact."""
+    run = Window.unboundedPreceding, Window.currentRow
+    if blocks <= 1:
+        w = Window.partitionBy(*keys).orderBy("x")
+        whole = Window.partitionBy(*keys)
+        return cnt.select(*keys, "x", F.lead("x").over(w).alias("nx"),
+                          *[F.sum(c).over(w.rowsBetween(*run)).alias(f"run_{c}") for c in cols],
+                          *[F.sum(c).over(whole).alias(f"tot_{c}") for c in cols])
+    fracs = [i / blocks for i in range(1, blocks)]
+    bounds = cnt.groupBy(*keys).agg(F.percentile_approx("x", fracs, 10000).alias("_b"))
+    c = (cnt.join(F.broadcast(bounds), keys)
+         .withColumn("_blk", F.size(F.filter("_b", lambda b: b < F.col("x")))).drop("_b"))
+    bt = c.groupBy(*keys, "_blk").agg(F.min("x").alias("_bmin"), *[F.sum(x).alias(f"_bs_{x}") for x in cols])
+    wb = Window.partitionBy(*keys).orderBy("_blk")
+    whole = Window.partitionBy(*keys)
+    bt = bt.select(*keys, "_blk", F.lead("_bmin").over(wb).alias("_next"),
+                   *[F.coalesce(F.sum(f"_bs_{x}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias(f"_off_{x}") for x in cols],
+                   *[F.sum(f"_bs_{x}").over(whole).alias(f"tot_{x}") for x in cols])
+    j = c.join(F.broadcast(bt), keys + ["_blk"])
+    w = Window.partitionBy(*keys, "_blk").orderBy("x")
+    return j.select(*keys, "x", F.coalesce(F.lead("x").over(w), F.col("_next")).alias("nx"),
+                    *[(F.col(f"_off_{x}") + F.sum(x).over(w.rowsBetween(*run))).alias(f"run_{x}") for x in cols],
+                    *[F.col(f"tot_{x}") for x in cols])
+
+
 def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
-                     classes: list | None = None, node: str | None = None) -> DataFrame:
+                     classes: list | None = None, node: str | None = None, blocks: int = 16) -> DataFrame:
     """Every candidate split: (node?, fidx, feature, threshold, score)."""
     keys = ([node] if node else []) + ["fidx", "feature"]
     long = _unpivot(df, features, ([node] if node else []) + [label]).filter(F.col("x").isNotNull())
-    w = Window.partitionBy(*keys).orderBy("x")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
     if score in CLASS_SCORES:
         if not classes:
             raise ValueError("classes are required for classification scores")
+        k = len(classes)
         cnt = long.groupBy(*keys, "x").agg(
             *[F.count_if(F.col(label) == F.lit(c)).alias(f"c{i}") for i, c in enumerate(classes)])
-        k = len(classes)
-        cols = []
-        for i in range(k):
-            cols += [F.sum(f"c{i}").over(run).alias(f"l{i}"), F.sum(f"c{i}").over(whole).alias(f"t{i}")]
-        s = cnt.select(*keys, "x", F.lead("x").over(w).alias("nx"), *cols).filter(F.col("nx").isNotNull())
-        L = [F.col(f"l{i}") for i in range(k)]
-        R = [F.col(f"t{i}") - F.col(f"l{i}") for i in range(k)]
+        s = _running(cnt, keys, [f"c{i}" for i in range(k)], blocks).filter(F.col("nx").isNotNull())
+        L = [F.col(f"run_c{i}") for i in range(k)]
+        R = [F.col(f"tot_c{i}") - F.col(f"run_c{i}") for i in range(k)]
         nl, nr = sum(L[1:], L[0]), sum(R[1:], R[0])
         if score == "maj_sum":
             sc = F.greatest(*L) + F.greatest(*R) if k > 1 else L[0] + R[0]
@@ -73,16 +107,13 @@ def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
         y = F.col(label).cast("double")
         cnt = long.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"), F.sum(y).alias("sy"),
                                            F.sum(y * y).alias("syy"))
-        s = cnt.select(*keys, "x", F.lead("x").over(w).alias("nx"),
-                       F.sum("c").over(run).alias("nl"), F.sum("sy").over(run).alias("sl"),
-                       F.sum("syy").over(run).alias("ql"), F.sum("c").over(whole).alias("n"),
-                       F.sum("sy").over(whole).alias("st"), F.sum("syy").over(whole).alias("qt")
-                       ).filter(F.col("nx").isNotNull())
-        nl, n = F.col("nl"), F.col("n")
+        s = _running(cnt, keys, ["c", "sy", "syy"], blocks).filter(F.col("nx").isNotNull())
+        nl, n = F.col("run_c"), F.col("tot_c")
+        sl, ql, st, qt = F.col("run_sy"), F.col("run_syy"), F.col("tot_sy"), F.col("tot_syy")
         nr = n - nl
-        sse_l = F.col("ql") - F.col("sl") * F.col("sl") / nl
-        sse_r = (F.col("qt") - F.col("ql")) - (F.col("st") - F.col("sl")) * (F.col("st") - F.col("sl")) / nr
-        overall = F.col("qt") / n - (F.col("st") / n) * (F.col("st") / n)
+        sse_l = ql - sl * sl / nl
+        sse_r = (qt - ql) - (st - sl) * (st - sl) / nr
+        overall = qt / n - (st / n) * (st / n)
         if score == "variance":
             sc = overall - (sse_l + sse_r) / n
         else:  # the reference's printed formula (D9)
@@ -93,9 +124,9 @@ def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
 
 
 def best_split(df: DataFrame, features: list[str], label: str, score: str = "gini",
-               classes: list | None = None) -> DataFrame:
+               classes: list | None = None, blocks: int = 16) -> DataFrame:
     """Best threshold per feature → (feature, threshold, score)."""
-    c = split_candidates(df, features, label, score, classes)
+    c = split_candidates(df, features, label, score, classes, blocks=blocks)
     best = c.groupBy("fidx", "feature").agg(
         F.min(F.struct((-F.col("score")).alias("o"), F.col("threshold").alias("t"))).alias("b"))
     return best.select("feature", F.col("b.t").alias("threshold"), (-F.col("b.o")).alias("score"))

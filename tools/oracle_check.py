@@ -92,8 +92,14 @@ def main():
             print("   spark-only:", diff_s)
             print("   duck-only: ", diff_d)
         else:
+            tmap = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                    "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+            sd = dict(zip(scols, stypes))
+            dd = dict(zip(dcols, dtypes))
+            mism = [(c, sd[c], dd[c]) for c in scols if tmap.get(sd[c], sd[c]) != dd[c]]
             ok += 1
-            print(f"OK   {n}: {len(srows)} rows ({ts:.1f}s) types {stypes} | {dtypes}")
+            flag = f" TYPE-MISMATCH {mism}" if mism else ""
+            print(f"OK   {n}: {len(srows)} rows ({ts:.1f}s){flag}")
             if a.show:
                 print("   ", ls[:3])
     print(f"== {ok} ok, {bad} failed, {len(sel)} total")
