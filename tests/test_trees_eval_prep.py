@@ -103,3 +103,16 @@ def test_splits_samples_maps(spark):
     z = PR.standardize(spark.createDataFrame([(1.0,), (3.0,)], "x double"), ["x"])
     assert sorted(r.x for r in z.collect()) == [-1.0, 1.0]
     assert PR.drop_incomplete(spark.createDataFrame([(1, None), (2, "x")], "a int, b string")).count() == 1
+
+
+def test_block_prefix_sums_equal_single_window(spark):
+    rs = np.random.RandomState(4)
+    data = [(float(rs.normal()), float(rs.normal()), "a" if rs.rand() < 0.5 else "b") for _ in range(2000)]
+    df = spark.createDataFrame(data, "u double, v double, label string")
+    for score in ("gini", "info_gain"):
+        one = rows(TR.split_candidates(df, ["u", "v"], "label", score, ["a", "b"], blocks=1))
+        many = rows(TR.split_candidates(df, ["u", "v"], "label", score, ["a", "b"], blocks=7))
+        assert one == many
+    reg = spark.createDataFrame([(x, x * 2 + y) for x, y, _ in data], "u double, y double")
+    assert rows(TR.split_candidates(reg, ["u"], "y", "variance", blocks=1)) == \
+        rows(TR.split_candidates(reg, ["u"], "y", "variance", blocks=5))

@@ -138,6 +138,21 @@ def knn(data: DataFrame, queries: DataFrame, k: int, metric: str,
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def lookup_queries(rows: DataFrame, words: DataFrame, key: str = "word", check: bool = True,
+                   max_words: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Word → row lookup for a query word list. The word list is a query
+    set: size-checked, then broadcast. An unknown word is an error, as in
+    the reference."""
+    from tidewater.session import checked_broadcast
+    w = checked_broadcast(words.select(key).distinct(), max_words, "query words")
+    found = rows.join(w, key)
+    if check:
+        missing = w.join(found.select(key), key, "left_anti").limit(1).collect()
+        if missing:
+            raise KeyError(f"unknown query word {missing[0][key]!r}")
+    return found
+
+
 # --- vector helpers (F11, A27, centroids) -----------------------------------
 
 def dot(a, b):

@@ -84,3 +84,8 @@ def sample_subset(df: DataFrame, id_col: str, frac: float, seed: int = 0) -> Dat
 def shuffle_rows(df: DataFrame, id_col: str, seed: int = 0) -> DataFrame:
     """A seeded, repeatable row order (range-partitioned sort)."""
     return df.withColumn("shuffle_key", hash_key(F.col(id_col), seed)).orderBy("shuffle_key", id_col)
+
+
+def year_from_string(ts: Column) -> Column:
+    """year as the first four characters of a timestamp string."""
+    return F.substring(ts, 1, 4).cast("int")

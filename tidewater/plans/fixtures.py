@@ -114,7 +114,7 @@ auth AS (
 
 
 def university_triples(t: Tables) -> DataFrame:
-    from tidewater.operators.triples import SheetRule, to_triples, union_triples
+    from tidewater.operators.triples import SheetRule, attach_sheet, to_triples, union_triples
 
     senior = F.col("s_suppkey") % 3 == 0
     teachers = (t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -144,6 +144,10 @@ def university_triples(t: Tables) -> DataFrame:
         F.concat(F.col("y").cast("string"), F.lit("-"), (F.col("y") + 1).cast("string")).alias("ay"),
         F.col("q").cast("double").cast("string").alias("period"),
         F.col("examiner").cast("string").alias("examiner"))
+    # a second sheet (course plannings) keyed by the instance id
+    plannings = li.groupBy("l_partkey", "y", "q").agg(F.count(F.lit(1)).alias("plan_students")).select(
+        inst_id.alias("ind"), "plan_students")
+    instances = attach_sheet(instances, plannings, "ind")
     hours = li.groupBy("l_partkey", "y", "q", "l_suppkey").agg(
         (F.sum("l_quantity") * 3).cast("float").alias("hrs")).select(
         F.concat_ws("-", F.lit("H"), F.col("l_partkey").cast("string"), F.col("y").cast("string"),
@@ -171,6 +175,7 @@ def university_triples(t: Tables) -> DataFrame:
             "cDivision": ("p_brand", "string"), "cProgram": ("prog", "string")})),
         to_triples(instances, SheetRule("ind", "CourseInstance", {
             "instanceID": ("ind", "string"), "ciCourseCode": ("code", "string"),
+            "planNumStudents": ("plan_students", "integer"),
             "cAcademicYear": ("ay", "string"), "studyPeriod": ("period", "string"),
             "examiner": ("examiner", "string")})),
         to_triples(hours, SheetRule("ind", "TeachingAssignment", {

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import knn as K
 from tidewater.plans.fixtures import GEO_SQL, geo_points, geo_queries
+from tidewater.functions.geo import haversine
 from tidewater.plans.registry import query
 from tidewater.sources.tables import Tables
 
@@ -18,6 +19,16 @@ def nn_haversine(points, queries, k: int = 1):
     return nn.join(points.select("id", "name"), "id")
 
 
+def nn_haversine_checked(points, queries, k: int = 1):
+    """J8 with the winning pair's distance recomputed by the JVM column
+    function (F10) from the original degrees."""
+    nn = K.knn(points.select("id", F.array(F.radians("lat"), F.radians("lon")).alias("vec")),
+               queries.select("q_id", F.array(F.radians("lat"), F.radians("lon")).alias("vec")), k, "haversine")
+    return (nn.join(points.select("id", "name", F.col("lat").alias("plat"), F.col("lon").alias("plon")), "id")
+              .join(queries.select("q_id", F.col("lat").alias("qlat"), F.col("lon").alias("qlon")), "q_id")
+              .withColumn("d_jvm", haversine(F.col("qlat"), F.col("qlon"), F.col("plat"), F.col("plon"))))
+
+
 @query("geo_nearest", "WITH " + GEO_SQL + """
 SELECT q_id, id, name, round(d, 6) AS d FROM (
   SELECT qs.q_id, pts.id, pts.name,
@@ -31,3 +42,19 @@ def geo_nearest(spark, d):
     t = Tables(spark, d)
     r = nn_haversine(geo_points(t), geo_queries(t), 1)
     return r.select("q_id", "id", "name", F.round("d", 6).alias("d")).orderBy("q_id")  # O5
+
+
+@query("geo_nearest_distance_km", "WITH " + GEO_SQL + """,
+nn AS (SELECT * FROM (
+  SELECT qs.q_id, pts.id,
+         2 * asin(sqrt(pow(sin((radians(pts.lat) - radians(qs.lat)) / 2), 2)
+             + cos(radians(pts.lat)) * cos(radians(qs.lat)) * pow(sin((radians(pts.lon) - radians(qs.lon)) / 2), 2))) AS d,
+         row_number() OVER (PARTITION BY qs.q_id ORDER BY 2 * asin(sqrt(pow(sin((radians(pts.lat) - radians(qs.lat)) / 2), 2)
+             + cos(radians(pts.lat)) * cos(radians(qs.lat)) * pow(sin((radians(pts.lon) - radians(qs.lon)) / 2), 2))), pts.id) AS rn
+  FROM qs, pts) WHERE rn = 1)
+SELECT q_id, id, round(d * 6371.0, 3) AS km FROM nn
+""")
+def geo_nearest_distance_km(spark, d):
+    t = Tables(spark, d)
+    r = nn_haversine_checked(geo_points(t), geo_queries(t), 1)
+    return r.select("q_id", "id", F.round(F.col("d_jvm") * 6371.0, 3).alias("km"))

@@ -189,3 +189,14 @@ def eval_baseline_mean_mse(spark, d):
     s = PR.split_by_hash(o, "o_orderkey", [0.8, 0.2], SPLIT_SEED, ["train", "test"])
     pred = EV.baseline_mean(s.filter("split = 'train'"), s.filter("split = 'test'"), "y")
     return EV.mse(pred, "y", "prediction")
+
+
+@query("prep_year_counts", """
+SELECT CAST(substr(CAST(o_orderdate AS VARCHAR), 1, 4) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS n
+FROM orders GROUP BY 1
+""")
+def prep_year_counts(spark, d):
+    """the year is the first four characters of the timestamp string."""
+    o = Tables(spark, d).orders
+    return o.groupBy(PR.year_from_string(F.col("o_orderdate").cast("string")).alias("year")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"))

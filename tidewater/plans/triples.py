@@ -37,7 +37,7 @@ c AS (
   UNION ALL SELECT unnest(['teacherName','teacherID','tDepartment','tDivision']), (SELECT count(*) FROM supplier)
   UNION ALL SELECT unnest(['programName','programCode','pDepartment','director']), (SELECT count(*) FROM nation)
   UNION ALL SELECT unnest(['courseCode','courseName','credits','courseLevel','cDivision','cProgram']), (SELECT count(*) FROM part)
-  UNION ALL SELECT unnest(['instanceID','ciCourseCode','cAcademicYear','studyPeriod','examiner']), (SELECT n FROM ni)
+  UNION ALL SELECT unnest(['instanceID','ciCourseCode','cAcademicYear','studyPeriod','examiner','planNumStudents']), (SELECT n FROM ni)
   UNION ALL SELECT unnest(['hoursCourseInstance','hoursTeacher','rHours','aHours']), (SELECT n FROM nh)
   UNION ALL SELECT unnest(['studentID','studentName','sProgram','graduated']), (SELECT count(*) FROM customer)
   UNION ALL SELECT unnest(['registrationsCourseInstance','registrationsStudents','registrationStatus']), (SELECT count(*) FROM orders))
@@ -142,3 +142,18 @@ def sparql_count_people(spark, d):
                             filters=[TR.regex_filter("n", "Teac.*", "i")], select=["id"])
     students = TR.match_bgp(tr, [("?s", "studentID", "?id")], select=["id"])
     return TR.count_bindings(teachers.unionByName(students), "people_count")
+
+
+MIN_PLANNED = 3
+
+
+@query("sparql_planned_instances", f"""
+SELECT 'I-' || l_partkey || '-' || year(l_shipdate) || '-' || quarter(l_shipdate) AS ci,
+       CAST(count(*) AS VARCHAR) AS n
+FROM lineitem GROUP BY l_partkey, year(l_shipdate), quarter(l_shipdate) HAVING count(*) >= {MIN_PLANNED}
+""")
+def sparql_planned_instances(spark, d):
+    """Instances whose planned student count (a fact from the second sheet,
+    J14) is at least MIN_PLANNED; the typed literal is cast for the filter."""
+    return TR.match_bgp(_triples(spark, d), [("?c", "instanceID", "?ci"), ("?c", "planNumStudents", "?n")],
+                        filters=[F.col("n").cast("int") >= MIN_PLANNED], select=["ci", "n"])

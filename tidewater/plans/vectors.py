@@ -22,18 +22,6 @@ def _emb(spark, d):
     return embedding_rows(Tables(spark, d))
 
 
-def lookup_queries(emb, words, check: bool = True):
-    """Word → row. The word list is a query set (size-checked broadcast);
-    an unknown word is an error."""
-    w = words.select("word").distinct()
-    found = emb.join(F.broadcast(w), "word")
-    if check:
-        missing = w.join(found.select("word"), "word", "left_anti").limit(1).collect()
-        if missing:
-            raise KeyError(f"unknown query word {missing[0]['word']!r}")
-    return found
-
-
 def _centroid_nn(spark, d, metric):
     emb = _emb(spark, d)
     cents = K.centroids(emb, "label", "vec").withColumnRenamed("label", "q_id")
@@ -44,7 +32,7 @@ def _medoid_queries(spark, d):
     emb, nn = _centroid_nn(spark, d, "euclidean")
     words = nn.join(emb.select("id", "word"), "id").select("word")   # J6: ids carried, names attached
     unit = K.l2_normalize(emb, "vec", "unit")
-    q = lookup_queries(unit, words).select(F.col("id").alias("q_id"), "vec", "unit", F.col("id").alias("self_id"))
+    q = K.lookup_queries(unit, words).select(F.col("id").alias("q_id"), "vec", "unit", F.col("id").alias("self_id"))
     return unit, q
 
 
