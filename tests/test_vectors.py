@@ -71,3 +71,21 @@ def test_lsh_similarities_exact_and_recall_monotone(spark):
             assert abs(r.sim - exact[(r.q_id, r.id)]) < 1e-9
         assert len(res) >= found_prev  # more tables never lose candidates
         found_prev = len(res)
+
+
+def test_geo_grid_exact_under_skew(spark):
+    from tidewater.operators.geogrid import nn_grid
+    rs = np.random.RandomState(11)
+    n = 1500
+    lat = np.concatenate([rs.uniform(-89, 89, n - 500), 10 + rs.uniform(0, 0.01, 500)])  # a third in one cell
+    lon = np.concatenate([rs.uniform(-180, 180, n - 500), 20 + rs.uniform(0, 0.01, 500)])
+    pts = spark.createDataFrame([(i, float(lat[i]), float(lon[i])) for i in range(n)], "id bigint, lat double, lon double")
+    qlat = np.concatenate([rs.uniform(-90, 90, 150), [89.9, -89.9, 10.005, 0.0]])
+    qlon = np.concatenate([rs.uniform(-180, 180, 150), [0.0, 179.9, 20.005, -179.99]])
+    qs = spark.createDataFrame([(i, float(qlat[i]), float(qlon[i])) for i in range(len(qlat))],
+                               "q_id bigint, lat double, lon double")
+    want = sorted((r.q_id, r.id) for r in K.knn(
+        pts.select("id", F.array(F.radians("lat"), F.radians("lon")).alias("vec")),
+        qs.select("q_id", F.array(F.radians("lat"), F.radians("lon")).alias("vec")), 2, "haversine").collect())
+    got = sorted((r.q_id, r.id) for r in nn_grid(pts, qs, 2, cell_deg=5.0, max_points=40, max_queries=7).collect())
+    assert got == want

@@ -131,6 +131,8 @@ def knn(data: DataFrame, queries: DataFrame, k: int, metric: str,
                 yield allb.groupby("q_id", sort=False).head(k)
 
         parts.append(d.mapInPandas(scan, schema))
+    if not parts:  # empty query set
+        return spark.createDataFrame([], "q_id bigint, id bigint, d double, rank int")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)

@@ -7,15 +7,23 @@ from pyspark.sql import functions as F
 from tidewater.operators import knn as K
 from tidewater.plans.fixtures import GEO_SQL, geo_points, geo_queries
 from tidewater.functions.geo import haversine
+from tidewater.operators.geogrid import nn_grid
+from tidewater.session import DEFAULT_BROADCAST_ROWS, is_small
 from tidewater.plans.registry import query
 from tidewater.sources.tables import Tables
 
 
-def nn_haversine(points, queries, k: int = 1):
-    """J8 + P11 + J6: nearest point(s) of every query, names attached."""
-    data = points.select("id", F.array(F.radians("lat"), F.radians("lon")).alias("vec"))
-    qs = queries.select("q_id", F.array(F.radians("lat"), F.radians("lon")).alias("vec"))
-    nn = K.knn(data, qs, k, "haversine")
+def nn_haversine(points, queries, k: int = 1, max_broadcast: int = DEFAULT_BROADCAST_ROWS):
+    """J8 + P11 + J6: nearest point(s) of every query, names attached.
+
+    A query set proven small enough is broadcast to a scan of the points;
+    beyond that bound the exact grid co-group join takes over."""
+    if is_small(queries, max_broadcast):
+        data = points.select("id", F.array(F.radians("lat"), F.radians("lon")).alias("vec"))
+        qs = queries.select("q_id", F.array(F.radians("lat"), F.radians("lon")).alias("vec"))
+        nn = K.knn(data, qs, k, "haversine", max_queries=max_broadcast)
+    else:
+        nn = nn_grid(points, queries, k)
     return nn.join(points.select("id", "name"), "id")
 
 
@@ -58,3 +66,21 @@ def geo_nearest_distance_km(spark, d):
     t = Tables(spark, d)
     r = nn_haversine_checked(geo_points(t), geo_queries(t), 1)
     return r.select("q_id", "id", F.round(F.col("d_jvm") * 6371.0, 3).alias("km"))
+
+
+@query("geo_nearest_grid", "WITH " + GEO_SQL + """
+SELECT q_id, id, name, round(d, 6) AS d FROM (
+  SELECT qs.q_id, pts.id, pts.name,
+         2 * asin(sqrt(pow(sin((radians(pts.lat) - radians(qs.lat)) / 2), 2)
+             + cos(radians(pts.lat)) * cos(radians(qs.lat)) * pow(sin((radians(pts.lon) - radians(qs.lon)) / 2), 2))) AS d,
+         row_number() OVER (PARTITION BY qs.q_id ORDER BY 2 * asin(sqrt(pow(sin((radians(pts.lat) - radians(qs.lat)) / 2), 2)
+             + cos(radians(pts.lat)) * cos(radians(qs.lat)) * pow(sin((radians(pts.lon) - radians(qs.lon)) / 2), 2))), pts.id) AS rn
+  FROM qs, pts) WHERE rn = 1
+""")
+def geo_nearest_grid(spark, d):
+    """J8 through the grid co-group join (the path for query sets too large
+    to broadcast), forced here so the exact result is checked."""
+    t = Tables(spark, d)
+    pts = geo_points(t)
+    nn = nn_grid(pts, geo_queries(t), 1)
+    return nn.join(pts.select("id", "name"), "id").select("q_id", "id", "name", F.round("d", 6).alias("d"))
