@@ -6,7 +6,8 @@ literal arrays. Candidate generation is an equi-join on ``(table, bucket)``
 against the broadcast query buckets (size-checked: ``|Q| · L`` rows), so the
 data side is never shuffled for the join and a bucket holding a third of
 the data costs no skew. Similarities are computed right after the join, then
-``(q_id, id)`` duplicates from several tables collapse in a grouped ``max``
+a bounded head of k·L rows per query (partial window-group limit before the
+shuffle) is kept, ``(q_id, id)`` duplicates from several tables collapse,
 and a ``row_number() ≤ k`` picks the top k.
 """
 
@@ -67,8 +68,13 @@ def topk_lsh(data: DataFrame, queries: DataFrame, k: int, planes: np.ndarray, po
     cand = (dk.join(qk, ["t", "b"])
             .filter(F.col("_excl").isNull() | (F.col("_id") != F.col("_excl")))
             .select("q_id", F.col("_id").alias("id"), dot(F.col("_u"), F.col("_qu")).alias("sim")))
-    best = cand.groupBy("q_id", "id").agg(F.max("sim").alias("sim"))
+    # A data id matches a query in at most L tables, always with the same
+    # similarity, so the first k·L rows by (sim desc, id) hold every row of the
+    # k best distinct ids: keep those (Spark applies this limit per partition
+    # before the shuffle), then collapse duplicates and rank.
     w = Window.partitionBy("q_id").orderBy(F.desc("sim"), F.asc("id"))
+    head = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k * len(positions))
+    best = head.groupBy("q_id", "id").agg(F.max("sim").alias("sim"))
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
