@@ -154,7 +154,9 @@ def grow_tree(df: DataFrame, features: list[str], label: str, classes: list, max
     Node ids are heap-numbered (root 1; children 2i for ``x <= t`` and
     2i+1 otherwise). A node is a leaf at max depth, when it holds one class,
     or when no feature has two distinct values."""
-    data = df.select(*features, label).withColumn("node", F.lit(1).cast("bigint"))
+    # every level rescans the data: write the projected columns once (reliable
+    # checkpoint in the shared folder) and grow from that narrow copy
+    data = cut_lineage(df.select(*features, label).withColumn("node", F.lit(1).cast("bigint")))
     node_tables = []
     for depth in range(max_depth + 1):
         stats = _majority(data, ["node"], label)
