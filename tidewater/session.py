@@ -63,10 +63,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint
+    folder and reading it back: a reliable, columnar checkpoint that
+    survives executor loss (never a local checkpoint)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_path(spark, f"lineage/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
