@@ -112,3 +112,12 @@ def baseline_majority(train: DataFrame, test: DataFrame, label: str = "label") -
 def baseline_mean(train: DataFrame, test: DataFrame, label: str = "y") -> DataFrame:
     """M2: predict the training mean."""
     return attach_scalars(test, train.agg(F.avg(label).alias("prediction")))
+
+
+def activation(z: Column, kind: str = "sigmoid") -> Column:
+    """the hidden/output activations of the small networks."""
+    if kind == "tanh":
+        return F.tanh(z)
+    if kind == "sigmoid":
+        return sigmoid(z)
+    raise ValueError(kind)
