@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampType()
+# the files hold zone-less timestamps (parquet isAdjustedToUTC=false): read them
+# as TIMESTAMP_NTZ so every date function is independent of the session zone
+_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
 
 def _schema(*cols):
