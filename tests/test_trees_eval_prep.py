@@ -116,3 +116,10 @@ def test_block_prefix_sums_equal_single_window(spark):
     reg = spark.createDataFrame([(x, x * 2 + y) for x, y, _ in data], "u double, y double")
     assert rows(TR.split_candidates(reg, ["u"], "y", "variance", blocks=1)) == \
         rows(TR.split_candidates(reg, ["u"], "y", "variance", blocks=5))
+
+
+def test_sample_exact_matches_sort_limit(spark):
+    df = spark.range(0, 3001).withColumnRenamed("id", "k")
+    got = sorted(r.k for r in PR.sample_exact(df, "k", 0.2, 5).collect())
+    keyed = sorted((r.h, r.k) for r in df.select("k", PR.hash_key(F.col("k"), 5).alias("h")).collect())
+    assert got == sorted(k for _, k in keyed[:600])

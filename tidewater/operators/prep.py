@@ -89,3 +89,43 @@ def shuffle_rows(df: DataFrame, id_col: str, seed: int = 0) -> DataFrame:
 def year_from_string(ts: Column) -> Column:
     """year as the first four characters of a timestamp string."""
     return F.substring(ts, 1, 4).cast("int")
+
+
+def sample_exact(df: DataFrame, id_col: str, frac: float, seed: int = 0) -> DataFrame:
+    """SA2, exact size: the ``floor(frac · n)`` rows with the smallest
+    (hash(id, seed), id) — the same rows as a full sort plus limit, without
+    a global sort or a big limit through one task.
+
+    The cut is found by two bounded histograms of the 32-bit hash: the high
+    16 bits locate the bucket holding the cut (≤ 65,536 counts), then the low
+    16 bits inside that bucket locate the exact hash value; rows sharing that
+    value (hash collisions, a handful) are ordered by id."""
+    keyed = df.withColumn("_h", hash_key(F.col(id_col), seed))
+    n = keyed.count()
+    target = int(frac * n)
+    if target <= 0:
+        return keyed.limit(0).drop("_h")
+    if target >= n:
+        return keyed.drop("_h")
+    # bounded summaries (≤ 65,536 rows each) brought to the driver
+    hist = keyed.groupBy(F.shiftright("_h", 16).alias("b")).agg(F.count(F.lit(1)).alias("c")).orderBy("b").collect()
+    cum = 0
+    for row in hist:
+        if cum + row["c"] >= target:
+            b = row["b"]
+            break
+        cum += row["c"]
+    need = target - cum
+    lo_hist = (keyed.filter(F.shiftright("_h", 16) == b)
+               .groupBy(F.col("_h").bitwiseAND(0xFFFF).alias("lo")).agg(F.count(F.lit(1)).alias("c"))
+               .orderBy("lo").collect())
+    cum2 = 0
+    for row in lo_hist:
+        if cum2 + row["c"] >= need:
+            lo = row["lo"]
+            break
+        cum2 += row["c"]
+    hstar, take = (b << 16) | lo, need - cum2
+    below = keyed.filter(F.col("_h") < hstar)
+    at = keyed.filter(F.col("_h") == hstar).orderBy(id_col).limit(take)  # only the colliding rows
+    return below.unionByName(at).drop("_h")

@@ -200,3 +200,12 @@ def prep_year_counts(spark, d):
     o = Tables(spark, d).orders
     return o.groupBy(PR.year_from_string(F.col("o_orderdate").cast("string")).alias("year")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("prep_sample_exact_20", f"""
+SELECT o_orderkey FROM (
+  SELECT o_orderkey, row_number() OVER (ORDER BY {hash_sql('o_orderkey', SAMPLE_SEED)}, o_orderkey) AS rn FROM orders)
+WHERE rn <= (SELECT CAST(floor(0.2 * count(*)) AS BIGINT) FROM orders)
+""")
+def prep_sample_exact_20(spark, d):
+    return PR.sample_exact(Tables(spark, d).orders.select("o_orderkey"), "o_orderkey", 0.2, SAMPLE_SEED)
