@@ -120,3 +120,14 @@ FROM auth GROUP BY 1
 """)
 def auth_first_version_counts(spark, d):
     return A.partial_counts_first_version(auth_log(Tables(spark, d)))
+
+
+@query("auth_expanded_attempts", _W + """
+SELECT CAST(sum(weight) AS BIGINT) AS n_attempts, CAST(count(DISTINCT user) AS BIGINT) AS n_users FROM auth
+""")
+def auth_expanded_attempts(spark, d):
+    """Repeated messages expanded into one row per attempt."""
+    from pyspark.sql import functions as F
+    x = A.expand_repeats(_auth(spark, d))
+    return x.agg(F.count(F.lit(1)).cast("bigint").alias("n_attempts"),
+                 F.countDistinct("user").cast("bigint").alias("n_users"))

@@ -79,3 +79,17 @@ def sketch_estimate_tabulation(spark, d):
 @query("sketch_builtin_hll")
 def sketch_builtin_hll(spark, d):
     return SK.builtin_distinct(Tables(spark, d).lineitem, "l_orderkey")
+
+
+@query("sketch_edge_list_estimate", _estimate_sql(
+    _regs_sql("(SELECT l_suppkey AS id FROM lineitem UNION ALL SELECT l_partkey FROM lineitem)", "id")))
+def sketch_edge_list_estimate(spark, d):
+    """S3 + A14 + A16: an edge list printed as ``src dst`` text lines (from
+    lineitem's supplier and part keys) is parsed back into one id per row and
+    sketched, as the reference does with its edge file."""
+    from tidewater.sources.readers import parse_edge_ids
+    li = Tables(spark, d).lineitem
+    lines = li.select(F.concat_ws(" ", F.col("l_suppkey").cast("string"),
+                                  F.col("l_partkey").cast("string")).alias("value"))
+    ids = parse_edge_ids(lines)
+    return SK.hll_estimate(SK.hll_registers(ids, "id", LOG2M), LOG2M)

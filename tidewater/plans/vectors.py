@@ -100,3 +100,19 @@ def vec_medoid_lsh_top3(spark, d):
     unit, q = _medoid_queries(spark, d)
     r = LSH.topk_lsh(unit, q, 3, PLANES, POSITIONS, exclude_col="self_id")
     return r.select("q_id", "id", F.round("sim", 6).alias("sim"), F.col("rank").cast("int"))
+
+
+@query("vec_text_roundtrip_norms", """
+SELECT 'w' || vec_id AS word, round(sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))), 6) AS norm
+FROM embeddings
+""")
+def vec_text_roundtrip_norms(spark, d):
+    """Embeddings printed as ``word v1 … vd`` lines and parsed back by the
+    text reader; norms of the parsed vectors (float text round-trips exactly)."""
+    from tidewater.sources.readers import parse_embeddings
+    e = Tables(spark, d).embeddings
+    lines = e.select(F.concat_ws(" ", F.concat(F.lit("w"), F.col("vec_id").cast("string")),
+                                 F.array_join(F.transform("embedding", lambda x: x.cast("string")), " "))
+                     .alias("value"))
+    parsed = parse_embeddings(lines, dim=DIM)
+    return K.l2_normalize(parsed, "vec", "unit").select("word", F.round("norm", 6).alias("norm"))
