@@ -23,9 +23,27 @@ def bigrams(toks: Column) -> Column:
                    lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
+# a zero-width match at each token start that captures "token next-token"
+# (tokens contain no spaces, so the space-joined string is unambiguous)
+_BIGRAM_RX = r"(?<![^ ])(?=([^ ]+ [^ ]+))"
+
+
+def token_string(text: Column) -> Column:
+    """The tokens of a whole text joined by single spaces."""
+    return F.array_join(tokens(text), " ")
+
+
+def grams_of_token_string(ts: Column, ngram_max: int = 2) -> Column:
+    """Unigrams (and adjacent bigrams) of a space-joined token string, all
+    JVM regex/split work (no interpreted lambdas)."""
+    uni = F.when(ts == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(ts, " "))
+    if ngram_max < 2:
+        return uni
+    return F.concat(uni, F.regexp_extract_all(ts, F.lit(_BIGRAM_RX), 1))
+
+
 def ngrams_1_2(text: Column) -> Column:
-    t = tokens(text)
-    return F.concat(t, bigrams(t))
+    return grams_of_token_string(token_string(text), 2)
 
 
 def lines(text: Column) -> Column:

@@ -6,7 +6,10 @@ Contract (the reference's library defaults): lower-case; tokens are runs of
 tf = raw count; idf = ln((1+n)/(1+df)) + 1; each document's vector is
 L2-normalised over its vocabulary terms.
 
-Plan shape: the vocabulary comes first — corpus frequency per term is a
+Tokenising whole texts is the expensive step, so it runs once: each
+document's tokens are written, space-joined, under the shared checkpoint
+folder, and every later pass rebuilds unigrams (split) and bigrams (one JVM
+regex) from that compact string. Plan shape: the vocabulary comes first — corpus frequency per term is a
 partial ``groupBy(term)`` and the top ``max_features`` is a bounded top-k
 (``TakeOrderedAndProject``), broadcast because its size is that parameter.
 The (doc, term) occurrences are then semi-joined to the broadcast vocabulary
@@ -22,14 +25,32 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import text as TX
 from tidewater.operators.common import attach_scalars
-from tidewater.session import checked_broadcast, spread
+from tidewater.session import checked_broadcast, cut_lineage, spread
 
 
-def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              ngram_max: int = 1) -> DataFrame:
+def token_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, toks): whole texts tokenised once, tokens space-joined — the
+    one regex-heavy step, and a compact string to write."""
+    return spread(docs).select(F.col(id_col).alias("doc_id"), TX.token_string(F.col(text_col)).alias("toks"))
+
+
+def _grams(ts: DataFrame, ngram_max: int) -> DataFrame:
+    return ts.select("doc_id", TX.grams_of_token_string(F.col("toks"), ngram_max).alias("grams"))
+
+
+def gram_arrays(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                ngram_max: int = 1) -> DataFrame:
+    """(doc_id, grams array) over whole texts."""
+    return _grams(token_strings(docs, id_col, text_col), ngram_max)
+
+
+def _explode(garr: DataFrame) -> DataFrame:
+    return garr.select("doc_id", F.explode("grams").alias("term"))
+
+
+def doc_terms(docs: DataFrame, **kw) -> DataFrame:
     """(doc_id, term) per occurrence, over whole texts."""
-    grams = TX.ngrams_1_2(F.col(text_col)) if ngram_max >= 2 else TX.tokens(F.col(text_col))
-    return spread(docs).select(F.col(id_col).alias("doc_id"), F.explode(grams).alias("term"))
+    return _explode(gram_arrays(docs, **kw))
 
 
 def term_counts(docs: DataFrame, **kw) -> DataFrame:
@@ -41,35 +62,44 @@ def tf_table(docs: DataFrame, **kw) -> DataFrame:
     return doc_terms(docs, **kw).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary_terms(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
-    """The ``max_features`` most frequent terms of the corpus (ties → term)."""
-    cf = term_counts(docs, **kw)
+def _top_terms_of(garr: DataFrame, max_features: int | None) -> DataFrame:
+    cf = _explode(garr).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     if max_features:
         cf = cf.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
     return cf.select("term")
 
 
-def _vocab_tf(docs: DataFrame, terms: DataFrame, max_vocab_rows: int, **kw) -> DataFrame:
+def vocabulary_terms(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
+    """The ``max_features`` most frequent terms of the corpus (ties → term)."""
+    return _top_terms_of(gram_arrays(docs, **kw), max_features)
+
+
+def _vocab_tf(garr: DataFrame, terms: DataFrame, max_vocab_rows: int) -> DataFrame:
     """(doc_id, term, tf) restricted to the vocabulary (broadcast semi-join
     before the per-document aggregation)."""
     v = checked_broadcast(terms, max_vocab_rows, "vocabulary")
-    return (doc_terms(docs, **kw).join(v, "term", "left_semi")
+    return (_explode(garr).join(v, "term", "left_semi")
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def fit_vocabulary(docs: DataFrame, max_features: int | None = 1000, max_vocab_rows: int = 1_000_000,
-                   **kw) -> DataFrame:
-    """(term, idf) for the vocabulary fitted on ``docs``;
-    idf = ln((1 + n_docs) / (1 + df)) + 1."""
-    terms = vocabulary_terms(docs, max_features, **kw)
-    tf = _vocab_tf(docs, terms, max_vocab_rows, **kw)
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def _idf(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
     # every vocabulary term occurs in at least one document, so df ≥ 1
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return (attach_scalars(dfreq, n_docs)
             .select("term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")))
 
 
+def fit_vocabulary(docs: DataFrame, max_features: int | None = 1000, max_vocab_rows: int = 1_000_000,
+                   **kw) -> DataFrame:
+    """(term, idf) for the vocabulary fitted on ``docs``;
+    idf = ln((1 + n_docs) / (1 + df)) + 1. The texts are tokenised once (token
+    strings written under the shared folder)."""
+    ngram_max = kw.pop("ngram_max", 1)
+    garr = _grams(cut_lineage(token_strings(docs, **kw)), ngram_max)
+    tf = _vocab_tf(garr, _top_terms_of(garr, max_features), max_vocab_rows)
+    return _idf(tf, garr.agg(F.count(F.lit(1)).alias("n_docs")))
+
+
 def _weights(tf: DataFrame, vocab: DataFrame, max_vocab_rows: int) -> DataFrame:
     v = checked_broadcast(vocab, max_vocab_rows, "vocabulary")
     w = tf.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
@@ -80,19 +110,18 @@ def _weights(tf: DataFrame, vocab: DataFrame, max_vocab_rows: int) -> DataFrame:
 
 def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_vocab_rows: int = 1_000_000, **kw) -> DataFrame:
     """Apply a fitted vocabulary/idf to documents → (doc_id, term, tfidf)."""
-    tf = _vocab_tf(docs, vocab.select("term"), max_vocab_rows, **kw)
+    tf = _vocab_tf(gram_arrays(docs, **kw), vocab.select("term"), max_vocab_rows)
     return _weights(tf, vocab, max_vocab_rows)
 
 
 def tfidf(docs: DataFrame, max_features: int | None = 1000, max_vocab_rows: int = 1_000_000, **kw) -> DataFrame:
-    """Fit on ``docs`` and transform the same documents; the
-    vocabulary-restricted tf table is shared by the fit and the transform."""
-    terms = vocabulary_terms(docs, max_features, **kw)
-    tf = _vocab_tf(docs, terms, max_vocab_rows, **kw)
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    vocab = attach_scalars(dfreq, n_docs).select(
-        "term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"))
+    """Fit on ``docs`` and transform the same documents. Texts are
+    tokenised once (token strings written under the shared folder); the
+    vocabulary-restricted tf table feeds both the idf and the weights."""
+    ngram_max = kw.pop("ngram_max", 1)
+    garr = _grams(cut_lineage(token_strings(docs, **kw)), ngram_max)
+    tf = _vocab_tf(garr, _top_terms_of(garr, max_features), max_vocab_rows)
+    vocab = _idf(tf, garr.agg(F.count(F.lit(1)).alias("n_docs")))
     return _weights(tf, vocab, max_vocab_rows)
 
 
