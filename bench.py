@@ -3,7 +3,7 @@ and print one JSON line. Each query runs to completion into the ``noop``
 sink (the whole plan executes; nothing is collected to the driver).
 
 A short untimed warm-up (JVM JIT, Python workers) runs first; each query
-is then timed $BENCH_RUNS times (default 2, plan building included) and the
+is then timed $BENCH_RUNS times (default 3, plan building included) and the
 best run is reported. ``cold`` holds the first timed run of each query."""
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="tidewater-bench")
     qs = all_queries()
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     for n in ("follows_summary", "geo_nearest"):  # warm-up: JIT + Python workers
         qs[n].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}

@@ -123,3 +123,12 @@ def test_sample_exact_matches_sort_limit(spark):
     got = sorted(r.k for r in PR.sample_exact(df, "k", 0.2, 5).collect())
     keyed = sorted((r.h, r.k) for r in df.select("k", PR.hash_key(F.col("k"), 5).alias("h")).collect())
     assert got == sorted(k for _, k in keyed[:600])
+
+
+def test_regression_tree_growth(spark):
+    xs = np.linspace(0, 2, 101)
+    df = spark.createDataFrame([(float(x), float(x > 1.0)) for x in xs], "x double, y double")
+    nodes = {r.node: r for r in TR.grow_tree(df, ["x"], "y", None, 2, "variance", var_threshold=1e-9).collect()}
+    assert abs(nodes[1].threshold - 1.0) < 0.03
+    assert nodes[2].feature is None and nodes[3].feature is None  # pure children stop (variance 0)
+    assert nodes[2].prediction == 0.0 and nodes[3].prediction == 1.0

@@ -147,27 +147,41 @@ def _feature_value(features: list[str], fcol: Column) -> Column:
     return expr
 
 
-def grow_tree(df: DataFrame, features: list[str], label: str, classes: list, max_depth: int = 2,
-              score: str = "gini", checkpoint_every: int = 4) -> DataFrame:
+def _node_stats(data: DataFrame, label: str, score: str, var_threshold: float) -> DataFrame:
+    """Per node: prediction, n and whether the node may split (classification:
+    more than one class; regression: variance at least ``var_threshold``)."""
+    if score in REG_SCORES:
+        y = F.col(label).cast("double")
+        return data.groupBy("node").agg(F.avg(y).alias("prediction"), F.count(F.lit(1)).cast("bigint").alias("n"),
+                                        (F.var_pop(y) >= var_threshold).alias("_split"))
+    return _majority(data, ["node"], label).withColumn("_split", F.col("n_classes") > 1).drop("n_classes")
+
+
+def grow_tree(df: DataFrame, features: list[str], label: str, classes: list | None = None,
+              max_depth: int = 2, score: str = "gini", checkpoint_every: int = 4,
+              var_threshold: float = 1e-6) -> DataFrame:
     """T5: node table (node, depth, feature, threshold, prediction, n).
 
     Node ids are heap-numbered (root 1; children 2i for ``x <= t`` and
-    2i+1 otherwise). A node is a leaf at max depth, when it holds one class,
-    or when no feature has two distinct values."""
+    2i+1 otherwise). A node is a leaf at max depth, when it is homogeneous
+    (one class; or, for the regression scores, variance below
+    ``var_threshold``), or when no feature has two distinct values.
+    Classification leaves predict the majority class (ties → smallest),
+    regression leaves the mean."""
     # every level rescans the data: write the projected columns once (reliable
     # checkpoint in the shared folder) and grow from that narrow copy
     data = cut_lineage(df.select(*features, label).withColumn("node", F.lit(1).cast("bigint")))
     node_tables = []
     for depth in range(max_depth + 1):
-        stats = _majority(data, ["node"], label)
+        stats = _node_stats(data, label, score, var_threshold)
         if depth < max_depth:
             cands = split_candidates(data, features, label, score, classes, node="node")
             best = cands.groupBy("node").agg(F.min(F.struct(
                 (-F.col("score")).alias("o"), F.col("fidx").alias("fi"), F.col("threshold").alias("t"),
                 F.col("feature").alias("f"))).alias("b"))
             splits = (stats.join(best, "node", "left")
-                      .select("node", F.when(F.col("n_classes") > 1, F.col("b.f")).alias("feature"),
-                              F.when(F.col("n_classes") > 1, F.col("b.t")).alias("threshold"),
+                      .select("node", F.when(F.col("_split"), F.col("b.f")).alias("feature"),
+                              F.when(F.col("_split"), F.col("b.t")).alias("threshold"),
                               "prediction", "n"))
         else:
             splits = stats.select("node", F.lit(None).cast("string").alias("feature"),

@@ -91,24 +91,29 @@ _CLS_BASE = "SELECT 1 AS node, l_quantity, l_discount, l_tax, l_returnflag AS la
 _REG_BASE = "SELECT 1 AS node, l_quantity, l_discount, l_tax, ln(l_extendedprice) AS lab0 FROM lineitem"
 
 
-def grow_tree_sql() -> str:
-    """Depth-DEPTH gini tree as a chain of CTEs (one block per level)."""
+def grow_tree_sql(score: str = "gini", base: str = _CLS_BASE, var_threshold: float = 0.0) -> str:
+    """Depth-DEPTH tree as a chain of CTEs (one block per level)."""
     fval = "CASE n.feature " + " ".join(f"WHEN '{f}' THEN CAST(d.{f} AS DOUBLE)" for f in FEATURES) + " END"
-    ctes = [f"d0 AS ({_CLS_BASE})"]
+    ctes = [f"d0 AS ({base})"]
     outs = []
     for lv in range(DEPTH + 1):
-        ctes.append(f"""s{lv} AS (
-  SELECT node, max(CASE WHEN rk = 1 THEN lab0 END) AS prediction, sum(cnt) AS n, count(*) AS n_classes FROM (
+        if score in TR.REG_SCORES:
+            ctes.append(f"""s{lv} AS (
+  SELECT node, avg(lab0) AS prediction, count(*) AS n, var_pop(lab0) >= {var_threshold} AS split
+  FROM d{lv} GROUP BY node)""")
+        else:
+            ctes.append(f"""s{lv} AS (
+  SELECT node, max(CASE WHEN rk = 1 THEN lab0 END) AS prediction, sum(cnt) AS n, count(*) > 1 AS split FROM (
     SELECT node, lab0, count(*) AS cnt, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, lab0) AS rk
     FROM d{lv} GROUP BY node, lab0) GROUP BY node)""")
         if lv < DEPTH:
             ctes.append(f"""b{lv} AS (
   SELECT node, feature, threshold FROM (
     SELECT *, row_number() OVER (PARTITION BY node ORDER BY score DESC, fidx, threshold) AS rn
-    FROM ({candidates_sql(f'd{lv}', 'gini', 'lab0')})) WHERE rn = 1)""")
+    FROM ({candidates_sql(f'd{lv}', score, 'lab0')})) WHERE rn = 1)""")
             ctes.append(f"""n{lv} AS (
-  SELECT s.node, {lv} AS depth, CASE WHEN s.n_classes > 1 THEN b.feature END AS feature,
-         CASE WHEN s.n_classes > 1 THEN b.threshold END AS threshold, s.prediction, s.n
+  SELECT s.node, {lv} AS depth, CASE WHEN s.split THEN b.feature END AS feature,
+         CASE WHEN s.split THEN b.threshold END AS threshold, s.prediction, s.n
   FROM s{lv} s LEFT JOIN b{lv} b ON s.node = b.node)""")
             ctes.append(f"""d{lv + 1} AS (
   SELECT CASE WHEN {fval} <= n.threshold THEN d.node * 2 ELSE d.node * 2 + 1 END AS node,
@@ -172,3 +177,14 @@ def tree_apply_accuracy(spark, d):
     data = _cls(spark, d)
     nodes = TR.grow_tree(data, FEATURES, "label", CLASSES, DEPTH, "gini")
     return EV.accuracy(TR.apply_tree(data, nodes))
+
+
+VAR_THRESHOLD = 0.01
+
+
+@query("tree_grow_regression_depth2", grow_tree_sql("variance", _REG_BASE, VAR_THRESHOLD) + """
+SELECT CAST(node AS BIGINT) AS node, CAST(depth AS INTEGER) AS depth, feature, threshold,
+       round(prediction, 6) AS prediction, CAST(n AS BIGINT) AS n FROM nodes""")
+def tree_grow_regression_depth2(spark, d):
+    nodes = TR.grow_tree(_reg(spark, d), FEATURES, "y", None, DEPTH, "variance", var_threshold=VAR_THRESHOLD)
+    return nodes.withColumn("prediction", F.round("prediction", 6))
