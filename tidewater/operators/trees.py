@@ -82,9 +82,24 @@ def _running(cnt: DataFrame, keys: list[str], cols: list[str], blocks: int) -> D
                     *[F.col(f"tot_{x}") for x in cols])
 
 
+ROWS_PER_BLOCK = 1_000_000  # distinct values one window task may hold
+
+
+def auto_blocks(df: DataFrame, features: list[str], rows_per_block: int = ROWS_PER_BLOCK) -> int:
+    """Blocks for the prefix sums: enough that no window task holds more
+    than ``rows_per_block`` distinct values of a feature (one small
+    approximate-distinct aggregate)."""
+    r = df.agg(*[F.approx_count_distinct(f).alias(f"d{i}") for i, f in enumerate(features)]).first()
+    most = max(r[i] or 0 for i in range(len(features)))
+    return max(1, min(4096, -(-most // rows_per_block)))
+
+
 def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
-                     classes: list | None = None, node: str | None = None, blocks: int = 16) -> DataFrame:
-    """Every candidate split: (node?, fidx, feature, threshold, score)."""
+                     classes: list | None = None, node: str | None = None, blocks: int | None = None) -> DataFrame:
+    """Every candidate split: (node?, fidx, feature, threshold, score).
+    ``blocks=None`` sizes the prefix-sum blocks from the data."""
+    if blocks is None:
+        blocks = auto_blocks(df, features)
     keys = ([node] if node else []) + ["fidx", "feature"]
     long = _unpivot(df, features, ([node] if node else []) + [label]).filter(F.col("x").isNotNull())
     if score in CLASS_SCORES:
@@ -124,7 +139,7 @@ def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
 
 
 def best_split(df: DataFrame, features: list[str], label: str, score: str = "gini",
-               classes: list | None = None, blocks: int = 16) -> DataFrame:
+               classes: list | None = None, blocks: int | None = None) -> DataFrame:
     """Best threshold per feature → (feature, threshold, score)."""
     c = split_candidates(df, features, label, score, classes, blocks=blocks)
     best = c.groupBy("fidx", "feature").agg(
@@ -171,11 +186,12 @@ def grow_tree(df: DataFrame, features: list[str], label: str, classes: list | No
     # every level rescans the data: write the projected columns once (reliable
     # checkpoint in the shared folder) and grow from that narrow copy
     data = cut_lineage(df.select(*features, label).withColumn("node", F.lit(1).cast("bigint")))
+    blocks = auto_blocks(data, features)  # sized once from the root data
     node_tables = []
     for depth in range(max_depth + 1):
         stats = _node_stats(data, label, score, var_threshold)
         if depth < max_depth:
-            cands = split_candidates(data, features, label, score, classes, node="node")
+            cands = split_candidates(data, features, label, score, classes, node="node", blocks=blocks)
             best = cands.groupBy("node").agg(F.min(F.struct(
                 (-F.col("score")).alias("o"), F.col("fidx").alias("fi"), F.col("threshold").alias("t"),
                 F.col("feature").alias("f"))).alias("b"))
