@@ -72,3 +72,9 @@ def test_rates_tops_days(spark):
 def test_expand_repeats_matches_weights(spark):
     auth = _auth(spark)
     assert A.expand_repeats(auth).count() == auth.agg(F.sum("weight")).first()[0]
+
+
+def test_mean_followers_denominators(spark):
+    users, edges = _graph(spark)  # 4 listed users, 4 edges, followed-only id 5
+    assert G.mean_followers(users, edges, "lines").first().mean_followers == 1.0
+    assert G.mean_followers(users, edges, "ids").first().mean_followers == 0.8

@@ -67,3 +67,18 @@ def follows_report(users: DataFrame, edges: DataFrame) -> DataFrame:
         F.count_if(F.col("n") == 0).cast("double").alias("n_zero"),
     )
     return one.unpivot([], ["n_users", "max_n", "avg_n", "n_zero"], "metric", "value")
+
+
+def mean_followers(users: DataFrame, edges: DataFrame, denominator: str = "ids") -> DataFrame:
+    """Mean followers per id. ``ids`` divides by every distinct id
+    (listed users and followed-only ids, the MapReduce meaning); ``lines``
+    divides by the number of listed users (input lines, the RDD meaning)."""
+    total = edges.agg(F.count(F.lit(1)).cast("double").alias("total"))
+    if denominator == "ids":
+        den = follower_counts(users, edges, include_zero=True).agg(F.count(F.lit(1)).alias("den"))
+    elif denominator == "lines":
+        den = users.agg(F.count(F.lit(1)).alias("den"))
+    else:
+        raise ValueError(denominator)
+    from tidewater.operators.common import attach_scalars
+    return attach_scalars(total, den).select(F.round(F.col("total") / F.col("den"), 6).alias("mean_followers"))

@@ -83,3 +83,20 @@ UNION ALL SELECT 'n_zero', n_zero FROM s
 def follows_report(spark, d):
     users, edges = follow_graph(Tables(spark, d))
     return G.follows_report(users, edges)
+
+
+@query("followers_mean_by_lines", _W + """
+SELECT round(CAST((SELECT count(*) FROM edges) AS DOUBLE) / (SELECT count(*) FROM users), 6) AS mean_followers
+""")
+def followers_mean_by_lines(spark, d):
+    users, edges = follow_graph(Tables(spark, d))
+    return G.mean_followers(users, edges, "lines")
+
+
+@query("followers_mean_by_ids", _W + """
+SELECT round(CAST((SELECT count(*) FROM edges) AS DOUBLE) /
+             (SELECT count(*) FROM (SELECT user_id FROM users UNION SELECT followed FROM edges)), 6) AS mean_followers
+""")
+def followers_mean_by_ids(spark, d):
+    users, edges = follow_graph(Tables(spark, d))
+    return G.mean_followers(users, edges, "ids")
