@@ -36,13 +36,17 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     """Precision, recall, F1 and support per class, plus accuracy, macro
     and weighted averages (zero division → 0)."""
     cm = confusion_matrix(pred, label, prediction)
-    tp = cm.filter(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    sup = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    predn = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("npred"))
-    per = (sup.join(predn, "cls", "full").join(tp, "cls", "left")
-           .select(F.col("cls").cast("string").alias("cls"),
-                   F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("support", F.lit(0)).alias("support"),
-                   F.coalesce("npred", F.lit(0)).alias("npred")))
+    # each confusion cell counts once as its label's support and once as its
+    # prediction's predicted count (tp when they agree): one inline + groupBy
+    z = F.lit(0).cast("bigint")
+    roles = F.array(
+        F.struct(F.col("label").cast("string").alias("cls"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(z).alias("tp"),
+                 F.col("n").alias("support"), z.alias("npred")),
+        F.struct(F.col("prediction").cast("string").alias("cls"), z.alias("tp"), z.alias("support"),
+                 F.col("n").alias("npred")))
+    per = (cm.select(F.inline(roles)).groupBy("cls")
+           .agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("npred").alias("npred")))
     p = F.when(F.col("npred") > 0, F.col("tp") / F.col("npred")).otherwise(0.0)
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     per = per.withColumn("precision", p).withColumn("recall", r).withColumn(
