@@ -58,7 +58,7 @@ POPULATIONS = ("all", "accepted", "failed", "invalid")
 
 def top_users(auth: DataFrame) -> DataFrame:
     """Top user per population (ties → smallest name), one row each.
-    One aggregate per population over the per-user counts."""
+    One aggregate over the per-user counts yields all four winners."""
     per_user = attempts_by_user(auth)
     winners = []
     for p in POPULATIONS:
@@ -118,9 +118,12 @@ def busiest_quietest_day(auth: DataFrame) -> DataFrame:
         F.min(F.struct((-F.col("n")).alias("o"), "month", "day")).alias("hi"),
         F.min(F.struct(F.col("n").alias("o"), "month", "day")).alias("lo"),
     )
-    hi = agg.select(F.lit("busiest").alias("which"), "hi.month", "hi.day", (-F.col("hi.o")).alias("n"))
-    lo = agg.select(F.lit("quietest").alias("which"), "lo.month", "lo.day", F.col("lo.o").alias("n"))
-    return hi.unionByName(lo).withColumn("n", F.col("n").cast("bigint"))
+    rows = F.array(
+        F.struct(F.lit("busiest").alias("which"), F.col("hi.month").alias("month"), F.col("hi.day").alias("day"),
+                 (-F.col("hi.o")).cast("bigint").alias("n")),
+        F.struct(F.lit("quietest").alias("which"), F.col("lo.month").alias("month"), F.col("lo.day").alias("day"),
+                 F.col("lo.o").cast("bigint").alias("n")))
+    return agg.select(F.inline(rows))  # both rows from the one aggregate
 
 
 def line_counts(auth: DataFrame) -> DataFrame:
