@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import planes
+from tidewater.llm import planes, secrets, warc
+from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
 QUERIES = {}
@@ -20,3 +21,17 @@ def query(fn):
 def op1_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as bit planes and read back."""
     return planes.write_and_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents through a new ledger: every blob and rule version is unseen."""
+    versions = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secrets.scan(versions, new_folder(spark, "secret-ledger"))
+    return secrets.digest(secrets.findings(versions, ledger))
+
+
+@query
+def op9_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, normalised from whole-file gzip and read back by index."""
+    return warc.archive(table(spark, sf_dir, "pages"))
