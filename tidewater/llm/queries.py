@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import planes, secrets, warc
+from tidewater.llm import planes, quality, secrets, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -35,3 +35,13 @@ def op5_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records, normalised from whole-file gzip and read back by index."""
     return warc.archive(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-first cleaning of all documents: counts and verdicts."""
+    found = quality.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text", "cleaned_text")
+
+
+SQL["op10_line_first_quality"] = quality.SQL
