@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import planes, quality, secrets, warc
+from tidewater.llm import planes, quality, secrets, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -45,3 +46,10 @@ def op10_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op10_line_first_quality"] = quality.SQL
+
+
+@query
+def op2_count_min_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 50-word windows that an earlier one holds."""
+    found = subdup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
