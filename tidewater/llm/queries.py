@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import planes, quality, secrets, subdup, warc
+from tidewater.llm import decon, langid, planes, quality, secrets, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -53,3 +53,19 @@ def op2_count_min_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
     """All documents without the words of 50-word windows that an earlier one holds."""
     found = subdup.dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op4_word_first_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; four fifths of them teach."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = langid.train(docs.filter(~held_out))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, exact or edited."""
+    return decon.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
