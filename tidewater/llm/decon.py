@@ -188,7 +188,7 @@ def _blocks(benchmark: DataFrame, n: int, block_words: int):
         yield Items(held, n)
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, n: int = 3, rare: float = 0.5, block_words: int = 200_000) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, rare: float = 0.5, block_words: int = 200_000) -> DataFrame:
     """One row for each document row and item aligned with at least
     ``threshold``: score, the passage (numbers of words, end exclusive; words
     without a letter or digit don't count) and the seeds on its diagonals."""
