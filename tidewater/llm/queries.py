@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decon, langid, planes, quality, secrets, subdup, warc
+from tidewater.llm import decon, langid, planes, quality, secrets, spfst, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -69,3 +69,9 @@ def op4_word_first_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item, exact or edited."""
     return decon.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_shortest_path_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents by shortest paths, decoded again."""
+    return spfst.encode(table(spark, sf_dir, "documents"))
