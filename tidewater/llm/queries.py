@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decon, langid, planes, quality, secrets, spfst, subdup, warc
+from tidewater.llm import decon, grulm, langid, planes, quality, secrets, spfst, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -75,3 +75,11 @@ def op8_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 def op7_shortest_path_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents by shortest paths, decoded again."""
     return spfst.encode(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_gru_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and recurrent log probabilities of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return grulm.train_and_score(docs, held_out)
