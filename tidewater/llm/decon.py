@@ -188,17 +188,14 @@ def _blocks(benchmark: DataFrame, n: int, block_words: int):
         yield Items(held, n)
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, rare: float = 0.5, block_words: int = 200_000) -> DataFrame:
-    """One row for each document row and item aligned with at least
-    ``threshold``: score, the passage (numbers of words, end exclusive; words
-    without a letter or digit don't count) and the seeds on its diagonals."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def seeded(docs: DataFrame, benchmark: DataFrame, n: int, rare: float, block_words: int):
+    """Blocks of items with their seeds, as broadcast variables: at most
+    ``block_words`` words and their n-grams each."""
     sc = docs.sparkSession.sparkContext
-    out = docs.sparkSession.createDataFrame([], HITS)
     for items in _blocks(benchmark, n, block_words):
         if not items.ids:
             continue
-        shared = sc.broadcast(items)  # at most block_words words and their n-grams
+        shared = sc.broadcast(items)
 
         def count(batches, shared=shared):
             items, total = shared.value, np.zeros(len(shared.value.grams), np.int64)
@@ -210,36 +207,67 @@ def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int =
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "documents"])
 
         documents = np.zeros(len(items.grams), np.int64)
-        sums = docs.mapInArrow(count, "gram long, documents long").groupBy("gram").agg(F.sum("documents").alias("documents"))
+        sums = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "gram long, documents long").groupBy("gram").agg(F.sum("documents"))
         for gram, total in sums.collect():  # at most the block's n-grams
             documents[gram] = total
         items.pick_seeds(documents, rare)
-        seeded = sc.broadcast(items)
+        yield sc.broadcast(items)
+
+
+def found_in(items: Items, numbers: Numbers, docs: list[bytes], threshold: float) -> list[tuple[int, int, float, int, int, int]]:
+    """Of each document (by its number) and item the best alignment with at
+    least ``threshold``: number, item, score, begin, end, seeds."""
+    places, pairs = [], []
+    for row, text in enumerate(docs):
+        words = numbers.of(text)
+        for item, begin, end, seeds in passages_of(items, words):
+            places.append((row, item, begin, seeds))
+            pairs.append((items.words[item], words[begin:end]))
+    order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))  # near lengths go together
+    aligned: list = [None] * len(pairs)
+    for at in range(0, len(order), 256):
+        some = order[at:at + 256]
+        for k, result in zip(some, align([pairs[k][0] for k in some], [pairs[k][1] for k in some]), strict=True):
+            aligned[k] = result
+    best: dict[tuple[int, int], tuple] = {}
+    for (row, item, begin, seeds), (score, a, b) in zip(places, aligned, strict=True):
+        share = score / (2.0 * len(items.words[item]))
+        if share >= threshold and ((row, item) not in best or share > best[row, item][2]):
+            best[row, item] = (row, item, share, begin + a, begin + b, seeds)
+    return list(best.values())
+
 
-        def search(batches, seeded=seeded):
-            items = seeded.value
+def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, rare: float = 0.5, block_words: int = 200_000) -> DataFrame:
+    """One row for each document row and item aligned with at least
+    ``threshold``: score, the passage (numbers of words, end exclusive; words
+    without a letter or digit don't count) and the seeds on its diagonals."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = docs.sparkSession.createDataFrame([], HITS)
+    for block in seeded(docs, benchmark, n, rare, block_words):
+        def search(batches, block=block):
+            items = block.value
             numbers = Numbers(items.vocabulary)
             for part in in_parts(batches):
-                places, pairs = [], []
-                for row, (doc, text) in enumerate(zip(part.column("doc_id").to_pylist(), texts(part.column("text")), strict=True)):
-                    words = numbers.of(text)
-                    for item, begin, end, seeds in passages_of(items, words):
-                        places.append((row, doc, item, begin, seeds))
-                        pairs.append((items.words[item], words[begin:end]))
-                rows: dict[tuple, dict] = {}
-                order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))
-                found: list = [None] * len(pairs)
-                for at in range(0, len(order), 256):
-                    some = order[at:at + 256]
-                    for k, result in zip(some, align([pairs[k][0] for k in some], [pairs[k][1] for k in some]), strict=True):
-                        found[k] = result
-                for (row, doc, item, begin, seeds), (score, a, b) in zip(places, found, strict=True):
-                    share = score / (2.0 * len(items.words[item]))
-                    if share >= threshold:
-                        best = rows.get((row, item))
-                        if best is None or share > best["score"]:
-                            rows[row, item] = {"doc_id": doc, "item_id": items.ids[item], "score": share, "doc_start": begin + a, "doc_end": begin + b, "n_seeds": seeds}
-                yield pa.RecordBatch.from_pylist(list(rows.values()), _HITS)
+                ids = part.column("doc_id").to_pylist()
+                rows = [{"doc_id": ids[row], "item_id": items.ids[item], "score": score, "doc_start": begin, "doc_end": end, "n_seeds": seeds}
+                        for row, item, score, begin, end, seeds in found_in(items, numbers, texts(part.column("text")), threshold)]
+                yield pa.RecordBatch.from_pylist(rows, _HITS)
 
         out = out.unionByName(docs.mapInArrow(search, HITS))
     return out
+
+
+def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, rare: float = 0.5, block_words: int = 200_000) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``hits`` has nothing on. The
+    scan that aligns drops the rows, so texts go through no exchange."""
+    out = docs
+    for block in seeded(docs, benchmark, n, rare, block_words):
+        def keep(batches, block=block):
+            items = block.value
+            numbers = Numbers(items.vocabulary)
+            for part in in_parts(batches):
+                hit = {row for row, *_ in found_in(items, numbers, texts(part.column("text")), threshold)}
+                yield part.filter(pa.array([row not in hit for row in range(part.num_rows)]))
+
+        out = out.mapInArrow(keep, docs.schema)
+    return out
