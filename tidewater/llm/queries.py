@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decon, grulm, langid, planes, quality, secrets, spfst, subdup, warc
+from tidewater.llm import decon, grulm, jaccard, langid, planes, quality, secrets, spfst, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -83,3 +83,9 @@ def op3_gru_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
     return grulm.train_and_score(docs, held_out)
+
+
+@query
+def op6_divide_skip_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share three quarters of their shingles."""
+    return jaccard.join(table(spark, sf_dir, "documents"))

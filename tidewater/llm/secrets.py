@@ -118,15 +118,22 @@ def scan(versions: DataFrame, ledger_folder: str, rules: tuple[Rule, ...] = RULE
     return read_ledger(spark, ledger_folder)
 
 
+#: Blobs with findings that are sent to all tasks at most; more are joined by an exchange.
+SENT = 100_000
+
+
 def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text: bool = False) -> DataFrame:
     """``versions`` with ``blob`` and ``spans``: an array of (start, rank of
     the rule, end, kind) in this order, of the given rule versions. ``text``
-    keeps the text column."""
+    keeps the text column; as few blobs have findings, these are then counted
+    and, if at most ``SENT``, broadcast, so that the texts stay in place."""
     rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(f"{r.name}@{r.version}"), F.lit(i))])
     hits = ledger.withColumn("rank", F.try_element_at(rank, F.concat_ws("@", "rule", "rule_version"))).filter("rank IS NOT NULL AND size(spans) > 0")
     hits = hits.select("blob", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("rank").alias("rank"),
                                                                       s["end"].alias("end"), F.col("rule").alias("kind"))).alias("spans"))
     hits = hits.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
+    if text and hits.limit(SENT + 1).count() <= SENT:
+        hits = F.broadcast(hits)
     keep = [c for c in versions.columns if c not in ("blob", "spans", "_spans") and (text or c != "text")]
     named = versions.select(*keep, blob_id(F.col("text")).alias("blob"))
     return named.join(hits, "blob", "left").withColumn("spans", F.coalesce("_spans", F.array().cast(hits.schema["_spans"].dataType))).drop("_spans")

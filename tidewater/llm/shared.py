@@ -17,9 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.session import shared_path
 
 
+#: Folders made by this driver and not deleted yet.
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    return shared_path(spark, f"llm/{name}-{uuid.uuid4().hex[:12]}")
+    _made.append(shared_path(spark, f"llm/{name}-{uuid.uuid4().hex[:12]}"))
+    return _made[-1]
 
 
 def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -34,18 +39,38 @@ def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if folder in _made:
+        _made.remove(folder)
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete saved tables that no later plan reads."""
     for df in tables:
-        spark = df.sparkSession
-        files = df.inputFiles()
-        if not files:
-            continue
-        path = spark._jvm.org.apache.hadoop.fs.Path(files[0])
-        while path is not None and not path.getParent().getName() == "llm":
-            path = path.getParent()
-        if path is not None:
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        for file in df.inputFiles()[:1]:
+            for folder in [f for f in _made if f"/{f.rsplit('/', 1)[-1]}/" in file]:
+                drop_folder(df.sparkSession, folder)
+
+
+class Leftovers:
+    """Folders made while a function built its result, to be deleted once the
+    caller has written that result."""
+
+    def __init__(self):
+        self.folders: list[str] = []
+
+    def release(self, spark: SparkSession) -> None:
+        for folder in self.folders:
+            drop_folder(spark, folder)
+        self.folders = []
+
+    def __enter__(self) -> None:
+        self.before = set(_made)
+
+    def __exit__(self, *_) -> None:
+        self.folders += [f for f in _made if f not in self.before]
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
