@@ -242,7 +242,7 @@ def cover_rows(doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> pa.RecordBa
     doc, key, pos = doc[order], key[order], pos[order]
     run = first_of_runs(doc, key)
     begins = np.flatnonzero(np.diff(run, prepend=-1)) if len(run) else np.empty(0, np.int64)
-    ends = np.append(begins[1:], len(doc))
+    ends = np.append(begins, len(doc))[1:]
     rows = [{"doc_id": d, "key": k, "starts": pack_sorted(pos[a:b].astype(np.uint64))}
             for d, k, a, b in zip(doc[begins].tolist(), key[begins].tolist(), begins.tolist(), ends.tolist(), strict=True)]
     return pa.RecordBatch.from_pylist(rows, _COVER)
