@@ -9,9 +9,10 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words kept in a worker's cache before it starts anew (bounds its memory).
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 def texts(column: pa.Array) -> list[bytes]:
@@ -25,7 +26,7 @@ def in_parts(batches, max_bytes: int = 4 << 20, text: str = "text") -> Iterator[
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([len(x) for x in texts(batch.column(text))], np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         begin, total = 0, 0
         for i, n in enumerate(sizes):
             if i > begin and total + n > max_bytes:
