@@ -4,14 +4,10 @@ A window is ``width`` consecutive words of one document. Every word covered by
 a window that also starts in a document with a smaller doc_id is removed.
 
 Count-min prefilter. Documents are read in blocks of up to ``block_windows``
-windows. A block's sketch is, for each of two hash rows, its cells (sorted,
-gaps compressed), cut into shards; the shards of all blocks meet and are
-merged, and a cell that more than one window hit counts as repeated. The
-merge answers every block with one bit for each cell that it sent, so neither
-the sketch nor any part of it is broadcast, and its width follows the number of
-windows. An estimate is never under the true count: a second pass over the
-blocks keeps the windows with both cells repeated, and no other window can
-occur twice.
+windows, and the blocks' sketches of window hashes are merged (``countmin``).
+An estimate is never under the true count: a second pass over the blocks keeps
+the windows estimated at two or more, and no other window can occur twice. The
+width of the sketch follows the number of windows, and no task holds all of it.
 
 Exact pass. Kept windows are grouped by 128-bit hashes of their words, first in
 their block, where all but the smallest document of a window are known to lose
@@ -30,35 +26,17 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import NewFile, filesystem, new_folder, saved
-from tidewater.llm.words import digests, in_parts, mix, texts, window_hashes
+from tidewater.llm.countmin import SKETCH, estimates, merge, pack, pack_sorted, sketch, unpack, unpack_sorted
+from tidewater.llm.shared import saved
+from tidewater.llm.words import digests, in_parts, texts, window_hashes
 
+ROWS = 2  # of the sketch
 NO_DOC = np.iinfo(np.int64).min  # a null doc_id in arrays
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
-
-
-def unpack(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompressobj().decompress(data)
-
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    """Ascending 64-bit values by their gaps, in the narrowest type that holds them."""
-    gaps = np.diff(values, prepend=np.uint64(0))
-    size = next(s for s in (1, 2, 4, 8) if s == 8 or int(gaps.max(initial=0)) < 1 << 8 * s)
-    return bytes([size]) + pack(gaps.astype(f"<u{size}"))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(unpack(data[1:]), f"<u{data[0]}"), dtype=np.uint64)
-
-
 class Block:
     """Windows of consecutive documents: hashes, and for each window the
     number of its document in the block and its place there."""
@@ -103,112 +81,26 @@ def blocks(batches, width: int, block_windows: int, exact: bool):
         yield block
 
 
-def cells(h1: np.ndarray, row: int, bits: int) -> np.ndarray:
-    """Cell of each window in a row of the sketch."""
-    h = h1 if row == 0 else mix(h1 ^ np.uint64(0x5851F42D4C957F2D))
-    return h >> np.uint64(64 - bits)
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and a key of both that tells rows with one doc_id apart."""
     doc, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     return docs.select(doc.alias("doc_id"), F.xxhash64(doc, text).alias("key"), text.alias("text"))
 
 
-def repeated_cells(docs: DataFrame, width: int, bits: int, shard_bits: int, block_windows: int) -> str:
-    """Merge the blocks' sketches; returns the folder with a file of answers for each block."""
-    spark = docs.sparkSession
-    folder = new_folder(spark, "sketch-answers")
-
-    def sketch(batches):
+def sketched(docs: DataFrame, width: int, bits: int, shard_bits: int, block_windows: int) -> str:
+    """The merged sketch of all windows: the folder of its answers to the blocks."""
+    def send(batches):
         for block in blocks(batches, width, block_windows, exact=False):
-            name, h1, rows = block.name.hexdigest(), block.array("h1", np.uint64), []
-            for row in (0, 1):
-                hit, times = np.unique(cells(h1, row, bits), return_counts=True)
-                shard = hit >> np.uint64(bits - shard_bits)
-                edges = np.searchsorted(shard, np.arange((1 << shard_bits) + 1, dtype=np.uint64))
-                for s in np.flatnonzero(np.diff(edges)).tolist():
-                    a, b = edges[s], edges[s + 1]
-                    rows.append({"row": row, "shard": s, "block": name, "cells": pack_sorted(hit[a:b]),
-                                 "more": pack(np.packbits(times[a:b] > 1))})
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("row", pa.int64()), ("shard", pa.int64()), ("block", pa.string()), ("cells", pa.binary()), ("more", pa.binary())]))
-
-    def merge(batches):
-        def answers(group):
-            hit = [unpack_sorted(g["cells"]) for g in group]
-            more = [np.unpackbits(np.frombuffer(unpack(g["more"]), np.uint8), count=len(h)) for g, h in zip(group, hit, strict=True)]
-            # of a cell's entries in order, neighbours are equal if two blocks hit it
-            every, twice = np.concatenate(hit), np.concatenate(more)
-            order = np.argsort(every, kind="stable")
-            near = every[order][1:] == every[order][:-1]
-            again = np.zeros(len(every), bool)
-            again[order[1:]] |= near
-            again[order[:-1]] |= near
-            # a cell hit twice by one block alone
-            again |= twice.astype(bool)
-            at = 0
-            rows = []
-            for g, h in zip(group, hit, strict=True):
-                rows.append({"block": g["block"], "row": g["row"], "shard": g["shard"], "n": len(h), "bits": pack(np.packbits(again[at:at + len(h)]))})
-                at += len(h)
-            return pa.RecordBatch.from_pylist(rows, pa.schema([("block", pa.string()), ("row", pa.int64()), ("shard", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())]))
-
-        group = []
-        for batch in batches:
-            for g in batch.to_pylist():
-                if group and (g["row"], g["shard"]) != (group[0]["row"], group[0]["shard"]):
-                    yield answers(group)
-                    group = []
-                group.append(g)
-        if group:
-            yield answers(group)
+            yield sketch(block.name.hexdigest(), block.array("h1", np.uint64), ROWS, bits, shard_bits)
 
-    def store(batches):
-        out = current = None
-        for batch in batches:
-            for g in batch.to_pylist():
-                if g["block"] != current:
-                    if out:
-                        out.__exit__(None, None, None)
-                    current, out = g["block"], NewFile(f"{folder}/{g['block']}")
-                out.write(np.array([g["row"], g["n"], len(g["bits"])], "<u4").tobytes() + g["bits"])
-        if out:
-            out.__exit__(None, None, None)
-        yield pa.RecordBatch.from_pydict({"stored": pa.array([current], pa.string())})
-
-    sketches = docs.mapInArrow(sketch, "row long, shard long, block string, cells binary, more binary")
-    answered = sketches.repartition("row", "shard").sortWithinPartitions("row", "shard", "block").mapInArrow(merge, "block string, row long, shard long, n long, bits binary")
-    answered.repartition("block").sortWithinPartitions("block", "row", "shard").mapInArrow(store, "stored string").write.format("noop").mode("overwrite").save()
-    return folder
-
-
-def answer(folder: str, block: str) -> list[np.ndarray] | None:
-    """Of each row, whether the block's cells in order are repeated; None without an answer."""
-    fs, path = filesystem(f"{folder}/{block}")
-    try:
-        with fs.open_input_file(path) as file:
-            data = file.read()
-    except FileNotFoundError:
-        return None
-    rows, at = ([], []), 0
-    while at < len(data):
-        row, n, size = np.frombuffer(data, "<u4", 3, at).tolist()
-        rows[row].append(np.unpackbits(np.frombuffer(unpack(data[at + 12:at + 12 + size]), np.uint8), count=n))
-        at += 12 + size
-    return [np.concatenate(r).astype(bool) if r else np.empty(0, bool) for r in rows]
+    return merge(docs.mapInArrow(send, SKETCH))
 
 
 def estimated_repeated(block: Block, folder: str, bits: int) -> np.ndarray:
-    """The numbers of a block's windows of which both cells are repeated."""
+    """The numbers of a block's windows whose estimated count is over one."""
     h1 = block.array("h1", np.uint64)
-    found = answer(folder, block.name.hexdigest())
-    if found is None:
-        return np.arange(len(h1))
-    keep = np.ones(len(h1), bool)
-    for row, again in enumerate(found):
-        _, which = np.unique(cells(h1, row, bits), return_inverse=True)
-        keep &= again[which]
-    return np.flatnonzero(keep)
+    found = estimates(folder, block.name.hexdigest(), h1, ROWS, bits)
+    return np.arange(len(h1)) if found is None else np.flatnonzero(found > 1)
 
 
 COVER = "doc_id long, key long, starts binary"
@@ -305,7 +197,7 @@ def covers(docs: DataFrame, folder: str, width: int, bits: int, exact_bits: int,
     return found.filter("shard IS NULL").select("doc_id", "key", F.col("data").alias("starts")).unionByName(among)
 
 
-def dedup(docs: DataFrame, width: int = 50, block_windows: int = 1 << 21, shard_windows: int = 1 << 22) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 50, block_windows: int = 1 << 20, shard_windows: int = 1 << 21) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text of every row of ``docs``."""
     docs = keyed(docs)
     # the width of the sketch follows the text: about eight cells a window
@@ -313,7 +205,7 @@ def dedup(docs: DataFrame, width: int = 50, block_windows: int = 1 << 21, shard_
     windows = max(1 << 10, size // 6)
     bits = (8 * windows - 1).bit_length()
     shard_bits = max(4, (windows // shard_windows).bit_length())
-    folder = repeated_cells(docs, width, bits, shard_bits, block_windows)
+    folder = sketched(docs, width, bits, shard_bits, block_windows)
     lost = covers(docs, folder, width, bits, shard_bits, block_windows)
     lost = lost.groupBy("doc_id", "key").agg(F.collect_list("starts").alias("starts"))
 
