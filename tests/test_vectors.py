@@ -65,7 +65,8 @@ def test_lsh_similarities_exact_and_recall_monotone(spark):
                                                  exclude_col="self").collect()}
     found_prev = 0
     for tables in (2, 4, 8):
-        planes, pos = LSH.lsh_params(16, n_planes=12, n_tables=tables, bits=4, seed=1)
+        planes, pos = LSH.lsh_params(16, n_planes=12, n_tables=8, seed=1)
+        pos = pos[:tables, :4]
         res = LSH.topk_lsh(unit, q, 400, planes, pos, exclude_col="self").collect()
         for r in res:
             assert abs(r.sim - exact[(r.q_id, r.id)]) < 1e-9

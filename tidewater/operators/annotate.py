@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.common import attach_scalars
-from tidewater.session import spread
 
 UNDECIDED = -1
 
@@ -31,10 +30,11 @@ def _tally(valid: Column) -> Column:
 
 
 def merge_votes(df: DataFrame, col: str = "votes", tie: str = "undecided",
-                seed: int = 0, out: str = "label") -> DataFrame:
+                seed: int = 0, out: str = "label", key: str = "doc_id") -> DataFrame:
     """V1/V2: drop ``-1`` votes; a unique most-frequent vote wins. Ties give
     ``-1`` (``tie='undecided'``) or a repeatable pseudo-random pick among the
-    tied values (``tie='pick'``, md5 of key and seed). No votes → ``-1``."""
+    tied values (``tie='pick'``, md5 of the column ``key`` and the seed). No
+    votes → ``-1``."""
     valid = _valid_votes(F.col(col))
     tally = _tally(valid)
     top = F.element_at(tally, 1)
@@ -42,8 +42,8 @@ def merge_votes(df: DataFrame, col: str = "votes", tie: str = "undecided",
     if tie == "undecided":
         chosen = F.when(n_top == 1, top["v"])
     elif tie == "pick":
-        key = F.concat(F.col(df.columns[0]).cast("string"), F.lit(f":{seed}"))
-        h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+        keyed = F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))
+        h = F.conv(F.substring(F.md5(keyed), 1, 8), 16, 10).cast("bigint")
         idx = (h % n_top + 1).cast("int")
         chosen = F.element_at(tally, idx)["v"]
     else:
@@ -63,21 +63,26 @@ def text_key(text: Column) -> Column:
 
 
 def first_of_duplicates(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """(text key, first id) for every distinct text."""
-    return spread(df).groupBy(text_key(F.col(text)).alias("_k")).agg(F.min(order).alias("_first"))
+    """(text key, first id, number of rows) for every distinct text."""
+    return (df.select(text_key(F.col(text)).alias("_k"), order).groupBy("_k")
+            .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")))
 
 
 def dedup_first(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """Keep the first row (smallest ``order``) of each distinct text."""
+    """Keep the first row (smallest ``order``, which names a row) of each
+    distinct text."""
     firsts = first_of_duplicates(df, text, order).select(F.col("_first").alias(order))
     return df.join(firsts, order, "left_semi")
 
 
-def dropped_duplicates(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """Rows removed by ``dedup_first`` with the id that was kept."""
-    keyed = spread(df).withColumn("_k", text_key(F.col(text)))
-    firsts = first_of_duplicates(df, text, order)
-    return (keyed.join(firsts, "_k").filter(F.col(order) != F.col("_first"))
+def dropped_duplicates(df: DataFrame, text: str = "text", order: str = "doc_id", salts: int = 32) -> DataFrame:
+    """Rows removed by ``dedup_first`` with the id that was kept. Only
+    groups of several rows are joined; they are replicated to ``salts`` salts,
+    and a text's rows spread over these."""
+    salted = df.select(text_key(F.col(text)).alias("_k"), order, F.pmod(F.xxhash64(order), F.lit(salts)).alias("_salt"))
+    groups = (first_of_duplicates(df, text, order).filter("_n > 1")
+              .select("_k", "_first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("_salt")))
+    return (salted.join(groups, ["_k", "_salt"]).filter(F.col(order) != F.col("_first"))
             .select(order, F.col("_first").alias("kept_" + order)))
 
 

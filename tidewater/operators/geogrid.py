@@ -1,7 +1,7 @@
 """Exact geographic k-nearest neighbours for large query sets (J8 at scale).
 
-The broadcast scan in ``knn`` needs the query set to fit in a broadcast.
-This operator needs no such bound: points and queries are bucketed into
+The scan in ``knn`` computes all |Q|·|X| distances. This operator compares
+only neighbours: points and queries are bucketed into
 lat/lon cells and meet in an equi-grouped co-group, cell by cell.
 
 * Each query is replicated to the cells of a square ring of half-width r
@@ -15,8 +15,8 @@ lat/lon cells and meet in an equi-grouped co-group, cell by cell.
 * A result is certified exact when its k-th distance is below a lower bound
   on the distance to anything outside the searched block (latitude-band and
   meridian distances on the unit sphere). Uncertified queries go to the next,
-  wider ring; after the last ring the few left are finished by the
-  size-checked broadcast scan.
+  wider ring; no ring runs when none is left, and after the last ring the few
+  left are finished by the exact scan.
 """
 
 from __future__ import annotations
@@ -128,13 +128,16 @@ def nn_grid(points: DataFrame, queries: DataFrame, k: int = 1, cell_deg: float |
         ok_ids = judged.filter("ok").select("q_id")
         done.append(top.join(ok_ids, "q_id", "left_semi"))
         pending = judged.filter(~F.coalesce(F.col("ok"), F.lit(False))).select("q_id", "qlat", "qlon")
-    # whatever is left (queries far from every point) is finished exactly by
-    # the size-checked broadcast scan
+        if pending.isEmpty():
+            break
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    if pending.isEmpty():
+        return out
+    # whatever is left (queries far from every point) is finished by the scan
     data = points.select(F.col("id").cast("bigint"),
                          F.array(F.radians("lat"), F.radians("lon")).alias("vec"))
     rest_q = pending.select("q_id", F.array(F.radians("qlat"), F.radians("qlon")).alias("vec"))
     rest = K.knn(data, rest_q, k, "haversine")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
     return out.unionByName(rest.select("q_id", "id", "d", "rank"))

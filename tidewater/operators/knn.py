@@ -1,29 +1,35 @@
 """Exact k-nearest-neighbour scan (J7–J10 and the geo J8).
 
-Plan: the query set is size-checked and broadcast in bounded chunks; the data
-side is scanned once per chunk with ``mapInPandas``. Each data partition
-computes its block of distances with NumPy (one matrix product per Arrow
-batch, per query sub-block) and emits only its local top-k per query, so at
-most ``k · |Q|`` rows leave a partition — no pair table is ever built and no
-cross join appears in the plan. A final ``row_number() ≤ k`` per query merges
-the partial top-k lists (Spark plans this with a partial window-group limit
-before the shuffle). Ties are broken by the smaller data id.
+Plan: the query set, of any size, is written once to the shared folder. The
+data side is scanned once with ``mapInArrow``: a task holds a segment of its
+partition (bounded in bytes), reads the query table block by block, computes
+each block of distances with NumPy and emits only the segment's top-k per
+query, so no pair table is built, no cross join appears in the plan, and
+neither the driver nor a broadcast holds the queries. A final ``row_number() ≤
+k`` per query merges the partial lists (Spark plans this with a partial
+window-group limit before the shuffle). Ties are broken by the smaller data id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import uuid
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewater.session import DEFAULT_BROADCAST_ROWS, ship_package, spread
+from tidewater.session import shared_file, shared_path, ship_package, spread
 
 METRICS = ("euclidean", "euclidean_expanded", "cosine", "haversine")
 _QUERY_BLOCK = 256  # queries per distance block inside a task (bounds task memory)
+_DATA_BLOCK = 8_192  # data rows per distance block
+_SEGMENT_BYTES = 64 << 20  # vectors that a task holds at a time
+_NOTHING = -2**63  # excludes no id
 
 
 def _distances(metric: str, X: np.ndarray, Q: np.ndarray, xsq: np.ndarray | None) -> np.ndarray:
@@ -70,89 +76,88 @@ def _local_topk(ids: np.ndarray, D: np.ndarray, k: int, qids: np.ndarray,
                          "d": np.concatenate(out_d)})
 
 
-def _vectors(pdf_col: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in pdf_col]) if len(pdf_col) else np.zeros((0, 0))
+def matrix(column: pa.Array) -> np.ndarray:
+    """A list column without nulls as rows of doubles, from its flat values."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def write_queries(queries: DataFrame) -> list[str]:
+    """Write a query table once; returns its files, which all tasks read."""
+    spark = queries.sparkSession
+    path = shared_path(spark, f"queries/{uuid.uuid4().hex}")
+    queries.write.parquet(path)
+    return sorted(spark.read.schema(queries.schema).parquet(path).inputFiles())
+
+
+def query_blocks(files: list[str], size: int) -> Iterator[pa.RecordBatch]:
+    """The written queries, ``size`` at a time."""
+    for uri in files:
+        with shared_file(uri) as file:
+            yield from pq.ParquetFile(file).iter_batches(batch_size=size)
+
+
+def segments(batches: Iterator[pa.RecordBatch], vec: str = "v", most: int = _SEGMENT_BYTES) -> Iterator[pa.Table]:
+    """A partition in runs of about ``most`` bytes of vectors."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(vec).nbytes
+        if size > most:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def knn(data: DataFrame, queries: DataFrame, k: int, metric: str,
         id_col: str = "id", vec_col: str = "vec", q_id: str = "q_id", q_vec: str = "vec",
-        exclude_col: str | None = None, max_queries: int = DEFAULT_BROADCAST_ROWS,
-        chunk: int = 20_000) -> DataFrame:
+        exclude_col: str | None = None) -> DataFrame:
     """(q_id, id, d, rank) for the k nearest data rows of every query.
 
     ``data``: (id bigint, vec array<double|float>) — for ``haversine`` the
     vector is [lat, lon] in radians; for ``cosine`` both sides must already be
     unit vectors and ``d`` is the negated similarity. ``exclude_col`` names a
     query column holding a data id that must not be returned (the query's
-    own row)."""
+    own row). Rows and queries without a vector match nothing."""
     if metric not in METRICS:
         raise ValueError(metric)
-    spark = data.sparkSession
-    ship_package(spark)
-    qcols = [F.col(q_id).cast("bigint").alias("q_id"), F.col(q_vec).alias("qv")]
-    if exclude_col:
-        qcols.append(F.col(exclude_col).cast("bigint").alias("excl"))
-    q = queries.select(*qcols)
-    n_q = q.limit(max_queries + 1).count()
-    if n_q > max_queries:
-        raise ValueError(f"query set larger than {max_queries}; use the LSH join (topk_lsh)")
-    # bounded by max_queries (checked above): safe to ship to every task
-    qrows = q.orderBy("q_id").collect()
-    d = spread(data.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")))
-    schema = T.StructType([T.StructField("q_id", T.LongType()), T.StructField("id", T.LongType()),
-                           T.StructField("d", T.DoubleType())])
-    parts = []
-    for start in range(0, len(qrows), chunk):
-        block = qrows[start:start + chunk]
-        Qall = np.array([np.asarray(r["qv"], dtype=np.float64) for r in block])
-        qids_all = np.array([r["q_id"] for r in block], dtype=np.int64)
-        excl_all = np.array([r["excl"] if r["excl"] is not None else -2**63 for r in block],
-                            dtype=np.int64) if exclude_col else None
-        bq = spark.sparkContext.broadcast((Qall, qids_all, excl_all))
-
-        def scan(it: Iterator[pd.DataFrame], bq=bq) -> Iterator[pd.DataFrame]:
-            Qa, qa, ea = bq.value
-            best: list[pd.DataFrame] = []
-            for pdf in it:
-                if len(pdf) == 0:
-                    continue
-                X = _vectors(pdf["v"])
-                ids = pdf["id"].to_numpy(dtype=np.int64)
-                xsq = (X * X).sum(axis=1) if metric == "euclidean_expanded" else None
-                for s in range(0, len(qa), _QUERY_BLOCK):
-                    Q = Qa[s:s + _QUERY_BLOCK]
-                    D = _distances(metric, X, Q, xsq)
-                    best.append(_local_topk(ids, D, k, qa[s:s + _QUERY_BLOCK],
-                                            None if ea is None else ea[s:s + _QUERY_BLOCK]))
-            if best:
-                allb = pd.concat(best, ignore_index=True)
-                # reduce this partition's candidates to k per query
-                allb = allb.sort_values(["q_id", "d", "id"], kind="mergesort")
-                yield allb.groupby("q_id", sort=False).head(k)
-
-        parts.append(d.mapInPandas(scan, schema))
-    if not parts:  # empty query set
-        return spark.createDataFrame([], "q_id bigint, id bigint, d double, rank int")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    ship_package(data.sparkSession)
+    excl = F.coalesce(F.col(exclude_col).cast("bigint"), F.lit(_NOTHING)) if exclude_col else F.lit(_NOTHING)
+    files = write_queries(queries.filter(F.col(q_vec).isNotNull())
+                          .select(F.col(q_id).cast("bigint").alias("q_id"), F.col(q_vec).cast("array<double>").alias("qv"), excl.alias("excl")))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment in segments(batches):
+            X = matrix(segment.column("v").combine_chunks())
+            ids = segment.column("id").to_numpy()
+            xsq = (X * X).sum(axis=1) if metric == "euclidean_expanded" else None
+            for block in query_blocks(files, _QUERY_BLOCK):
+                Q = matrix(block.column("qv"))
+                qids, excl = block.column("q_id").to_numpy(), block.column("excl").to_numpy()
+                best = pd.concat([_local_topk(ids[s:s + _DATA_BLOCK], _distances(metric, X[s:s + _DATA_BLOCK], Q, None if xsq is None else xsq[s:s + _DATA_BLOCK]),
+                                              k, qids, excl) for s in range(0, len(X), _DATA_BLOCK)], ignore_index=True)
+                if len(X) > _DATA_BLOCK:
+                    best = best.sort_values(["q_id", "d", "id"], kind="mergesort").groupby("q_id", sort=False).head(k)
+                if len(best):
+                    yield pa.RecordBatch.from_pandas(best.astype({"q_id": "int64", "id": "int64", "d": "float64"}), preserve_index=False)
+
+    d = spread(data.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")))
+    cand = d.mapInArrow(scan, "q_id bigint, id bigint, d double")
     w = Window.partitionBy("q_id").orderBy("d", "id")
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def lookup_queries(rows: DataFrame, words: DataFrame, key: str = "word", check: bool = True,
-                   max_words: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Word → row lookup for a query word list. The word list is a query
-    set: size-checked, then broadcast. An unknown word is an error, as in
-    the reference."""
-    from tidewater.session import checked_broadcast
-    w = checked_broadcast(words.select(key).distinct(), max_words, "query words")
-    found = rows.join(w, key)
+def lookup_queries(rows: DataFrame, words: DataFrame, key: str = "word", check: bool = True) -> DataFrame:
+    """Word → row lookup for a query word list of any size. An unknown
+    word is an error, as in the reference."""
+    w = words.select(key).distinct()
     if check:
-        missing = w.join(found.select(key), key, "left_anti").limit(1).collect()
+        missing = w.join(rows.select(key), key, "left_anti").limit(1).collect()
         if missing:
             raise KeyError(f"unknown query word {missing[0][key]!r}")
-    return found
+    return rows.join(w, key)
 
 
 # --- vector helpers (F11, A27, centroids) -----------------------------------
@@ -175,10 +180,6 @@ def l2_normalize(df: DataFrame, vec: str = "vec", out: str = "unit") -> DataFram
         out, F.when(F.col("norm") > 0, F.transform(F.col(vec), lambda x: x.cast("double") / F.col("norm"))))
 
 
-def to_double_vec(df: DataFrame, vec: str) -> DataFrame:
-    return df.withColumn(vec, F.transform(F.col(vec), lambda x: x.cast("double")))
-
-
 def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
     """Mean vector per key. Element-wise means by a grouped aggregate over
     (key, position) with partial aggregation; re-assembled per key (the

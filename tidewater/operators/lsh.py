@@ -1,37 +1,49 @@
 """Random-hyperplane LSH top-k.
 
-Parameters (hyperplanes and per-table bit positions) are a small seeded
-table drawn once; signatures and bucket keys are JVM expressions over
-literal arrays. Candidate generation is an equi-join on ``(table, bucket)``
-against the broadcast query buckets (size-checked: ``|Q| · L`` rows), so the
-data side is never shuffled for the join and a bucket holding a third of
-the data costs no skew. Similarities are computed right after the join, then
-a bounded head of k·L rows per query (partial window-group limit before the
-shuffle) is kept, ``(q_id, id)`` duplicates from several tables collapse,
-and a ``row_number() ≤ k`` picks the top k.
+Parameters (hyperplanes and, per table, an order of their bits) are a small
+seeded table drawn once; a table's bucket is the first ``bits`` of its order,
+and ``lsh_bits`` grows with log2 of the data, so a bucket's share shrinks as the
+data grows. The query set, of any size, is written once to the shared folder.
+The data side is scanned once: a task holds a segment of its partition, finds
+its buckets with one matrix product, sorts the rows by bucket, reads the query
+table block by block, scores only rows that share a bucket with the query in
+some table and emits its top k. A ``row_number() ≤ k`` merges the partial lists.
+Neither side is shuffled by bucket, so a bucket with a third of the data costs
+no skew, and no candidate pair leaves a task. The column functions
+``signature`` and ``bucket_keys`` give the same buckets as expressions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.knn import dot
-from tidewater.session import DEFAULT_BROADCAST_ROWS, checked_broadcast, spread
+from tidewater.operators.knn import dot, matrix, query_blocks, segments, write_queries
+from tidewater.session import ship_package, spread
+
+_NOTHING = -2**63  # excludes no id
 
 
-def lsh_params(dim: int, n_planes: int = 16, n_tables: int = 8, bits: int = 6, seed: int = 42):
-    """(planes D×dim, positions L×bits, 0-based). Gaussian planes normalised
-    to unit length (the sign test is unaffected); positions drawn with
-    replacement per table."""
+def lsh_params(dim: int, n_planes: int = 32, n_tables: int = 8, seed: int = 42):
+    """(planes D×dim, positions L×D, 0-based). Gaussian planes normalised to
+    unit length (the sign test is unaffected); positions are an order of all
+    planes for each table, so no bit repeats in a bucket."""
     rs = np.random.RandomState(seed)
     planes = rs.normal(size=(n_planes, dim))
     planes /= np.linalg.norm(planes, axis=1, keepdims=True)
-    positions = rs.randint(0, n_planes, size=(n_tables, bits))
+    positions = np.stack([rs.permutation(n_planes) for _ in range(n_tables)])
     return planes, positions
 
 
+def lsh_bits(n_rows: int, least: int = 8, most: int = 32) -> int:
+    """Bits of a bucket: log2 of the data, rounded up, within bounds."""
+    return max(least, min(most, max(0, n_rows - 1).bit_length()))
+
+
 def signature(vec: Column, planes: np.ndarray) -> Column:
     """one bit per hyperplane, 1 when the dot product is ≥ 0."""
     lit_planes = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in planes])
@@ -47,35 +59,51 @@ def bucket_keys(sig: Column, positions: np.ndarray) -> Column:
     return F.array(*keys)
 
 
+def _buckets(X: np.ndarray, planes: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    """(tables × rows) bucket numbers."""
+    bits = (X @ planes.T >= 0).astype(np.int64)
+    weights = 1 << np.arange(positions.shape[1], dtype=np.int64)
+    return np.stack([bits[:, p] @ weights for p in positions])
+
+
 def topk_lsh(data: DataFrame, queries: DataFrame, k: int, planes: np.ndarray, positions: np.ndarray,
              id_col: str = "id", vec_col: str = "vec", unit_col: str = "unit",
-             q_id: str = "q_id", exclude_col: str | None = None,
-             max_query_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             q_id: str = "q_id", exclude_col: str | None = None, query_block: int = 1_024) -> DataFrame:
     """(q_id, id, sim, rank): the k most similar candidates sharing a bucket
     with the query in at least one table; ``exclude_col`` holds each query's
-    own data id."""
-    def keyed(df, idc, extra):
-        # the signature is its own projection so the 16×dim dot products run
-        # once per row, not once per referenced bit
-        sig = df.select(F.col(idc).alias("_id"), F.col(unit_col).alias("_u"), *extra,
-                        signature(F.col(vec_col), planes).alias("_sig"))
-        return sig.select("_id", "_u", *[c for c in sig.columns if c not in ("_id", "_u", "_sig")],
-                          F.inline(bucket_keys(F.col("_sig"), positions)))
-    qextra = [F.col(exclude_col).alias("_excl")] if exclude_col else [F.lit(None).cast("bigint").alias("_excl")]
-    qk = keyed(queries, q_id, qextra).select(F.col("_id").alias("q_id"), F.col("_u").alias("_qu"), "_excl", "t", "b")
-    qk = checked_broadcast(qk, max_query_rows, "LSH query buckets")
-    dk = keyed(spread(data.filter(F.col(unit_col).isNotNull())), id_col, [])
-    cand = (dk.join(qk, ["t", "b"])
-            .filter(F.col("_excl").isNull() | (F.col("_id") != F.col("_excl")))
-            .select("q_id", F.col("_id").alias("id"), dot(F.col("_u"), F.col("_qu")).alias("sim")))
-    # A data id matches a query in at most L tables, always with the same
-    # similarity, so the first k·L rows by (sim desc, id) hold every row of the
-    # k best distinct ids: keep those (Spark applies this limit per partition
-    # before the shuffle), then collapse duplicates and rank.
+    own data id. Rows and queries without a unit vector match nothing."""
+    ship_package(data.sparkSession)
+    excl = F.coalesce(F.col(exclude_col).cast("bigint"), F.lit(_NOTHING)) if exclude_col else F.lit(_NOTHING)
+    files = write_queries(queries.filter(F.col(unit_col).isNotNull())
+                          .select(F.col(q_id).cast("bigint").alias("q_id"), F.col(vec_col).cast("array<double>").alias("qv"),
+                                  F.col(unit_col).cast("array<double>").alias("qu"), excl.alias("excl")))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment in segments(batches):
+            U, ids = matrix(segment.column("u").combine_chunks()), segment.column("id").to_numpy()
+            codes = _buckets(matrix(segment.column("v").combine_chunks()), planes, positions)
+            order = np.argsort(codes, axis=1, kind="stable")
+            codes = np.take_along_axis(codes, order, 1)
+            for block in query_blocks(files, query_block):
+                Q, wanted = matrix(block.column("qu")), _buckets(matrix(block.column("qv")), planes, positions)
+                begin = np.stack([np.searchsorted(c, w, "left") for c, w in zip(codes, wanted)])
+                end = np.stack([np.searchsorted(c, w, "right") for c, w in zip(codes, wanted)])
+                out = ([], [], [])
+                for j, (q, excl) in enumerate(zip(block.column("q_id").to_pylist(), block.column("excl").to_pylist())):
+                    near = np.unique(np.concatenate([o[a:b] for o, a, b in zip(order, begin[:, j], end[:, j])]))
+                    near = near[ids[near] != excl]
+                    sims = U[near] @ Q[j]
+                    top = np.lexsort((ids[near], -sims))[:k]
+                    out[0].append(np.full(len(top), q))
+                    out[1].append(ids[near][top])
+                    out[2].append(sims[top])
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["q_id", "id", "sim"])
+
+    rows = data.filter(F.col(unit_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"), F.col(unit_col).alias("u"))
+    cand = spread(rows).mapInArrow(scan, "q_id bigint, id bigint, sim double")
     w = Window.partitionBy("q_id").orderBy(F.desc("sim"), F.asc("id"))
-    head = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k * len(positions))
-    best = head.groupBy("q_id", "id").agg(F.max("sim").alias("sim"))
-    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def params_sql(planes: np.ndarray, positions: np.ndarray) -> str:

@@ -19,22 +19,36 @@ from tidewater.functions import hashing as H
 from tidewater.session import spread
 
 
-def hashed(df: DataFrame, col: str, log2m: int = 10, hash: str = "portable", seed: int = 69) -> DataFrame:
+def hashed(df: DataFrame, col: str, log2m: int = 10, hash: str = "portable", seed: int = 69) -> DataFrame:  # fixed value: the seed
     """(register, rho) per input row: bucket by multiply-shift of the key, ρ
-    from an independent 32-bit hash of the key."""
+    from an independent 32-bit hash of the key. A null key is no element."""
     x = F.col(col)
     h = H.portable_hash32(x) if hash == "portable" else H.tabulation_hash(x, seed)
-    return spread(df.select(col)).select(H.multiply_shift(x, log2m).alias("register"), H.rho32(h).alias("rho"))
+    keys = spread(df.select(col).filter(x.isNotNull()))
+    return keys.select(H.multiply_shift(x, log2m).alias("register"), H.rho32(h).alias("rho"))
+
+
+def _sized(registers: DataFrame, log2m: int) -> DataFrame:
+    """The register column carries the sketch's size."""
+    return registers.select(F.col("register").alias("register", metadata={"log2m": log2m}), "rho")
+
+
+def sketch_size(registers: DataFrame) -> int | None:
+    return registers.schema["register"].metadata.get("log2m")
 
 
 def hll_registers(df: DataFrame, col: str, log2m: int = 10, **kw) -> DataFrame:
     """A14."""
-    return hashed(df, col, log2m, **kw).groupBy("register").agg(F.max("rho").cast("int").alias("rho"))
+    return _sized(hashed(df, col, log2m, **kw).groupBy("register").agg(F.max("rho").cast("int").alias("rho")), log2m)
 
 
 def hll_merge(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Element-wise max of two register tables of the same m."""
-    return a.unionByName(b).groupBy("register").agg(F.max("rho").cast("int").alias("rho"))
+    """Element-wise max of two register tables of the same size; tables
+    of different or unknown size are refused."""
+    size = sketch_size(a)
+    if size is None or size != sketch_size(b):
+        raise ValueError(f"sketches of different size: {size} and {sketch_size(b)} (log2 of the registers)")
+    return _sized(a.unionByName(b).groupBy("register").agg(F.max("rho").cast("int").alias("rho")), size)
 
 
 def hll_estimate(registers: DataFrame, log2m: int = 10) -> DataFrame:

@@ -9,13 +9,14 @@ L2-normalised over its vocabulary terms.
 Tokenising whole texts is the expensive step, so it runs once: each
 document's tokens are written, space-joined, under the shared checkpoint
 folder, and every later pass rebuilds unigrams (split) and bigrams (one JVM
-regex) from that compact string. Plan shape: the vocabulary comes first — corpus frequency per term is a
-partial ``groupBy(term)`` and the top ``max_features`` is a bounded top-k
-(``TakeOrderedAndProject``), broadcast because its size is that parameter.
-The (doc, term) occurrences are then semi-joined to the broadcast vocabulary
-*before* the per-document aggregation, so only vocabulary terms are shuffled.
-Document frequencies and L2 norms are grouped aggregates over that small
-table.
+regex) from that compact string. The vocabulary comes first: corpus frequency
+per term is a partial ``groupBy(term)``, and the top ``max_features`` (a bounded
+top-k, ``TakeOrderedAndProject``) are written. The (doc, term) occurrences are
+semi-joined to them *before* the per-document aggregation, so only vocabulary
+terms are shuffled, and the counts are written, too. Document frequencies, idf,
+norms and weights all derive from that table. A vocabulary of up to
+``BROADCAST_TERMS`` terms by its parameter is broadcast; larger or unbounded
+ones are joined by an exchange.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import text as TX
 from tidewater.operators.common import attach_scalars
-from tidewater.session import checked_broadcast, cut_lineage, spread
+from tidewater.session import cut_lineage, spread
 
 
 def token_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,10 +59,6 @@ def term_counts(docs: DataFrame, **kw) -> DataFrame:
     return doc_terms(docs, **kw).groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def tf_table(docs: DataFrame, **kw) -> DataFrame:
-    return doc_terms(docs, **kw).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
 def _top_terms_of(garr: DataFrame, max_features: int | None) -> DataFrame:
     cf = _explode(garr).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     if max_features:
@@ -69,16 +66,18 @@ def _top_terms_of(garr: DataFrame, max_features: int | None) -> DataFrame:
     return cf.select("term")
 
 
-def vocabulary_terms(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
-    """The ``max_features`` most frequent terms of the corpus (ties → term)."""
-    return _top_terms_of(gram_arrays(docs, **kw), max_features)
+#: Terms that a broadcast vocabulary has at most.
+BROADCAST_TERMS = 200_000
+
 
+def _bounded(terms: DataFrame, max_features: int | None) -> DataFrame:
+    return F.broadcast(terms) if max_features and max_features <= BROADCAST_TERMS else terms
 
-def _vocab_tf(garr: DataFrame, terms: DataFrame, max_vocab_rows: int) -> DataFrame:
-    """(doc_id, term, tf) restricted to the vocabulary (broadcast semi-join
-    before the per-document aggregation)."""
-    v = checked_broadcast(terms, max_vocab_rows, "vocabulary")
-    return (_explode(garr).join(v, "term", "left_semi")
+
+def _vocab_tf(garr: DataFrame, terms: DataFrame, max_features: int | None) -> DataFrame:
+    """(doc_id, term, tf) restricted to the vocabulary (semi-join before the
+    per-document aggregation)."""
+    return (_explode(garr).join(_bounded(terms, max_features), "term", "left_semi")
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -89,40 +88,38 @@ def _idf(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
             .select("term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")))
 
 
-def fit_vocabulary(docs: DataFrame, max_features: int | None = 1000, max_vocab_rows: int = 1_000_000,
-                   **kw) -> DataFrame:
+def _fit(docs: DataFrame, max_features: int | None, ngram_max: int = 1, **kw) -> tuple[DataFrame, DataFrame]:
+    """Written (doc_id, term, tf) over the vocabulary, and written (term, idf)."""
+    toks = cut_lineage(token_strings(docs, **kw))
+    garr = _grams(toks, ngram_max)
+    terms = cut_lineage(_top_terms_of(garr, max_features))
+    tf = cut_lineage(_vocab_tf(garr, terms, max_features))
+    return tf, cut_lineage(_idf(tf, toks.agg(F.count(F.lit(1)).alias("n_docs"))))
+
+
+def fit_vocabulary(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
     """(term, idf) for the vocabulary fitted on ``docs``;
-    idf = ln((1 + n_docs) / (1 + df)) + 1. The texts are tokenised once (token
-    strings written under the shared folder)."""
-    ngram_max = kw.pop("ngram_max", 1)
-    garr = _grams(cut_lineage(token_strings(docs, **kw)), ngram_max)
-    tf = _vocab_tf(garr, _top_terms_of(garr, max_features), max_vocab_rows)
-    return _idf(tf, garr.agg(F.count(F.lit(1)).alias("n_docs")))
+    idf = ln((1 + n_docs) / (1 + df)) + 1."""
+    return _fit(docs, max_features, **kw)[1]
 
 
-def _weights(tf: DataFrame, vocab: DataFrame, max_vocab_rows: int) -> DataFrame:
-    v = checked_broadcast(vocab, max_vocab_rows, "vocabulary")
-    w = tf.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
+def _weights(tf: DataFrame, vocab: DataFrame, max_features: int | None) -> DataFrame:
+    w = tf.join(_bounded(vocab, max_features), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return (w.join(norms, "doc_id")
             .select("doc_id", "term", F.round(F.col("w") / F.col("norm"), 6).alias("tfidf")))
 
 
-def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_vocab_rows: int = 1_000_000, **kw) -> DataFrame:
-    """Apply a fitted vocabulary/idf to documents → (doc_id, term, tfidf)."""
-    tf = _vocab_tf(gram_arrays(docs, **kw), vocab.select("term"), max_vocab_rows)
-    return _weights(tf, vocab, max_vocab_rows)
+def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
+    """Apply a fitted vocabulary/idf (of at most ``max_features`` terms, if
+    given) to documents → (doc_id, term, tfidf)."""
+    tf = cut_lineage(_vocab_tf(gram_arrays(docs, **kw), vocab.select("term"), max_features))
+    return _weights(tf, vocab, max_features)
 
 
-def tfidf(docs: DataFrame, max_features: int | None = 1000, max_vocab_rows: int = 1_000_000, **kw) -> DataFrame:
-    """Fit on ``docs`` and transform the same documents. Texts are
-    tokenised once (token strings written under the shared folder); the
-    vocabulary-restricted tf table feeds both the idf and the weights."""
-    ngram_max = kw.pop("ngram_max", 1)
-    garr = _grams(cut_lineage(token_strings(docs, **kw)), ngram_max)
-    tf = _vocab_tf(garr, _top_terms_of(garr, max_features), max_vocab_rows)
-    vocab = _idf(tf, garr.agg(F.count(F.lit(1)).alias("n_docs")))
-    return _weights(tf, vocab, max_vocab_rows)
+def tfidf(docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
+    """Fit on ``docs`` and transform the same documents."""
+    return _weights(*_fit(docs, max_features, **kw), max_features)
 
 
 def top_terms(weights: DataFrame, n: int = 10) -> DataFrame:

@@ -16,28 +16,28 @@ from tidewater.session import spread
 from tidewater.sources.tables import Tables
 
 # --------------------------------------------------------------------------
-# K1 follow graph: user = customer; follows = distinct suppliers of the
-# customer's finished urgent orders. Customers without such orders follow
-# nobody.
+# K1 follow graph: users are all customers and all suppliers (ids in a range
+# of their own); a customer follows the distinct suppliers of its orders.
+# Suppliers follow nobody and customers have no followers.
 # --------------------------------------------------------------------------
 
+SUPPLIER_USERS = 1_000_000_000_000  # first id of the suppliers
+
 
 def follow_graph(t: Tables) -> tuple[DataFrame, DataFrame]:
-    users = t.customer.select(F.col("c_custkey").alias("user_id"))
-    orders = t.orders.filter((F.col("o_orderstatus") == "F") &
-                             (F.col("o_orderpriority") == "1-URGENT"))
-    edges = (orders.join(t.lineitem, orders.o_orderkey == F.col("l_orderkey"))
-             .select(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("followed"))
+    users = t.customer.select(F.col("c_custkey").alias("user_id")).unionByName(
+        t.supplier.select((F.col("s_suppkey") + SUPPLIER_USERS).alias("user_id")))
+    edges = (t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+             .select(F.col("o_custkey").alias("user_id"), (F.col("l_suppkey") + SUPPLIER_USERS).alias("followed"))
              .distinct())
     return users, edges
 
 
-FOLLOW_GRAPH_SQL = """
-users AS (SELECT c_custkey AS user_id FROM customer),
+FOLLOW_GRAPH_SQL = f"""
+users AS (SELECT c_custkey AS user_id FROM customer UNION ALL SELECT s_suppkey + {SUPPLIER_USERS} FROM supplier),
 edges AS (
-  SELECT DISTINCT o.o_custkey AS user_id, l.l_suppkey AS followed
-  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-  WHERE o.o_orderstatus = 'F' AND o.o_orderpriority = '1-URGENT')
+  SELECT DISTINCT o.o_custkey AS user_id, l.l_suppkey + {SUPPLIER_USERS} AS followed
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey)
 """
 
 

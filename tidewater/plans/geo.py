@@ -8,22 +8,22 @@ from tidewater.operators import knn as K
 from tidewater.plans.fixtures import GEO_SQL, geo_points, geo_queries
 from tidewater.functions.geo import haversine
 from tidewater.operators.geogrid import nn_grid
-from tidewater.session import DEFAULT_BROADCAST_ROWS, is_small
 from tidewater.plans.registry import query
 from tidewater.sources.tables import Tables
 
 
-def nn_haversine(points, queries, k: int = 1, max_broadcast: int = DEFAULT_BROADCAST_ROWS):
+def nn_haversine(points, queries, k: int = 1, method: str = "scan"):
     """J8 + P11 + J6: nearest point(s) of every query, names attached.
 
-    A query set proven small enough is broadcast to a scan of the points;
-    beyond that bound the exact grid co-group join takes over."""
-    if is_small(queries, max_broadcast):
+    ``scan`` reads the points once and the queries block by block (|Q|·|X|
+    distances); ``grid`` compares only neighbouring cells, for large sets on
+    both sides. Both are exact for any number of queries."""
+    if method == "grid":
+        nn = nn_grid(points, queries, k)
+    else:
         data = points.select("id", F.array(F.radians("lat"), F.radians("lon")).alias("vec"))
         qs = queries.select("q_id", F.array(F.radians("lat"), F.radians("lon")).alias("vec"))
-        nn = K.knn(data, qs, k, "haversine", max_queries=max_broadcast)
-    else:
-        nn = nn_grid(points, queries, k)
+        nn = K.knn(data, qs, k, "haversine")
     return nn.join(points.select("id", "name"), "id")
 
 
@@ -78,9 +78,7 @@ SELECT q_id, id, name, round(d, 6) AS d FROM (
   FROM qs, pts) WHERE rn = 1
 """)
 def geo_nearest_grid(spark, d):
-    """J8 through the grid co-group join (the path for query sets too large
-    to broadcast), forced here so the exact result is checked."""
+    """J8 through the grid co-group join."""
     t = Tables(spark, d)
-    pts = geo_points(t)
-    nn = nn_grid(pts, geo_queries(t), 1)
-    return nn.join(pts.select("id", "name"), "id").select("q_id", "id", "name", F.round("d", 6).alias("d"))
+    nn = nn_haversine(geo_points(t), geo_queries(t), 1, method="grid")
+    return nn.select("q_id", "id", "name", F.round("d", 6).alias("d"))

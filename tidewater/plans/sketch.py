@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import sketch as SK
+from tidewater.operators.common import attach_scalars
 from tidewater.plans.registry import query
 from tidewater.sources.tables import Tables
 
@@ -70,15 +71,27 @@ def sketch_hash_histogram(spark, d):
     return SK.hash_histogram(Tables(spark, d).events, "event_id", 50)
 
 
-@query("sketch_estimate_tabulation")
+_WITHIN_SQL = "SELECT CAST(count(DISTINCT l_orderkey) AS BIGINT) AS n_distinct, TRUE AS within FROM lineitem"
+
+
+def _within(estimate, exact, bound: float):
+    """The exact distinct count, and whether an estimate lies within ``bound`` of it."""
+    both = attach_scalars(exact, estimate.select("estimate"))
+    return both.select("n_distinct", (F.abs(F.col("estimate") - F.col("n_distinct")) <= bound * F.col("n_distinct")).alias("within"))
+
+
+@query("sketch_estimate_tabulation", _WITHIN_SQL)
 def sketch_estimate_tabulation(spark, d):
-    regs = SK.hll_registers(Tables(spark, d).lineitem, "l_orderkey", LOG2M, hash="tabulation")
-    return SK.hll_estimate(regs, LOG2M)
+    """A16 over the tabulation hash (F7), within four standard errors."""
+    li = Tables(spark, d).lineitem
+    est = SK.hll_estimate(SK.hll_registers(li, "l_orderkey", LOG2M, hash="tabulation"), LOG2M)
+    return _within(est, li.agg(F.countDistinct("l_orderkey").alias("n_distinct")), 4 * SK.relative_error_bound(LOG2M))
 
 
-@query("sketch_builtin_hll")
+@query("sketch_builtin_hll", _WITHIN_SQL)
 def sketch_builtin_hll(spark, d):
-    return SK.builtin_distinct(Tables(spark, d).lineitem, "l_orderkey")
+    li = Tables(spark, d).lineitem
+    return _within(SK.builtin_distinct(li, "l_orderkey"), li.agg(F.countDistinct("l_orderkey").alias("n_distinct")), 4 * SK.relative_error_bound(12))
 
 
 @query("sketch_edge_list_estimate", _estimate_sql(

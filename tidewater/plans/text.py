@@ -65,4 +65,4 @@ def text_tfidf_transform(spark, d):
     t = Tables(spark, d)
     vocab = TF.fit_vocabulary(t.documents, MAX_FEATURES, ngram_max=NGRAM)
     bench = t.benchmark.withColumnRenamed("item_id", "doc_id")
-    return TF.tfidf_transform(vocab, bench, ngram_max=NGRAM)
+    return TF.tfidf_transform(vocab, bench, MAX_FEATURES, ngram_max=NGRAM)

@@ -24,7 +24,7 @@ def _triples(spark, d):
     # is then a pruned read of one predicate's files
     import hashlib
     tag = hashlib.md5(d.encode()).hexdigest()[:10]
-    return materialize(university_triples(Tables(spark, d)), f"triples-{tag}", ["p"])
+    return materialize(university_triples(Tables(spark, d)), f"triples-{tag}", ["p"], "s")
 
 
 @query("triples_per_predicate", """

@@ -10,12 +10,20 @@ from tidewater.operators import knn as K
 from tidewater.operators import lsh as LSH
 from tidewater.plans.fixtures import EMB_SQL, embedding_rows
 from tidewater.plans.registry import query
+from tidewater.session import cut_lineage, spread
 from tidewater.sources.tables import Tables
 
 _W = "WITH " + EMB_SQL
 DIM = 64
-# fixed values: LSH shape (16 hyperplanes, 8 tables of 6 bits) and its seed
-PLANES, POSITIONS = LSH.lsh_params(DIM, n_planes=16, n_tables=8, bits=6, seed=42)
+# fixed values: LSH shape (32 hyperplanes, 8 tables) and its seed
+PLANES, POSITIONS = LSH.lsh_params(DIM, n_planes=32, n_tables=8, seed=42)
+# bits of a bucket: ceil(log2(rows)) between 8 and 32, as lsh_bits()
+_LSH_SQL = LSH.params_sql(PLANES, POSITIONS) + """,
+nb AS (SELECT greatest(8, least(32, CASE WHEN count(*) < 2 THEN 0 ELSE length(bin(count(*) - 1)) END)) AS nb FROM e),
+sig AS (SELECT e.vec_id, list(CASE WHEN list_inner_product(e.v, p) >= 0 THEN 1 ELSE 0 END ORDER BY pid) AS s
+        FROM e, planes GROUP BY e.vec_id),
+bk AS (SELECT vec_id, t, array_to_string(list_transform(idx[1:nb], lambda i: s[i]::VARCHAR), '') AS b FROM sig, tables, nb)
+"""
 
 
 def _emb(spark, d):
@@ -30,6 +38,7 @@ def _centroid_nn(spark, d, metric):
 
 def _medoid_queries(spark, d):
     emb, nn = _centroid_nn(spark, d, "euclidean")
+    nn = cut_lineage(nn)  # one row a label: later lookups don't scan again
     words = nn.join(emb.select("id", "word"), "id").select("word")   # J6: ids carried, names attached
     unit = K.l2_normalize(emb, "vec", "unit")
     q = K.lookup_queries(unit, words).select(F.col("id").alias("q_id"), "vec", "unit", F.col("id").alias("self_id"))
@@ -84,10 +93,7 @@ def vec_medoid_cosine_top3(spark, d):
     return r.select("q_id", "id", F.round(-F.col("d"), 6).alias("sim"), F.col("rank").cast("int"))
 
 
-@query("vec_medoid_lsh_top3", _W + "," + LSH.params_sql(PLANES, POSITIONS) + """,
-sig AS (SELECT e.vec_id, list(CASE WHEN list_inner_product(e.v, p) >= 0 THEN 1 ELSE 0 END ORDER BY pid) AS s
-        FROM e, planes GROUP BY e.vec_id),
-bk AS (SELECT vec_id, t, array_to_string(list_transform(idx, lambda i: s[i]::VARCHAR), '') AS b FROM sig, tables),
+@query("vec_medoid_lsh_top3", _W + "," + _LSH_SQL + """,
 qb AS (SELECT m.q_id, bk.t, bk.b FROM medoids m JOIN bk ON bk.vec_id = m.q_id),
 cand AS (SELECT DISTINCT qb.q_id, bk.vec_id AS id FROM qb JOIN bk ON qb.t = bk.t AND qb.b = bk.b
          WHERE bk.vec_id <> qb.q_id)
@@ -98,10 +104,24 @@ SELECT q_id, id, sim, CAST(rank AS INTEGER) AS rank FROM (
 """)
 def vec_medoid_lsh_top3(spark, d):
     unit, q = _medoid_queries(spark, d)
-    r = LSH.topk_lsh(unit, q, 3, PLANES, POSITIONS, exclude_col="self_id")
+    bits = LSH.lsh_bits(Tables(spark, d).embeddings.count())
+    r = LSH.topk_lsh(unit, q, 3, PLANES, POSITIONS[:, :bits], exclude_col="self_id")
     return r.select("q_id", "id", F.round("sim", 6).alias("sim"), F.col("rank").cast("int"))
 
 
+@query("vec_lsh_buckets", _W + "," + _LSH_SQL + """
+SELECT vec_id AS id, array_to_string(list(DISTINCT s)[1], '') AS signature, string_agg(b, ',' ORDER BY t) AS buckets
+FROM bk JOIN sig USING (vec_id) GROUP BY vec_id
+""")
+def vec_lsh_buckets(spark, d):
+    """signatures and buckets of all vectors, as column functions."""
+    bits = LSH.lsh_bits(Tables(spark, d).embeddings.count())
+    sig = spread(_emb(spark, d)).select("id", LSH.signature(F.col("vec"), PLANES).alias("s"))
+    keys = LSH.bucket_keys(F.col("s"), POSITIONS[:, :bits])
+    return sig.select("id", F.array_join(F.col("s").cast("array<string>"), "").alias("signature"),
+                      F.array_join(F.transform(keys, lambda x: x["b"]), ",").alias("buckets"))
+
+
 @query("vec_text_roundtrip_norms", """
 SELECT 'w' || vec_id AS word, round(sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))), 6) AS norm
 FROM embeddings

@@ -9,7 +9,9 @@ whether a side of a join is small enough to broadcast.
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,8 +49,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is respected.
-    Only when it is unset (local tests) is a fresh scratch folder created.
+    On a cluster that setting has to point at shared storage: without it an
+    executor would write to its own disk, where no other one finds the files.
+    Only a ``local`` master gets a fresh scratch folder when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidewater-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -97,22 +102,53 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
+def _hadoop_path(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once per session under the shared folder and read it back
-    (cuts lineage; survives executor loss; enables partition pruning)."""
+def delete_path(spark: SparkSession, uri: str) -> None:
+    """Delete an intermediate table that no plan reads any more."""
+    path, fs = _hadoop_path(spark, uri)
+    fs.delete(path, True)
+
+
+def input_signature(df: DataFrame) -> str:
+    """Names, lengths and times of the files that ``df`` reads."""
+    spark, h = df.sparkSession, hashlib.sha256()
+    for uri in sorted(df.inputFiles()):
+        path, fs = _hadoop_path(spark, uri)
+        status = fs.getFileStatus(path)
+        h.update(f"{uri} {status.getLen()} {status.getModificationTime()}\n".encode())
+    return h.hexdigest()
+
+
+_MATERIALIZED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, salt_by: str | None = None) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back (cuts lineage;
+    survives executor loss; enables partition pruning). A second call with the
+    same name reads what is there while the input files are unchanged, and
+    replaces it otherwise.
+
+    Before ``partition_by`` the rows are dealt out by those columns and a salt
+    of ``salt_by``, so a value's rows lie in as many files as there are shuffle
+    partitions at most, and a frequent value in several tasks."""
     spark = df.sparkSession
-    key = (spark.sparkContext.applicationId, name)
-    path = _MATERIALIZED.get(key)
-    if path is None:
-        path = shared_path(spark, name)
-        w = df.write.mode("overwrite")
+    key, now = (spark.sparkContext.applicationId, name), input_signature(df)
+    path, before = _MATERIALIZED.get(key, (None, None))
+    if before != now:
+        if path is not None:
+            delete_path(spark, path)
+        path = shared_path(spark, f"{name}-{now[:12]}")
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        _MATERIALIZED[key] = path
+            salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            salt = [F.pmod(F.xxhash64(salt_by), F.lit(salts))] if salt_by else []
+            df.repartition(*partition_by, *salt).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = (path, now)
     return spark.read.parquet(path)
 
 
@@ -135,7 +171,8 @@ def ship_package(spark: SparkSession | None = None) -> None:
     base = ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    target = os.path.join(base, "pkg") if "://" not in base else os.getcwd()
+    # the driver's file server hands the zip to the executors; remote folders can't be opened by zipfile
+    target = os.path.join(base, "pkg") if "://" not in base else tempfile.mkdtemp(prefix="tidewater-pkg-")
     os.makedirs(target, exist_ok=True)
     path = os.path.join(target, f"tidewater-{sc.applicationId}.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
@@ -148,13 +185,26 @@ def ship_package(spark: SparkSession | None = None) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: Estimated bytes for each task under which a scan is dealt out anew.
+SPREAD_BYTES = 8 << 20
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than the
-    cluster's default parallelism — used before CPU-heavy per-row work
-    (tokenising whole texts, regex parsing, vector math). A large input
-    already has thousands of splits, so at scale this is a no-op and adds no
-    shuffle."""
+    """Deal out a small input before CPU-heavy work on its rows: its files may
+    be fewer than the cores. Judged by the plan's size estimate alone, so no
+    job runs; an input of over ``SPREAD_BYTES`` for each core is left as it is,
+    as the scan's own splits keep the cores busy."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(target) if size < target * SPREAD_BYTES else df
+
+
+def shared_file(uri: str):
+    """A file of the shared folder, opened for random access in a task."""
+    import pyarrow.fs as pafs
+
+    if "://" in uri and not uri.startswith("file://"):
+        fs, path = pafs.FileSystem.from_uri(uri)
+    else:
+        fs, path = pafs.LocalFileSystem(), re.sub(r"^file:(//)?", "", uri)
+    return fs.open_input_file(path)
