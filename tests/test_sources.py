@@ -1,6 +1,9 @@
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import rows
+from tidewater.operators import knn as K
 from tidewater.sources import readers as R
 from tidewater.sources import sinks as S
 
@@ -55,7 +58,8 @@ def test_tree_and_labelled_dir(spark, tmp_path):
     (tmp_path / "src" / "a.c").write_text("int x;\n")
     (tmp_path / "src" / "b.H").write_text("#define Y\n")
     files = R.read_tree(spark, str(tmp_path / "src"), "*.h", case_insensitive=True)
-    assert [r.ext for r in files.collect()] == ["h"]
+    assert [r.ext for r in files.collect()] == ["H"]  # as it is written
+    assert R.read_tree(spark, str(tmp_path / "src"), "*.h").count() == 0
     lab = R.read_labelled_dir(spark, str(tmp_path / "img"))
     assert rows(R.class_counts(lab)) == [("cats", 2), ("dogs", 1)]
 
@@ -69,3 +73,42 @@ def test_sinks_roundtrip(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out_txt")).collect()) == ["1\ta", "2\t"]
     rep = S.as_report(spark.createDataFrame([(3, 1.5)], "n int, avg double"))
     assert rows(rep) == [("avg", "1.5"), ("n", "3")]
+
+
+def test_numbers_do_not_depend_on_splits(spark, tmp_path):
+    n, before = 4_000, spark.conf.get("spark.sql.files.maxPartitionBytes")
+    vectors = _write(tmp_path / "v.txt", "".join(f"w{i} {i} {-i}\n" for i in range(n)))
+    labels = _write(tmp_path / "l.txt", "".join(f"w{i}\n" for i in range(n)))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        many = R.read_embeddings(spark, vectors, 2)
+        assert many.rdd.getNumPartitions() > 4
+        assert K.check_labels(many.select(F.col("id").alias("q_id"), F.col("word").alias("found")), R.read_labels(spark, labels)).first() == (n, 0)
+        assert sorted(r.id for r in many.collect()) == list(range(n))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(3):
+        _write(folder / f"{k}.txt", "".join(f"{k}.5 {i}\n" for i in range(5)))
+    pts = sorted((r.q_id, r.lat, r.lon) for r in R.read_query_points(spark, str(folder)).collect())
+    assert pts == [(5 * k + i, k + 0.5, float(i)) for k in range(3) for i in range(5)]
+
+
+def test_lines_that_do_not_parse(spark, tmp_path):
+    p = _write(tmp_path / "adj.txt", "1: 2 x\n\n   \nno: 5\n")
+    assert [(r.user_id, list(r.follows)) for r in R.read_adjacency(spark, p).collect()] == [(1, [2, None]), (None, [5])]
+    bad = _write(tmp_path / "e.txt", "w 1 2\nv 1\n")
+    with pytest.raises(Exception, match="not 2 numbers"):
+        R.read_embeddings(spark, bad, 2).collect()
+
+
+def test_csv_with_quotes_and_junk_of_the_same_width(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    p = _write(tmp_path / "skip.csv", 'junk,with a comma\na,b\n1,x\n2,"y,z"\n3,"say ""hi"""\n\n4\n')
+    assert rows(R.read_csv_skip(spark, p, schema)) == [(1, "x"), (2, "y,z"), (3, 'say "hi"'), (4, None)]
+    assert rows(R.read_csv_skip(spark, _write(tmp_path / "two.csv", "j,k\n1,k\na,b\n5,e\n"), schema, skip=2)) == [(5, "e")]
+
+
+def test_either_case_globs():
+    assert R.either_case("*.h") == "*.[hH]" and R.either_case("a?[bC].*") == "[aA]?[bC].*"

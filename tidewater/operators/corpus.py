@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as TX
-from tidewater.operators.common import attach_scalars
 
 
 def count_by_extension(files: DataFrame, case_insensitive: bool = True) -> DataFrame:
@@ -59,11 +58,11 @@ def file_lines(files: DataFrame) -> DataFrame:
 
 def files_and_lines_containing(files: DataFrame, needle: str) -> DataFrame:
     """Files whose content contains ``needle`` vs lines matching it as
-    a whole word."""
-    n_files = files.agg(F.count_if(F.col("content").contains(needle)).cast("bigint").alias("n_files"))
-    n_lines = file_lines(files).agg(
-        F.count_if(F.col("line").rlike(rf"\b{needle}\b")).cast("bigint").alias("n_lines"))
-    return attach_scalars(n_files, n_lines)
+    a whole word, in one pass; only matching files are split into lines."""
+    word = rf"\b\Q{needle}\E\b"
+    hit = F.col("content").contains(needle)
+    lines = F.when(hit, F.size(F.filter(TX.lines(F.col("content")), lambda x: x.rlike(word)))).otherwise(0)
+    return files.agg(F.count_if(hit).cast("bigint").alias("n_files"), F.coalesce(F.sum(lines), F.lit(0)).cast("bigint").alias("n_lines"))
 
 
 def license_ids(files: DataFrame, pattern: str, exts: list[str] | None = None) -> DataFrame:

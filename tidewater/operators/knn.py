@@ -160,6 +160,14 @@ def lookup_queries(rows: DataFrame, words: DataFrame, key: str = "word", check:
     return rows.join(w, key)
 
 
+def check_labels(result: DataFrame, expected: DataFrame, q_id: str = "q_id", found: str = "found") -> DataFrame:
+    """Number of queries and of those whose result (q_id, found) is not
+    the expected one (q_id, expected); a missing result is an error."""
+    j = expected.join(result.select(F.col(q_id).alias("q_id"), F.col(found).alias("_found")), "q_id", "left")
+    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n_queries"),
+                 F.count_if(~F.col("_found").eqNullSafe(F.col("expected"))).cast("bigint").alias("n_errors"))
+
+
 # --- vector helpers (F11, A27, centroids) -----------------------------------
 
 def dot(a, b):

@@ -3,6 +3,7 @@
 import importlib
 
 FAMILY_MODULES = [
+    "tidewater.plans.readers",
     "tidewater.plans.graph",
     "tidewater.plans.auth",
     "tidewater.plans.triples",

@@ -85,6 +85,15 @@ def corpus_license_counts(spark, d):
     return C.license_counts(_files(spark, d), LICENSE_RX)
 
 
+@query("corpus_license_counts_sources", _W + _LIC + """
+SELECT license, CAST(count(*) AS BIGINT) AS n FROM lic JOIN files USING (path)
+WHERE license IS NOT NULL AND lower(ext) IN ('c', 'h') GROUP BY license
+""")
+def corpus_license_counts_sources(spark, d):
+    """A25 over source files alone, either case."""
+    return C.license_counts(_files(spark, d), LICENSE_RX, ["c", "h"])
+
+
 @query("corpus_top_license", _W + _LIC + """
 SELECT license, CAST(count(*) AS BIGINT) AS n FROM lic WHERE license IS NOT NULL GROUP BY license
 ORDER BY n DESC, license LIMIT 1

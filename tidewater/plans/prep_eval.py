@@ -144,6 +144,33 @@ def eval_misclassified(spark, d):
     return EV.misclassified(p, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 10)
 
 
+# fixed rule: the probability of quality 1 grows with the length of the text
+_TEXT_P = "1.0 / (1.0 + exp(-((length(text) - 1000) / 500.0)))"
+
+
+@query("eval_misclassified_texts", f"""
+SELECT doc_id, text, quality AS label, CAST(p >= 0.5 AS INTEGER) AS prediction, round(p, 6) AS probability
+FROM (SELECT doc_id, text, quality, {_TEXT_P} AS p FROM labels JOIN documents USING (doc_id))
+WHERE quality <> CAST(p >= 0.5 AS INTEGER) ORDER BY doc_id LIMIT 10
+""")
+def eval_misclassified_texts(spark, d):
+    """P16 with the texts and the probabilities."""
+    t = Tables(spark, d)
+    p = EV.sigmoid((F.length("text") - 1000) / 500.0)
+    pred = (t.labels.join(t.documents.select("doc_id", "text"), "doc_id").withColumn("p", p)
+            .select("doc_id", "text", F.col("quality").alias("label"), (F.col("p") >= 0.5).cast("int").alias("prediction"), F.round("p", 6).alias("probability")))
+    return EV.misclassified(pred, ["doc_id"], 10)
+
+
+@query("eval_activations", """
+SELECT round(avg(tanh(10 * (l_discount - 0.05))), 6) AS mean_tanh, round(avg(1.0 / (1.0 + exp(-(10 * (l_discount - 0.05))))), 6) AS mean_sigmoid FROM lineitem
+""")
+def eval_activations(spark, d):
+    """both activations."""
+    z = 10 * (F.col("l_discount") - 0.05)
+    return Tables(spark, d).lineitem.agg(F.round(F.avg(EV.activation(z, "tanh")), 6).alias("mean_tanh"), F.round(F.avg(EV.activation(z, "sigmoid")), 6).alias("mean_sigmoid"))
+
+
 @query("eval_class_impurity", """
 WITH c AS (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1), t AS (SELECT sum(n) AS t FROM c)
 SELECT round(-sum((n / t) * log2(n / t)), 6) AS entropy, round(1 - sum((n / t) * (n / t)), 6) AS gini,
