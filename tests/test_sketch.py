@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions import hashing as H
@@ -62,3 +63,16 @@ def test_hash_histogram_counts_all(spark):
     h = SK.hash_histogram(df, "id", 50)
     assert h.agg(F.sum("n")).first()[0] == 1000
     assert {r.bin for r in h.collect()} <= set(range(1, 51))
+
+
+def test_null_keys_are_no_elements(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "x bigint")
+    assert SK.hll_estimate(SK.hll_registers(df, "x")).first().zero_registers == 1024 - 3
+
+
+def test_sketches_of_other_sizes_are_refused(spark):
+    df = spark.range(100)
+    big, small = SK.hll_registers(df, "id", 10), SK.hll_registers(df, "id", 8)
+    with pytest.raises(ValueError, match="different size"):
+        SK.hll_merge(big, small)
+    assert SK.sketch_size(SK.hll_merge(big, big)) == 10

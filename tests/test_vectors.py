@@ -90,3 +90,35 @@ def test_geo_grid_exact_under_skew(spark):
         qs.select("q_id", F.array(F.radians("lat"), F.radians("lon")).alias("vec")), 2, "haversine").collect())
     got = sorted((r.q_id, r.id) for r in nn_grid(pts, qs, 2, cell_deg=5.0, max_points=40, max_queries=7).collect())
     assert got == want
+
+
+def test_query_sets_of_any_size(spark):
+    X, df = _data(spark, n=40, d=3, seed=4)
+    rs = np.random.RandomState(8)
+    many = spark.range(200_001).select(F.col("id").alias("q_id"), F.array(*[(F.col("id") % (7 + j)).cast("double") / 5 for j in range(3)]).alias("vec"))
+    got = K.knn(df, many, 1, "euclidean")
+    assert got.count() == 200_001
+    some = rs.randint(0, 200_001, 20).tolist()
+    found = {r.q_id: r.id for r in got.filter(F.col("q_id").isin(some)).collect()}
+    for q in some:
+        v = np.array([(q % (7 + j)) / 5 for j in range(3)])
+        d = np.sqrt(((X - v) ** 2).sum(axis=1))
+        assert found[q] == int(np.argmin(d))
+    unit = K.l2_normalize(df, "vec", "unit")
+    queries = K.l2_normalize(spark.range(25_001).select(F.col("id").alias("q_id"), F.array(*[((F.col("id") % (5 + j)) - 2).cast("double") for j in range(3)]).alias("vec")),
+                             "vec", "unit")
+    planes, pos = LSH.lsh_params(3, n_planes=4, n_tables=2, seed=1)
+    assert LSH.topk_lsh(unit, queries, 1, planes, pos[:, :1]).select("q_id").distinct().count() > 20_000
+
+
+def test_lsh_buckets_follow_the_data():
+    import pyarrow.parquet as pq
+    assert [LSH.lsh_bits(n) for n in (0, 1, 256, 257, 10**9, 10**12)] == [8, 8, 8, 9, 30, 32]
+    X = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet").column("embedding").to_pylist(), dtype=np.float64)
+    planes, pos = LSH.lsh_params(X.shape[1])
+    assert all(len(set(p)) == len(p) for p in pos.tolist())
+    codes = LSH._buckets(X, planes, pos[:, :LSH.lsh_bits(len(X))])
+    shared = np.zeros((len(X), len(X)), bool)
+    for c in codes:
+        shared |= c[:, None] == c[None, :]
+    assert (shared.sum() - len(X)) / (len(X) * (len(X) - 1)) < 0.05
