@@ -10,8 +10,9 @@ wins; of equal sums the path with the longer last piece, and so on backwards).
 
 Where no piece holds two neighbouring characters, every path goes through the
 state between them, so the composition is cut there: before a mark that follows
-another character, and around characters that no piece holds. Equal parts have
-equal paths, so a worker solves each part once while it stays in its cache.
+another character, between a letter and a sign that no piece joins, and around
+line ends and tabs that no piece holds. Equal parts have equal
+paths, so a worker solves each part once while it stays in its cache.
 ``decode`` is the inverse transducer.
 
 A null or empty text has no pieces. Models whose normaliser maps characters
@@ -59,13 +60,27 @@ class Transducer(dict):
             self.weights[self.unknown] = self.fallback
         self.plain = [b"" if kind in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode()
                       for p, _, kind in pieces]
-        # the trie, as the set of its states
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-        held = {c for p in self.ids for c in p}
-        inside = any(a != MARK and b == MARK for p in self.ids for a, b in zip(p, p[1:], strict=False))
-        lone = "".join(re.escape(c) for c in "\n\t\r" if c not in held)
-        other = f"[^{MARK}{lone}]"
-        self.parts = re.compile((f"[{lone}]|" if lone else "") + (f"[^{lone}]+" if inside and lone else "(?s:.)+" if inside else f"{MARK}*{other}+|{MARK}+"))
+        # the trie: of each state the weight of the piece that ends there, or None
+        self.arcs: dict[str, float | None] = {p[:n]: None for p in self.ids for n in range(1, len(p) + 1)}
+        self.arcs |= {p: float(self.weights[i]) for p, i in self.ids.items()}
+        self.parts = re.compile(self._cuts())
+
+    def _cuts(self) -> str:
+        """A pattern of the parts of a text between states that every path goes through."""
+        before: dict[str, set[str]] = {}  # what stands before a character inside pieces
+        for p in self.ids:
+            before.setdefault(p[0], set())
+            for a, b in zip(p, p[1:], strict=False):
+                before.setdefault(b, set()).add(a)
+        lone = "".join(c for c in "\n\t\r" if c not in before)
+        if before.get(MARK, set()) - {MARK}:  # a piece goes on over a mark
+            return (f"[{lone}]|[^{lone}]+") if lone else "(?s:.)+"
+        # ASCII signs that follow a Latin letter in no piece: between the two there is such a state
+        latin = {chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and chr(c) not in "ªº"}
+        signs = "".join(re.escape(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" if not before.get(c, set()) & latin)
+        letter, other, glue = "A-Za-zÀ-ÖØ-öø-ÿµ", f"[^A-Za-zÀ-ÖØ-öø-ÿµ{MARK}{lone}]", f"[^A-Za-zÀ-ÖØ-öø-ÿµ{MARK}{lone}{signs}]"
+        run = f"[{letter}]+(?:{glue}{other}*)?"  # letters, and what no sign parts from them
+        return f"[{lone}]|" * bool(lone) + f"{MARK}*(?:{other}+(?:{run})*|(?:{run})+)|{MARK}+"
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -74,31 +89,32 @@ class Transducer(dict):
 
     def shortest(self, part: str) -> tuple[float, list[int]]:
         """Weight and ids of the shortest path of a normalised text."""
-        n, ids, weights, prefixes = len(part), self.ids, self.weights, self.prefixes
+        n, arcs, fallback = len(part), self.arcs, self.fallback
         best = [0.0] + [float("inf")] * n
-        back: list[tuple[int, int | None]] = [(0, None)] * (n + 1)
+        back = [0] * (n + 1)
         for i in range(n):
             here = best[i]
-            if part[i] not in ids and here + self.fallback < best[i + 1]:
-                best[i + 1], back[i + 1] = here + self.fallback, (i, None)
             for j in range(i + 1, n + 1):
                 arc = part[i:j]
-                if arc not in prefixes:
+                if arc not in arcs:
                     break
-                piece = ids.get(arc)
-                if piece is not None and here + weights[piece] < best[j]:
-                    best[j], back[j] = here + weights[piece], (i, piece)
+                weight = arcs[arc]
+                if weight is not None and here + weight < best[j]:
+                    best[j], back[j] = here + weight, i
+            if here + fallback < best[i + 1] and part[i] not in self.ids:
+                best[i + 1], back[i + 1] = here + fallback, i
         out: list[int] = []
         at = n
         while at:
-            begin, piece = back[at]
+            arc = part[back[at]:at]
+            piece = self.ids.get(arc)
             if piece is not None:
                 out.append(piece)
             elif self.bytes:
-                out += [self.bytes[b] for b in reversed(part[begin:at].encode("utf-8", "replace"))]
+                out += [self.bytes[b] for b in reversed(arc.encode("utf-8", "replace"))]
             else:
                 out.append(self.unknown)
-            at = begin
+            at = back[at]
         return best[n], out[::-1]
 
     def __missing__(self, part: str) -> bytes:
