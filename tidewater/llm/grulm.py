@@ -25,6 +25,7 @@ only.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
 from dataclasses import dataclass
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.shared import saved
 from tidewater.llm.words import in_parts, texts
 
-FLUSH = 300_000
+FLUSH = 500_000
 SLOT = 2_048  # parameters in a row of the averaging
 
 
@@ -77,10 +78,10 @@ class Vocabulary:
         return len(self.class_from)  # the last one holds all other words
 
     @property
-    def other(self) -> tuple[float, float]:
+    def other(self) -> float:
         """Sum of (c + 1) over the words of the last class, with one unseen."""
         own = int(self.counts[:self.n_own - 1].sum())
-        return float(self.tokens - self.documents - own + (self.types - self.n_own) + 1)
+        return float(self.tokens - self.documents - own + max(0, self.types - self.n_own) + 1)
 
 
 def vocabulary(counts: DataFrame, documents: int, n_head: int, n_words: int, n_classes: int) -> Vocabulary:
@@ -111,7 +112,7 @@ class Index(dict):
 
     def places(self, words: list[bytes]) -> np.ndarray:
         get = self.get
-        return np.fromiter([get(w, -1) for w in words], np.int64, len(words))
+        return np.fromiter([get(w, -1) for w in words], np.int32, len(words))
 
 
 def own_tokens(places: np.ndarray, n_own: int) -> np.ndarray:
@@ -119,9 +120,19 @@ def own_tokens(places: np.ndarray, n_own: int) -> np.ndarray:
     return np.where((places >= 0) & (places < n_own - 1), places + 1, n_own)
 
 
-def softmax_log(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def log_softmax_of(logits: np.ndarray, targets: np.ndarray, grad: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Of logits with a column for each row of a batch (sums over the outputs
+    then go along whole rows): log softmax at the targets and its gradient."""
+    columns = np.arange(len(targets))
+    logits -= logits.max(0)
+    at = logits[targets, columns]
+    np.exp(logits, out=logits)
+    total = logits.sum(0)
+    if not grad:
+        return at - np.log(total), None
+    logits /= -total
+    logits[targets, columns] += 1.0
+    return at - np.log(total), logits
 
 
 class Network:
@@ -151,16 +162,6 @@ class Network:
             mass = np.array([own[a:b].sum() for a, b in zip(vocab.class_from[:-1], vocab.class_from[1:], strict=True)] + [vocab.tokens - own.sum()])
             self.p["cb"][:] = np.log(mass + 1.0)
 
-    def step(self, state: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One token for each lane: new state and what the way back needs."""
-        h, p = self.h, self.p
-        gates = inputs[:, :2 * h] + state @ p["u"]
-        gates = 1.0 / (1.0 + np.exp(-gates))
-        keep, reset = gates[:, :h], gates[:, h:]
-        held = reset * state
-        new = np.tanh(inputs[:, 2 * h:] + held @ p["v"])
-        return new + keep * (state - new), gates, held, new
-
     def outputs(self, states: np.ndarray, targets: np.ndarray, grad: bool):
         """Natural log probability of each target (of the last class: of the
         class alone), and with ``grad`` the gradients of their sum."""
@@ -168,15 +169,12 @@ class Network:
         own = targets < self.n_own
         which = np.full(len(targets), vocab.n_classes - 1)
         which[own] = vocab.class_of[targets[own]]
-        logs = softmax_log(states @ p["c"].T + p["cb"])
-        rows = np.arange(len(targets))
-        out = logs[rows, which].astype(np.float64)
+        found, d = log_softmax_of(p["c"] @ states.T + p["cb"][:, None], which, grad)
+        out = found.astype(np.float64)
         if grad:
-            d = -np.exp(logs)
-            d[rows, which] += 1.0
-            g = {"c": d.T @ states, "cb": d.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
-            back = d @ p["c"]
-        order = np.argsort(which, kind="stable")
+            g = {"c": d @ states, "cb": d.sum(1), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+            back = d.T @ p["c"]
+        order = np.argsort(which.astype(np.uint16), kind="stable")
         edges = np.searchsorted(which[order], np.arange(vocab.n_classes))
         for k in range(vocab.n_classes - 1):
             a, b = vocab.class_from[k], vocab.class_from[k + 1]
@@ -184,14 +182,11 @@ class Network:
             if b - a < 2 or not len(at):
                 continue
             s = states[at]
-            logs = softmax_log(s @ p["w"][a:b].T + p["wb"][a:b])
-            inner = targets[at] - a
-            out[at] += logs[np.arange(len(at)), inner]
+            found, d = log_softmax_of(p["w"][a:b] @ s.T + p["wb"][a:b, None], targets[at] - a, grad)
+            out[at] += found
             if grad:
-                d = -np.exp(logs)
-                d[np.arange(len(at)), inner] += 1.0
-                g["w"][a:b], g["wb"][a:b] = d.T @ s, d.sum(0)
-                back[at] += d @ p["w"][a:b]
+                g["w"][a:b], g["wb"][a:b] = d @ s, d.sum(1)
+                back[at] += d.T @ p["w"][a:b]
         return (out, back, g) if grad else out
 
     def window(self, state, tokens, fresh, targets, grad: bool):
@@ -199,38 +194,55 @@ class Network:
         document begins. Returns log probabilities, the last state and, with
         ``grad``, the gradient of their sum as one vector."""
         h, p = self.h, self.p
-        table = p["x"] + p["b"]
-        steps, states = [], []
-        for t in range(len(tokens)):
-            state = state * (1.0 - fresh[t])[:, None]
-            new, *kept = self.step(state, table[tokens[t]])
-            steps.append((state, *kept))
-            state = new
-            states.append(state)
-        every = np.concatenate(states)
+        time, n = tokens.shape
+        inputs = (p["x"] + p["b"])[tokens]
+        stays = (1.0 - fresh)[:, :, None]
+        old, states, new = (np.empty((time, n, h), inputs.dtype) for _ in range(3))
+        gates = inputs[:, :, :2 * h]  # becomes the gates: how much of the state lasts, and how much the new one sees
+        held = np.empty((time, n, h), inputs.dtype)
+        for t in range(time):
+            np.multiply(state, stays[t], out=old[t])
+            g = gates[t]
+            g += old[t] @ p["u"]
+            np.negative(g, out=g)
+            np.exp(g, out=g)
+            g += 1.0
+            np.reciprocal(g, out=g)
+            np.multiply(g[:, h:], old[t], out=held[t])
+            np.tanh(inputs[t, :, 2 * h:] + held[t] @ p["v"], out=new[t])
+            state = np.subtract(old[t], new[t], out=states[t])
+            state *= g[:, :h]
+            state += new[t]
+        every = states.reshape(-1, h)
         if not grad:
             return self.outputs(every, targets.ravel(), False), state, None
         out, back, g = self.outputs(every, targets.ravel(), True)
-        back = back.reshape(len(tokens), -1, h)
-        gu, gv = np.zeros_like(p["u"]), np.zeros_like(p["v"])
-        gx = np.empty((len(tokens), tokens.shape[1], 3 * h), np.float32)
-        d_state = np.zeros_like(state)
-        for t in range(len(tokens) - 1, -1, -1):
-            old, gates, held, new = steps[t]
-            keep, reset = gates[:, :h], gates[:, h:]
-            d = back[t] + d_state
-            d_new = d * (1.0 - keep) * (1.0 - new * new)
-            d_held = d_new @ p["v"].T
-            d_gates = np.concatenate([d * (old - new), d_held * old], 1) * gates * (1.0 - gates)
-            gx[t, :, :2 * h], gx[t, :, 2 * h:] = d_gates, d_new
-            gu += old.T @ d_gates
-            gv += held.T @ d_new
-            d_state = (d * keep + d_held * reset + d_gates @ p["u"].T) * (1.0 - fresh[t])[:, None]
-        flat, order = gx.reshape(-1, 3 * h), np.argsort(tokens.ravel(), kind="stable")
-        seen, begin = np.unique(tokens.ravel()[order], return_index=True)
+        back = back.reshape(time, n, h)
+        keep, reset = gates[:, :, :h], gates[:, :, h:]
+        # what a gradient of the state is multiplied with on its way to the inputs of each gate
+        to_new = (1.0 - keep) * (1.0 - new * new)
+        to_keep = (old - new) * keep * (1.0 - keep)
+        to_reset = old * reset * (1.0 - reset)
+        gx = np.empty((time, n, 3 * h), inputs.dtype)
+        d = np.zeros_like(state)
+        ut, vt = p["u"].T.copy(), p["v"].T.copy()
+        for t in range(time - 1, -1, -1):
+            d = d + back[t]
+            d_new = np.multiply(d, to_new[t], out=gx[t, :, 2 * h:])
+            d_held = d_new @ vt
+            np.multiply(d, to_keep[t], out=gx[t, :, :h])
+            np.multiply(d_held, to_reset[t], out=gx[t, :, h:2 * h])
+            d *= keep[t]
+            d_held *= reset[t]
+            d += d_held
+            d += gx[t, :, :2 * h] @ ut
+            d *= stays[t]
+        flat, places = gx.reshape(-1, 3 * h), tokens.ravel()
+        order = np.argsort(places.astype(np.uint16) if self.n_own < 1 << 16 else places, kind="stable")
+        seen, begin = np.unique(places[order], return_index=True)
         table_grad = np.zeros_like(p["x"])
         table_grad[seen] = np.add.reduceat(flat[order], begin, 0)
-        g |= {"x": table_grad, "u": gu, "v": gv, "b": flat.sum(0)}
+        g |= {"x": table_grad, "u": old.reshape(-1, h).T @ flat[:, :2 * h], "v": held.reshape(-1, h).T @ flat[:, 2 * h:], "b": table_grad.sum(0)}
         return out, state, np.concatenate([g[k].ravel() for k in p])
 
 
@@ -246,35 +258,45 @@ class Adam:
         vector += rate * self.m / (np.sqrt(self.v) + 1e-6)
 
 
-def lanes(docs: list[np.ndarray], n: int, n_own: int):
-    """Documents end to end in ``n`` lanes of about equal length: for each time
-    and lane the input token, the target, whether a document begins, and its
-    number (-1 behind the last)."""
-    ends = np.zeros(n, np.int64)
-    places = []
-    for i in sorted(range(len(docs)), key=lambda i: (-len(docs[i]), i)):
-        lane = int(np.argmin(ends))
-        places.append((i, lane, int(ends[lane])))
-        ends[lane] += len(docs[i])
-    length = int(ends.max(initial=0))
-    inputs, targets = np.zeros((length, n), np.int64), np.zeros((length, n), np.int64)
-    fresh, number = np.ones((length, n), np.float32), np.full((length, n), -1, np.int64)
-    for i, lane, at in places:
-        doc = docs[i]
-        inputs[at + 1:at + len(doc), lane] = doc[:-1]  # the first input is the end of what came before
-        targets[at:at + len(doc), lane] = doc
-        fresh[at + 1:at + len(doc), lane] = 0.0
-        number[at:at + len(doc), lane] = i
-    return inputs, targets, fresh, number
-
-
-def windows(packed, size: int):
-    """Windows of lanes; lanes that have ended are left out (they are last)."""
-    inputs, targets, fresh, number = packed
-    order = np.argsort(-(number >= 0).sum(0), kind="stable")
-    for at in range(0, len(inputs), size):
-        live = order[:int((number[at] >= 0).sum())]
-        yield live, *(x[at:at + size][:, live] for x in (inputs, targets, fresh, number))
+class Lanes:
+    """Documents end to end in ``n`` lanes of about equal length, longest
+    first. Of each place: the input token (the one before it), the target,
+    whether a document begins there, and the document's number. Only as much
+    is held as there are tokens, however long a document is."""
+
+    def __init__(self, docs: list[np.ndarray], n: int):
+        heap = [(0, k) for k in range(n)]
+        held: list[list[int]] = [[] for _ in range(n)]
+        for i in sorted(range(len(docs)), key=lambda i: (-len(docs[i]), i)):
+            size, k = heapq.heappop(heap)
+            held[k].append(i)
+            heapq.heappush(heap, (size + len(docs[i]), k))
+        sizes = {k: size for size, k in heap}
+        order = [i for k in sorted(sizes, key=lambda k: -sizes[k]) for i in held[k]]
+        self.sizes = np.array(sorted(sizes.values(), reverse=True), np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        lengths = np.array([len(docs[i]) for i in order], np.int64)
+        self.target = np.concatenate([docs[i] for i in order]) if order else np.empty(0, np.int64)
+        self.number = np.repeat(np.array(order, np.int64), lengths)
+        first = np.cumsum(lengths) - lengths
+        self.input = np.empty_like(self.target)
+        self.input[1:] = self.target[:-1]
+        self.input[first] = 0  # the first input is the end of what came before
+        self.fresh = np.zeros(len(self.target), np.float32)
+        self.fresh[first] = 1.0
+
+    def windows(self, size: int):
+        """(lanes that go on, inputs, targets, beginnings, numbers) of each
+        window of ``size`` places; behind a lane's last place the number is -1,
+        the state begins anew and the end follows the end."""
+        for at in range(0, int(self.sizes.max(initial=0)), size):
+            live = int((self.sizes > at).sum())
+            place = np.arange(at, at + size)[:, None]
+            inside = place < self.sizes[:live]
+            inside = inside[inside.any(1)]
+            place = np.where(inside, place[:len(inside)] + self.begins[:live], 0)
+            yield (live, np.where(inside, self.input[place], 0), np.where(inside, self.target[place], 0),
+                   np.where(inside, self.fresh[place], np.float32(1)), np.where(inside, self.number[place], -1))
 
 
 def doc_tokens(split: list[list[bytes]], index: Index, n_own: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -305,10 +327,12 @@ def averaged(parts: DataFrame, size: int) -> np.ndarray | None:
 
 
 def train(docs: DataFrame, vocab: Vocabulary, hidden: int = 16, rounds: int = 2, window: int = 16, most_lanes: int = 512,
-          updates: int = 400, rate: float = 0.01) -> np.ndarray:
-    """Parameters after one pass over ``docs`` (doc_id, text). A task takes as
-    many lanes, up to ``most_lanes``, as leave it about ``updates`` windows in a
-    part of 4 MB."""
+          updates: int = 400, piece: int = 1_024, rate: float = 0.01) -> np.ndarray:
+    """Parameters after one pass over ``docs`` (doc_id, text). A task begins
+    with few lanes and takes more, up to ``most_lanes``, as it goes on: as many
+    as would make ``updates`` windows of the tokens that it has had. In training
+    alone, a document of over ``piece`` tokens goes on in another lane, from the
+    zero state, so that no lane is much longer than the others."""
     vector = Network(vocab, hidden).vector
     if not vocab.documents:
         return vector
@@ -323,14 +347,12 @@ def train(docs: DataFrame, vocab: Vocabulary, hidden: int = 16, rounds: int = 2,
             adam, tokens = Adam(len(start), rate / (1 + r)), 0
             for part in in_parts(batches):
                 _, found = doc_tokens([t.lower().split() for t in texts(part.column("text"))], index, vocab.n_own)
-                n = sum(map(len, found))
-                tokens += n
-                packed = lanes(found, max(8, min(most_lanes, n // (window * updates))), vocab.n_own)
-                state = np.zeros((packed[0].shape[1], hidden), np.float32)
-                for live, inputs, targets, fresh, number in windows(packed, window):
-                    # behind a lane's last document the state begins anew, and the end follows the end
-                    out, last, grad = net.window(state[live], inputs, fresh, targets, True)
-                    state[live] = last
+                found = [x[k:k + piece] for x in found for k in range(0, len(x), piece)]
+                tokens += sum(map(len, found))
+                packed = Lanes(found, max(8, min(most_lanes, tokens // (window * updates))))
+                state = np.zeros((len(packed.sizes), hidden), np.float32)
+                for live, inputs, targets, fresh, _ in packed.windows(window):
+                    out, state, grad = net.window(state[:live], inputs, fresh, targets, True)
                     adam.climb(net.vector, grad / out.size)
             if tokens:
                 data = np.pad(net.vector, (0, -len(net.vector) % SLOT)).reshape(-1, SLOT)
@@ -347,53 +369,78 @@ _SCORED = pa.schema([("kind", pa.int32()), ("row", pa.int64()), ("doc_id", pa.in
                      ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("times", pa.int64())])
 
 
-def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, vector: np.ndarray, hidden: int = 16, window: int = 32, most_lanes: int = 1024) -> DataFrame:
+def log_likelihoods(net: Network, docs: list[np.ndarray], window: int, most_lanes: int) -> np.ndarray:
+    """log10 probability of each document's tokens, the last class as one."""
+    if not docs:
+        return np.empty(0)
+    total = np.zeros(len(docs))
+    # no more lanes than the longest document leaves to be filled
+    packed = Lanes(docs, max(1, min(most_lanes, len(docs), max(64, sum(map(len, docs)) // max(map(len, docs))))))
+    state = np.zeros((len(packed.sizes), net.h), np.float32)
+    for live, inputs, targets, fresh, number in packed.windows(window):
+        out, state, _ = net.window(state[:live], inputs, fresh, targets, False)
+        inside = number.ravel() >= 0
+        total += np.bincount(number.ravel()[inside], out[inside], minlength=len(docs))
+    return total / math.log(10.0)
+
+
+def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, vector: np.ndarray, hidden: int = 16, window: int = 32, most_lanes: int = 1024,
+          long_tokens: int = 1_500, held_tokens: int = 1 << 21) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
-    of every row of ``docs`` (doc_id, text, held_out)."""
+    of every row of ``docs`` (doc_id, text, held_out). A task puts documents of
+    over ``long_tokens`` tokens aside, up to ``held_tokens`` of them, and runs
+    them side by side."""
     shared = docs.sparkSession.sparkContext.broadcast((vocab, vector))
 
     def run(batches):
         vocab, params = shared.value
         net, index = Network(vocab, hidden, params), Index(vocab)
         known = np.log10(np.append(vocab.counts, 0) + 1.0)  # the last: of a word outside the head, by the join
-        n_own, first_row = vocab.n_own, TaskContext.get().partitionId() << 40
-        for part in in_parts(batches, 8 << 20):
-            split = [t.lower().split() for t in texts(part.column("text"))]
-            places, found = doc_tokens(split, index, n_own)
-            n = sum(map(len, found))
-            log = np.zeros(len(found))
-            packed = lanes(found, max(1, min(most_lanes, len(found))), n_own)
-            state = np.zeros((packed[0].shape[1], hidden), np.float32)
-            for live, inputs, targets, fresh, number in windows(packed, window):
-                out, last, _ = net.window(state[live], inputs, fresh, targets, False)
-                state[live] = last
-                inside = number.ravel() >= 0
-                log += np.bincount(number.ravel()[inside], out[inside], minlength=len(found))
-            log /= math.log(10.0)
-            n_known, base, tail = [], [], ([], [], [])
-            end = math.log10(vocab.documents + 1.0)
-            for i, (x, words) in enumerate(zip(places, split, strict=True)):
-                outside = np.flatnonzero(x < 0).tolist()
-                base.append(float(known[x].sum()) + end)
-                n_known.append(len(words) - len(outside) + (vocab.documents > 0))
+        end, other = math.log10(vocab.documents + 1.0), math.log10(vocab.other)
+        n_own, row = vocab.n_own, TaskContext.get().partitionId() << 40
+
+        def rows(items):
+            nonlocal row
+            logs = log_likelihoods(net, [tokens for _, _, tokens, _, _ in items], window, most_lanes)
+            size, n_known, base, tail = len(items), [], [], ([], [], [])
+            for i, (_, _, tokens, places, outside) in enumerate(items):
+                n_outside = sum(outside.values())
+                base.append(float(known[places].sum()) + end)
+                n_known.append(len(places) - n_outside + (vocab.documents > 0))
                 # words of the last class have their share in it, too
-                log[i] += float(known[x[x >= n_own - 1]].sum()) - math.log10(vocab.other) * int((found[i] == n_own).sum())
-                for word, times in Counter(words[k] for k in outside).items():
-                    tail[0].append(first_row + i)
-                    tail[1].append(word)
-                    tail[2].append(times)
-            size, more = len(found), len(tail[0])
+                logs[i] += float(known[places[places >= n_own - 1]].sum()) - other * int((tokens == n_own).sum())
+                tail[0].extend([row + i] * len(outside))
+                tail[1].extend(outside)
+                tail[2].extend(outside.values())
             yield pa.RecordBatch.from_arrays([
-                pa.array([0] * size, pa.int32()), pa.array(range(first_row, first_row + size), pa.int64()), part.column("doc_id"), part.column("held_out"),
-                pa.array([len(x) for x in found], pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(log, pa.float64()),
-                pa.nulls(size, pa.binary()), pa.nulls(size, pa.int64())], schema=_SCORED)
-            for at in range(0, more, 100_000):
-                rows, words, times = (c[at:at + 100_000] for c in tail)
-                k = len(rows)
+                pa.array([0] * size, pa.int32()), pa.array(range(row, row + size), pa.int64()), pa.array([x[0] for x in items], pa.int64()),
+                pa.array([x[1] for x in items], pa.bool_()), pa.array([len(x[2]) for x in items], pa.int64()), pa.array(n_known, pa.int64()),
+                pa.array(base, pa.float64()), pa.array(logs, pa.float64()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.int64())], schema=_SCORED)
+            for at in range(0, len(tail[0]), 100_000):
+                own, words, times = (c[at:at + 100_000] for c in tail)
+                k = len(own)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([1] * k, pa.int32()), pa.array(rows, pa.int64()), *(pa.nulls(k, t) for t in _SCORED.types[2:8]),
+                    pa.array([1] * k, pa.int32()), pa.array(own, pa.int64()), *(pa.nulls(k, t) for t in _SCORED.types[2:8]),
                     pa.array(words, pa.binary()), pa.array(times, pa.int64())], schema=_SCORED)
-            first_row += size
+            row += size
+
+        aside, aside_tokens = [], 0
+        for part in in_parts(batches):
+            split = [t.lower().split() for t in texts(part.column("text"))]
+            items = []
+            for doc, out, words, places, tokens in zip(part.column("doc_id").to_pylist(), part.column("held_out").to_pylist(), split,
+                                                       *doc_tokens(split, index, n_own), strict=True):
+                item = (doc, out, tokens, places, Counter(words[k] for k in np.flatnonzero(places < 0).tolist()))
+                if len(tokens) > long_tokens:
+                    aside.append(item)
+                    aside_tokens += len(tokens)
+                else:
+                    items.append(item)
+            yield from rows(items)
+            if aside_tokens > held_tokens:
+                yield from rows(aside)
+                aside, aside_tokens = [], 0
+        yield from rows(aside)
 
     found = saved(docs.mapInArrow(run, SCORED), "lm-scored")
     # words outside the head: their counts come by a join, and sums go back to the documents
