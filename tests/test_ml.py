@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import evaluate as EV
@@ -48,3 +49,43 @@ def test_activations(spark):
     got = [(r.t, r.s) for r in df.select(EV.activation(F.col("z"), "tanh").alias("t"),
                                          EV.activation(F.col("z")).alias("s")).orderBy("z").collect()]
     assert got[0] == (0.0, 0.5) and abs(got[1][0] - math.tanh(1)) < 1e-12
+
+
+def _points(spark, n=400):
+    rs = np.random.RandomState(6)
+    a, b = rs.uniform(0, 1, n), rs.uniform(0, 1, n)
+    return spark.createDataFrame([(float(x), float(z), "u" if x > 0.6 else "v" if z > 0.5 else "w", 2 * float(x) + float(z)) for x, z in zip(a, b)],
+                                 "a double, b double, label string, y double")
+
+
+@pytest.mark.parametrize("kind", ["tree", "forest", "gbt", "svc", "logistic"])
+def test_models_are_no_worse_than_the_majority(spark, kind):
+    df = _points(spark)
+    model = ML.fit_classifier(df, ["a", "b"], "label", kind, num_trees=5, iters=10)
+    r = ML.against_majority(model, df, df, "label").first()
+    assert r.n == 400 and 0.2 < r.baseline < 0.6 and r.reaches
+    assert ML.evaluate_classifier(model, df).first().accuracy > 0.75
+
+
+def test_mlp_and_regressors_against_baselines(spark):
+    df = _points(spark)
+    two = df.withColumn("label", F.when(F.col("label") == "u", "u").otherwise("o"))
+    assert ML.against_majority(ML.fit_classifier(two, ["a", "b"], "label", "mlp"), two, two, "label").first().reaches
+    for model in (ML.fit_forest_regressor(df, ["a", "b"], "y", num_trees=5, max_depth=4), ML.fit_lasso(df, ["a", "b"], "y")):
+        r = ML.against_mean(model, df, df, "y").first()
+        assert r.n == 400 and r.reaches
+    curve = ML.regression_curve(df, df, ["a", "b"], "y", depths=(1, 4)).collect()
+    assert curve[1].train_mse < curve[0].train_mse
+
+
+def test_cross_validation_of_any_estimator_and_sweeps(spark):
+    df = _points(spark, 150)
+    pipe = ML.Pipeline(stages=[*ML._assembler(["a", "b"]), ML.LinearRegression(featuresCol="features", labelCol="y")])
+    assert ML.cross_validate(df, pipe, [{}], metric="mse:y", folds=3)[0] < 1e-6
+    depths = ML.cross_validate_depths(df, ["a", "b"], "label", folds=2, depths=(1, 3)).collect()
+    assert [r.max_depth for r in depths] == [1, 3] and depths[1].avg_accuracy > depths[0].avg_accuracy
+    sweep = ML.depth_sweep(df, df, ["a", "b"], "label", depths=(1, 3), trees=(1, 3)).collect()
+    assert [(r.max_depth, r.num_trees) for r in sweep] == [(1, 1), (3, 1), (1, 3), (3, 3)]
+    texts = spark.createDataFrame([(i, ("good fine" if i % 2 else "bad poor") + f" w{i % 5}", str(i % 2)) for i in range(40)], "doc_id int, text string, label string")
+    grid = ML.text_grid(texts, vocabularies=(20,), ngrams=(1,), cs=(1.0,), folds=2).collect()
+    assert [(r.vocab, r.ngram, r.c, r.l1) for r in grid] == [(20, 1, 1.0, 1.0), (20, 1, 1.0, 0.0)] and grid[1].avg_accuracy > 0.9

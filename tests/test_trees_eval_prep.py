@@ -132,3 +132,17 @@ def test_regression_tree_growth(spark):
     assert abs(nodes[1].threshold - 1.0) < 0.03
     assert nodes[2].feature is None and nodes[3].feature is None  # pure children stop (variance 0)
     assert nodes[2].prediction == 0.0 and nodes[3].prediction == 1.0
+
+
+def test_equal_leaves_merge_up_the_tree(spark):
+    # the label depends on a alone: whatever is split below a's threshold merges again
+    df = spark.createDataFrame([(float(a), float(b), "hi" if a >= 4 else "lo") for a in range(8) for b in range(8)] + [(0.0, 0.0, "hi")], "a double, b double, label string")
+    nodes = {r.node: r for r in TR.grow_tree(df, ["a", "b"], "label", ["hi", "lo"], max_depth=3).collect()}
+    assert all(r.feature or n == 1 or nodes[n // 2].feature for n, r in nodes.items())  # no node below a leaf
+    for n, r in nodes.items():
+        if r.feature:
+            low, high = nodes[2 * n], nodes[2 * n + 1]
+            assert low.feature or high.feature or low.prediction != high.prediction
+    t = TR.grow_tree(df, ["a", "b"], "label", ["hi", "lo"], max_depth=3)
+    one = rows(TR.apply_tree(df, t), "a", "b", "prediction")
+    assert one == rows(TR.apply_tree_by_levels(df, t, ["a", "b"], 3), "a", "b", "prediction")

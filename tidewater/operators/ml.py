@@ -15,12 +15,14 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (IDF, CountVectorizer, NGram, OneHotEncoder, RegexTokenizer, SQLTransformer,
                                 StandardScaler, StringIndexer, VectorAssembler)
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import TOKEN_RX
+from tidewater.operators import evaluate as EV
+from tidewater.operators.common import attach_scalars
 
 
 def _label_indexer(label: str) -> StringIndexer:
@@ -93,6 +95,22 @@ def regression_mse(model, test: DataFrame, label: str) -> DataFrame:
                  F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+def against_majority(model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+    """(n, baseline, reaches): the test rows, the accuracy of the training
+    majority class on them, and whether the model is no worse (M1)."""
+    base = EV.accuracy(EV.baseline_majority(train.select(F.col(label).alias("label")), test.select(F.col(label).alias("label"))))
+    both = attach_scalars(evaluate_classifier(model, test), base.select(F.col("accuracy").alias("baseline")))
+    return both.select("n", F.round("baseline", 6).alias("baseline"), (F.col("accuracy") >= F.col("baseline")).alias("reaches"))
+
+
+def against_mean(model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+    """(n, baseline, reaches): the test rows, the mean squared error of the
+    training mean on them, and whether the model is no worse (M2)."""
+    base = EV.baseline_mean(train, test, label).agg(F.avg(F.pow(F.col(label) - F.col("prediction"), 2)).alias("baseline"))
+    both = attach_scalars(regression_mse(model, test, label), base)
+    return both.select("n", F.round("baseline", 6).alias("baseline"), (F.col("mse") <= F.col("baseline")).alias("reaches"))
+
+
 def normal_equations_2(df: DataFrame, x1: str, x2: str, y: str) -> DataFrame:
     """M10 closed form: y ≈ b0 + b1·x1 + b2·x2 by ordinary least squares.
 
@@ -155,42 +173,73 @@ def text_classifier(label: str = "label", text: str = "text", vocab: int = 1000,
     return Pipeline(stages=stages)
 
 
-def cross_validate(train: DataFrame, features: list[str], label: str, kind: str = "tree",
-                   folds: int = 5, depths=(2, 4, 6), parallelism: int = 4, seed: int = 7) -> DataFrame:
-    """K-fold CV; returns (max_depth, avg_accuracy) per grid point."""
+def cross_validate(train: DataFrame, pipeline: Pipeline, grid: list[dict], metric: str = "accuracy", folds: int = 5,
+                   parallelism: int = 4, seed: int = 7) -> list[float]:
+    """K-fold cross validation of any pipeline; the mean metric of
+    each point of ``grid`` (parameters to values, as ``ParamGridBuilder``
+    makes them; ``[{}]`` for the pipeline as it is). ``metric``: of
+    classification (on ``label_idx``), or ``mse:<label>``."""
+    if metric.startswith("mse:"):
+        ev = RegressionEvaluator(labelCol=metric[4:], predictionCol="prediction", metricName="mse")
+    else:
+        ev = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName=metric)
+    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed)
+    return cv.fit(train).avgMetrics
+
+
+def cross_validate_depths(train: DataFrame, features: list[str], label: str, kind: str = "tree", folds: int = 5,
+                          depths=tuple(range(1, 11)), seed: int = 7) -> DataFrame:
+    """(max_depth, avg_accuracy) of a tree learner."""
     est = classifier(kind, seed=seed)
     pipe = Pipeline(stages=[_label_indexer(label), *_assembler(features), est])
-    grid = ParamGridBuilder().addGrid(est.maxDepth, list(depths)).build()
-    ev = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="accuracy")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    model = cv.fit(train)
-    spark = train.sparkSession
-    return spark.createDataFrame([(int(d), float(round(m, 6))) for d, m in zip(depths, model.avgMetrics)],
-                                 "max_depth int, avg_accuracy double")
+    found = cross_validate(train, pipe, ParamGridBuilder().addGrid(est.maxDepth, list(depths)).build(), folds=folds, seed=seed)
+    return train.sparkSession.createDataFrame([(int(d), float(round(m, 6))) for d, m in zip(depths, found)], "max_depth int, avg_accuracy double")
+
+
+def text_grid(train: DataFrame, label: str = "label", text: str = "text", vocabularies=(1000, 2000, 3000), ngrams=(1, 2),
+              cs=(0.1, 1.0, 10.0), l1=(1.0, 0.0), folds: int = 5) -> DataFrame:
+    """(vocab, ngram, c, l1, avg_accuracy) of the text classifier over
+    vocabulary × n-gram × regularisation (1 / c, over the rows) × penalty.
+    Each vocabulary and n-gram is a pipeline; c and the penalty are its grid."""
+    n, rows = train.count(), []
+    for vocab in vocabularies:
+        for ngram in ngrams:
+            pipe = text_classifier(label, text, vocab, ngram)
+            lr = pipe.getStages()[-1]
+            grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in cs]).addGrid(lr.elasticNetParam, list(l1)).build()
+            for point, m in zip(grid, cross_validate(train, pipe, grid, folds=folds)):
+                rows.append((vocab, ngram, round(1.0 / (point[lr.regParam] * n), 6), point[lr.elasticNetParam], float(round(m, 6))))
+    return train.sparkSession.createDataFrame(rows, "vocab int, ngram int, c double, l1 double, avg_accuracy double")
 
 
 def depth_sweep(train: DataFrame, test: DataFrame, features: list[str], label: str,
-                depths=(1, 2, 4, 8), trees=(1, 10), seed: int = 7) -> DataFrame:
+                depths=tuple(range(1, 21)), trees=(1, 5, 10, 25, 50, 100, 200), seed: int = 7) -> DataFrame:
     """Forest grid over depth × ensemble size → (max_depth,
-    num_trees, train_accuracy, test_accuracy), a learning-curve table."""
+    num_trees, train_accuracy, test_accuracy), a learning-curve table. A single
+    tree (``trees=(1,)``) gives the curve of one tree."""
     rows = []
     ev = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="accuracy")
     for t in trees:
         for d in depths:
-            m = fit_classifier(train, features, label, "forest", num_trees=t, max_depth=d, seed=seed)
+            m = fit_classifier(train, features, label, "forest" if t > 1 else "tree", num_trees=t, max_depth=d, seed=seed)
             rows.append((d, t, round(ev.evaluate(m.transform(train)), 6), round(ev.evaluate(m.transform(test)), 6)))
     return train.sparkSession.createDataFrame(
         rows, "max_depth int, num_trees int, train_accuracy double, test_accuracy double")
 
 
+def regression_curve(train: DataFrame, test: DataFrame, features: list[str], label: str, depths=tuple(range(1, 11)), seed: int = 7) -> DataFrame:
+    """E5: (max_depth, train_mse, test_mse) of a regression tree."""
+    rows = []
+    for d in depths:
+        tree = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=d, seed=seed)
+        m = Pipeline(stages=[*_assembler(features), tree]).fit(train)
+        rows.append((d, *(float(regression_mse(m, x, label).first()["mse"]) for x in (train, test))))
+    return train.sparkSession.createDataFrame(rows, "max_depth int, train_mse double, test_mse double")
+
+
 def top_importances(spark, model, features: list[str], n: int = 10) -> DataFrame:
     """The n largest feature importances with their names (the
     importance vector has one entry per feature: a bound set by the model)."""
     imp = model.stages[-1].featureImportances.toArray()
     rows = sorted(((features[i], float(round(v, 6))) for i, v in enumerate(imp)), key=lambda r: (-r[1], r[0]))[:n]
     return spark.createDataFrame(rows, "feature string, importance double")
-
-
-def regression_evaluator(label: str) -> RegressionEvaluator:
-    return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mse")

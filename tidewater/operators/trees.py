@@ -53,7 +53,7 @@ def _running(cnt: DataFrame, keys: list[str], cols: list[str], blocks: int) -> D
 
     1. per-key block bounds from ``percentile_approx`` (``blocks − 1`` values);
     2. per-block totals and minima, prefix-summed over the small block table
-       (keys × blocks rows, broadcast: the bound is the parameter);
+       (keys × blocks rows);
     3. running sums inside each block plus the block's offset; the next value
        after a block's last x is the next block's minimum.
     Block choice only moves work between tasks; results are exact."""
@@ -66,7 +66,7 @@ def _running(cnt: DataFrame, keys: list[str], cols: list[str], blocks: int) -> D
                           *[F.sum(c).over(whole).alias(f"tot_{c}") for c in cols])
     fracs = [i / blocks for i in range(1, blocks)]
     bounds = cnt.groupBy(*keys).agg(F.percentile_approx("x", fracs, 10000).alias("_b"))
-    c = (cnt.join(F.broadcast(bounds), keys)
+    c = (cnt.join(bounds, keys)
          .withColumn("_blk", F.size(F.filter("_b", lambda b: b < F.col("x")))).drop("_b"))
     bt = c.groupBy(*keys, "_blk").agg(F.min("x").alias("_bmin"), *[F.sum(x).alias(f"_bs_{x}") for x in cols])
     wb = Window.partitionBy(*keys).orderBy("_blk")
@@ -75,7 +75,7 @@ def _running(cnt: DataFrame, keys: list[str], cols: list[str], blocks: int) -> D
                    *[F.coalesce(F.sum(f"_bs_{x}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                 F.lit(0)).alias(f"_off_{x}") for x in cols],
                    *[F.sum(f"_bs_{x}").over(whole).alias(f"tot_{x}") for x in cols])
-    j = c.join(F.broadcast(bt), keys + ["_blk"])
+    j = c.join(bt, keys + ["_blk"])
     w = Window.partitionBy(*keys, "_blk").orderBy("x")
     return j.select(*keys, "x", F.coalesce(F.lead("x").over(w), F.col("_next")).alias("nx"),
                     *[(F.col(f"_off_{x}") + F.sum(x).over(w.rowsBetween(*run))).alias(f"run_{x}") for x in cols],
@@ -91,7 +91,7 @@ def auto_blocks(df: DataFrame, features: list[str], rows_per_block: int = ROWS_P
     approximate-distinct aggregate)."""
     r = df.agg(*[F.approx_count_distinct(f).alias(f"d{i}") for i, f in enumerate(features)]).first()
     most = max(r[i] or 0 for i in range(len(features)))
-    return max(1, min(4096, -(-most // rows_per_block)))
+    return max(1, -(-most // rows_per_block))
 
 
 def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
@@ -182,7 +182,9 @@ def grow_tree(df: DataFrame, features: list[str], label: str, classes: list | No
     (one class; or, for the regression scores, variance below
     ``var_threshold``), or when no feature has two distinct values.
     Classification leaves predict the majority class (ties → smallest),
-    regression leaves the mean."""
+    regression leaves the mean. A split whose children are leaves of equal
+    prediction is a leaf itself (over the whole tree, from the bottom up); its
+    ``n`` is the split's."""
     # every level rescans the data: write the projected columns once (reliable
     # checkpoint in the shared folder) and grow from that narrow copy
     data = cut_lineage(df.select(*features, label).withColumn("node", F.lit(1).cast("bigint")))
@@ -203,27 +205,47 @@ def grow_tree(df: DataFrame, features: list[str], label: str, classes: list | No
             splits = stats.select("node", F.lit(None).cast("string").alias("feature"),
                                   F.lit(None).cast("double").alias("threshold"), "prediction", "n")
         splits = splits.withColumn("depth", F.lit(depth))
-        # one row per node of this level: 2^depth at most, a proven bound
-        splits = cut_lineage(splits) if depth % checkpoint_every == checkpoint_every - 1 else splits.cache()
+        # one row per node of this level, read by the next levels and at the end
+        splits = cut_lineage(splits)
         node_tables.append(splits)
         if depth == max_depth:
             break
         inner = splits.filter(F.col("feature").isNotNull()).select(
             "node", F.col("feature").alias("_f"), F.col("threshold").alias("_t"))
-        data = (data.join(F.broadcast(inner), "node")
+        data = (data.join(inner, "node")
                 .withColumn("node", F.when(_feature_value(features, F.col("_f")) <= F.col("_t"),
                                            F.col("node") * 2).otherwise(F.col("node") * 2 + 1))
                 .drop("_f", "_t"))
         if depth % checkpoint_every == checkpoint_every - 1:
             data = cut_lineage(data)
-    out = node_tables[0]
-    for t in node_tables[1:]:
+    # deepest level first, so that a merged pair can merge again further up;
+    # children of what is a leaf then are gone
+    level, kept = node_tables[-1], []
+    for t in reversed(node_tables[:-1]):
+        above = cut_lineage(_merge_level(t, level))
+        parents = above.filter(F.col("feature").isNotNull()).select(F.col("node").alias("_p"))
+        kept.append(level.join(parents, F.floor(F.col("node") / 2) == F.col("_p"), "left_semi"))
+        level = above
+    out = level
+    for t in kept:
         out = out.unionByName(t)
     return out.select("node", "depth", "feature", "threshold", "prediction", "n")
 
 
+def _merge_level(level: DataFrame, below: DataFrame) -> DataFrame:
+    """Splits of a level whose children are leaves of equal prediction become
+    leaves, as the recursive growth does."""
+    pairs = below.groupBy(F.floor(F.col("node") / 2).cast("bigint").alias("node")).agg(
+        ((F.count(F.lit(1)) == 2) & (F.count("feature") == 0) & (F.min("prediction") == F.max("prediction"))).alias("_same"),
+        F.min("prediction").alias("_leaf"))
+    same = F.coalesce(F.col("_same"), F.lit(False)) & F.col("feature").isNotNull()
+    return level.join(pairs, "node", "left").select(
+        "node", F.when(~same, F.col("feature")).alias("feature"), F.when(~same, F.col("threshold")).alias("threshold"),
+        F.when(same, F.col("_leaf")).otherwise(F.col("prediction")).alias("prediction"), "n", "depth")
+
+
 def tree_rows(nodes: DataFrame) -> list:
-    """The node table is a fitted model (≤ 2^(depth+1) rows): collected once."""
+    """The node table of a shallow tree (≤ 2^(depth+1) rows)."""
     return nodes.orderBy("node").collect()
 
 
@@ -255,3 +277,15 @@ def apply_tree(df: DataFrame, nodes: DataFrame, out: str = "prediction") -> Data
                 .otherwise(expr(2 * nid + 1))
 
     return df.withColumn(out, expr(1))
+
+
+def apply_tree_by_levels(df: DataFrame, nodes: DataFrame, features: list[str], max_depth: int, out: str = "prediction") -> DataFrame:
+    """T6 for deep trees: rows go down a level at a time by a join with the node
+    table, so neither the driver nor one expression holds the tree."""
+    step = nodes.select("node", F.col("feature").alias("_f"), F.col("threshold").alias("_t"))
+    rows = df.withColumn("node", F.lit(1).cast("bigint"))
+    for depth in range(max_depth):
+        low = _feature_value(features, F.col("_f")) <= F.col("_t")
+        rows = (rows.join(step.filter(F.col("_f").isNotNull()), "node", "left")
+                .withColumn("node", F.when(F.col("_f").isNull(), F.col("node")).otherwise(F.col("node") * 2 + F.when(low, 0).otherwise(1))).drop("_f", "_t"))
+    return rows.join(nodes.select("node", F.col("prediction").alias(out)), "node").drop("node")

@@ -95,7 +95,6 @@ def grow_tree_sql(score: str = "gini", base: str = _CLS_BASE, var_threshold: flo
     """Depth-DEPTH tree as a chain of CTEs (one block per level)."""
     fval = "CASE n.feature " + " ".join(f"WHEN '{f}' THEN CAST(d.{f} AS DOUBLE)" for f in FEATURES) + " END"
     ctes = [f"d0 AS ({base})"]
-    outs = []
     for lv in range(DEPTH + 1):
         if score in TR.REG_SCORES:
             ctes.append(f"""s{lv} AS (
@@ -123,7 +122,16 @@ def grow_tree_sql(score: str = "gini", base: str = _CLS_BASE, var_threshold: flo
             ctes.append(f"""n{lv} AS (
   SELECT node, {lv} AS depth, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS threshold, prediction, n
   FROM s{lv})""")
-        outs.append(f"SELECT * FROM n{lv}")
+    # from the bottom up, splits whose children are leaves of equal prediction become leaves
+    ctes.append(f"m{DEPTH} AS (SELECT * FROM n{DEPTH})")
+    outs = ["SELECT * FROM m0"]
+    for lv in range(DEPTH - 1, -1, -1):
+        ctes.append(f"""m{lv} AS (
+  SELECT n.node, n.depth, CASE WHEN c.same THEN NULL ELSE n.feature END AS feature, CASE WHEN c.same THEN NULL ELSE n.threshold END AS threshold,
+         CASE WHEN c.same AND n.feature IS NOT NULL THEN c.leaf ELSE n.prediction END AS prediction, n.n
+  FROM n{lv} n LEFT JOIN (SELECT node // 2 AS p, count(*) = 2 AND count(feature) = 0 AND min(prediction) = max(prediction) AS same,
+                                 min(prediction) AS leaf FROM m{lv + 1} GROUP BY 1) c ON c.p = n.node)""")
+        outs.append(f"SELECT c.* FROM m{lv + 1} c JOIN m{lv} p ON c.node // 2 = p.node AND p.feature IS NOT NULL")
     return "WITH " + ",\n".join(ctes) + ",\nnodes AS (" + " UNION ALL ".join(outs) + ")\n"
 
 
@@ -179,6 +187,34 @@ def tree_apply_accuracy(spark, d):
     return EV.accuracy(TR.apply_tree(data, nodes))
 
 
+@query("tree_apply_by_levels", grow_tree_sql() + f""",
+routed AS ({_leaf_of(DEPTH)})
+SELECT round(avg(CASE WHEN r.l_returnflag = t.prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       CAST(count(*) AS BIGINT) AS n
+FROM routed r JOIN nodes t ON t.node = r.node{DEPTH}
+""")
+def tree_apply_by_levels(spark, d):
+    """T6 by joins with the node table, as for deep trees."""
+    data = _cls(spark, d)
+    nodes = TR.grow_tree(data, FEATURES, "label", CLASSES, DEPTH, "gini")
+    return EV.accuracy(TR.apply_tree_by_levels(data, nodes, FEATURES, DEPTH))
+
+
+@query("tree_best_split_price_blocks", """
+WITH c AS (SELECT l_extendedprice AS x, count(*) FILTER (WHERE l_returnflag = 'A') AS c0, count(*) FILTER (WHERE l_returnflag = 'N') AS c1,
+                  count(*) FILTER (WHERE l_returnflag = 'R') AS c2 FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1),
+r AS (SELECT x, lead(x) OVER w AS nx, sum(c0) OVER w AS l0, sum(c1) OVER w AS l1, sum(c2) OVER w AS l2,
+             sum(c0) OVER () AS t0, sum(c1) OVER () AS t1, sum(c2) OVER () AS t2 FROM c WINDOW w AS (ORDER BY x)),
+s AS (SELECT (x + nx) / 2 AS threshold, greatest(l0, l1, l2) + greatest(t0 - l0, t1 - l1, t2 - l2) AS score FROM r WHERE nx IS NOT NULL)
+SELECT 'l_extendedprice' AS feature, threshold, CAST(score AS DOUBLE) AS score FROM s ORDER BY score DESC, threshold LIMIT 1
+""")
+def tree_best_split_price_blocks(spark, d):
+    """W2 on a continuous feature through the blocked prefix sums."""
+    li = Tables(spark, d).lineitem.select("l_extendedprice", F.col("l_returnflag").alias("label"))
+    b = TR.best_split(li, ["l_extendedprice"], "label", "maj_sum", CLASSES, blocks=16)
+    return b.select("feature", "threshold", F.col("score").cast("double").alias("score"))
+
+
 VAR_THRESHOLD = 0.01
 
 
