@@ -103,8 +103,8 @@ def estimated_repeated(block: Block, folder: str, bits: int) -> np.ndarray:
     return np.arange(len(h1)) if found is None else np.flatnonzero(found > 1)
 
 
-COVER = "doc_id long, key long, starts binary"
-_COVER = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("starts", pa.binary())])
+COVER = "bucket long, data binary"
+_COVER = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
 
 
 def first_of_runs(*sorted_columns: np.ndarray) -> np.ndarray:
@@ -128,22 +128,43 @@ def losers(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray,
     return order, doc[order] > doc[order][begins][run]
 
 
-def cover_rows(doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Window starts by document row."""
-    order = np.lexsort((pos, key, doc))
-    doc, key, pos = doc[order], key[order], pos[order]
-    run = first_of_runs(doc, key)
-    begins = np.flatnonzero(np.diff(run, prepend=-1)) if len(run) else np.empty(0, np.int64)
-    ends = np.append(begins, len(doc))[1:]
-    rows = [{"doc_id": d, "key": k, "starts": pack_sorted(pos[a:b].astype(np.uint64))}
-            for d, k, a, b in zip(doc[begins].tolist(), key[begins].tolist(), begins.tolist(), ends.tolist(), strict=True)]
-    return pa.RecordBatch.from_pylist(rows, _COVER)
-
-
-def covers(docs: DataFrame, folder: str, width: int, bits: int, exact_bits: int, block_windows: int) -> DataFrame:
-    """doc_id, key and starts of the windows that lose their words (several rows a document)."""
+def cover_rows(key: np.ndarray, pos: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Window starts by document row, a row for each bucket of document rows."""
+    bucket = np.mod(key, buckets)
+    order = np.lexsort((pos, key, bucket))
+    key, pos, bucket = key[order], pos[order].astype(np.int32), bucket[order]
+    begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(begins, len(key))[1:]
+    data = [pack(key[a:b], pos[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[begins]), pa.array(data, pa.binary())], schema=_COVER)
+
+
+class Covers:
+    """Window starts of the document rows of a bucket."""
+
+    def __init__(self, rows: list[bytes]):
+        keys, pos = [], []
+        for data in map(unpack, rows):
+            n = len(data) // 12
+            keys.append(np.frombuffer(data, np.int64, n))
+            pos.append(np.frombuffer(data, np.int32, n, 8 * n))
+        keys, pos = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (keys, pos))
+        order = np.argsort(keys, kind="stable")
+        self.pos = pos[order]
+        self.keys, self.begin = np.unique(keys[order], return_index=True)
+        self.end = np.append(self.begin[1:], len(keys))
+
+    def of(self, key: int) -> np.ndarray | None:
+        k = int(np.searchsorted(self.keys, key))
+        if k == len(self.keys) or self.keys[k] != key:
+            return None
+        return np.unique(self.pos[self.begin[k]:self.end[k]])
+
+
+def covers(docs: DataFrame, folder: str, width: int, bits: int, exact_bits: int, block_windows: int, buckets: int) -> DataFrame:
+    """The starts of windows that lose their words, by bucket (several rows each)."""
     def second(batches):
-        schema = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("data", pa.binary())])
+        schema = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
         for block in blocks(batches, width, block_windows, exact=True):
             kept = estimated_repeated(block, folder, bits)
             h1, h2 = (block.array(x, np.uint64)[kept] for x in ("h1", "h2"))
@@ -153,8 +174,8 @@ def covers(docs: DataFrame, folder: str, width: int, bits: int, exact_bits: int,
             h1, h2, number, pos = h1[named], h2[named], number[named], pos[named]
             order, lost = losers(h1, h2, docs_[number])
             gone = order[lost]
-            local = cover_rows(docs_[number[gone]], keys[number[gone]], pos[gone])
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(local), pa.int64()), local.column(0), local.column(1), local.column(2)], schema=schema)
+            local = cover_rows(keys[number[gone]], pos[gone], buckets)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(local), pa.int64()), local.column(0), pa.nulls(len(local), pa.int64()), local.column(1)], schema=schema)
             stay = order[~lost]  # in order of h1
             shard = (h1[stay] >> np.uint64(64 - exact_bits)).astype(np.int64) if exact_bits else np.zeros(len(stay), np.int64)
             edges = np.searchsorted(shard, np.arange((1 << exact_bits) + 1))
@@ -163,16 +184,16 @@ def covers(docs: DataFrame, folder: str, width: int, bits: int, exact_bits: int,
                 part = stay[edges[s]:edges[s + 1]]
                 data = pack_sorted(h1[part])
                 rest = pack(h2[part], docs_[number[part]], keys[number[part]], pos[part].astype(np.int32))
-                rows.append({"shard": s, "doc_id": len(data), "key": len(part), "data": data + rest})
+                rows.append({"shard": s, "bucket": len(data), "n": len(part), "data": data + rest})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     def exact(batches):
         def settle(group):
             h1, h2, doc, key, pos = [], [], [], [], []
             for g in group:
-                n = g["key"]
-                h1.append(unpack_sorted(g["data"][:g["doc_id"]]))
-                rest = unpack(g["data"][g["doc_id"]:])
+                n = g["n"]
+                h1.append(unpack_sorted(g["data"][:g["bucket"]]))  # its length stands in for the bucket
+                rest = unpack(g["data"][g["bucket"]:])
                 h2.append(np.frombuffer(rest, np.uint64, n))
                 doc.append(np.frombuffer(rest, np.int64, n, 8 * n))
                 key.append(np.frombuffer(rest, np.int64, n, 16 * n))
@@ -180,7 +201,7 @@ def covers(docs: DataFrame, folder: str, width: int, bits: int, exact_bits: int,
             doc, key, pos = map(np.concatenate, (doc, key, pos))
             order, lost = losers(np.concatenate(h1), np.concatenate(h2), doc)
             gone = order[lost]
-            return cover_rows(doc[gone], key[gone], pos[gone])
+            return cover_rows(key[gone], pos[gone], buckets)
 
         group = []
         for batch in batches:
@@ -192,9 +213,9 @@ def covers(docs: DataFrame, folder: str, width: int, bits: int, exact_bits: int,
         if group:
             yield settle(group)
 
-    found = saved(docs.mapInArrow(second, "shard long, doc_id long, key long, data binary"), "windows")
+    found = saved(docs.mapInArrow(second, "shard long, bucket long, n long, data binary"), "windows")
     among = found.filter("shard IS NOT NULL").repartition("shard").sortWithinPartitions("shard").mapInArrow(exact, COVER)
-    return found.filter("shard IS NULL").select("doc_id", "key", F.col("data").alias("starts")).unionByName(among)
+    return found.filter("shard IS NULL").select("bucket", "data").unionByName(among)
 
 
 def dedup(docs: DataFrame, width: int = 50, block_windows: int = 1 << 20, shard_windows: int = 1 << 21) -> DataFrame:
@@ -206,26 +227,37 @@ def dedup(docs: DataFrame, width: int = 50, block_windows: int = 1 << 20, shard_
     bits = (8 * windows - 1).bit_length()
     shard_bits = max(4, (windows // shard_windows).bit_length())
     folder = sketched(docs, width, bits, shard_bits, block_windows)
-    lost = covers(docs, folder, width, bits, shard_bits, block_windows)
-    lost = lost.groupBy("doc_id", "key").agg(F.collect_list("starts").alias("starts"))
+    buckets = max(8, windows // shard_windows)
+    lost = covers(docs, folder, width, bits, shard_bits, block_windows, buckets)
 
     def cut(batches):
+        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.binary())])
+        current, held, found = None, [], None
         for part in in_parts(batches):
             rows = []
-            for doc, text, starts in zip(part.column("doc_id").to_pylist(), texts(part.column("text")), part.column("starts").to_pylist(), strict=True):
-                words = text.split()
-                if starts:
+            columns = (part.column(c).to_pylist() for c in ("bucket", "data", "doc_id", "key"))
+            for bucket, data, doc, key, text in zip(*columns, texts(part.column("text")), strict=True):
+                if bucket != current:
+                    current, held, found = bucket, [], None
+                if data is not None:  # these rows of a bucket come first
+                    held.append(data)
+                    continue
+                if found is None:
+                    found, held = Covers(held), []
+                words, begin = text.split(), found.of(key)
+                kept = words
+                if begin is not None:
                     edge = np.zeros(len(words) + 1, np.int64)
-                    begin = np.unique(np.concatenate([unpack_sorted(s) for s in starts])).astype(np.int64)
                     edge[begin] += 1
                     np.subtract.at(edge, begin + width, 1)
-                    stay = np.cumsum(edge[:-1]) == 0
-                    kept = [w for w, s in zip(words, stay.tolist(), strict=True) if s]
-                else:
-                    kept = words
+                    kept = [w for w, s in zip(words, (np.cumsum(edge[:-1]) == 0).tolist(), strict=True) if s]
                 rows.append({"doc_id": doc, "n_words": len(words), "n_removed": len(words) - len(kept), "kept_text": b" ".join(kept)})
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.binary())]))
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
-    joined = docs.join(lost, ["doc_id", "key"], "left").select("doc_id", "text", "starts")
+    # the starts and the documents of a bucket meet in one task, the starts first
+    named = docs.select(F.pmod("key", F.lit(buckets)).alias("bucket"), F.lit(1).alias("kind"), "doc_id", "key", "text", F.lit(None).cast("binary").alias("data"))
+    lost = lost.select("bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("key"),
+                       F.lit(None).cast("string").alias("text"), "data")
+    joined = lost.unionByName(named).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     out = joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_text binary")
     return out.withColumn("kept_text", F.col("kept_text").cast("string"))
