@@ -3,8 +3,10 @@ and print one JSON line. Each query runs to completion into the ``noop``
 sink (the whole plan executes; nothing is collected to the driver).
 
 A short untimed warm-up (JVM JIT, Python workers) runs first; each query
-is then timed $BENCH_RUNS times (default 3, plan building included) and the
-best run is reported. ``cold`` holds the first timed run of each query."""
+is then timed $BENCH_RUNS times (default 3, plan building included). ``cold``
+holds the first timed run of each query, ``queries`` the best one. The triples
+are written once for all graph-pattern queries: ``triples_build`` is that
+write alone, and no query after it pays for it. ``ml_depth_sweep`` runs once."""
 
 from __future__ import annotations
 
@@ -16,6 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidewater.plans.registry import all_queries  # noqa: E402
+from tidewater.plans.triples import _triples as triples  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -26,8 +29,9 @@ HEADLINE = [
     "annot_clean_labels", "text_tfidf",
     "sketch_estimate_partkey", "sketch_merge_users",
     "vec_centroid_nn", "vec_medoid_lsh_top3", "geo_nearest",
-    "tree_best_split_gini", "tree_grow_depth2", "eval_report",
+    "tree_best_split_gini", "tree_grow_depth2", "eval_report", "ml_depth_sweep",
 ]
+ONCE = {"ml_depth_sweep"}
 
 
 def main() -> None:
@@ -41,9 +45,13 @@ def main() -> None:
         qs[n].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    if any(n.startswith("sparql_") for n in names):
+        t0 = time.perf_counter()
+        triples(spark, sf_dir)
+        cold["triples_build"] = times["triples_build"] = round(time.perf_counter() - t0, 3)
     for n in names:
         best = None
-        for r in range(runs):
+        for r in range(1 if n in ONCE else runs):
             t0 = time.perf_counter()
             qs[n].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             dt = time.perf_counter() - t0
@@ -53,8 +61,8 @@ def main() -> None:
         times[n] = round(best, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus, "runs": runs,
-                      "cold_total": round(sum(cold.values()), 3), "cold": cold}))
+                      "cold_total": round(sum(cold.values()), 3), "cold": cold,
+                      "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
     spark.stop()
 
 

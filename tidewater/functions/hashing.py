@@ -59,6 +59,7 @@ def rho32(h: Column) -> Column:
 
 
 @functools.lru_cache(maxsize=4)
+# fixed value: the seed 69 of the tables
 def tabulation_tables(seed: int = 69) -> np.ndarray:
     """Four tables of 65,536 uint32 values from the seeded legacy generator."""
     rs = np.random.RandomState(seed)

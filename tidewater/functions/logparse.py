@@ -12,6 +12,7 @@ ACCEPTED = "Accepted password"
 FAILED = "Failed password"
 INVALID = "invalid user"
 REPEAT_RX = r"message repeated (\d+) times:"
+SINGLE_RX = r"for\s(?:invalid user\s)?(\w+)\sfrom"
 IPV4_RX = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
 
 
@@ -29,7 +30,7 @@ def username(line: Column) -> Column:
 def username_single_regex(line: Column) -> Column:
     """the one-regex variant ``for\\s(?:invalid user\\s)?(\\w+)\\sfrom``
     (drops names containing ``-`` or ``.``)."""
-    return F.nullif(F.regexp_extract(line, r"for\s(?:invalid user\s)?(\w+)\sfrom", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(line, SINGLE_RX, 1), F.lit(""))
 
 
 def ipv4(line: Column) -> Column:
@@ -40,7 +41,7 @@ def ipv4(line: Column) -> Column:
 def repeat_count(line: Column) -> Column:
     """N of ``message repeated N times:``, else 1."""
     n = F.nullif(F.regexp_extract(line, REPEAT_RX, 1), F.lit(""))
-    return F.coalesce(n.cast("int"), F.lit(1))
+    return F.coalesce(n.try_cast("int"), F.lit(1))
 
 
 def month_day(line: Column) -> tuple[Column, Column]:

@@ -15,14 +15,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RX), 0)
 
 
-def bigrams(toks: Column) -> Column:
-    """Adjacent token pairs joined by a space (array ops, no explode)."""
-    n = F.size(toks)
-    return F.when(n < 2, F.array().cast("array<string>")).otherwise(
-        F.zip_with(F.slice(toks, 1, n - 1), F.slice(toks, 2, n - 1),
-                   lambda a, b: F.concat(a, F.lit(" "), b)))
-
-
 # a zero-width match at each token start that captures "token next-token"
 # (tokens contain no spaces, so the space-joined string is unambiguous)
 _BIGRAM_RX = r"(?<![^ ])(?=([^ ]+ [^ ]+))"
@@ -42,10 +34,6 @@ def grams_of_token_string(ts: Column, ngram_max: int = 2) -> Column:
     return F.concat(uni, F.regexp_extract_all(ts, F.lit(_BIGRAM_RX), 1))
 
 
-def ngrams_1_2(text: Column) -> Column:
-    return grams_of_token_string(token_string(text), 2)
-
-
 def lines(text: Column) -> Column:
     return F.split(text, "\n")
 

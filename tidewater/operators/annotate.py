@@ -49,7 +49,7 @@ def merge_votes(df: DataFrame, col: str = "votes", tie: str = "undecided",
     else:
         raise ValueError(tie)
     label = F.when(F.size(valid) == 0, F.lit(UNDECIDED)).otherwise(
-        F.coalesce(chosen.cast("int"), F.lit(UNDECIDED)))
+        F.coalesce(chosen.try_cast("int"), F.lit(UNDECIDED)))
     return df.withColumn(out, label.cast("int"))
 
 

@@ -52,11 +52,6 @@ def degree_summary(counts: DataFrame, key: str = "user_id", value: str = "n") ->
     )
 
 
-def user_count(users: DataFrame) -> DataFrame:
-    """A5: number of listed users (lines)."""
-    return users.agg(F.count(F.lit(1)).cast("bigint").alias("n_users"))
-
-
 def follows_report(users: DataFrame, edges: DataFrame) -> DataFrame:
     """The follows summary plus user count as (metric, value) rows."""
     counts = follow_counts(users, edges)

@@ -131,7 +131,7 @@ def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
         overall = qt / n - (st / n) * (st / n)
         if score == "variance":
             sc = overall - (sse_l + sse_r) / n
-        else:  # the reference's printed formula (D9)
+        else:  # fixed formula, as printed (D9)
             sc = overall - (nl / n) * sse_l - (nr / n) * sse_r
     else:
         raise ValueError(score)

@@ -162,6 +162,7 @@ def university_triples(t: Tables) -> DataFrame:
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("ind"),
         F.concat(F.lit("CI-"), F.substring("o_orderpriority", 1, 1)).alias("inst"),
         F.col("o_custkey").cast("string").alias("student"), "o_orderstatus")
+    # fixed values: the type and predicate names of the sheets, in their order
     parts = [
         to_triples(teachers, SheetRule("ind", F.col("typ"), {
             "teacherName": ("name", "string"), "teacherID": ("tid", "string"),
