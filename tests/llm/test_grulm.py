@@ -3,10 +3,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import pairs, words
 from tidewater.llm import grulm
+from tidewater.llm.words import split_lower
 
 def HELD():
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
@@ -58,7 +60,7 @@ def test_no_documents_and_nothing_to_learn(none, edge):
 
 def vocabulary(n):
     counts = np.arange(n - 1, 0, -1, dtype=np.int64) * 5
-    return grulm.Vocabulary([b"w%d" % i for i in range(n - 1)], counts, 1, int(counts.sum()) + 40, n + 3, 20, n,
+    return grulm.Vocabulary(pa.array([f"w{i}" for i in range(n - 1)]), counts, 1, int(counts.sum()) + 40, n + 3, 20, n,
                             np.repeat(np.arange(3), [2, n // 2 - 2, n - n // 2]), np.array([0, 2, n // 2, n]))
 
 
@@ -99,3 +101,10 @@ def test_lanes_do_not_change_a_score():
             total += np.bincount(number.ravel()[inside], out[inside], minlength=len(docs))
         results.append(total)
     assert np.allclose(results[0], results[1], atol=1e-4) and np.allclose(results[0], results[2], atol=1e-4)
+
+
+def test_words_are_split_alike():
+    texts = ["", None, " a  B\tc\n", "\x0b\x0cx\ry\x1cz\x85 É é", "\n", "one", "tail "]
+    found, sizes = split_lower(pa.array(texts))
+    want = [(t or "").encode().lower().split() for t in texts]
+    assert [w.encode() for w in found.to_pylist()] == [w for x in want for w in x] and sizes.tolist() == [len(x) for x in want]

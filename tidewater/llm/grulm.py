@@ -27,43 +27,52 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.shared import saved
-from tidewater.llm.words import in_parts, texts
+from tidewater.llm.words import in_parts, split_lower
 
 FLUSH = 500_000
 SLOT = 2_048  # parameters in a row of the averaging
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """word (binary) and n over all texts."""
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+    """word and n over all texts."""
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def summed(held):
+        table = pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+        return table.select(["word", "n"]).cast(schema)
 
     def count(batches):
-        held: Counter = Counter()
+        held, size = [], 0
         for part in in_parts(batches):
-            for text in texts(part.column("text")):
-                held.update(text.lower().split())
-            if len(held) > FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(held.values(), pa.int64())], schema=schema)
-                held = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(held.values(), pa.int64())], schema=schema)
+            found = pc.value_counts(split_lower(part.column("text"))[0])
+            held.append(pa.Table.from_arrays([found.field("values"), found.field("counts")], schema=schema))
+            size += len(found)
+            if size > FLUSH:  # what this task has so far, in one row a word
+                held = [summed(held)]
+                size = held[0].num_rows
+                if size > FLUSH // 2:
+                    yield from held[0].to_batches(max_chunksize=100_000)
+                    held, size = [], 0
+        if held:
+            yield from summed(held).to_batches(max_chunksize=100_000)
 
-    return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Vocabulary:
     """Head words by falling count; the model's own tokens are the end and the first of them."""
-    words: list[bytes]
+    words: pa.Array
     counts: np.ndarray
     least: int  # every word counted at least so often is among them
     tokens: int
@@ -100,24 +109,19 @@ def vocabulary(counts: DataFrame, documents: int, n_head: int, n_words: int, n_c
         if share[k - 1] >= len(bounds) / n_classes:
             bounds.append(k)
     class_from = np.array([*bounds, len(own)], np.int64)
-    return Vocabulary([w for _, w in found], np.array([n for n, _ in found], np.int64), least, tokens + documents, types + (documents > 0),
+    return Vocabulary(pa.array([w for _, w in found], pa.string()), np.array([n for n, _ in found], np.int64), least, tokens + documents, types + (documents > 0),
                       documents, len(own), np.repeat(np.arange(len(bounds)), np.diff(class_from)), class_from)
 
 
-class Index(dict):
-    """Head word to its place in the head; any other to -1."""
-
-    def __init__(self, vocab: Vocabulary):
-        super().__init__(zip(vocab.words, range(len(vocab.words)), strict=True))
-
-    def places(self, words: list[bytes]) -> np.ndarray:
-        get = self.get
-        return np.fromiter([get(w, -1) for w in words], np.int32, len(words))
+def places_of(words: pa.Array, sizes: np.ndarray, head: pa.Array) -> list[np.ndarray]:
+    """For each text the places of its words in the head, -1 of any other."""
+    found = pc.fill_null(pc.index_in(words, value_set=head), -1).to_numpy()
+    return np.split(found, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
 def own_tokens(places: np.ndarray, n_own: int) -> np.ndarray:
-    """Tokens of the model: 0 the end, then its own words, then all others."""
-    return np.where((places >= 0) & (places < n_own - 1), places + 1, n_own)
+    """Tokens of the model: its own words, then all others, and at last the end (0)."""
+    return np.append(np.where((places >= 0) & (places < n_own - 1), places + 1, n_own), 0)
 
 
 def log_softmax_of(logits: np.ndarray, targets: np.ndarray, grad: bool) -> tuple[np.ndarray, np.ndarray | None]:
@@ -299,11 +303,6 @@ class Lanes:
                    np.where(inside, self.fresh[place], np.float32(1)), np.where(inside, self.number[place], -1))
 
 
-def doc_tokens(split: list[list[bytes]], index: Index, n_own: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    places = [index.places(words) for words in split]
-    return places, [np.append(own_tokens(x, n_own), 0) for x in places]
-
-
 def averaged(parts: DataFrame, size: int) -> np.ndarray | None:
     """Mean of the tasks' parameters, weighted by their tokens."""
     def mean(batches):
@@ -343,10 +342,10 @@ def train(docs: DataFrame, vocab: Vocabulary, hidden: int = 16, rounds: int = 2,
 
         def learn(batches, shared=shared, r=r):
             vocab, start = shared.value
-            net, index = Network(vocab, hidden, start.copy()), Index(vocab)
+            net, own = Network(vocab, hidden, start.copy()), vocab.words.slice(0, vocab.n_own - 1)
             adam, tokens = Adam(len(start), rate / (1 + r)), 0
             for part in in_parts(batches):
-                _, found = doc_tokens([t.lower().split() for t in texts(part.column("text"))], index, vocab.n_own)
+                found = [own_tokens(x, vocab.n_own) for x in places_of(*split_lower(part.column("text")), own)]
                 found = [x[k:k + piece] for x in found for k in range(0, len(x), piece)]
                 tokens += sum(map(len, found))
                 packed = Lanes(found, max(8, min(most_lanes, tokens // (window * updates))))
@@ -364,9 +363,9 @@ def train(docs: DataFrame, vocab: Vocabulary, hidden: int = 16, rounds: int = 2,
     return vector
 
 
-SCORED = "kind int, row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, times long"
+SCORED = "kind int, row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word string, times long"
 _SCORED = pa.schema([("kind", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                     ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("times", pa.int64())])
+                     ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.string()), ("times", pa.int64())])
 
 
 def log_likelihoods(net: Network, docs: list[np.ndarray], window: int, most_lanes: int) -> np.ndarray:
@@ -394,53 +393,54 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, vector: np.ndar
 
     def run(batches):
         vocab, params = shared.value
-        net, index = Network(vocab, hidden, params), Index(vocab)
+        net = Network(vocab, hidden, params)
         known = np.log10(np.append(vocab.counts, 0) + 1.0)  # the last: of a word outside the head, by the join
         end, other = math.log10(vocab.documents + 1.0), math.log10(vocab.other)
         n_own, row = vocab.n_own, TaskContext.get().partitionId() << 40
 
         def rows(items):
-            nonlocal row
-            logs = log_likelihoods(net, [tokens for _, _, tokens, _, _ in items], window, most_lanes)
-            size, n_known, base, tail = len(items), [], [], ([], [], [])
-            for i, (_, _, tokens, places, outside) in enumerate(items):
-                n_outside = sum(outside.values())
+            logs = log_likelihoods(net, [tokens for *_, tokens, _ in items], window, most_lanes)
+            n_known, base = [], []
+            for i, (_, _, _, tokens, places) in enumerate(items):
                 base.append(float(known[places].sum()) + end)
-                n_known.append(len(places) - n_outside + (vocab.documents > 0))
+                n_known.append(int((places >= 0).sum()) + (vocab.documents > 0))
                 # words of the last class have their share in it, too
                 logs[i] += float(known[places[places >= n_own - 1]].sum()) - other * int((tokens == n_own).sum())
-                tail[0].extend([row + i] * len(outside))
-                tail[1].extend(outside)
-                tail[2].extend(outside.values())
-            yield pa.RecordBatch.from_arrays([
-                pa.array([0] * size, pa.int32()), pa.array(range(row, row + size), pa.int64()), pa.array([x[0] for x in items], pa.int64()),
-                pa.array([x[1] for x in items], pa.bool_()), pa.array([len(x[2]) for x in items], pa.int64()), pa.array(n_known, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(logs, pa.float64()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.int64())], schema=_SCORED)
-            for at in range(0, len(tail[0]), 100_000):
-                own, words, times = (c[at:at + 100_000] for c in tail)
-                k = len(own)
+            n = len(items)
+            numbers, docs_, held = ([x[k] for x in items] for k in range(3))
+            return pa.RecordBatch.from_arrays([
+                pa.array([0] * n, pa.int32()), pa.array(numbers, pa.int64()), pa.array(docs_, pa.int64()), pa.array(held, pa.bool_()),
+                pa.array([len(x[3]) for x in items], pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
+                pa.array(logs, pa.float64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], schema=_SCORED)
+
+        def outside(words, sizes, places, first):
+            missing = pa.array(np.concatenate(places) < 0)
+            owner = pa.array(np.repeat(np.arange(first, first + len(sizes)), sizes)).filter(missing)
+            found = pa.table({"row": owner, "word": words.filter(missing)}).group_by(["row", "word"]).aggregate([([], "count_all")])
+            for batch in found.to_batches(max_chunksize=100_000):
+                k = batch.num_rows
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([1] * k, pa.int32()), pa.array(own, pa.int64()), *(pa.nulls(k, t) for t in _SCORED.types[2:8]),
-                    pa.array(words, pa.binary()), pa.array(times, pa.int64())], schema=_SCORED)
-            row += size
+                    pa.array(np.ones(k, np.int32)), batch.column("row"), *(pa.nulls(k, t) for t in _SCORED.types[2:8]),
+                    batch.column("word"), batch.column("count_all")], schema=_SCORED)
 
         aside, aside_tokens = [], 0
         for part in in_parts(batches):
-            split = [t.lower().split() for t in texts(part.column("text"))]
-            items = []
-            for doc, out, words, places, tokens in zip(part.column("doc_id").to_pylist(), part.column("held_out").to_pylist(), split,
-                                                       *doc_tokens(split, index, n_own), strict=True):
-                item = (doc, out, tokens, places, Counter(words[k] for k in np.flatnonzero(places < 0).tolist()))
-                if len(tokens) > long_tokens:
+            words, sizes = split_lower(part.column("text"))
+            places, items = places_of(words, sizes, vocab.words), []
+            yield from outside(words, sizes, places, row)
+            for doc, held_out, x in zip(part.column("doc_id").to_pylist(), part.column("held_out").to_pylist(), places, strict=True):
+                item = (row, doc, held_out, own_tokens(x, n_own), x)
+                row += 1
+                if len(x) >= long_tokens:
                     aside.append(item)
-                    aside_tokens += len(tokens)
+                    aside_tokens += len(x)
                 else:
                     items.append(item)
-            yield from rows(items)
+            yield rows(items)
             if aside_tokens > held_tokens:
-                yield from rows(aside)
+                yield rows(aside)
                 aside, aside_tokens = [], 0
-        yield from rows(aside)
+        yield rows(aside)
 
     found = saved(docs.mapInArrow(run, SCORED), "lm-scored")
     # words outside the head: their counts come by a join, and sums go back to the documents

@@ -36,6 +36,18 @@ def in_parts(batches, max_bytes: int = 4 << 20, text: str = "text") -> Iterator[
         yield batch.slice(begin)
 
 
+def split_lower(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts of a string column, ASCII letters in lower case,
+    as one array, and the number of words of each text; null has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
+    full = pc.greater(pc.binary_length(words), 0)
+    if pc.all(full).as_py() is False:  # white space at an end leaves an empty word
+        owner = np.repeat(np.arange(len(sizes)), sizes)[full.to_numpy(zero_copy_only=False)]
+        words, sizes = words.filter(full), np.bincount(owner, minlength=len(sizes))
+    return words, sizes.astype(np.int64)
+
+
 class WordDigests(dict):
     """Word to its 16-byte BLAKE2b digest, computed once for each word."""
 
