@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.common import attach_scalars
 from tidewater.session import cut_lineage
 
 CLASS_SCORES = ("maj_sum", "info_gain", "gini")
@@ -283,9 +284,15 @@ def apply_tree_by_levels(df: DataFrame, nodes: DataFrame, features: list[str], m
     """T6 for deep trees: rows go down a level at a time by a join with the node
     table, so neither the driver nor one expression holds the tree."""
     step = nodes.select("node", F.col("feature").alias("_f"), F.col("threshold").alias("_t"))
-    rows = df.withColumn("node", F.lit(1).cast("bigint"))
-    for depth in range(max_depth):
-        low = _feature_value(features, F.col("_f")) <= F.col("_t")
-        rows = (rows.join(step.filter(F.col("_f").isNotNull()), "node", "left")
-                .withColumn("node", F.when(F.col("_f").isNull(), F.col("node")).otherwise(F.col("node") * 2 + F.when(low, 0).otherwise(1))).drop("_f", "_t"))
+    low = _feature_value(features, F.col("_f")) <= F.col("_t")
+
+    def down(rows: DataFrame, node: Column) -> DataFrame:
+        below = F.when(F.col("_f").isNull(), node).otherwise(node * 2 + F.when(low, 0).otherwise(1))
+        return rows.withColumn("node", below.cast("bigint")).drop("_f", "_t")
+
+    # the root is one row: its split comes as scalars, as a join on a constant would be no equi-join
+    root = step.filter("node = 1").agg(F.first("_f").alias("_f"), F.first("_t").alias("_t"))
+    rows = down(attach_scalars(df, root), F.lit(1)) if max_depth else df.withColumn("node", F.lit(1).cast("bigint"))
+    for _ in range(max_depth - 1):
+        rows = down(rows.join(step.filter(F.col("_f").isNotNull()), "node", "left"), F.col("node"))
     return rows.join(nodes.select("node", F.col("prediction").alias(out)), "node").drop("node")

@@ -25,7 +25,7 @@ PATTERNS = {
     "shj": r"ShuffledHashJoin",
     "win_limit": r"WindowGroupLimit",
     "topk": r"TakeOrderedAndProject",
-    "python": r"MapInPandas|FlatMapCoGroupsInPandas|ArrowEvalPython|BatchEvalPython",
+    "python": r"MapInPandas|MapInArrow|FlatMapCoGroupsInPandas|ArrowEvalPython|BatchEvalPython",
     "BAD_nested_loop": r"BroadcastNestedLoopJoin|CartesianProduct",
 }
 
