@@ -27,7 +27,7 @@ def test_alignment_by_the_book():
 
 
 def plain(text):
-    return [f for f in map(decon.plain, (text or "").encode().split()) if f]
+    return [f for f in (decon.plain(w.decode()) for w in (text or "").encode().split()) if f]
 
 
 def test_whole_copies_of_the_benchmark(spark, docs):

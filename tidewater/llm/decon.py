@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.words import CACHE_WORDS, in_parts, texts
+from tidewater.llm.words import CACHE_WORDS, in_parts, split
 
 ENDS = re.compile(r"^[\W_]+|[\W_]+$")
 HITS = "doc_id long, item_id long, score double, doc_start long, doc_end long, n_seeds long"
@@ -34,8 +34,8 @@ _HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa
 OTHER, NONE = 0, -1  # a word that no item holds; no word at all
 
 
-def plain(word: bytes) -> str:
-    return ENDS.sub("", word.decode("utf-8", "replace").lower())
+def plain(word: str) -> str:
+    return ENDS.sub("", word.lower())
 
 
 class Numbers(dict):
@@ -44,17 +44,22 @@ class Numbers(dict):
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
         form = plain(word)
         value = self[word] = self.vocabulary.get(form, OTHER) if form else NONE
         return value
 
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return found[found != NONE]
+    def of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbered words of all texts of a column, and of each the number
+        of its text. Only the different words of the column are looked up."""
+        words, sizes = split(column)
+        coded = words.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        found = np.fromiter(map(self.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy()]
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        return found[found != NONE], owner[found != NONE]
 
 
 class Items:
@@ -64,33 +69,34 @@ class Items:
         self.n, self.vocabulary, self.ids, self.words = n, {}, [], []
         seen: set[tuple[int, ...]] = set()
         for item, text in rows:  # ascending item_id
-            forms = [f for f in map(plain, text.encode().split()) if f]
+            forms = [f for f in (plain(w.decode()) for w in text.encode().split()) if f]
             words = tuple(self.vocabulary.setdefault(f, len(self.vocabulary) + 1) for f in forms)
             if len(words) >= n and words not in seen:
                 seen.add(words)
                 self.ids.append(item)
                 self.words.append(np.array(words, np.int64))
-        codes = [self.codes(w) for w in self.words]
+        codes = [self.codes(w, np.zeros(len(w))) for w in self.words]
         self.item = np.repeat(np.arange(len(codes)), [len(c) for c in codes]).astype(np.int64)
         self.place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.empty(0, np.int64)
         every = np.concatenate(codes) if codes else np.empty(0, np.int64)
         self.grams, self.gram = np.unique(every, return_inverse=True)
 
-    def codes(self, words: np.ndarray) -> np.ndarray:
-        """A code for each n-gram; one with a word that no item holds gets 0."""
+    def codes(self, words: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """A code for each n-gram; one with a word that no item holds, or over
+        the end of a text, gets 0."""
         if len(words) < self.n:
             return np.empty(0, np.int64)
         out = np.zeros(len(words) - self.n + 1, np.int64)
-        good = np.ones(len(out), bool)
+        good = owner[:len(out)] == owner[self.n - 1:]
         for k in range(self.n):
             part = words[k:len(words) - self.n + 1 + k]
             out = out * np.int64(len(self.vocabulary) + 1) + part
             good &= part > 0
         return np.where(good, out, 0)
 
-    def found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a document, and numbers, of the items' n-grams in it."""
-        codes = self.codes(words)
+    def found(self, words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places, and numbers, of the items' n-grams in numbered words."""
+        codes = self.codes(words, owner)
         places = np.flatnonzero(codes)
         if not len(places) or not len(self.grams):
             return places[:0], places[:0]
@@ -150,14 +156,10 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> list[tuple[int
     return list(zip(best.tolist(), best_begin.tolist(), best_end.tolist(), strict=True))
 
 
-def passages_of(items: Items, words: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(item, begin, end, seeds) of the stretches of a document that seeds point at."""
-    places, grams = items.found(words)
-    if not len(places):
-        return []
+def passages_of(items: Items, n_words: int, places: np.ndarray, grams: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(item, begin, end, seeds) of the stretches of a document of ``n_words``
+    words that its seeds (their places and numbers) point at."""
     counts = items.posting_from[grams + 1] - items.posting_from[grams]
-    if not counts.sum():
-        return []
     entry = np.repeat(items.posting_from[grams] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
     item, inside, place = items.posting_item[entry], items.posting_place[entry], np.repeat(places, counts)
     order = np.lexsort((place - inside, item))
@@ -168,7 +170,7 @@ def passages_of(items: Items, words: np.ndarray) -> list[tuple[int, int, int, in
         if run and (k == len(item) or item[k] != item[run[-1]] or diagonal[k] - diagonal[run[-1]] > len(items.words[item[k]]) // 2):
             size = len(items.words[item[run[0]]])
             slack = size // 4 + 4
-            out.append((item[run[0]], max(0, diagonal[run[0]] - slack), min(len(words), diagonal[run[-1]] + size + slack), len(run)))
+            out.append((item[run[0]], max(0, diagonal[run[0]] - slack), min(n_words, diagonal[run[-1]] + size + slack), len(run)))
             run = []
         run.append(k)
     return out
@@ -200,9 +202,11 @@ def seeded(docs: DataFrame, benchmark: DataFrame, n: int, rare: float, block_wor
         def count(batches, shared=shared):
             items, total = shared.value, np.zeros(len(shared.value.grams), np.int64)
             numbers = Numbers(items.vocabulary)
-            for batch in batches:
-                for text in texts(batch.column("text")):
-                    total[np.unique(items.found(numbers.of(text))[1])] += 1
+            for part in in_parts(batches):
+                words, owner = numbers.of(part.column("text"))
+                places, grams = items.found(words, owner)
+                if len(places):  # each document counts once
+                    total += np.bincount(np.unique(owner[places] * len(total) + grams) % len(total), minlength=len(total))
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "documents"])
 
@@ -214,15 +218,20 @@ def seeded(docs: DataFrame, benchmark: DataFrame, n: int, rare: float, block_wor
         yield sc.broadcast(items)
 
 
-def found_in(items: Items, numbers: Numbers, docs: list[bytes], threshold: float) -> list[tuple[int, int, float, int, int, int]]:
-    """Of each document (by its number) and item the best alignment with at
-    least ``threshold``: number, item, score, begin, end, seeds."""
+def found_in(items: Items, numbers: Numbers, column: pa.Array, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
+    """Of each text of a column (by its number) and item the best alignment
+    with at least ``threshold``: number, item, score, begin, end, seeds."""
     places, pairs = [], []
-    for row, text in enumerate(docs):
-        words = numbers.of(text)
-        for item, begin, end, seeds in passages_of(items, words):
-            places.append((row, item, begin, seeds))
-            pairs.append((items.words[item], words[begin:end]))
+    words, owner = numbers.of(column)
+    at, grams = items.found(words, owner)
+    seeds = items.posting_from[grams + 1] > items.posting_from[grams]
+    at, grams = at[seeds], grams[seeds]
+    rows, first = np.unique(owner[at], return_index=True)
+    for row, a, b in zip(rows.tolist(), first.tolist(), np.append(first, len(at))[1:].tolist(), strict=True):
+        begin_, end_ = np.searchsorted(owner, [row, row + 1]).tolist()
+        for item, begin, end, n in passages_of(items, end_ - begin_, at[a:b] - begin_, grams[a:b]):
+            places.append((row, item, begin, n))
+            pairs.append((items.words[item], words[begin_ + begin:begin_ + end]))
     order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))  # near lengths go together
     aligned: list = [None] * len(pairs)
     for at in range(0, len(order), 256):
@@ -250,7 +259,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int =
             for part in in_parts(batches):
                 ids = part.column("doc_id").to_pylist()
                 rows = [{"doc_id": ids[row], "item_id": items.ids[item], "score": score, "doc_start": begin, "doc_end": end, "n_seeds": seeds}
-                        for row, item, score, begin, end, seeds in found_in(items, numbers, texts(part.column("text")), threshold)]
+                        for row, item, score, begin, end, seeds in found_in(items, numbers, part.column("text"), threshold)]
                 yield pa.RecordBatch.from_pylist(rows, _HITS)
 
         out = out.unionByName(docs.mapInArrow(search, HITS))
@@ -266,7 +275,7 @@ def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: in
             items = block.value
             numbers = Numbers(items.vocabulary)
             for part in in_parts(batches):
-                hit = {row for row, *_ in found_in(items, numbers, texts(part.column("text")), threshold)}
+                hit = {row for row, *_ in found_in(items, numbers, part.column("text"), threshold)}
                 yield part.filter(pa.array([row not in hit for row in range(part.num_rows)]))
 
         out = out.mapInArrow(keep, docs.schema)

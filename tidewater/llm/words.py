@@ -37,9 +37,14 @@ def in_parts(batches, max_bytes: int = 4 << 20, text: str = "text") -> Iterator[
 
 
 def split_lower(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts of a string column, ASCII letters in lower case,
-    as one array, and the number of words of each text; null has none."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    """``split`` with ASCII letters in lower case."""
+    return split(pc.ascii_lower(column))
+
+
+def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts of a string column as one array, and the number
+    of words of each text; null has none."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
     full = pc.greater(pc.binary_length(words), 0)
     if pc.all(full).as_py() is False:  # white space at an end leaves an empty word
