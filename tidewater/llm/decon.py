@@ -20,6 +20,7 @@ give repeated hits.
 from __future__ import annotations
 
 import re
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,12 @@ OTHER, NONE = 0, -1  # a word that no item holds; no word at all
 
 
 def plain(word: str) -> str:
-    return ENDS.sub("", word.lower())
+    """``word`` in lower case without punctuation at its ends."""
+    word = word.lower()
+    if word.isalnum():
+        return word
+    word = word.strip(punctuation)
+    return word if word and word[0].isalnum() and word[-1].isalnum() else ENDS.sub("", word)
 
 
 class Numbers(dict):
@@ -56,7 +62,7 @@ class Numbers(dict):
         of its text. Only the different words of the column are looked up."""
         words, sizes = split(column)
         coded = words.dictionary_encode()
-        different = coded.dictionary.to_pylist()
+        different = coded.dictionary.to_numpy(zero_copy_only=False)
         found = np.fromiter(map(self.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy()]
         owner = np.repeat(np.arange(len(sizes)), sizes)
         return found[found != NONE], owner[found != NONE]
