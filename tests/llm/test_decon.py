@@ -76,3 +76,29 @@ def test_edges(spark, edge, none, block_words):
     assert sorted(str(d) for d, _ in pairs(kept)) == sorted(str(d) for d, t in pairs(edge) if PASSAGE not in (t or ""))
     assert decon.hits(none, bench).count() == 0
     assert decon.hits(edge, bench.limit(0)).count() == 0 and decon.without(edge, bench.limit(0)).count() == edge.count()
+
+
+def test_every_third_to_fifth_word_edited_and_parts(spark):
+    rng = random.Random(6)
+    items = [" ".join(f"v{rng.randrange(3000)}" for _ in range(40)) for _ in range(24)]
+    rows, planted = [], {}
+    for item, text in enumerate(items):
+        words, way = text.split(), item % 6
+        if way < 3:  # one word in 3, 4 or 5
+            words = [f"edit{k}" if k % (way + 3) == way + 2 else w for k, w in enumerate(words)]
+        elif way < 5:  # the first or the second half
+            words = words[:20] if way == 3 else words[20:]
+        else:
+            words = [w if rng.random() > 0.25 else "edit" for w in words]
+        filler = [f"u{rng.randrange(4000)}" for _ in range(80)]
+        rows.append((item, " ".join([*filler[:30], *words, *filler[30:]])))
+        planted[item, item] = score(text.split(), words) / 80
+    # whole copies elsewhere of half of the items
+    rows += [(100 + item, f"before {items[item]} behind") for item in range(0, 24, 2)]
+    planted |= {(100 + item, item): 1.0 for item in range(0, 24, 2)}
+    assert all(x >= 0.4 for x in planted.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in decon.hits(docs, bench).collect()}
+    assert found == pytest.approx(planted)
+    assert decon.without(docs, bench).count() == 0

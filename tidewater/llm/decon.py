@@ -1,15 +1,15 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
 
 Words are the texts' words in lower case without punctuation at their ends.
-Of each benchmark item the n-grams that are rarest in the corpus (by the number
-of documents that hold them, counted over all documents) are seeds: at least
-the rarer half, so a passage leaked into very many documents keeps its seeds.
-Documents are scanned for seeds, and around the places where those of an item
-lie on near diagonals the item is aligned to the document's words by local
+All n-grams of a benchmark item are seeds, however many documents hold them, so
+every stretch of an item keeps its own. Where those of an item lie on near
+diagonals of a document, the item is aligned to the document's words by local
 alignment (a match 2, a mismatch or a gap -1). The score is the alignment's
-share of a whole copy's. Items go through in blocks of at most
-``block_words`` words, two scans of the documents each, so what a task holds
-of the benchmark is bounded whatever its size.
+share of a whole copy's. A copy with so many words replaced that no n-gram is
+left whole is found by its pairs of words, of which it must hold as many as any
+copy with words replaced and a score of ``threshold`` holds. Items go through in
+blocks of at most ``block_words`` words, one scan of the documents each, so what
+a task holds of the benchmark is bounded whatever its size.
 
 Items with equal words are one, under the smallest item_id. Items with fewer
 words than a seed, null or empty ones and a null item_id match nothing; a null
@@ -32,6 +32,7 @@ from tidewater.llm.words import CACHE_WORDS, in_parts, split
 ENDS = re.compile(r"^[\W_]+|[\W_]+$")
 HITS = "doc_id long, item_id long, score double, doc_start long, doc_end long, n_seeds long"
 _HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("doc_start", pa.int64()), ("doc_end", pa.int64()), ("n_seeds", pa.int64())])
+PAIRS = 1 << 20  # pairs of a place in a text and one in an item looked at together, besides a text's own
 OTHER, NONE = 0, -1  # a word that no item holds; no word at all
 
 
@@ -68,24 +69,19 @@ class Numbers(dict):
         return found[found != NONE], owner[found != NONE]
 
 
-class Items:
-    """A block of benchmark items as numbered words, and their n-grams."""
+class Seeds:
+    """The ``n``-grams of a block of items, and the places of each."""
 
-    def __init__(self, rows: list[tuple[int, str]], n: int):
-        self.n, self.vocabulary, self.ids, self.words = n, {}, [], []
-        seen: set[tuple[int, ...]] = set()
-        for item, text in rows:  # ascending item_id
-            forms = [f for f in (plain(w.decode()) for w in text.encode().split()) if f]
-            words = tuple(self.vocabulary.setdefault(f, len(self.vocabulary) + 1) for f in forms)
-            if len(words) >= n and words not in seen:
-                seen.add(words)
-                self.ids.append(item)
-                self.words.append(np.array(words, np.int64))
-        codes = [self.codes(w, np.zeros(len(w))) for w in self.words]
-        self.item = np.repeat(np.arange(len(codes)), [len(c) for c in codes]).astype(np.int64)
-        self.place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.empty(0, np.int64)
+    def __init__(self, words: list[np.ndarray], n: int, vocabulary: int):
+        self.n, self.base = n, np.int64(vocabulary + 1)
+        codes = [self.codes(w, np.zeros(len(w))) for w in words]
+        item = np.repeat(np.arange(len(codes)), [len(c) for c in codes]).astype(np.int64)
+        place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.empty(0, np.int64)
         every = np.concatenate(codes) if codes else np.empty(0, np.int64)
-        self.grams, self.gram = np.unique(every, return_inverse=True)
+        self.grams, gram = np.unique(every, return_inverse=True)
+        order = np.argsort(gram, kind="stable")
+        self.item, self.place = item[order], place[order]
+        self.begin = np.searchsorted(gram[order], np.arange(len(self.grams) + 1))
 
     def codes(self, words: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """A code for each n-gram; one with a word that no item holds, or over
@@ -96,7 +92,7 @@ class Items:
         good = owner[:len(out)] == owner[self.n - 1:]
         for k in range(self.n):
             part = words[k:len(words) - self.n + 1 + k]
-            out = out * np.int64(len(self.vocabulary) + 1) + part
+            out = out * self.base + part
             good &= part > 0
         return np.where(good, out, 0)
 
@@ -110,17 +106,30 @@ class Items:
         hit = self.grams[at] == codes[places]
         return places[hit], at[hit]
 
-    def pick_seeds(self, documents: np.ndarray, rare: float) -> None:
-        """Keep the rarest share of each item's n-grams, ties included."""
-        frequency = documents[self.gram] if len(self.gram) else self.gram
-        keep = np.zeros(len(self.gram), bool)
-        for k in range(len(self.ids)):
-            own = np.flatnonzero(self.item == k) if len(self.ids) < 2 else np.arange(*np.searchsorted(self.item, [k, k + 1]))
-            rank = np.sort(frequency[own])[min(len(own) - 1, int(len(own) * rare))]
-            keep[own] = frequency[own] <= rank
-        order = np.flatnonzero(keep)[np.argsort(self.gram[keep], kind="stable")]
-        self.posting_item, self.posting_place = self.item[order], self.place[order]
-        self.posting_from = np.searchsorted(self.gram[order], np.arange(len(self.grams) + 1))
+
+class Items:
+    """A block of benchmark items as numbered words, and their seeds."""
+
+    def __init__(self, rows: list[tuple[int, str]], n: int):
+        self.vocabulary, self.ids, self.words = {}, [], []
+        seen: set[tuple[int, ...]] = set()
+        for item, text in rows:  # ascending item_id
+            forms = [f for f in (plain(w.decode()) for w in text.encode().split()) if f]
+            words = tuple(self.vocabulary.setdefault(f, len(self.vocabulary) + 1) for f in forms)
+            if len(words) >= n and words not in seen:
+                seen.add(words)
+                self.ids.append(item)
+                self.words.append(np.array(words, np.int64))
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.seeds = Seeds(self.words, n, len(self.vocabulary))
+        self.pairs = Seeds(self.words, 2, len(self.vocabulary)) if n > 2 else None
+
+    def pairs_needed(self, threshold: float) -> np.ndarray:
+        """Of each item the pairs that are left in a copy with words replaced
+        that scores ``threshold``: m words of the item's s that match and e
+        replaced have 2m - e >= 2s * threshold and m + e <= s, and at least
+        m - e - 1 pairs are whole."""
+        return np.maximum(2, np.ceil(self.sizes * (4 * threshold - 1) / 3 - 1e-9).astype(np.int64) - 1)
 
 
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> list[tuple[int, int, int]]:
@@ -162,24 +171,35 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> list[tuple[int
     return list(zip(best.tolist(), best_begin.tolist(), best_end.tolist(), strict=True))
 
 
-def passages_of(items: Items, n_words: int, places: np.ndarray, grams: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(item, begin, end, seeds) of the stretches of a document of ``n_words``
-    words that its seeds (their places and numbers) point at."""
-    counts = items.posting_from[grams + 1] - items.posting_from[grams]
-    entry = np.repeat(items.posting_from[grams] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-    item, inside, place = items.posting_item[entry], items.posting_place[entry], np.repeat(places, counts)
-    order = np.lexsort((place - inside, item))
-    out = []
-    run: list[int] = []
-    item, diagonal = item[order].tolist(), (place - inside)[order].tolist()
-    for k in range(len(item) + 1):
-        if run and (k == len(item) or item[k] != item[run[-1]] or diagonal[k] - diagonal[run[-1]] > len(items.words[item[k]]) // 2):
-            size = len(items.words[item[run[0]]])
-            slack = size // 4 + 4
-            out.append((item[run[0]], max(0, diagonal[run[0]] - slack), min(n_words, diagonal[run[-1]] + size + slack), len(run)))
-            run = []
-        run.append(k)
-    return out
+def passages_of(items: Items, seeds: Seeds, words: np.ndarray, owner: np.ndarray, need: np.ndarray):
+    """(text, item, begin, end, seeds) of the stretches of texts, as numbered
+    words, at which at least ``need`` (of the item) seeds on near diagonals point."""
+    places, grams = seeds.found(words, owner)
+    texts = owner[places]
+    counts = seeds.begin[grams + 1] - seeds.begin[grams]
+    start = np.cumsum(counts) - counts
+    # whole texts, of about PAIRS pairs of a place and an item's place at a time
+    edges = np.flatnonzero(np.diff(texts, prepend=-1))
+    edges = np.append(edges[np.flatnonzero(np.diff(start[edges] // PAIRS, prepend=-1))], len(places))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        n = counts[a:b]
+        entry = np.repeat(seeds.begin[grams[a:b]] - start[a:b] + start[a], n) + np.arange(n.sum())
+        begun, ended = np.searchsorted(owner, texts[a:b]), np.searchsorted(owner, texts[a:b], "right")
+        item, row, size = seeds.item[entry], np.repeat(texts[a:b], n), np.repeat(ended - begun, n)
+        diagonal = np.repeat(places[a:b] - begun, n) - seeds.place[entry]
+        order = np.lexsort((diagonal, item, row))
+        item, row, size, diagonal = item[order], row[order], size[order], diagonal[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (np.diff(diagonal) > items.sizes[item[1:]] // 2)
+        first = np.flatnonzero(new)
+        held = np.diff(first, append=len(item))
+        enough = held >= need[item[first]]
+        first, held = first[enough], held[enough]
+        whole = items.sizes[item[first]]
+        slack = whole // 4 + 4
+        begin = np.maximum(0, diagonal[first] - slack)
+        end = np.minimum(size[first], diagonal[first + held - 1] + whole + slack)
+        yield from zip(*(c.tolist() for c in (row[first], item[first], begin, end, held)), strict=True)
 
 
 def _blocks(benchmark: DataFrame, n: int, block_words: int):
@@ -196,48 +216,33 @@ def _blocks(benchmark: DataFrame, n: int, block_words: int):
         yield Items(held, n)
 
 
-def seeded(docs: DataFrame, benchmark: DataFrame, n: int, rare: float, block_words: int):
+def seeded(docs: DataFrame, benchmark: DataFrame, n: int, block_words: int):
     """Blocks of items with their seeds, as broadcast variables: at most
     ``block_words`` words and their n-grams each."""
-    sc = docs.sparkSession.sparkContext
     for items in _blocks(benchmark, n, block_words):
-        if not items.ids:
-            continue
-        shared = sc.broadcast(items)
-
-        def count(batches, shared=shared):
-            items, total = shared.value, np.zeros(len(shared.value.grams), np.int64)
-            numbers = Numbers(items.vocabulary)
-            for part in in_parts(batches):
-                words, owner = numbers.of(part.column("text"))
-                places, grams = items.found(words, owner)
-                if len(places):  # each document counts once
-                    total += np.bincount(np.unique(owner[places] * len(total) + grams) % len(total), minlength=len(total))
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "documents"])
-
-        documents = np.zeros(len(items.grams), np.int64)
-        sums = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "gram long, documents long").groupBy("gram").agg(F.sum("documents"))
-        for gram, total in sums.collect():  # at most the block's n-grams
-            documents[gram] = total
-        items.pick_seeds(documents, rare)
-        yield sc.broadcast(items)
+        if items.ids:
+            yield docs.sparkSession.sparkContext.broadcast(items)
 
 
 def found_in(items: Items, numbers: Numbers, column: pa.Array, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
     """Of each text of a column (by its number) and item the best alignment
     with at least ``threshold``: number, item, score, begin, end, seeds."""
-    places, pairs = [], []
     words, owner = numbers.of(column)
-    at, grams = items.found(words, owner)
-    seeds = items.posting_from[grams + 1] > items.posting_from[grams]
-    at, grams = at[seeds], grams[seeds]
-    rows, first = np.unique(owner[at], return_index=True)
-    for row, a, b in zip(rows.tolist(), first.tolist(), np.append(first, len(at))[1:].tolist(), strict=True):
-        begin_, end_ = np.searchsorted(owner, [row, row + 1]).tolist()
-        for item, begin, end, n in passages_of(items, end_ - begin_, at[a:b] - begin_, grams[a:b]):
+    found = list(passages_of(items, items.seeds, words, owner, np.ones_like(items.sizes)))
+    if items.pairs:
+        covered: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for row, item, begin, end, _ in found:
+            covered.setdefault((row, item), []).append((begin, end))
+        found += [x for x in passages_of(items, items.pairs, words, owner, items.pairs_needed(threshold))
+                  if not any(a <= x[2] and x[3] <= b for a, b in covered.get(x[:2], ()))]
+    begins = np.searchsorted(owner, [row for row, *_ in found]).tolist()
+    places, pairs = [], []
+    for at, (row, item, begin, end, n) in zip(begins, found, strict=True):
+        passage = words[at + begin:at + end]
+        # no alignment matches more of the item's words than stand in the passage
+        if np.isin(items.words[item], passage).sum() >= threshold * len(items.words[item]):
             places.append((row, item, begin, n))
-            pairs.append((items.words[item], words[begin_ + begin:begin_ + end]))
+            pairs.append((items.words[item], passage))
     order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))  # near lengths go together
     aligned: list = [None] * len(pairs)
     for at in range(0, len(order), 256):
@@ -252,13 +257,13 @@ def found_in(items: Items, numbers: Numbers, column: pa.Array, threshold: float)
     return list(best.values())
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, rare: float = 0.5, block_words: int = 200_000) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, block_words: int = 200_000) -> DataFrame:
     """One row for each document row and item aligned with at least
     ``threshold``: score, the passage (numbers of words, end exclusive; words
     without a letter or digit don't count) and the seeds on its diagonals."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs.sparkSession.createDataFrame([], HITS)
-    for block in seeded(docs, benchmark, n, rare, block_words):
+    for block in seeded(docs, benchmark, n, block_words):
         def search(batches, block=block):
             items = block.value
             numbers = Numbers(items.vocabulary)
@@ -272,11 +277,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int =
     return out
 
 
-def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, rare: float = 0.5, block_words: int = 200_000) -> DataFrame:
+def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, block_words: int = 200_000) -> DataFrame:
     """The rows of ``docs``, all columns, that ``hits`` has nothing on. The
     scan that aligns drops the rows, so texts go through no exchange."""
     out = docs
-    for block in seeded(docs, benchmark, n, rare, block_words):
+    for block in seeded(docs, benchmark, n, block_words):
         def keep(batches, block=block):
             items = block.value
             numbers = Numbers(items.vocabulary)
