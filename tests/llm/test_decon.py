@@ -102,3 +102,17 @@ def test_every_third_to_fifth_word_edited_and_parts(spark):
     found = {(r["doc_id"], r["item_id"]): r["score"] for r in decon.hits(docs, bench).collect()}
     assert found == pytest.approx(planted)
     assert decon.without(docs, bench).count() == 0
+
+
+def test_passages_of_long_items(spark):
+    rng = random.Random(9)
+    items = [" ".join(f"v{rng.randrange(9000)}" for _ in range(n)) for n in (400, 2000, 400, 300)]
+    parts = [items[0].split()[200:320], items[1].split()[900:1050], items[2].split()[10:130], items[3].split()[250:280]]
+    parts[2] = ["edit" if k % 3 == 2 else w for k, w in enumerate(parts[2])]  # 80 of 120 words
+    rows = [(k, " ".join([f"u{rng.randrange(900)}" for _ in range(60)] + part + ["behind"] * 9)) for k, part in enumerate(parts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["score"], r["doc_start"], r["doc_end"]) for r in decon.hits(docs, bench).collect()}
+    # 30 words are under the length of a passage and the share of the item
+    assert found == {(0, 0): (0.3, 60, 180), (1, 1): (0.075, 60, 210), (2, 2): (pytest.approx(121 / 800), 60, 179)}
+    assert [r["doc_id"] for r in decon.without(docs, bench).collect()] == [3]

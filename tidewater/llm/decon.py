@@ -5,7 +5,9 @@ All n-grams of a benchmark item are seeds, however many documents hold them, so
 every stretch of an item keeps its own. Where those of an item lie on near
 diagonals of a document, the item is aligned to the document's words by local
 alignment (a match 2, a mismatch or a gap -1). The score is the alignment's
-share of a whole copy's. A copy with so many words replaced that no n-gram is
+share of a whole copy's. A passage of a long item counts by its own length, too:
+an alignment whose score equals that of ``passage`` matched words is a hit
+whatever its share. A copy with so many words replaced that no n-gram is
 left whole is found by its pairs of words, of which it must hold as many as any
 copy with words replaced and a score of ``threshold`` holds. Items go through in
 blocks of at most ``block_words`` words, one scan of the documents each, so what
@@ -124,12 +126,18 @@ class Items:
         self.seeds = Seeds(self.words, n, len(self.vocabulary))
         self.pairs = Seeds(self.words, 2, len(self.vocabulary)) if n > 2 else None
 
-    def pairs_needed(self, threshold: float) -> np.ndarray:
+    def needed(self, threshold: float, passage: int) -> np.ndarray:
+        """Of each item the matched words that an alignment's score must equal."""
+        return np.minimum(threshold * self.sizes, passage)
+
+    def pairs_needed(self, threshold: float, passage: int) -> np.ndarray:
         """Of each item the pairs that are left in a copy with words replaced
         that scores ``threshold``: m words of the item's s that match and e
         replaced have 2m - e >= 2s * threshold and m + e <= s, and at least
-        m - e - 1 pairs are whole."""
-        return np.maximum(2, np.ceil(self.sizes * (4 * threshold - 1) / 3 - 1e-9).astype(np.int64) - 1)
+        m - e - 1 pairs are whole. Of a long item s is the size of a part
+        whose share ``threshold`` is ``passage`` words."""
+        size = np.minimum(self.sizes, passage / threshold) if threshold > 0 else self.sizes
+        return np.maximum(2, np.ceil(size * (4 * threshold - 1) / 3 - 1e-9).astype(np.int64) - 1)
 
 
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> list[tuple[int, int, int]]:
@@ -224,25 +232,27 @@ def seeded(docs: DataFrame, benchmark: DataFrame, n: int, block_words: int):
             yield docs.sparkSession.sparkContext.broadcast(items)
 
 
-def found_in(items: Items, numbers: Numbers, column: pa.Array, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
+def found_in(items: Items, numbers: Numbers, column: pa.Array, threshold: float, passage: int) -> list[tuple[int, int, float, int, int, int]]:
     """Of each text of a column (by its number) and item the best alignment
-    with at least ``threshold``: number, item, score, begin, end, seeds."""
+    with at least ``threshold``, or a score of ``passage`` matched words:
+    number, item, score, begin, end, seeds."""
     words, owner = numbers.of(column)
     found = list(passages_of(items, items.seeds, words, owner, np.ones_like(items.sizes)))
     if items.pairs:
         covered: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for row, item, begin, end, _ in found:
             covered.setdefault((row, item), []).append((begin, end))
-        found += [x for x in passages_of(items, items.pairs, words, owner, items.pairs_needed(threshold))
+        found += [x for x in passages_of(items, items.pairs, words, owner, items.pairs_needed(threshold, passage))
                   if not any(a <= x[2] and x[3] <= b for a, b in covered.get(x[:2], ()))]
+    needed = items.needed(threshold, passage).tolist()
     begins = np.searchsorted(owner, [row for row, *_ in found]).tolist()
     places, pairs = [], []
     for at, (row, item, begin, end, n) in zip(begins, found, strict=True):
-        passage = words[at + begin:at + end]
-        # no alignment matches more of the item's words than stand in the passage
-        if np.isin(items.words[item], passage).sum() >= threshold * len(items.words[item]):
+        stretch = words[at + begin:at + end]
+        # no alignment matches more of the item's words than stand in the stretch
+        if np.isin(items.words[item], stretch).sum() >= needed[item]:
             places.append((row, item, begin, n))
-            pairs.append((items.words[item], passage))
+            pairs.append((items.words[item], stretch))
     order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))  # near lengths go together
     aligned: list = [None] * len(pairs)
     for at in range(0, len(order), 256):
@@ -252,14 +262,14 @@ def found_in(items: Items, numbers: Numbers, column: pa.Array, threshold: float)
     best: dict[tuple[int, int], tuple] = {}
     for (row, item, begin, seeds), (score, a, b) in zip(places, aligned, strict=True):
         share = score / (2.0 * len(items.words[item]))
-        if share >= threshold and ((row, item) not in best or share > best[row, item][2]):
+        if (share >= threshold or score >= 2 * passage) and ((row, item) not in best or share > best[row, item][2]):
             best[row, item] = (row, item, share, begin + a, begin + b, seeds)
     return list(best.values())
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, block_words: int = 200_000) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, block_words: int = 200_000, passage: int = 40) -> DataFrame:
     """One row for each document row and item aligned with at least
-    ``threshold``: score, the passage (numbers of words, end exclusive; words
+    ``threshold``, or a score equal to ``passage`` matched words: score, the passage (numbers of words, end exclusive; words
     without a letter or digit don't count) and the seeds on its diagonals."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs.sparkSession.createDataFrame([], HITS)
@@ -270,14 +280,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int =
             for part in in_parts(batches):
                 ids = part.column("doc_id").to_pylist()
                 rows = [{"doc_id": ids[row], "item_id": items.ids[item], "score": score, "doc_start": begin, "doc_end": end, "n_seeds": seeds}
-                        for row, item, score, begin, end, seeds in found_in(items, numbers, part.column("text"), threshold)]
+                        for row, item, score, begin, end, seeds in found_in(items, numbers, part.column("text"), threshold, passage)]
                 yield pa.RecordBatch.from_pylist(rows, _HITS)
 
         out = out.unionByName(docs.mapInArrow(search, HITS))
     return out
 
 
-def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, block_words: int = 200_000) -> DataFrame:
+def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, block_words: int = 200_000, passage: int = 40) -> DataFrame:
     """The rows of ``docs``, all columns, that ``hits`` has nothing on. The
     scan that aligns drops the rows, so texts go through no exchange."""
     out = docs
@@ -286,7 +296,7 @@ def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: in
             items = block.value
             numbers = Numbers(items.vocabulary)
             for part in in_parts(batches):
-                hit = {row for row, *_ in found_in(items, numbers, part.column("text"), threshold)}
+                hit = {row for row, *_ in found_in(items, numbers, part.column("text"), threshold, passage)}
                 yield part.filter(pa.array([row not in hit for row in range(part.num_rows)]))
 
         out = out.mapInArrow(keep, docs.schema)
