@@ -75,3 +75,23 @@ def test_redaction(spark, edge, none):
 
     assert sorted(map(str, (r["text"] for r in out))) == sorted(str(cut(t)) for _, t in pairs(rows))
     assert secrets.digest(secrets.findings(none, secrets.scan(none, new_folder(spark, "ledger")))).count() == 0
+
+
+def test_whole_private_keys_are_redacted(spark):
+    lines = [("Ab9+/" * 13)[:64] for _ in range(5)] + ["Zz09=="]
+    body = "\n".join(lines)
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    cases = [(f"é a {begin}\n{body}\n{end} b", "é a [SECRET] b"),
+             (f"{begin}\r\n{head}{body}\r\n{end}\nb", "[SECRET]\nb"),
+             (f'{{"key": "{begin}\\n' + "\\n".join(lines) + f'\\n{end}\\n"}}', '{"key": "[SECRET]\\n"}'),
+             (f"{begin}\n{body}\n{end}\nand\n{begin}\n{body}\n{end}", "[SECRET]\nand\n[SECRET]"),
+             (f"a {begin}\n{body}", "a [SECRET]"),  # cut off
+             (f"{begin}\n{head}{body}\nSome words.", "[SECRET]\nSome words."),
+             (f"{begin}\n{body}\n-----END EC PRIVATE KEY-----", "[SECRET]\n-----END EC PRIVATE KEY-----"),
+             (f"password = {begin}\n{body}\n{end}.", "[SECRET]."),
+             (f"a line {begin} begins a key", "a line [SECRET] begins a key")]
+    rows = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id long, text string")
+    ledger = secrets.scan(rows, new_folder(spark, "ledger"))
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(secrets.findings(rows, ledger, text=True)).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]

@@ -56,9 +56,17 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}", needs=("akia",)),
     Rule("hex", 1, r"[0-9a-f]{32,}"),
 )
+#: A key from its BEGIN to its END line whatever stands between; without an END
+#: line of the same label, BEGIN and the lines of base64 that follow, if any.
+#: Line ends may be written as \n, as in JSON.
+PRIVATE_KEY = r"""-----BEGIN\x20((?:[A-Z]+\x20){0,3})PRIVATE\x20KEY-----
+(?: (?:(?!-----BEGIN\x20)[\s\S])*?-----END\x20\1PRIVATE\x20KEY-----
+  | (?:(?:\s|\\[nr])+(?:Proc-Type|DEK-Info):[^\n\\]*)*
+    (?:(?:\s|\\[nr])+[A-Za-z0-9+/]{16,}={0,2})+
+    (?:(?:[\x20\t\r]*\n[\x20\t]*|(?:\\r)?\\n)[A-Za-z0-9+/]{1,15}={0,2}(?=\s*(?:\n|\Z)))? )?"""
 #: Formats with a mark of their own.
 MORE = (
-    Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----", needs=("private key-----",)),
+    Rule("private_key", 2, PRIVATE_KEY, re.VERBOSE, needs=("private key-----",)),
     Rule("code_host", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", needs=("gh",)),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", needs=("xox",)),
     Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", needs=("eyj",)),
