@@ -43,3 +43,13 @@ def test_words_first_then_shorter_grams(spark):
 def test_model_size_is_bounded(docs):
     model = langid.train(docs, max_words=50, max_grams=20)
     assert len(model.words) <= 50 * len(model.langs) and len(model.grams) <= 4 * 20 * len(model.langs)
+
+
+def test_any_head_gives_the_same_predictions(docs):
+    """Words outside the head keep their counts, and those inside it their counts in all languages."""
+    small, whole = (langid.train(docs, max_words=most) for most in (50, 10**9))
+    assert len(small.words) < len(whole.words) and whole.tail.count() == 0 and len(small.words) + small.tail.count() == len(whole.words)
+    for word, row in small.words.items():
+        assert (small.word_scores[row] == whole.word_scores[whole.words[word]]).all()
+    a, b = ({r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, m).collect()} for m in (small, whole))
+    assert a.keys() == b.keys() and all(a[d][0] == b[d][0] and abs(a[d][1] - b[d][1]) < 1e-5 for d in a)

@@ -2,12 +2,14 @@
 
 ``train`` counts words by language over all labelled rows, and character
 n-grams (of orders 1 to ``max_order``, over words with their ends marked) from
-those counts. A model holds, for each language, the words and the n-grams of
-each order that occur most often: as many as have a count at or over the
-smallest threshold that leaves at most ``max_words`` and ``max_grams`` of them,
-so its size has a bound that does not grow with the data. ``predict`` adds, for
-each word of a text, its log frequency in each language; a word that the model
-does not know is scored by the longest known n-grams that begin at each of its
+those counts. What a model sends to all tasks holds, of each language, the words
+and the n-grams of each order that occur most often: as many as have a count at
+or over the smallest threshold that leaves at most ``max_words`` and
+``max_grams`` of them, so its size has a bound that does not grow with the data.
+Their counts in all languages are taken. All other words lie in a written table,
+``tail``, and texts meet them by a join. ``predict`` adds, for each word of a
+text, its log frequency in each language; a word that was never counted is
+scored by the longest known n-grams that begin at each of its
 characters, shorter ones where longer ones are unknown, averaged over the word.
 
 A word is a run of letters, in lower case. The prediction of a text that is
@@ -22,10 +24,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,13 +95,13 @@ def count_grams(words: DataFrame, max_order: int) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The grams of each language and order with a count at or over the
-    smallest one that leaves at most ``most`` of them."""
+    """The grams (n, gram) of some language and order with a count at or over
+    the smallest one that leaves at most ``most`` of them."""
     # a row for each different count: few, and no task sorts the grams
     by = Window.partitionBy("lang", "n").orderBy(F.desc("times"))
     steps = counts.groupBy("lang", "n", "times").agg(F.count("*").alias("grams")).withColumn("kept", F.sum("grams").over(by))
     least = steps.filter(F.col("kept") <= most).groupBy("lang", "n").agg(F.min("times").alias("least"))
-    return counts.join(least, ["lang", "n"]).filter("times >= least").drop("least")
+    return counts.join(least, ["lang", "n"]).filter("times >= least").select("n", "gram").distinct()
 
 
 @dataclass
@@ -110,6 +113,16 @@ class Model:
     grams: dict[str, int]
     gram_scores: np.ndarray
     max_order: int
+    word_totals: np.ndarray
+
+
+@dataclass
+class Trained(Model):
+    """A model, and the counts of the words outside it (gram, times: an array in the order of ``langs``)."""
+    tail: DataFrame | None = None
+
+    def sent(self) -> Model:
+        return Model(*(getattr(self, f.name) for f in fields(Model)))
 
 
 def _scores(rows: list[tuple], totals: dict, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
@@ -127,7 +140,7 @@ def _scores(rows: list[tuple], totals: dict, langs: list[str]) -> tuple[dict[str
     return index, (np.log(times + 0.5) - np.log(total[order] if len(index) else 1.0)).astype(np.float32).reshape(len(index), len(langs))
 
 
-def train(labelled: DataFrame, max_words: int = 50_000, max_grams: int = 10_000, max_order: int = 4, max_langs: int = 256) -> Model:
+def train(labelled: DataFrame, max_words: int = 50_000, max_grams: int = 10_000, max_order: int = 4, max_langs: int = 256) -> Trained:
     """Fit on all rows of ``labelled`` (text, lang). With more than
     ``max_langs`` languages those with most rows are learned."""
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
@@ -135,16 +148,19 @@ def train(labelled: DataFrame, max_words: int = 50_000, max_grams: int = 10_000,
     words = saved(count_words(rows.filter(F.col("lang").isin(langs))), "lang-words")
     grams = saved(count_grams(words, max_order), "lang-grams")
     totals = {(r["lang"], r["n"]): r["t"] for t in (words, grams) for r in t.groupBy("lang", "n").agg(F.sum("times").alias("t")).collect()}
-    # at most max_langs * (max_words + max_order * max_grams) rows
+    # at most max_langs * (max_words + max_order * max_grams) grams
     listed = lambda df: list(zip(*(c.to_pylist() for c in df.select("lang", "n", "gram", "times").toArrow().columns), strict=True))
-    word_index, word_scores = _scores(listed(most_frequent(words, max_words)), totals, langs)
-    gram_index, gram_scores = _scores(listed(most_frequent(grams, max_grams)), totals, langs)
-    drop(words, grams)
-    return Model(langs, word_index, word_scores, gram_index, gram_scores, max_order)
+    head = saved(most_frequent(words, max_words), "lang-head")
+    word_index, word_scores = _scores(listed(words.join(head, ["n", "gram"], "left_semi")), totals, langs)
+    gram_index, gram_scores = _scores(listed(grams.join(most_frequent(grams, max_grams), ["n", "gram"], "left_semi")), totals, langs)
+    times = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("times"))), F.lit(0)) for lang in langs]
+    tail = saved(words.join(head, ["n", "gram"], "left_anti").groupBy("gram").agg(F.array(*times).cast("array<long>").alias("times")), "lang-tail") if langs else None
+    drop(words, grams, head)
+    return Trained(langs, word_index, word_scores, gram_index, gram_scores, max_order, np.array([totals.get((lang, 0), 0) + 1.0 for lang in langs]), tail)
 
 
 class Scorer(dict):
-    """Word to the row of its scores; unknown words are scored once."""
+    """Word to the row of its scores; words never counted are scored once."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -193,41 +209,87 @@ class Scorer(dict):
         self.size += len(rows)
         self.new = []
 
-    def sums(self, docs: list[list[str]]) -> np.ndarray:
-        """Sum over each document's words, a column for each language."""
+    def of(self, words: list[str]) -> np.ndarray:
+        """The scores of words, a column for each language."""
         if len(self) > CACHE:
             self._begin()
-        rows = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in docs]
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         self.learn()
-        return np.array([self.table[r].sum(0, dtype=np.float64) for r in rows]).reshape(len(docs), len(self.model.langs))
+        return self.table[rows]
 
 
 _scorers: dict[int, Scorer] = {}
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Trained) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of every row, from the text alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the limits of train()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    langs = model.langs
+    if not langs:
+        return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    shared = docs.sparkSession.sparkContext.broadcast(model.sent())  # bounded by the limits of train()
     key = id(model)
-
-    def label(batches):
+    sums = [f"s{k}" for k in range(len(langs))]
+    columns = ", ".join(f"{c} double" for c in sums)
+
+    def begin(batches):
+        """Of each text a row with its words in the head, under a name of its
+        own, and a row for each other word."""
+        model = shared.value
+        row_of, scores = model.words.get, model.word_scores
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                keys, ids = part.column("key").to_pylist(), part.column("doc_id").to_pylist()
+                names, owners, docs_, words_, times_ = [], [], [], [], []
+                totals = np.zeros((part.num_rows, len(langs)))
+                for k, text in enumerate(part.column("text").to_pylist()):
+                    words = words_of(text)
+                    known = np.array([row_of(w, -1) for w in words], np.int64)
+                    inside = known >= 0
+                    totals[k] = scores[known[inside]].sum(0, dtype=np.float64)
+                    names.append(f"#{keys[k]}")
+                    owners.append(keys[k])
+                    docs_.append(ids[k])
+                    times_.append(int(inside.sum()))
+                    outside = Counter(words[i] for i in np.flatnonzero(~inside).tolist())
+                    words_ += [(w, keys[k], n) for w, n in outside.items()]
+                more = len(words_)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names + [w for w, _, _ in words_], pa.string()), pa.array(owners + [o for _, o, _ in words_], pa.int64()),
+                     pa.array(docs_ + [None] * more, pa.int64()), pa.array(times_ + [n for _, _, n in words_], pa.int64()),
+                     *[pa.array(np.concatenate([totals[:, k], np.zeros(more)])) for k in range(len(langs))]],
+                    ["gram", "key", "doc_id", "n", *sums])
+
+    def meet(batches):
+        """The scores of words outside the head: from their counts, or from
+        n-grams if they have none."""
         if key not in _scorers:
             _scorers.clear()
             _scorers[key] = Scorer(shared.value)
-        scorer = _scorers[key]
-        langs = scorer.model.langs
+        scorer, log_totals = _scorers[key], np.log(shared.value.word_totals)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                docs_ = [words_of(t) for t in part.column("text").to_pylist()]
-                preds, scores = ["und"] * len(docs_), [0.0] * len(docs_)
-                if langs:
-                    for i, (words, total) in enumerate(zip(docs_, scorer.sums(docs_), strict=True)):
-                        if words:
-                            best = int(np.argmax(total))
-                            preds[i] = langs[best]
-                            scores[i] = 1.0 / math.fsum(np.exp(total - total[best]).tolist())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(preds), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+            found = np.stack([batch.column(c).to_numpy() for c in sums], 1)
+            grams, n = batch.column("gram"), batch.column("n").to_numpy()
+            tail, own = batch.column("times").is_valid().to_numpy(zero_copy_only=False), pc.starts_with(grams, "#").to_numpy(zero_copy_only=False)
+            counted, never = np.flatnonzero(tail), np.flatnonzero(~tail & ~own)
+            if len(counted):
+                times = batch.column("times").take(pa.array(counted)).flatten().to_numpy().reshape(-1, len(langs))
+                found[counted] = (np.log(times + 0.5) - log_totals).astype(np.float32) * n[counted, None].astype(np.float64)
+            if len(never):
+                found[never] = scorer.of(grams.take(pa.array(never)).to_pylist()) * n[never, None].astype(np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("n"), *[pa.array(found[:, k]) for k in range(len(langs))]],
+                                             ["key", "doc_id", "n", *sums])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(label, "doc_id long, lang_pred string, score double")
+    def label(batches):
+        for batch in batches:
+            total, words = np.stack([batch.column(c).to_numpy() for c in sums], 1), batch.column("n").to_pylist()
+            best = total.argmax(1)
+            preds = [langs[k] if n else "und" for k, n in zip(best.tolist(), words, strict=True)]
+            scores = [1.0 / math.fsum(np.exp(t - t[k]).tolist()) if n else 0.0 for t, k, n in zip(total, best.tolist(), words, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+
+    parts = rows.withColumn("key", F.monotonically_increasing_id()).mapInArrow(begin, f"gram string, key long, doc_id long, n long, {columns}")
+    met = parts.join(model.tail, "gram", "left").mapInArrow(meet, f"key long, doc_id long, n long, {columns}")
+    whole = met.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in sums])
+    return whole.mapInArrow(label, "doc_id long, lang_pred string, score double")
