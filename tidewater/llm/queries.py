@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decon, grulm, jaccard, langid, planes, quality, secrets, spfst, subdup, warc
+from tidewater.llm import convtrie, decon, grulm, jaccard, langid, planes, quality, secrets, spfst, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -89,3 +89,13 @@ def op3_gru_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_divide_skip_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents that share three quarters of their shingles."""
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_truncation_peeling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    seqs = convtrie.with_family_openings(convtrie.sequences(table(spark, sf_dir, "conversations")))
+    return convtrie.trie(convtrie.paths(seqs))
+
+
+SQL["op11_truncation_peeling_trie"] = convtrie.SQL
