@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import convtrie, decon, grulm, jaccard, langid, planes, quality, secrets, spfst, subdup, warc
+from tidewater.llm import convtrie, decon, grulm, jaccard, langid, pairmaps, planes, quality, secrets, spfst, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -99,3 +99,10 @@ def op11_truncation_peeling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op11_truncation_peeling_trie"] = convtrie.SQL
+
+
+@query
+def op12_inverted_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in all documents, by their pairs' documents."""
+    aligned = pairmaps.align(table(spark, sf_dir, "documents"))
+    return pairmaps.scores(aligned, pairmaps.pairs(aligned))
