@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import convtrie, decon, grulm, jaccard, langid, pairmaps, planes, quality, secrets, spfst, subdup, warc
+from tidewater.llm import convtrie, decon, grulm, jaccard, langid, linecrf, pairmaps, planes, quality, secrets, spfst, subdup, warc
 from tidewater.llm.shared import new_folder
 from tidewater.sources.tables import table
 
@@ -106,3 +106,15 @@ def op12_inverted_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the tokens of two tokenizers in all documents, by their pairs' documents."""
     aligned = pairmaps.align(table(spark, sf_dir, "documents"))
     return pairmaps.scores(aligned, pairmaps.pairs(aligned))
+
+
+@query
+def op13_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by their lines' marginals; three quarters of the labels teach."""
+    def held_out():
+        return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    found = linecrf.score(docs, linecrf.train(docs, labels.filter(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
