@@ -3,7 +3,8 @@
 A block sends, for each row of the sketch, its cells (sorted, gaps compressed)
 with their counts, cut into shards. The shards of all blocks meet and are
 added up, and every block is answered with the total of each cell that it
-sent, cut off at 255, in a file of its own. Totals are never under the true
+sent, cut off at 255, in a file of its own; blocks of one name are equal and
+share it. Totals are never under the true
 count of a hash. The width of the sketch can follow the data: no task holds
 more than its block, or one shard."""
 
@@ -97,7 +98,9 @@ def merge(sketches: DataFrame) -> str:
     def store(batches):
         for group in _groups(batches, "block"):
             with NewFile(f"{folder}/{group[0]['block']}") as out:
-                for g in group:
+                for before, g in zip([{}, *group], group, strict=False):
+                    if (before.get("row"), before.get("shard")) == (g["row"], g["shard"]):
+                        continue  # another block of the same rows, with the same totals
                     out.write(np.array([g["row"], g["n"], len(g["totals"])], "<u4").tobytes() + g["totals"])
             yield pa.RecordBatch.from_pydict({"stored": pa.array([group[0]["block"]])})
 

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.shared import trim
 from tidewater.llm.words import CACHE_WORDS, in_parts, split
 
 ENDS = re.compile(r"^[\W_]+|[\W_]+$")
@@ -298,6 +299,7 @@ def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: in
             for part in in_parts(batches):
                 hit = {row for row, *_ in found_in(items, numbers, part.column("text"), threshold, passage)}
                 yield part.filter(pa.array([row not in hit for row in range(part.num_rows)]))
+            trim()
 
         out = out.mapInArrow(keep, docs.schema)
     return out

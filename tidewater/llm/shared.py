@@ -9,8 +9,11 @@ speculative task leaves one whole file.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from contextlib import suppress
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +76,14 @@ class Leftovers:
         self.folders += [f for f in _made if f not in self.before]
 
 
+def trim() -> None:
+    """Give freed memory back at the end of a task; an idle worker then holds
+    little besides its caches."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a Hadoop URI and the path inside it."""
     if "://" not in uri:

@@ -30,8 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.shared import trim
+
 MARK = "▁"
-CACHE = 700_000
+CACHE = 250_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed values: the kinds of pieces in a model file
 
 
@@ -185,6 +187,7 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(np.concatenate(found).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array(sizes), pa.array(bytes_, pa.int64()), pa.array(weight, pa.float64()),
                                                   pa.array(same, pa.bool_())], schema=ENCODED)
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_pieces long, n_byte_pieces long, weight double, round_trip boolean")

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words kept in a worker's cache before it starts anew (bounds its memory).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 
 def texts(column: pa.Array) -> list[bytes]:
