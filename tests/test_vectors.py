@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import knn as K
@@ -111,14 +113,44 @@ def test_query_sets_of_any_size(spark):
     assert LSH.topk_lsh(unit, queries, 1, planes, pos[:, :1]).select("q_id").distinct().count() > 20_000
 
 
-def test_lsh_buckets_follow_the_data():
-    import pyarrow.parquet as pq
-    assert [LSH.lsh_bits(n) for n in (0, 1, 256, 257, 10**9, 10**12)] == [8, 8, 8, 9, 30, 32]
-    X = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet").column("embedding").to_pylist(), dtype=np.float64)
-    planes, pos = LSH.lsh_params(X.shape[1])
-    assert all(len(set(p)) == len(p) for p in pos.tolist())
-    codes = LSH._buckets(X, planes, pos[:, :LSH.lsh_bits(len(X))])
-    shared = np.zeros((len(X), len(X)), bool)
-    for c in codes:
-        shared |= c[:, None] == c[None, :]
-    assert (shared.sum() - len(X)) / (len(X) * (len(X) - 1)) < 0.05
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_probed_recall_and_candidates(spark, sf):
+    """Recall at 3 against brute force, with few candidates, at two sizes."""
+    t = pq.read_table(f"/root/testdata/sf{sf}/embeddings.parquet")
+    X, ids = np.stack(t.column("embedding").to_numpy()).astype(float), t.column("vec_id").to_numpy()
+    U = X / np.linalg.norm(X, axis=1, keepdims=True)
+    own = np.flatnonzero(ids % 20 == 0)
+    sims = U[own] @ U.T
+    sims[np.arange(len(own)), own] = -9
+    planes, n = LSH.superbit_planes(X.shape[1]), LSH.probe_rows(len(X))
+    code = U @ planes.T >= 0
+    far = (code[own][:, None, :] != code[None]).sum(2)
+    far[np.arange(len(own)), own] = 9_999
+    radius = np.sort(far, axis=1)[:, n - 1]
+    assert (far <= radius[:, None]).mean() < 0.05
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, X)], "id bigint, vec array<double>").repartition(5)
+    unit = K.l2_normalize(df)
+    q = unit.filter("id % 20 = 0").select(F.col("id").alias("q_id"), "unit", F.col("id").alias("self"))
+    found = {(r["q_id"], r["rank"]): r["id"] for r in LSH.topk_probed(unit, q, 3, planes, n, exclude_col="self", query_block=7).collect()}
+    best = {(int(ids[o]), k + 1): int(ids[j]) for o, row in zip(own, np.argsort(-sims, axis=1)[:, :3]) for k, j in enumerate(row)}
+    recall = len({(a, b) for (a, _), b in found.items()} & {(a, b) for (a, _), b in best.items()}) / len(best)
+    assert recall >= 0.95
+    balls = {(int(ids[o]), int(ids[j])) for o, row, r in zip(own, far, radius) for j in np.flatnonzero(row <= r)}
+    assert {(a, b) for (a, _), b in found.items()} <= balls
+
+
+def test_probed_edges(spark):
+    """Ties, repeated rows, null and zero vectors, fewer rows than a ball holds, no rows."""
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [0.0, 0.0, 0.0]), (4, None), (5, [-1.0, 0.0, 0.0])]
+    df = K.l2_normalize(spark.createDataFrame(rows, "id bigint, vec array<double>"))
+    q = df.select(F.col("id").alias("q_id"), "unit", F.col("id").alias("self")).dropDuplicates(["q_id"])
+    planes = LSH.superbit_planes(3, 24)
+    got = sorted((r["q_id"], r["rank"], r["id"]) for r in LSH.topk_probed(df, q, 2, planes, 16, exclude_col="self").collect())
+    assert got == [(1, 1, 2), (1, 2, 2), (2, 1, 1), (2, 2, 5), (5, 1, 1), (5, 2, 2)]
+    assert LSH.topk_probed(df.limit(0), q, 2, planes, 16).count() == 0 and LSH.topk_probed(df, q.limit(0), 2, planes, 16).count() == 0
+
+
+def test_superbits_are_orthogonal_in_blocks():
+    planes = LSH.superbit_planes(8, 20)
+    assert planes.shape == (20, 8) and np.allclose(planes[:8] @ planes[:8].T, np.eye(8), atol=1e-8) and np.allclose(planes[16:] @ planes[16:].T, np.eye(4), atol=1e-8)
+    assert [LSH.probe_rows(n) for n in (0, 100, 400, 10_000, 10**12)] == [16, 16, 20, 100, 10**6]

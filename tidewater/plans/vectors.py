@@ -15,14 +15,27 @@ from tidewater.sources.tables import Tables
 
 _W = "WITH " + EMB_SQL
 DIM = 64
-# fixed values: LSH shape (32 hyperplanes, 8 tables) and its seed
+# fixed values: LSH shape (32 hyperplanes, 8 tables of 12 bits) and its seed
+BITS = 12
 PLANES, POSITIONS = LSH.lsh_params(DIM, n_planes=32, n_tables=8, seed=42)
-# bits of a bucket: ceil(log2(rows)) between 8 and 32, as lsh_bits()
+POSITIONS = POSITIONS[:, :BITS]
+SUPERBITS = LSH.superbit_planes(DIM)
 _LSH_SQL = LSH.params_sql(PLANES, POSITIONS) + """,
-nb AS (SELECT greatest(8, least(32, CASE WHEN count(*) < 2 THEN 0 ELSE length(bin(count(*) - 1)) END)) AS nb FROM e),
 sig AS (SELECT e.vec_id, list(CASE WHEN list_inner_product(e.v, p) >= 0 THEN 1 ELSE 0 END ORDER BY pid) AS s
         FROM e, planes GROUP BY e.vec_id),
-bk AS (SELECT vec_id, t, array_to_string(list_transform(idx[1:nb], lambda i: s[i]::VARCHAR), '') AS b FROM sig, tables, nb)
+bk AS (SELECT vec_id, t, array_to_string(list_transform(idx, lambda i: s[i]::VARCHAR), '') AS b FROM sig, tables)
+"""
+# the smallest Hamming ball of each query (q_id, qu) with as many rows as probe_rows() says, and its three most similar rows
+_PROBE_SQL = LSH.superbits_sql(SUPERBITS) + """,
+far AS (SELECT q.q_id, c.vec_id AS id, bit_count(xor(qc.code, c.code)) AS d
+        FROM queries q JOIN codes qc ON qc.vec_id = q.q_id JOIN codes c ON c.vec_id <> q.q_id JOIN u ON u.vec_id = c.vec_id),
+ball AS (SELECT q_id, max(d) AS radius FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d) AS n FROM far)
+         WHERE n <= (SELECT greatest(16, CAST(ceil(sqrt(count(*))) AS BIGINT)) FROM e) GROUP BY q_id),
+cand AS (SELECT far.q_id, far.id FROM far JOIN ball ON far.q_id = ball.q_id AND d <= radius)
+SELECT q_id, id, sim, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT c.q_id, c.id, round(list_inner_product(u.u, q.qu), 6) AS sim,
+         row_number() OVER (PARTITION BY c.q_id ORDER BY list_inner_product(u.u, q.qu) DESC, c.id) AS rank
+  FROM cand c JOIN u ON u.vec_id = c.id JOIN queries q ON q.q_id = c.q_id) WHERE rank <= 3
 """
 
 
@@ -93,7 +106,26 @@ def vec_medoid_cosine_top3(spark, d):
     return r.select("q_id", "id", F.round(-F.col("d"), 6).alias("sim"), F.col("rank").cast("int"))
 
 
-@query("vec_medoid_lsh_top3", _W + "," + _LSH_SQL + """,
+def _probed(unit, q, n_rows):
+    r = LSH.topk_probed(unit, q, 3, SUPERBITS, LSH.probe_rows(n_rows), exclude_col="self_id")
+    return r.select("q_id", "id", F.round("sim", 6).alias("sim"), F.col("rank").cast("int"))
+
+
+@query("vec_medoid_lsh_top3", _W + ", queries AS (SELECT q_id, qu FROM medoids)," + _PROBE_SQL)
+def vec_medoid_lsh_top3(spark, d):
+    unit, q = _medoid_queries(spark, d)
+    return _probed(unit, q, Tables(spark, d).embeddings.count())
+
+
+@query("vec_lsh_twentieth_top3", _W + ", queries AS (SELECT vec_id AS q_id, u AS qu FROM u WHERE vec_id % 20 = 0)," + _PROBE_SQL)
+def vec_lsh_twentieth_top3(spark, d):
+    """J11 for every row whose id is divisible by 20, against all rows."""
+    unit = K.l2_normalize(_emb(spark, d), "vec", "unit")
+    q = unit.filter(F.col("id") % 20 == 0).select(F.col("id").alias("q_id"), "unit", F.col("id").alias("self_id"))
+    return _probed(unit, q, Tables(spark, d).embeddings.count())
+
+
+@query("vec_medoid_bucket_top3", _W + "," + _LSH_SQL + """,
 qb AS (SELECT m.q_id, bk.t, bk.b FROM medoids m JOIN bk ON bk.vec_id = m.q_id),
 cand AS (SELECT DISTINCT qb.q_id, bk.vec_id AS id FROM qb JOIN bk ON qb.t = bk.t AND qb.b = bk.b
          WHERE bk.vec_id <> qb.q_id)
@@ -102,10 +134,10 @@ SELECT q_id, id, sim, CAST(rank AS INTEGER) AS rank FROM (
          row_number() OVER (PARTITION BY c.q_id ORDER BY list_inner_product(u.u, m.qu) DESC, c.id) AS rank
   FROM cand c JOIN u ON u.vec_id = c.id JOIN medoids m ON m.q_id = c.q_id) WHERE rank <= 3
 """)
-def vec_medoid_lsh_top3(spark, d):
+def vec_medoid_bucket_top3(spark, d):
+    """Rows that share a bucket with the query in one of the tables."""
     unit, q = _medoid_queries(spark, d)
-    bits = LSH.lsh_bits(Tables(spark, d).embeddings.count())
-    r = LSH.topk_lsh(unit, q, 3, PLANES, POSITIONS[:, :bits], exclude_col="self_id")
+    r = LSH.topk_lsh(unit, q, 3, PLANES, POSITIONS, exclude_col="self_id")
     return r.select("q_id", "id", F.round("sim", 6).alias("sim"), F.col("rank").cast("int"))
 
 
@@ -115,9 +147,8 @@ FROM bk JOIN sig USING (vec_id) GROUP BY vec_id
 """)
 def vec_lsh_buckets(spark, d):
     """signatures and buckets of all vectors, as column functions."""
-    bits = LSH.lsh_bits(Tables(spark, d).embeddings.count())
     sig = spread(_emb(spark, d)).select("id", LSH.signature(F.col("vec"), PLANES).alias("s"))
-    keys = LSH.bucket_keys(F.col("s"), POSITIONS[:, :bits])
+    keys = LSH.bucket_keys(F.col("s"), POSITIONS)
     return sig.select("id", F.array_join(F.col("s").cast("array<string>"), "").alias("signature"),
                       F.array_join(F.transform(keys, lambda x: x["b"]), ",").alias("buckets"))
 
