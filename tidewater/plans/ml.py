@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import evaluate as EV
+from tidewater.operators import forest as FO
 from tidewater.operators import ml as ML
 from tidewater.operators import prep as PR
 from tidewater.operators.common import attach_scalars
@@ -175,14 +176,33 @@ def ml_cross_validate(spark, d):
     return attach_scalars(found, share).select("max_depth", (F.col("avg_accuracy") >= F.col("share") - 0.02).alias("reaches"))
 
 
-# fixed values: depths and ensemble sizes of the forest sweep in the bench
-SWEEP_DEPTHS, SWEEP_TREES = (1, 2, 4, 8), (1, 10)
+# fixed values: depths and ensemble sizes of the forest sweep
+SWEEP_DEPTHS, SWEEP_TREES = tuple(range(1, 21)), (1, 5, 10, 25, 50, 100, 200)
 
 
 @query("ml_depth_sweep")
 def ml_depth_sweep(spark, d):
+    """All 140 points of depth and ensemble size."""
     train, test = _split(spark, d)
-    return ML.depth_sweep(train, test, FEATURES, "label", SWEEP_DEPTHS, SWEEP_TREES)
+    return FO.sweep(train, test, FEATURES, "label", SWEEP_DEPTHS, SWEEP_TREES)
+
+
+@query("ml_depth_sweep_against_majority", _SPLIT_SQL + f"""
+, maj AS (SELECT label AS m FROM s WHERE split = 'train' GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+base AS (SELECT avg(CASE WHEN label = m THEN 1.0 ELSE 0.0 END) AS baseline FROM s, maj WHERE split = 'test')
+SELECT CAST(depth AS INTEGER) AS max_depth, CAST(trees AS INTEGER) AS num_trees, round(baseline, 6) AS baseline,
+       CASE WHEN depth >= 6 THEN baseline + 0.2 WHEN depth >= 3 THEN baseline + 0.05 ELSE baseline - 0.01 END <= 1 AS reaches
+FROM base, unnest({list(SWEEP_DEPTHS)}) AS a(depth), unnest({list(SWEEP_TREES)}) AS b(trees)
+""")
+def ml_depth_sweep_against_majority(spark, d):
+    """Every point of the sweep beside the majority class: 20 points above it
+    from depth 6 on, 5 from depth 3 on (the features determine the classes)."""
+    train, test = _split(spark, d)
+    found = FO.sweep(train, test, FEATURES, "label", SWEEP_DEPTHS, SWEEP_TREES)
+    base = EV.accuracy(EV.baseline_majority(train.select("label"), test.select("label"))).select(F.col("accuracy").alias("baseline"))
+    margin = F.when(F.col("max_depth") >= 6, 0.2).when(F.col("max_depth") >= 3, 0.05).otherwise(-0.01)
+    both = attach_scalars(found, base).withColumn("reaches", F.col("test_accuracy") >= F.col("baseline") + margin)
+    return both.select("max_depth", "num_trees", F.round("baseline", 6).alias("baseline"), "reaches")
 
 
 @query("ml_regression_curve")
