@@ -59,8 +59,7 @@ def test_grow_and_apply_tree(spark):
     assert root.feature == "a" and root.threshold == 49.5
     pred = TR.apply_tree(df, nodes)
     assert EV.accuracy(pred.withColumnRenamed("label", "label")).first().accuracy == 1.0
-    merged = TR.merge_equal_leaves(TR.tree_rows(nodes))
-    assert 1 in merged
+    assert nodes.filter("node = 1").count() == 1
 
 
 def test_report_consistent_with_confusion(spark):
@@ -146,3 +145,75 @@ def test_equal_leaves_merge_up_the_tree(spark):
     t = TR.grow_tree(df, ["a", "b"], "label", ["hi", "lo"], max_depth=3)
     one = rows(TR.apply_tree(df, t), "a", "b", "prediction")
     assert one == rows(TR.apply_tree_by_levels(df, t, ["a", "b"], 3), "a", "b", "prediction")
+
+
+def _plain_tree(data, features, classes, max_depth):
+    """T5 by recursion over rows in plain Python: node -> (feature, threshold, prediction, n)."""
+    out = {}
+
+    def score(lo, hi):
+        def term(side):
+            n = len(side)
+            return n * (1 - sum((side.count(c) / n) ** 2 for c in classes))
+        return round(-(term(lo) + term(hi)) / (len(lo) + len(hi)), 9)
+
+    def grow(node, items, depth):
+        labels = [r[-1] for r in items]
+        counts = {c: labels.count(c) for c in classes}
+        prediction = min(classes, key=lambda c: (-counts[c], c))
+        best = None
+        if depth < max_depth and sum(v > 0 for v in counts.values()) > 1:
+            for k, f in enumerate(features):
+                xs = sorted({r[k] for r in items if r[k] is not None})
+                for a, b in zip(xs, xs[1:]):
+                    lo = [r[-1] for r in items if r[k] is not None and r[k] <= a]
+                    hi = [r[-1] for r in items if r[k] is not None and r[k] > a]
+                    found = (-score(lo, hi), k, (a + b) / 2)
+                    best = min(best, found) if best else found
+        out[node] = [None, None, prediction, len(items)]
+        if best:
+            _, k, t = best
+            out[node][:2] = features[k], t
+            kids = [r for r in items if r[k] is not None and r[k] <= t], [r for r in items if r[k] is None or r[k] > t]
+            for child, part in zip((2 * node, 2 * node + 1), kids):
+                grow(child, part, depth + 1)
+            low, high = out[2 * node], out[2 * node + 1]
+            if low[0] is None and high[0] is None and low[2] == high[2]:
+                out[node] = [None, None, low[2], len(items)]
+                del out[2 * node], out[2 * node + 1]
+
+    grow(1, data, 0)
+    return {n: tuple(v) for n, v in out.items()}
+
+
+def test_deep_tree_by_subtraction(spark):
+    """Histograms of larger siblings by subtraction, down to depth 20, with nulls, ties and repeated rows."""
+    data = [(float(i), float(i % 3), "ab"[(i * i // 7) % 2]) for i in range(46)] + [(None, 1.0, "a"), (None, 2.0, "b"), (3.0, None, "b"), (3.0, None, "b"), (5.0, 2.0, "a")]
+    df = spark.createDataFrame(data + [(1.0, 1.0, None)], "x double, y double, label string")
+    want = _plain_tree(data, ["x", "y"], ["a", "b"], 20)
+    assert max(n.bit_length() for n in want) > 9
+    nodes = TR.grow_tree(df, ["x", "y"], "label", ["a", "b"], max_depth=20)
+    assert {r.node: (r.feature, r.threshold, r.prediction, r.n) for r in nodes.collect()} == want
+
+    def leaf(r):
+        n = 1
+        while want[n][0] is not None:
+            v = r[["x", "y"].index(want[n][0])]
+            n = 2 * n if v is not None and v <= want[n][1] else 2 * n + 1
+        return want[n][2]
+
+    got = sorted(TR.apply_tree_by_levels(df.filter("label IS NOT NULL"), nodes, ["x", "y"], 20).collect(), key=str)
+    assert sorted((tuple(r)[:3] + (r.prediction,) for r in got), key=str) == sorted(((*r, leaf(r)) for r in data), key=str)
+
+
+def test_a_level_counts_each_row_once(spark):
+    """Only the smaller child's rows are aggregated; the sibling comes from the parent's histogram."""
+    df = spark.createDataFrame([(i, float(i), "a" if i < 30 else "b") for i in range(40)], "id long, x double, label string")
+    data = df.withColumn("node", F.lit(1).cast("bigint"))
+    hist = TR._histogram(data, ["x"], "label", "gini", ["a", "b"], ["node"], whole=True)
+    inner = spark.createDataFrame([(1, 3)], "node long, _small long")
+    routed = data.withColumn("node", F.when(F.col("x") <= 29.5, 2).otherwise(3).cast("long")).withColumn("_small", F.lit(3).cast("long"))
+    below = TR._children(hist, routed, inner, ["x"], "label", "gini", ["a", "b"])
+    whole = {r.node: (r.c0, r.c1) for r in below.filter("fidx = -1").collect()}
+    assert whole == {2: (30, 0), 3: (0, 10)} and below.filter("fidx = 0").count() == 40
+    assert rows(below, "node", "fidx", "x", "c0", "c1") == rows(TR._histogram(routed, ["x"], "label", "gini", ["a", "b"], ["node"], whole=True), "node", "fidx", "x", "c0", "c1")

@@ -12,10 +12,12 @@ window tasks instead of one. Scores are rounded to 9 decimals before
 the arg-max so ties break the same way everywhere: highest score, then
 smallest threshold (the reference keeps the first best), then feature order.
 
-Growth (T5) is level-wise: one split-search job per level over all nodes of
-that level at once (node id is a partition key), the chosen splits — at most
-2^depth rows — are broadcast to route rows to children, and the node column
-is checkpointed every few levels to cut lineage.
+Growth (T5) is level-wise over *histograms*: one row per distinct ``(node,
+feature, x)`` with class counts (or count/Σy/Σy²), and one more for the node
+itself. A level aggregates rows once; node statistics and candidate splits both
+come from its histogram. Of two children only the smaller one's rows are
+counted: the other's histogram is the parent's less the sibling's (class counts
+are integers, so that is exact; the sums of a regression are counted for both).
 """
 
 from __future__ import annotations
@@ -95,20 +97,29 @@ def auto_blocks(df: DataFrame, features: list[str], rows_per_block: int = ROWS_P
     return max(1, -(-most // rows_per_block))
 
 
-def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
-                     classes: list | None = None, node: str | None = None, blocks: int | None = None) -> DataFrame:
-    """Every candidate split: (node?, fidx, feature, threshold, score).
-    ``blocks=None`` sizes the prefix-sum blocks from the data."""
-    if blocks is None:
-        blocks = auto_blocks(df, features)
-    keys = ([node] if node else []) + ["fidx", "feature"]
-    long = _unpivot(df, features, ([node] if node else []) + [label]).filter(F.col("x").isNotNull())
+def _histogram(df: DataFrame, features: list[str], label: str, score: str, classes: list | None, keys: list[str], whole: bool = False) -> DataFrame:
+    """One row per distinct ``x`` of each feature (per ``keys``) with the sums
+    that the score needs; ``whole`` adds a row for all rows of ``keys``, with
+    the feature number -1. Nulls have no x, but count in the whole."""
+    every = F.array(*([F.struct(F.lit(-1).alias("fidx"), F.lit("").alias("feature"), F.lit(0.0).alias("x"))] if whole else []),
+                    *[F.struct(F.lit(i).alias("fidx"), F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for i, f in enumerate(features)])
+    long = df.select(*keys, label, F.inline(every)).filter(F.col("x").isNotNull())
     if score in CLASS_SCORES:
         if not classes:
             raise ValueError("classes are required for classification scores")
+        sums = [F.count_if(F.col(label) == F.lit(c)).alias(f"c{i}") for i, c in enumerate(classes)]
+    elif score in REG_SCORES:
+        y = F.col(label).cast("double")
+        sums = [F.count(F.lit(1)).alias("c"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
+    else:
+        raise ValueError(score)
+    return long.groupBy(*keys, "fidx", "feature", "x").agg(*sums)
+
+
+def _scored(cnt: DataFrame, keys: list[str], score: str, classes: list | None, blocks: int) -> DataFrame:
+    """Candidate splits of a histogram: keys, threshold, score and the rows below."""
+    if score in CLASS_SCORES:
         k = len(classes)
-        cnt = long.groupBy(*keys, "x").agg(
-            *[F.count_if(F.col(label) == F.lit(c)).alias(f"c{i}") for i, c in enumerate(classes)])
         s = _running(cnt, keys, [f"c{i}" for i in range(k)], blocks).filter(F.col("nx").isNotNull())
         L = [F.col(f"run_c{i}") for i in range(k)]
         R = [F.col(f"tot_c{i}") - F.col(f"run_c{i}") for i in range(k)]
@@ -119,10 +130,7 @@ def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
             sc = -(nl * _entropy(L, nl) + nr * _entropy(R, nr)) / (nl + nr)
         else:
             sc = -(nl * _gini(L, nl) + nr * _gini(R, nr)) / (nl + nr)
-    elif score in REG_SCORES:
-        y = F.col(label).cast("double")
-        cnt = long.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"), F.sum(y).alias("sy"),
-                                           F.sum(y * y).alias("syy"))
+    else:
         s = _running(cnt, keys, ["c", "sy", "syy"], blocks).filter(F.col("nx").isNotNull())
         nl, n = F.col("run_c"), F.col("tot_c")
         sl, ql, st, qt = F.col("run_sy"), F.col("run_syy"), F.col("tot_sy"), F.col("tot_syy")
@@ -134,9 +142,18 @@ def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
             sc = overall - (sse_l + sse_r) / n
         else:  # fixed formula, as printed (D9)
             sc = overall - (nl / n) * sse_l - (nr / n) * sse_r
-    else:
-        raise ValueError(score)
-    return s.select(*keys, ((F.col("x") + F.col("nx")) / 2).alias("threshold"), F.round(sc, 9).alias("score"))
+    return s.select(*keys, ((F.col("x") + F.col("nx")) / 2).alias("threshold"), F.round(sc, 9).alias("score"), (2 * nl <= nl + nr).alias("low_is_small"))
+
+
+def split_candidates(df: DataFrame, features: list[str], label: str, score: str,
+                     classes: list | None = None, node: str | None = None, blocks: int | None = None) -> DataFrame:
+    """Every candidate split: (node?, fidx, feature, threshold, score).
+    ``blocks=None`` sizes the prefix-sum blocks from the data."""
+    if blocks is None:
+        blocks = auto_blocks(df, features)
+    keys = [node] if node else []
+    cnt = _histogram(df, features, label, score, classes, keys)
+    return _scored(cnt, keys + ["fidx", "feature"], score, classes, blocks).drop("low_is_small")
 
 
 def best_split(df: DataFrame, features: list[str], label: str, score: str = "gini",
@@ -148,13 +165,6 @@ def best_split(df: DataFrame, features: list[str], label: str, score: str = "gin
     return best.select("feature", F.col("b.t").alias("threshold"), (-F.col("b.o")).alias("score"))
 
 
-def _majority(df: DataFrame, keys: list[str], label: str) -> DataFrame:
-    cnt = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n"))
-    return cnt.groupBy(*keys).agg(
-        F.min(F.struct((-F.col("n")).alias("o"), F.col(label).alias("c"))).getField("c").alias("prediction"),
-        F.sum("n").cast("bigint").alias("n"), F.count(F.lit(1)).alias("n_classes"))
-
-
 def _feature_value(features: list[str], fcol: Column) -> Column:
     expr = None
     for f in features:
@@ -163,14 +173,18 @@ def _feature_value(features: list[str], fcol: Column) -> Column:
     return expr
 
 
-def _node_stats(data: DataFrame, label: str, score: str, var_threshold: float) -> DataFrame:
-    """Per node: prediction, n and whether the node may split (classification:
-    more than one class; regression: variance at least ``var_threshold``)."""
+def _node_stats(hist: DataFrame, score: str, classes: list | None, var_threshold: float) -> DataFrame:
+    """Per node of a histogram: prediction, n and whether the node may split
+    (classification: more than one class; regression: variance at least
+    ``var_threshold``)."""
+    whole = hist.filter("fidx = -1")
     if score in REG_SCORES:
-        y = F.col(label).cast("double")
-        return data.groupBy("node").agg(F.avg(y).alias("prediction"), F.count(F.lit(1)).cast("bigint").alias("n"),
-                                        (F.var_pop(y) >= var_threshold).alias("_split"))
-    return _majority(data, ["node"], label).withColumn("_split", F.col("n_classes") > 1).drop("n_classes")
+        mean = F.col("sy") / F.col("c")
+        return whole.select("node", mean.alias("prediction"), F.col("c").alias("n"), (F.col("syy") / F.col("c") - mean * mean >= var_threshold).alias("_split"))
+    counts = [F.col(f"c{i}") for i in range(len(classes))]
+    most = F.array_min(F.array(*[F.struct((-n).alias("o"), F.lit(c).alias("c")) for n, c in zip(counts, classes)]))
+    several = sum([(n > 0).cast("int") for n in counts[1:]], (counts[0] > 0).cast("int")) > 1
+    return whole.select("node", most["c"].alias("prediction"), sum(counts[1:], counts[0]).alias("n"), several.alias("_split"))
 
 
 def grow_tree(df: DataFrame, features: list[str], label: str, classes: list | None = None,
@@ -182,43 +196,49 @@ def grow_tree(df: DataFrame, features: list[str], label: str, classes: list | No
     2i+1 otherwise). A node is a leaf at max depth, when it is homogeneous
     (one class; or, for the regression scores, variance below
     ``var_threshold``), or when no feature has two distinct values.
-    Classification leaves predict the majority class (ties → smallest),
-    regression leaves the mean. A split whose children are leaves of equal
-    prediction is a leaf itself (over the whole tree, from the bottom up); its
-    ``n`` is the split's."""
+    Classification leaves predict the majority class (ties → smallest) of
+    ``classes``, which rows of another label don't count in; regression leaves
+    the mean. A split whose children are leaves of equal prediction is a leaf
+    itself (over the whole tree, from the bottom up); its ``n`` is the split's.
+    Growth ends at the first level without a split."""
     # every level rescans the data: write the projected columns once (reliable
     # checkpoint in the shared folder) and grow from that narrow copy
-    data = cut_lineage(df.select(*features, label).withColumn("node", F.lit(1).cast("bigint")))
+    data = df.select(*features, label).withColumn("node", F.lit(1).cast("bigint"))
+    data = cut_lineage(data.filter(F.col(label).isin(classes)) if score in CLASS_SCORES and classes else data.filter(F.col(label).isNotNull()))
     blocks = auto_blocks(data, features)  # sized once from the root data
+    by = ["node", "fidx", "feature"]
+    hist = cut_lineage(_histogram(data, features, label, score, classes, ["node"], whole=True))
     node_tables = []
     for depth in range(max_depth + 1):
-        stats = _node_stats(data, label, score, var_threshold)
+        stats = _node_stats(hist, score, classes, var_threshold)
         if depth < max_depth:
-            cands = split_candidates(data, features, label, score, classes, node="node", blocks=blocks)
+            cands = _scored(hist.filter("fidx >= 0"), by, score, classes, blocks)
             best = cands.groupBy("node").agg(F.min(F.struct(
                 (-F.col("score")).alias("o"), F.col("fidx").alias("fi"), F.col("threshold").alias("t"),
-                F.col("feature").alias("f"))).alias("b"))
+                F.col("feature").alias("f"), F.col("low_is_small").alias("s"))).alias("b"))
             splits = (stats.join(best, "node", "left")
                       .select("node", F.when(F.col("_split"), F.col("b.f")).alias("feature"),
                               F.when(F.col("_split"), F.col("b.t")).alias("threshold"),
-                              "prediction", "n"))
+                              "prediction", "n", (F.col("node") * 2 + F.when(F.col("b.s"), 0).otherwise(1)).alias("_small")))
         else:
             splits = stats.select("node", F.lit(None).cast("string").alias("feature"),
                                   F.lit(None).cast("double").alias("threshold"), "prediction", "n")
         splits = splits.withColumn("depth", F.lit(depth))
         # one row per node of this level, read by the next levels and at the end
         splits = cut_lineage(splits)
-        node_tables.append(splits)
-        if depth == max_depth:
+        node_tables.append(splits.drop("_small"))
+        if depth == max_depth or splits.filter(F.col("feature").isNotNull()).isEmpty():
             break
         inner = splits.filter(F.col("feature").isNotNull()).select(
-            "node", F.col("feature").alias("_f"), F.col("threshold").alias("_t"))
+            "node", F.col("feature").alias("_f"), F.col("threshold").alias("_t"), "_small")
         data = (data.join(inner, "node")
                 .withColumn("node", F.when(_feature_value(features, F.col("_f")) <= F.col("_t"),
                                            F.col("node") * 2).otherwise(F.col("node") * 2 + 1))
                 .drop("_f", "_t"))
         if depth % checkpoint_every == checkpoint_every - 1:
             data = cut_lineage(data)
+        hist = cut_lineage(_children(hist, data, inner, features, label, score, classes))
+        data = data.drop("_small")
     # deepest level first, so that a merged pair can merge again further up;
     # children of what is a leaf then are gone
     level, kept = node_tables[-1], []
@@ -233,6 +253,23 @@ def grow_tree(df: DataFrame, features: list[str], label: str, classes: list | No
     return out.select("node", "depth", "feature", "threshold", "prediction", "n")
 
 
+def _children(hist: DataFrame, data: DataFrame, inner: DataFrame, features: list[str], label: str, score: str, classes: list | None) -> DataFrame:
+    """The histogram of the next level from the rows (with ``_small``, the
+    child whose rows are counted) and the level's own histogram."""
+    if score in REG_SCORES:
+        return _histogram(data, features, label, score, classes, ["node"], whole=True)
+    cols = [f"c{i}" for i in range(len(classes))]
+    keys = ["node", "fidx", "feature", "x"]
+    small = cut_lineage(_histogram(data.filter("node = _small"), features, label, score, classes, ["node"], whole=True))
+    # 2i and 2i + 1 differ in the last bit
+    sibling = F.col("_small").bitwiseXOR(F.lit(1).cast("bigint"))
+    parent = hist.join(inner.select("node", "_small"), "node").select(sibling.alias("node"), "fidx", "feature", "x", *cols)
+    less = small.select(F.col("node").bitwiseXOR(F.lit(1).cast("bigint")).alias("node"), "fidx", "feature", "x", *[F.col(c).alias(f"_{c}") for c in cols])
+    rest = parent.join(less, keys, "left").select(*keys, *[(F.col(c) - F.coalesce(F.col(f"_{c}"), F.lit(0))).alias(c) for c in cols])
+    left = sum([F.col(c) for c in cols[1:]], F.col(cols[0]))
+    return small.unionByName(rest.filter(left > 0))
+
+
 def _merge_level(level: DataFrame, below: DataFrame) -> DataFrame:
     """Splits of a level whose children are leaves of equal prediction become
     leaves, as the recursive growth does."""
@@ -245,46 +282,18 @@ def _merge_level(level: DataFrame, below: DataFrame) -> DataFrame:
         F.when(same, F.col("_leaf")).otherwise(F.col("prediction")).alias("prediction"), "n", "depth")
 
 
-def tree_rows(nodes: DataFrame) -> list:
-    """The node table of a shallow tree (≤ 2^(depth+1) rows)."""
-    return nodes.orderBy("node").collect()
-
-
-def merge_equal_leaves(rows: list) -> dict:
-    """Collapse splits whose two children are leaves with equal prediction."""
-    tree = {r["node"]: dict(r.asDict()) for r in rows}
-    changed = True
-    while changed:
-        changed = False
-        for nid, r in list(tree.items()):
-            lo, hi = tree.get(2 * nid), tree.get(2 * nid + 1)
-            if r["feature"] and lo and hi and not lo["feature"] and not hi["feature"] \
-                    and lo["prediction"] == hi["prediction"] and 2 * nid in tree:
-                r["feature"], r["threshold"], r["prediction"] = None, None, lo["prediction"]
-                del tree[2 * nid], tree[2 * nid + 1]
-                changed = True
-    return tree
-
-
 def apply_tree(df: DataFrame, nodes: DataFrame, out: str = "prediction") -> DataFrame:
-    """The tree as one nested ``when`` expression (``<=`` goes low)."""
-    tree = merge_equal_leaves(tree_rows(nodes))
-
-    def expr(nid: int) -> Column:
-        r = tree[nid]
-        if not r["feature"] or (2 * nid) not in tree:
-            return F.lit(r["prediction"])
-        return F.when(F.col(r["feature"]).cast("double") <= F.lit(r["threshold"]), expr(2 * nid)) \
-                .otherwise(expr(2 * nid + 1))
-
-    return df.withColumn(out, expr(1))
+    """The prediction of the leaf that a row comes to (``<=`` goes low,
+    null high), by levels; only the features' names and the depth are asked for."""
+    r = nodes.agg(F.collect_set("feature").alias("features"), F.max("depth").alias("depth")).first()
+    return apply_tree_by_levels(df, nodes, sorted(r["features"]), r["depth"] or 0, out)
 
 
 def apply_tree_by_levels(df: DataFrame, nodes: DataFrame, features: list[str], max_depth: int, out: str = "prediction") -> DataFrame:
     """T6 for deep trees: rows go down a level at a time by a join with the node
     table, so neither the driver nor one expression holds the tree."""
     step = nodes.select("node", F.col("feature").alias("_f"), F.col("threshold").alias("_t"))
-    low = _feature_value(features, F.col("_f")) <= F.col("_t")
+    low = _feature_value(features, F.col("_f")) <= F.col("_t") if features else F.lit(True)
 
     def down(rows: DataFrame, node: Column) -> DataFrame:
         below = F.when(F.col("_f").isNull(), node).otherwise(node * 2 + F.when(low, 0).otherwise(1))
