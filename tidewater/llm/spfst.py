@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.shared import trim
 
 MARK = "▁"
-CACHE = 250_000
+CACHE = 550_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed values: the kinds of pieces in a model file
 
 
