@@ -35,27 +35,38 @@ _BLOCK = 20_000  # cells scored at a time
 
 
 def bin_edges(df: DataFrame, features: list[str], n_bins: int = 32) -> list[list[float]]:
-    """Upper edges of each feature's bins but the last: approximate quantiles,
-    or all values if they are few. Nulls are left out."""
+    """Upper edges of each feature's bins but the last: all values of a feature
+    that has at most ``n_bins``, else approximate quantiles. Nulls are left out."""
     shares = [i / n_bins for i in range(1, n_bins)]
-    found = df.agg(*[F.percentile_approx(F.col(f).cast("double"), shares, 10_000).alias(f) for f in features],
-                   *[F.max(F.col(f).cast("double")).alias(f"{f}_max") for f in features]).first()
-    return [sorted({e for e in found[f] or [] if e < found[f"{f}_max"]}) for f in features]
+    x = {f: F.col(f).cast("double") for f in features}
+    found = df.agg(*[F.percentile_approx(x[f], shares, 10_000).alias(f) for f in features], *[F.max(x[f]).alias(f"{f}_max") for f in features],
+                   *[F.approx_count_distinct(x[f]).alias(f"{f}_n") for f in features]).first()
+    values = {f: found[f] or [] for f in features}
+    for f in features:
+        if found[f"{f}_n"] <= n_bins + n_bins // 4:  # the estimate may be a little off
+            few = [r[0] for r in df.select(x[f].alias("x")).filter("x IS NOT NULL").distinct().limit(n_bins + 1).collect()]
+            values[f] = few if len(few) <= n_bins else values[f]
+    return [sorted({e for e in values[f] if e < found[f"{f}_max"]}) for f in features]
 
 
 def _bin(x: Column, edges: list[float]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]).cast("array<double>"), lambda e: e < x.cast("double")))
 
 
-def cells(df: DataFrame, features: list[str], label: str, classes: list[str], edges: list[list[float]]) -> DataFrame:
-    """b0, b1, … (bins) and c0, c1, … (rows of each class); rows with a null
-    feature or another label are left out."""
+def cells_by(df: DataFrame, features: list[str], edges: list[list[float]], others: list, sums: list[Column]) -> DataFrame:
+    """b0, b1, … (bins) and the sums, over ``others``, of the rows of each cell."""
     most = int(np.prod([len(e) + 1 for e in edges], dtype=np.float64))
     if most > MAX_CELLS:
         raise ValueError(f"{most} cells of bins are over {MAX_CELLS}: take fewer bins, or a forest of pyspark.ml")
-    binned = df.dropna(subset=features).select(*[_bin(F.col(f), e).alias(f"b{i}") for i, (f, e) in enumerate(zip(features, edges))], F.col(label).alias("_label"))
-    binned = binned.filter(F.col("_label").isin(classes))
-    return binned.groupBy(*[f"b{i}" for i in range(len(features))]).agg(*[F.count_if(F.col("_label") == c).alias(f"c{k}") for k, c in enumerate(classes)])
+    binned = df.dropna(subset=features).select(*[_bin(F.col(f), e).alias(f"b{i}") for i, (f, e) in enumerate(zip(features, edges))], *others)
+    return binned.groupBy(*[f"b{i}" for i in range(len(features))]).agg(*sums)
+
+
+def cells(df: DataFrame, features: list[str], label: str, classes: list[str], edges: list[list[float]]) -> DataFrame:
+    """b0, b1, … (bins) and c0, c1, … (rows of each class); rows with a null
+    feature or another label are left out."""
+    sums = [F.count_if(F.col("_label") == c).alias(f"c{k}") for k, c in enumerate(classes)]
+    return cells_by(df.filter(F.col(label).isin(classes)), features, edges, [F.col(label).alias("_label")], sums)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -74,7 +85,7 @@ def chosen_features(seed: int, tree: int, nodes: np.ndarray, n_features: int, n_
     return draws.argsort(1, kind="stable").argsort(1, kind="stable") < n_chosen
 
 
-def _read(files: list[str]) -> np.ndarray:
+def read_integers(files: list[str]) -> np.ndarray:
     """A written table of integers as a matrix, its rows in a fixed order."""
     parts = []
     for uri in files:
@@ -146,7 +157,7 @@ def grow(cell_table: DataFrame, n_trees: int, max_depth: int, n_chosen: int | No
     def run(batches):
         for batch in batches:
             for tree in batch.column(0).to_pylist():
-                rows = _read(files)
+                rows = read_integers(files)
                 if not len(rows):
                     continue
                 bins, counts = rows[:, :n_features], rows[:, n_features:]

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import evaluate as EV
+from tidewater.operators import folds as FD
 from tidewater.operators import forest as FO
 from tidewater.operators import ml as ML
 from tidewater.operators import prep as PR
@@ -164,16 +165,66 @@ def ml_text_classifier_report(spark, d):
     return EV.classification_report(pred.select("label", name.alias("prediction")))
 
 
-@query("ml_cross_validate", _SPLIT_SQL + """
-SELECT CAST(d AS INTEGER) AS max_depth, TRUE AS reaches FROM (SELECT unnest(range(1, 11)) AS d)
+# fixed values: folds, the features of the tree that is cross validated (each has at most 64 values), penalties
+FOLDS, CV_FEATURES, PENALTIES = 5, ["l_quantity", "l_discount", "l_tax"], [0.0, 1.0, 100.0, 10_000.0]
+_FOLD_SQL = f"""
+WITH s AS (SELECT CASE WHEN l_extendedprice * (1 - l_discount) < {BANDS[0]} THEN 'A' WHEN l_extendedprice * (1 - l_discount) < {BANDS[1]} THEN 'N' ELSE 'R' END AS label,
+                  l_quantity, l_discount, l_tax, ln(l_extendedprice) AS y, {hash_sql('l_orderkey', SEED)} % {FOLDS} AS fold FROM lineitem)
+"""
+
+
+def _folds(spark, d):
+    paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return Tables(spark, d).lineitem.select(*CV_FEATURES, F.when(paid < BANDS[0], "A").when(paid < BANDS[1], "N").otherwise("R").alias("label"),
+                                            F.log("l_extendedprice").alias("y"), (PR.hash_key(F.col("l_orderkey"), SEED) % FOLDS).cast("int").alias("fold"))
+
+
+@query("ml_cross_validate", _FOLD_SQL + """
+, long AS (SELECT fold, label, 0 AS fidx, l_quantity::DOUBLE AS x FROM s UNION ALL SELECT fold, label, 1, l_discount::DOUBLE FROM s UNION ALL SELECT fold, label, 2, l_tax::DOUBLE FROM s),
+folds AS (SELECT DISTINCT fold AS f FROM s),
+cnt AS (SELECT f, fidx, x, count(*) FILTER (WHERE label = 'A' AND fold <> f) AS a, count(*) FILTER (WHERE label = 'N' AND fold <> f) AS n,
+               count(*) FILTER (WHERE label = 'R' AND fold <> f) AS r FROM long, folds GROUP BY ALL),
+run AS (SELECT f, fidx, x, sum(a) OVER w AS la, sum(n) OVER w AS ln, sum(r) OVER w AS lr, sum(a) OVER p AS ta, sum(n) OVER p AS tn, sum(r) OVER p AS tr FROM cnt
+        WINDOW w AS (PARTITION BY f, fidx ORDER BY x), p AS (PARTITION BY f, fidx)),
+cut AS (SELECT *, (la * la + ln * ln + lr * lr) / (la + ln + lr) + ((ta - la) ** 2 + (tn - ln) ** 2 + (tr - lr) ** 2) / (ta + tn + tr - la - ln - lr) AS purity
+        FROM run WHERE la + ln + lr > 0 AND la + ln + lr < ta + tn + tr),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY f ORDER BY round(purity, 6) DESC, fidx, x) AS k FROM cut) WHERE k = 1),
+stump AS (SELECT f, fidx, x, CASE WHEN la >= ln AND la >= lr THEN 'A' WHEN ln >= lr THEN 'N' ELSE 'R' END AS low,
+                 CASE WHEN ta - la >= tn - ln AND ta - la >= tr - lr THEN 'A' WHEN tn - ln >= tr - lr THEN 'N' ELSE 'R' END AS high FROM best),
+acc AS (SELECT f, count(*) AS n, avg(CASE WHEN label = CASE WHEN CASE fidx WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END <= x THEN low ELSE high END
+                                          THEN 1.0 ELSE 0.0 END) AS a FROM s JOIN stump ON f = fold GROUP BY f)
+SELECT CAST(d AS INTEGER) AS max_depth, CAST(sum(n) AS BIGINT) AS n, round(avg(a), 6) AS stump_accuracy, TRUE AS reaches FROM acc, unnest(range(1, 11)) AS t(d) GROUP BY d
 """)
 def ml_cross_validate(spark, d):
-    """M11 over depths 1 to 10: the mean accuracy over the folds, no worse than
-    the share of the most frequent class but for the folds' differences."""
-    train, _ = _split(spark, d)
-    share = train.groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("share"))
-    found = ML.cross_validate_depths(train, FEATURES, "label", "tree", folds=5)
-    return attach_scalars(found, share).select("max_depth", (F.col("avg_accuracy") >= F.col("share") - 0.02).alias("reaches"))
+    """Mean accuracy over the folds of the tree of depth 1, and whether each
+    depth up to 10 comes up to it but for the folds' differences."""
+    found = FD.cross_validate_trees(_folds(spark, d), CV_FEATURES, "label", list(range(1, 11)), n_bins=64)
+    means = cut_lineage(found.groupBy("max_depth").agg(F.sum("n").alias("n"), F.avg(F.col("correct") / F.col("n")).alias("accuracy")))
+    stump = means.filter("max_depth = 1").agg(F.max("accuracy").alias("stump_accuracy"))
+    both = attach_scalars(means, stump)
+    return both.select("max_depth", "n", F.round("stump_accuracy", 6).alias("stump_accuracy"), (F.col("accuracy") >= F.col("stump_accuracy") - 0.01).alias("reaches"))
+
+
+def _ridge_sql() -> str:
+    sums = "count(*)::DOUBLE AS n, sum(a) AS sa, sum(b) AS sb, sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb, sum(y) AS sy, sum(a * y) AS say, sum(b * y) AS sby"
+    rest = ", ".join(f"t.{c} - o.{c} AS {c}" for c in ("n", "sa", "sb", "saa", "sab", "sbb", "sy", "say", "sby"))
+    A = [["n", "sa", "sb"], ["sa", "(saa + penalty)", "sab"], ["sb", "sab", "(sbb + penalty)"]]
+    rhs = ["sy", "say", "sby"]
+    coefs = ", ".join(f"{_det3([[rhs[i] if k == j else A[i][k] for k in range(3)] for i in range(3)])} / {_det3(A)} AS b{j}" for j in range(3))
+    return _FOLD_SQL + f""", x AS (SELECT fold, l_quantity AS a, l_discount AS b, y FROM s),
+own AS (SELECT fold, {sums} FROM x GROUP BY fold), total AS (SELECT {sums} FROM x),
+others AS (SELECT o.fold, penalty, {rest} FROM own o, total t, unnest({PENALTIES}::DOUBLE[]) AS p(penalty)),
+fit AS (SELECT fold, penalty, {coefs} FROM others)
+SELECT penalty, CAST(fold AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n, round(avg((y - b0 - b1 * a - b2 * b) ** 2), 6) AS mse
+FROM fit JOIN x USING (fold) GROUP BY penalty, fold
+"""
+
+
+@query("ml_cross_validate_ridge", _ridge_sql())
+def ml_cross_validate_ridge(spark, d):
+    """Errors of ridge regressions on each fold, fitted on the others' sums."""
+    found = FD.cross_validate_ridge(_folds(spark, d), ["l_quantity", "l_discount"], "y", PENALTIES)
+    return found.withColumn("mse", F.round("mse", 6))
 
 
 # fixed values: depths and ensemble sizes of the forest sweep
