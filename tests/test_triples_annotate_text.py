@@ -89,3 +89,35 @@ def test_tfidf_matches_formula(spark):
     assert "apple banana" in bi and "banana apple" in bi
     top = TF.top_terms(TF.tfidf(docs, 2), 1).collect()
     assert all(r["rank"] == 1 for r in top)
+
+
+def test_stars_equal_pattern_joins(spark, monkeypatch):
+    """Random patterns over random triples, with values of several, repeated
+    triples, and a predicate of too many values for the property table."""
+    import random
+    monkeypatch.setattr(TR, "MAX_VALUES", 4)
+    rng = random.Random(6)
+    data = [(f"s{rng.randrange(12)}", f"p{rng.randrange(4)}", rng.choice([f"s{rng.randrange(12)}", f"o{rng.randrange(5)}"]), "iri") for _ in range(120)]
+    data += [("s1", "hub", f"s{i}", "iri") for i in range(12)] + data[:5]
+    triples = spark.createDataFrame(data, "s string, p string, o string, dtype string")
+    store = TR.build_store(triples, lambda df, name: df)
+    assert "hub" not in store.columns and store.counts["hub"] == 12
+    cases = [[("?x", "p0", "?a"), ("?x", "p1", "?b")], [("?x", "p0", "?y"), ("?y", "p1", "?z"), ("?x", "p2", "o1")], [("?x", "p0", "?a"), ("?x", "p1", "?a")],
+             [("?x", "p0", "?x")], [("?h", "hub", "?x"), ("?x", "p3", "?a"), ("?x", "p3", "?b")], [("s1", "p0", "?x"), ("?x", "?p", "?a")], [("?x", "p0", "o1"), ("?x", "p0", "?a")],
+             [("?x", "absent", "?a"), ("?x", "p0", "?b")]]
+    for patterns in cases:
+        want = TR.match_bgp(triples.distinct(), patterns)
+        got = TR.match_stars(store, patterns).select(*want.columns)
+        assert rows(got) == rows(want), patterns
+    with pytest.raises(ValueError, match="cross product"):
+        TR.match_stars(store, [("?x", "p0", "?a"), ("?y", "p1", "?b")])
+    empty = TR.build_store(triples.limit(0), lambda df, name: df)
+    assert empty.columns == {} and TR.match_stars(empty, [("?x", "p0", "?a"), ("?x", "p1", "?b")]).count() == 0
+
+
+def test_stars_need_few_joins(spark):
+    """Four subjects, three joins, instead of one for each further pattern."""
+    from tests.conftest import SF001
+    from tidewater.plans.triples import sparql_ta_in_division
+    plan = sparql_ta_in_division(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") <= 4

@@ -95,20 +95,22 @@ def regression_mse(model, test: DataFrame, label: str) -> DataFrame:
                  F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def against_majority(model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+def against_majority(model, train: DataFrame, test: DataFrame, label: str, margin: float = 0.0) -> DataFrame:
     """(n, baseline, reaches): the test rows, the accuracy of the training
-    majority class on them, and whether the model is no worse (M1)."""
+    majority class on them, and whether the model's is above it by ``margin``
+    at least (M1)."""
     base = EV.accuracy(EV.baseline_majority(train.select(F.col(label).alias("label")), test.select(F.col(label).alias("label"))))
     both = attach_scalars(evaluate_classifier(model, test), base.select(F.col("accuracy").alias("baseline")))
-    return both.select("n", F.round("baseline", 6).alias("baseline"), (F.col("accuracy") >= F.col("baseline")).alias("reaches"))
+    return both.select("n", F.round("baseline", 6).alias("baseline"), (F.col("accuracy") >= F.col("baseline") + margin).alias("reaches"))
 
 
-def against_mean(model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+def against_mean(model, train: DataFrame, test: DataFrame, label: str, share: float = 1.0) -> DataFrame:
     """(n, baseline, reaches): the test rows, the mean squared error of the
-    training mean on them, and whether the model is no worse (M2)."""
+    training mean on them, and whether the model's is at most ``share`` of it
+    (M2)."""
     base = EV.baseline_mean(train, test, label).agg(F.avg(F.pow(F.col(label) - F.col("prediction"), 2)).alias("baseline"))
     both = attach_scalars(regression_mse(model, test, label), base)
-    return both.select("n", F.round("baseline", 6).alias("baseline"), (F.col("mse") <= F.col("baseline")).alias("reaches"))
+    return both.select("n", F.round("baseline", 6).alias("baseline"), (F.col("mse") <= F.col("baseline") * share).alias("reaches"))
 
 
 def normal_equations_2(df: DataFrame, x1: str, x2: str, y: str) -> DataFrame:
@@ -174,16 +176,17 @@ def text_classifier(label: str = "label", text: str = "text", vocab: int = 1000,
 
 
 def cross_validate(train: DataFrame, pipeline: Pipeline, grid: list[dict], metric: str = "accuracy", folds: int = 5,
-                   parallelism: int = 4, seed: int = 7) -> list[float]:
+                   parallelism: int = 4, seed: int = 7, fold_col: str = "") -> list[float]:
     """K-fold cross validation of any pipeline; the mean metric of
     each point of ``grid`` (parameters to values, as ``ParamGridBuilder``
     makes them; ``[{}]`` for the pipeline as it is). ``metric``: of
-    classification (on ``label_idx``), or ``mse:<label>``."""
+    classification (on ``label_idx``), or ``mse:<label>``. ``fold_col`` names a
+    column with each row's fold."""
     if metric.startswith("mse:"):
         ev = RegressionEvaluator(labelCol=metric[4:], predictionCol="prediction", metricName="mse")
     else:
         ev = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName=metric)
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed)
+    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed, foldCol=fold_col)
     return cv.fit(train).avgMetrics
 
 

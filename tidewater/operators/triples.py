@@ -9,6 +9,14 @@ becomes a predicate-filtered scan and patterns are joined on their shared
 variables with plain equi-joins, so Catalyst/AQE pick broadcast or
 shuffle joins. On storage, writing the triples partitioned by ``p`` turns
 each pattern scan into partition pruning.
+
+``TripleStore`` also keeps a *property table*, a row for each subject with an
+array of values for each predicate, written once. All patterns on one subject
+variable (a star) are then one scan of that table's columns without a join or
+an exchange; only stars are joined with each other, in the order of the counts
+written with the table. A predicate of which some subject has more than
+``MAX_VALUES`` values is left out of the table, so no row grows with the data,
+and its patterns are joined one by one.
 """
 
 from __future__ import annotations
@@ -107,6 +115,99 @@ def match_bgp(triples: DataFrame, patterns: list[tuple[str, str, str]],
     return result.distinct() if distinct else result
 
 
+#: Values of a predicate that a subject's row in the property table has at most.
+MAX_VALUES = 64
+
+
+@dataclass
+class TripleStore:
+    """``triples``, the property table ``stars`` (s, v0, v1, …), the column of
+    each of its predicates, and the triples of every predicate."""
+    triples: DataFrame
+    stars: DataFrame
+    columns: dict[str, str]
+    counts: dict[str, int]
+
+
+def predicate_counts(triples: DataFrame) -> DataFrame:
+    """(p, n, most): triples of each predicate and the most of one subject."""
+    per = triples.groupBy("p", "s").agg(F.count(F.lit(1)).alias("k"))
+    return per.groupBy("p").agg(F.sum("k").alias("n"), F.max("k").alias("most"))
+
+
+def property_table(triples: DataFrame, predicates: list[str]) -> DataFrame:
+    """(s, v0, v1, …): the distinct values of each predicate as an array, null
+    where a subject has none."""
+    if not predicates:
+        return triples.select("s").distinct()
+    rows = triples.filter(F.col("p").isin(predicates)).groupBy("s").agg(
+        *[F.collect_set(F.when(F.col("p") == p, F.col("o"))).alias(f"v{i}") for i, p in enumerate(predicates)])
+    return rows.select("s", *[F.when(F.size(f"v{i}") > 0, F.col(f"v{i}")).alias(f"v{i}") for i in range(len(predicates))])
+
+
+def build_store(triples: DataFrame, write) -> TripleStore:
+    """The store of a triple table; ``write(df, name)`` writes a table and reads it back."""
+    counts = {r["p"]: r for r in write(predicate_counts(triples), "counts").collect()}  # one row a predicate
+    wide = sorted(p for p, r in counts.items() if r["most"] <= MAX_VALUES)
+    return TripleStore(triples, write(property_table(triples, wide), "stars"), {p: f"v{i}" for i, p in enumerate(wide)}, {p: r["n"] for p, r in counts.items()})
+
+
+def _star_frame(store: TripleStore, subject: str, objects: list[tuple[str, str]]) -> DataFrame:
+    """Bindings of all patterns on one subject variable: one scan."""
+    df = store.stars.select(F.col("s").alias(subject), *sorted({store.columns[p] for p, _ in objects}))
+    for p, _ in objects:
+        df = df.filter(F.col(store.columns[p]).isNotNull())
+    for p, o in objects:
+        if not _is_var(o):
+            df = df.filter(F.array_contains(store.columns[p], o))
+    bound = [subject]
+    for p, o in objects:
+        if not _is_var(o):
+            continue
+        name, values = o[1:], F.col(store.columns[p])
+        if name in bound:
+            df = df.filter(F.array_contains(values, F.col(name)))
+        else:
+            df = df.withColumn(name, F.explode(values))
+            bound.append(name)
+    return df.select(*bound)
+
+
+def match_stars(store: TripleStore, patterns: list[tuple[str, str, str]], filters: list[Column] | None = None,
+                distinct: bool = False, select: list[str] | None = None) -> DataFrame:
+    """J2 over a store: as ``match_bgp``, over distinct triples, with one scan
+    for all patterns on a subject variable. The smallest star comes first (by
+    the triples of its rarest predicate, a hundredth of it for each constant),
+    then always the smallest that shares a variable with what is bound."""
+    stars: dict[str, list[tuple[str, str]]] = {}
+    rest = []
+    for s, p, o in patterns:
+        if _is_var(s) and p in store.columns:
+            stars.setdefault(s[1:], []).append((p, o))
+        else:
+            rest.append((s, p, o))
+
+    def size(objects: list[tuple[str, str]]) -> float:
+        fixed = sum(not _is_var(o) for _, o in objects)
+        return min(store.counts.get(p, 0) for p, _ in objects) / 100.0**fixed
+
+    frames = [(size(objects), _star_frame(store, subject, objects)) for subject, objects in stars.items()]
+    frames += [(size([(p, o)]) / (1 if _is_var(s) else 100.0), _pattern_frame(store.triples, (s, p, o)).distinct()) for s, p, o in rest]
+    todo = [f for _, f in sorted(frames, key=lambda f: f[0])]
+    result = todo.pop(0)
+    while todo:
+        idx = next((i for i, f in enumerate(todo) if set(f.columns) & set(result.columns)), None)
+        if idx is None:
+            raise ValueError("graph pattern is disconnected; refusing a cross product")
+        frame = todo.pop(idx)
+        result = result.join(frame, [c for c in frame.columns if c in result.columns])
+    for f in filters or []:
+        result = result.filter(f)
+    if select:
+        result = result.select(*select)
+    return result.distinct() if distinct else result
+
+
 def regex_filter(col: str, pattern: str, flags: str = "") -> Column:
     """SPARQL ``regex(?x, pattern, "i")`` — unanchored search."""
     prefix = "(?i)" if "i" in flags else ""

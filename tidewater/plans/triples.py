@@ -3,6 +3,8 @@ built from the driver tables; oracles use the relational tables directly."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from tidewater.operators import triples as TR
@@ -22,9 +24,16 @@ INST_A, INST_B = "CI-1", "CI-2"
 def _triples(spark, d):
     # written once per session, partitioned by predicate: every pattern scan
     # is then a pruned read of one predicate's files
-    import hashlib
-    tag = hashlib.md5(d.encode()).hexdigest()[:10]
-    return materialize(university_triples(Tables(spark, d)), f"triples-{tag}", ["p"], "s")
+    return materialize(university_triples(Tables(spark, d)), f"triples-{_tag(d)}", ["p"], "s")
+
+
+def _tag(d):
+    return hashlib.md5(d.encode()).hexdigest()[:10]
+
+
+def _store(spark, d):
+    """The triples with their property table and counts, each written once."""
+    return TR.build_store(_triples(spark, d), lambda df, name: materialize(df, f"triples-{name}-{_tag(d)}"))
 
 
 @query("triples_per_predicate", """
@@ -49,7 +58,7 @@ def triples_per_predicate(spark, d):
 
 @query("sparql_teachers", _W + "SELECT ind AS ta, name AS tn, n_name AS tp, r_name AS td FROM teachers")
 def sparql_teachers(spark, d):
-    return TR.match_bgp(_triples(spark, d), [
+    return TR.match_stars(_store(spark, d), [
         ("?ta", "teacherName", "?tn"), ("?ta", "tDepartment", "?tp"), ("?ta", "tDivision", "?td")])
 
 
@@ -58,7 +67,7 @@ SELECT 'P' || n_nationkey AS prg, n_name AS pn, 'T' || n_nationkey AS pd, r_name
 FROM nation JOIN region ON n_regionkey = r_regionkey
 """)
 def sparql_programmes(spark, d):
-    return TR.match_bgp(_triples(spark, d), [
+    return TR.match_stars(_store(spark, d), [
         ("?prg", "programName", "?pn"), ("?prg", "director", "?pd"), ("?prg", "pDepartment", "?ptd")])
 
 
@@ -70,7 +79,7 @@ WHERE i.ay = '{YEAR_2}' AND i.period = '{PERIOD_2}' AND p.p_brand = '{DIVISION}'
   AND regexp_matches(t.name, '(?i)TA.*')
 """)
 def sparql_ta_in_division(spark, d):
-    return TR.match_bgp(_triples(spark, d), [
+    return TR.match_stars(_store(spark, d), [
         ("?taURI", "teacherID", "?teacherID"), ("?taURI", "teacherName", "?teacherName"),
         ("?h", "hoursTeacher", "?teacherID"), ("?h", "hoursCourseInstance", "?ci"),
         ("?c", "instanceID", "?ci"), ("?c", "ciCourseCode", "?cc"),
@@ -86,7 +95,7 @@ FROM teachers t JOIN hours h ON h.teacher = t.tid JOIN instances i ON i.ind = h.
 WHERE i.ay = '{YEAR_3}' AND i.period = '{PERIOD_3}' AND i.code = '{COURSE_3}' AND h.hrs > {MIN_HOURS}
 """)
 def sparql_hours_over(spark, d):
-    return TR.match_bgp(_triples(spark, d), [
+    return TR.match_stars(_store(spark, d), [
         ("?taURI", "teacherID", "?teacherID"), ("?taURI", "teacherName", "?teacherName"),
         ("?h", "hoursTeacher", "?teacherID"), ("?h", "hoursCourseInstance", "?ci"),
         ("?h", "aHours", "?aHours"),
@@ -103,12 +112,12 @@ WHERE 'CI-' || substr(o_orderpriority, 1, 1) = '{INST_A}'
   AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE 'CI-' || substr(o_orderpriority, 1, 1) = '{INST_B}')
 """)
 def sparql_registered_not_in(spark, d):
-    tr = _triples(spark, d)
-    reg_a = TR.match_bgp(tr, [
+    tr = _store(spark, d)
+    reg_a = TR.match_stars(tr, [
         ("?studentURI", "studentID", "?studentID"),
         ("?r", "registrationsStudents", "?studentID"), ("?r", "registrationsCourseInstance", INST_A)],
         select=["studentID"], distinct=True)
-    reg_b = TR.match_bgp(tr, [
+    reg_b = TR.match_stars(tr, [
         ("?r", "registrationsStudents", "?studentID"), ("?r", "registrationsCourseInstance", INST_B)],
         select=["studentID"])
     return TR.not_exists(reg_a, reg_b, ["studentID"])
@@ -119,7 +128,7 @@ SELECT 'P' || (p_partkey % 25) AS cprog, CAST(count(*) AS BIGINT) AS owned_cours
 FROM part GROUP BY 1
 """)
 def sparql_courses_per_programme(spark, d):
-    b = TR.match_bgp(_triples(spark, d), [("?c", "courseCode", "?cc"), ("?c", "cProgram", "?cprog")])
+    b = TR.match_stars(_store(spark, d), [("?c", "courseCode", "?cc"), ("?c", "cProgram", "?cprog")])
     return TR.group_count(b, "cprog", "cc", "owned_courses").orderBy(F.desc("owned_courses"))
 
 
@@ -127,7 +136,7 @@ def sparql_courses_per_programme(spark, d):
 SELECT CAST(count(*) AS BIGINT) AS teacher_count FROM teachers WHERE regexp_matches(name, '(?i)Teac.*')
 """)
 def sparql_count_senior_teachers(spark, d):
-    b = TR.match_bgp(_triples(spark, d), [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")],
+    b = TR.match_stars(_store(spark, d), [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")],
                      filters=[TR.regex_filter("n", "Teac.*", "i")])
     return TR.count_bindings(b, "teacher_count")
 
@@ -137,10 +146,10 @@ SELECT CAST((SELECT count(*) FROM teachers WHERE regexp_matches(name, '(?i)Teac.
           + (SELECT count(*) FROM customer) AS BIGINT) AS people_count
 """)
 def sparql_count_people(spark, d):
-    tr = _triples(spark, d)
-    teachers = TR.match_bgp(tr, [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")],
+    tr = _store(spark, d)
+    teachers = TR.match_stars(tr, [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")],
                             filters=[TR.regex_filter("n", "Teac.*", "i")], select=["id"])
-    students = TR.match_bgp(tr, [("?s", "studentID", "?id")], select=["id"])
+    students = TR.match_stars(tr, [("?s", "studentID", "?id")], select=["id"])
     return TR.count_bindings(teachers.unionByName(students), "people_count")
 
 
@@ -155,5 +164,5 @@ FROM lineitem GROUP BY l_partkey, year(l_shipdate), quarter(l_shipdate) HAVING c
 def sparql_planned_instances(spark, d):
     """Instances whose planned student count (a fact from the second sheet,
     J14) is at least MIN_PLANNED; the typed literal is cast for the filter."""
-    return TR.match_bgp(_triples(spark, d), [("?c", "instanceID", "?ci"), ("?c", "planNumStudents", "?n")],
+    return TR.match_stars(_store(spark, d), [("?c", "instanceID", "?ci"), ("?c", "planNumStudents", "?n")],
                         filters=[F.col("n").cast("int") >= MIN_PLANNED], select=["ci", "n"])

@@ -1,10 +1,9 @@
-"""Session helpers: building a session for tests/bench, the shared checkpoint
-folder, and size-checked broadcasting.
+"""Session helpers: building a session for tests/bench and the shared checkpoint
+folder.
 
 Library code never creates its own session; every operator takes DataFrames
 and returns DataFrames. These helpers exist for the entry points (tests,
-bench, registry) and for the few operators that must cut lineage or decide
-whether a side of a join is small enough to broadcast.
+bench, registry) and for the few operators that must cut lineage.
 """
 
 from __future__ import annotations
@@ -17,10 +16,6 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows above which a "small" side is never broadcast. Query sets, parameter
-# tables and vocabularies are checked against this before a broadcast hint.
-DEFAULT_BROADCAST_ROWS = 200_000
-
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "tidewater") -> SparkSession:
@@ -79,22 +74,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      what: str = "side") -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it has at most ``max_rows``
-    rows. The check is a single small job (``limit(max_rows + 1).count()``).
-    Raises ``ValueError`` beyond the bound so callers pick their shuffle path.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"{what} has more than {max_rows} rows; refusing to broadcast")
-    return F.broadcast(df)
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table under the shared checkpoint
     folder (never a machine-local temp folder)."""
@@ -117,7 +96,8 @@ def input_signature(df: DataFrame) -> str:
     """Names, lengths and times of the files that ``df`` reads."""
     spark, h = df.sparkSession, hashlib.sha256()
     for uri in sorted(df.inputFiles()):
-        path, fs = _hadoop_path(spark, uri)
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))  # files are listed as encoded URIs
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         status = fs.getFileStatus(path)
         h.update(f"{uri} {status.getLen()} {status.getModificationTime()}\n".encode())
     return h.hexdigest()
