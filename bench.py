@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidewater.plans.registry import all_queries  # noqa: E402
-from tidewater.plans.triples import _triples as triples  # noqa: E402
+from tidewater.plans.triples import _store as triples  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
 
 HEADLINE = [

@@ -58,3 +58,18 @@ def test_spread_runs_no_job(spark):
         assert jobs() == 0, planned
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_schemes_of_stores():
+    from tidewater.session import arrow_uri
+    assert [arrow_uri(u) for u in ("s3a://b/k", "s3n://b/k", "s3://b/s3a://k", "hdfs://h/p", "file:///p", "/p")] == [
+        "s3://b/k", "s3://b/k", "s3://b/s3a://k", "hdfs://h/p", "file:///p", "/p"]
+
+
+def test_signature_of_partitioned_files(spark, tmp_path):
+    """Folders whose names hold escaped characters are found."""
+    from pyspark.sql import functions as F
+
+    from tidewater.session import input_signature
+    spark.range(4).withColumn("p", F.concat(F.lit("a:b "), F.col("id") % 2)).write.partitionBy("p").parquet(str(tmp_path / "t"))
+    assert len(input_signature(spark.read.parquet(str(tmp_path / "t")))) == 64

@@ -121,3 +121,20 @@ def test_stars_need_few_joins(spark):
     from tidewater.plans.triples import sparql_ta_in_division
     plan = sparql_ta_in_division(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") <= 4
+
+
+def test_attach_by_position_with_unequal_splits(spark, tmp_path):
+    """Rows of two sheets meet by their place, whatever the files and their splits."""
+    from tidewater.sources.readers import number_lines
+    n = 1_000
+    for name, cuts in (("a", (0, 1, 700, n)), ("b", (0, 333, 333, 900, n - 7))):
+        for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
+            (tmp_path / name).mkdir(exist_ok=True)
+            (tmp_path / name / f"part-{k}.txt").write_text("".join(f"{name}{r}\n" for r in range(i, j)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        a, b = (number_lines(spark, str(tmp_path / name)).select("line_no", F.col("value").alias(name)) for name in "ab")
+        found = sorted(tuple(r) for r in TR.attach_by_position(a, b).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [(i, f"a{i}", f"b{i}" if i < n - 7 else None) for i in range(n)]

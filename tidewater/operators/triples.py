@@ -63,6 +63,15 @@ def attach_sheet(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other, key, "left")
 
 
+def attach_by_position(sheet: DataFrame, other: DataFrame, position: str = "line_no") -> DataFrame:
+    """J14 where only the row's place tells: facts of the second sheet's row of
+    the same number. Both come with dense numbers (``number_lines`` gives them
+    however the files are split), so this is an equi-join and nothing is sorted
+    as a whole. Rows beyond the end of ``other`` get nulls; its rows beyond the
+    end of ``sheet`` are left out."""
+    return sheet.join(other, position, "left")
+
+
 def _is_var(term: str) -> bool:
     return isinstance(term, str) and term.startswith("?")
 

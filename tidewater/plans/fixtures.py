@@ -113,6 +113,25 @@ auth AS (
 # --------------------------------------------------------------------------
 
 
+def _instance_id():
+    return F.concat_ws("-", F.lit("I"), F.col("l_partkey").cast("string"), F.col("y").cast("string"), F.col("q").cast("string"))
+
+
+def _offered(t: Tables) -> DataFrame:
+    return t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q"))
+
+
+def course_plannings(t: Tables) -> DataFrame:
+    """(ind, plan_students, senior_hours, assist_hours): a row for each course
+    instance; senior teachers' hours and the others'."""
+    hours = F.col("l_quantity") * 3
+    senior = F.col("l_suppkey") % 3 == 0
+    return _offered(t).groupBy("l_partkey", "y", "q").agg(
+        F.count(F.lit(1)).alias("plan_students"), F.sum(F.when(senior, hours).otherwise(0.0)).cast("float").alias("senior_hours"),
+        F.sum(F.when(senior, 0.0).otherwise(hours)).cast("float").alias("assist_hours")).select(
+        _instance_id().alias("ind"), "plan_students", "senior_hours", "assist_hours")
+
+
 def university_triples(t: Tables) -> DataFrame:
     from tidewater.operators.triples import SheetRule, attach_sheet, to_triples, union_triples
 
@@ -135,19 +154,14 @@ def university_triples(t: Tables) -> DataFrame:
         F.concat(F.lit("P"), (F.col("p_partkey") % 25).cast("string")).alias("prog"))
     # a course instance is a part offered in one quarter of one year; the
     # teaching load is summed per (instance, teacher)
-    li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity",
-                           F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q"))
-    inst_id = F.concat_ws("-", F.lit("I"), F.col("l_partkey").cast("string"),
-                          F.col("y").cast("string"), F.col("q").cast("string"))
+    li, inst_id = _offered(t), _instance_id()
     instances = li.groupBy("l_partkey", "y", "q").agg(F.min("l_suppkey").alias("examiner")).select(
         inst_id.alias("ind"), F.col("l_partkey").cast("string").alias("code"),
         F.concat(F.col("y").cast("string"), F.lit("-"), (F.col("y") + 1).cast("string")).alias("ay"),
         F.col("q").cast("double").cast("string").alias("period"),
         F.col("examiner").cast("string").alias("examiner"))
     # a second sheet (course plannings) keyed by the instance id
-    plannings = li.groupBy("l_partkey", "y", "q").agg(F.count(F.lit(1)).alias("plan_students")).select(
-        inst_id.alias("ind"), "plan_students")
-    instances = attach_sheet(instances, plannings, "ind")
+    instances = attach_sheet(instances, course_plannings(t), "ind")
     hours = li.groupBy("l_partkey", "y", "q", "l_suppkey").agg(
         (F.sum("l_quantity") * 3).cast("float").alias("hrs")).select(
         F.concat_ws("-", F.lit("H"), F.col("l_partkey").cast("string"), F.col("y").cast("string"),
@@ -157,11 +171,19 @@ def university_triples(t: Tables) -> DataFrame:
         F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("ind"),
         F.col("c_custkey").cast("string").alias("sid"), "c_name",
         F.concat(F.lit("P"), F.col("c_nationkey").cast("string")).alias("prog"),
-        (F.col("c_acctbal") > 5000).alias("grad"))
+        (F.col("c_acctbal") > 5000).alias("grad"), (1990 + F.col("c_custkey") % 10).cast("int").alias("start"))
     regs = t.orders.select(
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("ind"),
         F.concat(F.lit("CI-"), F.substring("o_orderpriority", 1, 1)).alias("inst"),
-        F.col("o_custkey").cast("string").alias("student"), "o_orderstatus")
+        F.col("o_custkey").cast("string").alias("student"), "o_orderstatus",
+        F.substring_index("o_orderpriority", "-", -1).alias("grade"))
+    # courses that programmes offer: every course in its programme's plan
+    offers = t.part.select(
+        F.concat(F.lit("PI"), F.col("p_partkey").cast("string")).alias("ind"),
+        F.concat(F.lit("P"), (F.col("p_partkey") % 25).cast("string")).alias("prog"),
+        (1 + F.col("p_size") % 3).cast("int").alias("study_year"),
+        F.concat_ws("-", (1992 + F.col("p_partkey") % 7).cast("string"), (1993 + F.col("p_partkey") % 7).cast("string")).alias("ay"),
+        F.col("p_partkey").cast("string").alias("code"), F.substring_index("p_type", " ", -1).alias("kind"))
     # fixed values: the type and predicate names of the sheets, in their order
     parts = [
         to_triples(teachers, SheetRule("ind", F.col("typ"), {
@@ -177,6 +199,7 @@ def university_triples(t: Tables) -> DataFrame:
         to_triples(instances, SheetRule("ind", "CourseInstance", {
             "instanceID": ("ind", "string"), "ciCourseCode": ("code", "string"),
             "planNumStudents": ("plan_students", "integer"),
+            "seniorHours": ("senior_hours", "float"), "assistHours": ("assist_hours", "float"),
             "cAcademicYear": ("ay", "string"), "studyPeriod": ("period", "string"),
             "examiner": ("examiner", "string")})),
         to_triples(hours, SheetRule("ind", "TeachingAssignment", {
@@ -184,11 +207,15 @@ def university_triples(t: Tables) -> DataFrame:
             "rHours": ("hrs", "float"), "aHours": ("hrs", "float")})),
         to_triples(students, SheetRule("ind", "Students", {
             "studentID": ("sid", "string"), "studentName": ("c_name", "string"),
-            "sProgram": ("prog", "string"), "graduated": ("grad", "boolean")})),
+            "sProgram": ("prog", "string"), "startYear": ("start", "integer"), "graduated": ("grad", "boolean")})),
         to_triples(regs, SheetRule("ind", "Registrations", {
             "registrationsCourseInstance": ("inst", "string"),
             "registrationsStudents": ("student", "string"),
-            "registrationStatus": ("o_orderstatus", "string")})),
+            "registrationStatus": ("o_orderstatus", "string"), "grade": ("grade", "string")})),
+        to_triples(offers, SheetRule("ind", "ProgramInstance", {
+            "piProgramCode": ("prog", "string"), "piStudyYear": ("study_year", "integer"),
+            "piAcademicYear": ("ay", "string"), "piCourse": ("code", "string"),
+            "piCourseType": ("kind", "string")})),
     ]
     return union_triples(parts)
 

@@ -4,13 +4,15 @@ built from the driver tables; oracles use the relational tables directly."""
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import functions as F
 
 from tidewater.operators import triples as TR
-from tidewater.plans.fixtures import UNIVERSITY_SQL, university_triples
+from tidewater.plans.fixtures import UNIVERSITY_SQL, course_plannings, university_triples
 from tidewater.plans.registry import query
-from tidewater.session import materialize
+from tidewater.session import materialize, shared_path
+from tidewater.sources.readers import number_lines
 from tidewater.sources.tables import Tables
 
 _W = "WITH " + UNIVERSITY_SQL
@@ -42,14 +44,15 @@ nh AS (SELECT count(DISTINCT (l_partkey, year(l_shipdate), quarter(l_shipdate),
 c AS (
   SELECT 'rdf:type' AS p, (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation)
        + (SELECT count(*) FROM part) + (SELECT n FROM ni) + (SELECT n FROM nh)
-       + (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) AS n
+       + (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM part) AS n
   UNION ALL SELECT unnest(['teacherName','teacherID','tDepartment','tDivision']), (SELECT count(*) FROM supplier)
   UNION ALL SELECT unnest(['programName','programCode','pDepartment','director']), (SELECT count(*) FROM nation)
   UNION ALL SELECT unnest(['courseCode','courseName','credits','courseLevel','cDivision','cProgram']), (SELECT count(*) FROM part)
-  UNION ALL SELECT unnest(['instanceID','ciCourseCode','cAcademicYear','studyPeriod','examiner','planNumStudents']), (SELECT n FROM ni)
+  UNION ALL SELECT unnest(['instanceID','ciCourseCode','cAcademicYear','studyPeriod','examiner','planNumStudents','seniorHours','assistHours']), (SELECT n FROM ni)
   UNION ALL SELECT unnest(['hoursCourseInstance','hoursTeacher','rHours','aHours']), (SELECT n FROM nh)
-  UNION ALL SELECT unnest(['studentID','studentName','sProgram','graduated']), (SELECT count(*) FROM customer)
-  UNION ALL SELECT unnest(['registrationsCourseInstance','registrationsStudents','registrationStatus']), (SELECT count(*) FROM orders))
+  UNION ALL SELECT unnest(['studentID','studentName','sProgram','graduated','startYear']), (SELECT count(*) FROM customer)
+  UNION ALL SELECT unnest(['registrationsCourseInstance','registrationsStudents','registrationStatus','grade']), (SELECT count(*) FROM orders)
+  UNION ALL SELECT unnest(['piProgramCode','piStudyYear','piAcademicYear','piCourse','piCourseType']), (SELECT count(*) FROM part))
 SELECT p, CAST(n AS BIGINT) AS n FROM c
 """)
 def triples_per_predicate(spark, d):
@@ -166,3 +169,23 @@ def sparql_planned_instances(spark, d):
     J14) is at least MIN_PLANNED; the typed literal is cast for the filter."""
     return TR.match_stars(_store(spark, d), [("?c", "instanceID", "?ci"), ("?c", "planNumStudents", "?n")],
                         filters=[F.col("n").cast("int") >= MIN_PLANNED], select=["ci", "n"])
+
+
+@query("sheet_attach_by_position", """
+SELECT 'I-' || l_partkey || '-' || year(l_shipdate) || '-' || quarter(l_shipdate) AS ind, CAST(l_partkey AS VARCHAR) AS code, CAST(count(*) AS INTEGER) AS plan_students,
+       CAST(sum(CASE WHEN l_suppkey % 3 = 0 THEN l_quantity * 3 ELSE 0 END) AS DOUBLE) AS senior_hours, CAST(sum(CASE WHEN l_suppkey % 3 = 0 THEN 0 ELSE l_quantity * 3 END) AS DOUBLE) AS assist_hours
+FROM lineitem GROUP BY l_partkey, year(l_shipdate), quarter(l_shipdate)
+""")
+def sheet_attach_by_position(spark, d):
+    """Two sheets as text, in the order of the instances and in different
+    numbers of files; facts of the second go to the first by their line."""
+    plan = course_plannings(Tables(spark, d))
+    folder = shared_path(spark, f"sheets/{uuid.uuid4().hex}")
+    first = plan.select("ind", F.concat_ws("\t", "ind", F.split("ind", "-")[1]).alias("value"))
+    second = plan.select("ind", F.concat_ws("\t", *[F.col(c).cast("string") for c in ("plan_students", "senior_hours", "assist_hours")]).alias("value"))
+    for df, name, files in ((first, "instances", 5), (second, "plannings", 3)):
+        df.repartitionByRange(files, "ind").sortWithinPartitions("ind").select("value").write.text(f"{folder}/{name}")
+    sheets = [number_lines(spark, f"{folder}/{name}").select("line_no", F.split("value", "\t").alias("f")) for name in ("instances", "plannings")]
+    a = sheets[0].select("line_no", F.col("f")[0].alias("ind"), F.col("f")[1].alias("code"))
+    b = sheets[1].select("line_no", F.col("f")[0].cast("int").alias("plan_students"), F.col("f")[1].cast("double").alias("senior_hours"), F.col("f")[2].cast("double").alias("assist_hours"))
+    return TR.attach_by_position(a, b).drop("line_no")

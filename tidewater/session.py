@@ -179,12 +179,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if size < target * SPREAD_BYTES else df
 
 
+def arrow_uri(uri: str) -> str:
+    """A Hadoop URI as ``pyarrow.fs`` names the same store (``s3a`` and ``s3n``
+    are ``s3`` there; other schemes are the same or not known to it)."""
+    return re.sub(r"^s3[an]://", "s3://", uri)
+
+
 def shared_file(uri: str):
     """A file of the shared folder, opened for random access in a task."""
     import pyarrow.fs as pafs
 
     if "://" in uri and not uri.startswith("file://"):
-        fs, path = pafs.FileSystem.from_uri(uri)
+        fs, path = pafs.FileSystem.from_uri(arrow_uri(uri))
     else:
         fs, path = pafs.LocalFileSystem(), re.sub(r"^file:(//)?", "", uri)
     return fs.open_input_file(path)
