@@ -11,10 +11,10 @@ from tidewater.llm.shared import new_folder
 NAME = "word_bpe_49k.json"
 
 
-def expected(rows):
+def expected(rows, name=NAME):
     from tokenizers import Tokenizer
 
-    enc = Tokenizer.from_file(planes.tokenizer_path(NAME))
+    enc = Tokenizer.from_file(planes.tokenizer_path(name))
     start, out = 0, []
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = enc.encode(text or "", add_special_tokens=False).ids + [2]
@@ -62,3 +62,10 @@ def test_pieces_are_cut_where_tokens_end():
         text = "".join(random.choice(parts) for _ in range(random.randint(0, 14)))
         ids = enc.encoder.encode(text, add_special_tokens=False).ids
         assert enc.encode([text.encode()], b"")[0] == struct.pack(f"<{len(ids)}I", *ids), text
+
+
+def test_a_tokenizer_without_the_cuts_encodes_whole_texts(edge):
+    """Byte-level BPE keeps the case and the spaces: its ids are the library's, too."""
+    got = planes.write_and_digest(edge, tokenizer="byte_bpe_50k.json").collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == expected(pairs(edge), "byte_bpe_50k.json")
+    assert planes.PieceIds.of(planes.tokenizer_path(NAME)).by_piece and not planes.PieceIds.of(planes.tokenizer_path("byte_bpe_50k.json")).by_piece

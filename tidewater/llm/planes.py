@@ -21,6 +21,7 @@ Documents go to shards by ranges of doc_id; a task holds one block of ids and
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -173,8 +174,28 @@ _LETTERS = re.compile(rb"[a-z\xc3\x80-\xbf]+")
 _SIGNS = re.compile(rb"\xc3[\x97\xb7]")
 
 
+#: Fixed value: the split pattern of tokenizers that the cuts below are right for.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_hold(spec: dict) -> bool:
+    """Whether a tokenizer's file says that it lowers the case, drops white
+    space, splits by ``_SPLIT`` and marks the ends of words, so that pieces can
+    be encoded alone."""
+    normaliser, before, model = (spec.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
+    kinds = [n.get("type") for n in normaliser.get("normalizers", [])]
+    spaces = [n.get("content") for n in normaliser.get("normalizers", []) if n.get("type") == "Replace" and n.get("pattern") == {"Regex": r"\s+"}]
+    splits = before.get("pretokenizers", [])
+    return (kinds == ["NFC", "Replace", "Lowercase"] and spaces == [" "] and [x.get("type") for x in splits] == ["Split", "ByteLevel"]
+            and splits[0].get("pattern") == {"Regex": _SPLIT} and splits[0].get("invert") is True and splits[0].get("behavior") == "Removed"
+            and splits[1].get("add_prefix_space") is False and splits[1].get("use_regex") is False and model.get("type") == "BPE"
+            and model.get("end_of_word_suffix") == "</w>" and not spec.get("post_processor") and not spec.get("truncation")
+            and all(t["content"].startswith("<|") for t in spec.get("added_tokens", [])))
+
+
 class PieceIds:
-    """Encodes with the tokenizers library, once for each distinct piece.
+    """Encodes with the tokenizers library, once for each distinct piece where
+    the tokenizer allows it (``cuts_hold``), whole texts else.
 
     A text is cut where the tokenizer always ends a token: at ASCII white
     space, which it drops, and between a letter and ASCII punctuation. It
@@ -188,6 +209,8 @@ class PieceIds:
         from tokenizers import Tokenizer
 
         self.encoder, self.known = Tokenizer.from_file(path), {}
+        with open(path, encoding="utf-8") as file:
+            self.by_piece = cuts_hold(json.load(file))
         vocabulary = self.encoder.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -223,6 +246,9 @@ class PieceIds:
                 known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, docs: list[bytes], end: bytes) -> list[bytes]:
+        if not self.by_piece:
+            found = self.encoder.encode_batch_fast([d.decode("utf-8", "replace") for d in docs], add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() + end for e in found]
         split = [self.cut(d) for d in docs]
         if len(self.known) > CACHE_PIECES:
             self.known.clear()

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.session import shared_path
+from tidewater.session import arrow_uri, shared_path
 
 
 #: Folders made by this driver and not deleted yet.
@@ -90,7 +90,7 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), uri.removeprefix("file:")
     if uri.startswith("file://"):
         return pafs.LocalFileSystem(), uri.removeprefix("file://")
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(arrow_uri(uri))
 
 
 class NewFile:
