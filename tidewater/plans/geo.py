@@ -29,9 +29,8 @@ def nn_haversine(points, queries, k: int = 1, method: str = "scan"):
 
 def nn_haversine_checked(points, queries, k: int = 1):
     """J8 with the winning pair's distance recomputed by the JVM column
-    function (F10) from the original degrees."""
-    nn = K.knn(points.select("id", F.array(F.radians("lat"), F.radians("lon")).alias("vec")),
-               queries.select("q_id", F.array(F.radians("lat"), F.radians("lon")).alias("vec")), k, "haversine")
+    function (F10) from the original degrees; neighbours by the grid."""
+    nn = nn_grid(points, queries, k)
     return (nn.join(points.select("id", "name", F.col("lat").alias("plat"), F.col("lon").alias("plon")), "id")
               .join(queries.select("q_id", F.col("lat").alias("qlat"), F.col("lon").alias("qlon")), "q_id")
               .withColumn("d_jvm", haversine(F.col("qlat"), F.col("qlon"), F.col("plat"), F.col("plon"))))

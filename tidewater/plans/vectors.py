@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import knn as K
 from tidewater.operators import lsh as LSH
+from tidewater.operators.pivots import knn_by_pivots
 from tidewater.plans.fixtures import EMB_SQL, embedding_rows
 from tidewater.plans.registry import query
 from tidewater.session import cut_lineage, spread
@@ -81,6 +82,28 @@ def vec_centroid_nn_expanded(spark, d):
     return nn.select("q_id", "id", F.round("d", 6).alias("d"), F.col("rank").cast("int"))
 
 
+@query("vec_centroid_nn_pivots", _W + _NN_OUT)
+def vec_centroid_nn_pivots(spark, d):
+    """J7 by pivots: only rows that the triangle inequality leaves are compared."""
+    emb = _emb(spark, d)
+    cents = K.centroids(emb, "label", "vec").withColumnRenamed("label", "q_id")
+    return knn_by_pivots(emb, cents, 1).select("q_id", "id", F.round("d", 6).alias("d"), F.col("rank").cast("int"))
+
+
+@query("vec_twentieth_cosine_pivots", _W + """
+SELECT q_id, id, sim, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT q.vec_id AS q_id, u.vec_id AS id, round(list_inner_product(u.u, q.u), 6) AS sim,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(u.u, q.u) DESC, u.vec_id) AS rank
+  FROM u q JOIN u ON u.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 3
+""")
+def vec_twentieth_cosine_pivots(spark, d):
+    """J10 by pivots for every row whose id is divisible by 20, against all rows."""
+    unit = K.l2_normalize(_emb(spark, d), "vec", "unit").filter(F.col("unit").isNotNull())
+    q = unit.filter(F.col("id") % 20 == 0).select(F.col("id").alias("q_id"), "unit", F.col("id").alias("own"))
+    r = knn_by_pivots(unit, q, 3, vec_col="unit", q_vec="unit", exclude_col="own")
+    return r.select("q_id", "id", F.round(1 - F.col("d") * F.col("d") / 2, 6).alias("sim"), F.col("rank").cast("int"))
+
+
 @query("vec_centroid_label_check", _W + """
 SELECT CAST(count(*) AS BIGINT) AS n_queries,
        CAST(count(*) FILTER (WHERE e.label <> nn.q_id) AS BIGINT) AS n_errors
