@@ -68,7 +68,7 @@ def test_gradient_by_differences_and_falling_loss(texts):
         numeric = (loss(w[:, at] + step, b[at]) - loss(w[:, at] - step, b[at])) / 2e-4
         assert abs(numeric - g[k, at, 0]) < 1e-4
     assert abs((loss(w[:, at], b[at] + [1e-4, 0]) - loss(w[:, at], b[at] - [1e-4, 0])) / 2e-4 - gb[at, 0]) < 1e-4
-    values = [loss(np.zeros((grid.size, 2)), np.zeros(2))] + [loss(w[:, at], b[at]) for w, b in (grid.fit(5), grid.fit(30))]
+    values = [loss(np.zeros((grid.size, 2)), np.zeros(2))] + [loss(w[:, at], b[at]) for w, b in (grid.fit(4), grid.fit(16))]
     assert values[0] > values[1] > values[2]
 
 
@@ -76,9 +76,9 @@ def test_accuracies_near_those_of_single_fits(texts):
     """Within 4 points of pyspark.ml's fit of each point over the same folds; the
     vocabulary holds all words, as ties at its end fall differently there."""
     _, df = texts
-    found = TG.cross_validate_grid(df, vocabularies_of=(60,), ngrams=(1, 2), cs=(0.1, 10.0), l1=(1.0, 0.0), steps=80)
+    found = TG.cross_validate_grid(df, vocabularies_of=(60,), ngrams=(1,), cs=(0.1, 10.0), l1=(1.0, 0.0), steps=60)
     mean = {(r["ngram"], r["c"], r["l1"]): r["a"] for r in found.groupBy("ngram", "c", "l1").agg(F.avg(F.col("correct") / F.col("n")).alias("a")).collect()}
-    assert len(mean) == 8 and found.agg(F.sum("n")).first()[0] == 8 * 240
+    assert len(mean) == 4 and found.agg(F.sum("n")).first()[0] == 4 * 240
     n = df.count()
     pipe = ML.text_classifier("label", "text", 60, 1)
     lr = pipe.getStages()[-1]
