@@ -149,9 +149,11 @@ def property_table(triples: DataFrame, predicates: list[str]) -> DataFrame:
     where a subject has none."""
     if not predicates:
         return triples.select("s").distinct()
-    rows = triples.filter(F.col("p").isin(predicates)).groupBy("s").agg(
-        *[F.collect_set(F.when(F.col("p") == p, F.col("o"))).alias(f"v{i}") for i, p in enumerate(predicates)])
-    return rows.select("s", *[F.when(F.size(f"v{i}") > 0, F.col(f"v{i}")).alias(f"v{i}") for i in range(len(predicates))])
+    # one exchange, by subject: both groupings are local to it
+    rows = triples.filter(F.col("p").isin(predicates)).select("s", "p", "o").repartition("s")
+    values = rows.groupBy("s", "p").agg(F.collect_set("o").alias("v"))
+    each = values.groupBy("s").agg(F.map_from_entries(F.collect_list(F.struct("p", "v"))).alias("m"))
+    return each.select("s", *[F.try_element_at("m", F.lit(p)).alias(f"v{i}") for i, p in enumerate(predicates)])
 
 
 def build_store(triples: DataFrame, write) -> TripleStore:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import triples as TR
 from tidewater.plans.fixtures import UNIVERSITY_SQL, course_plannings, university_triples
 from tidewater.plans.registry import query
-from tidewater.session import materialize, shared_path
+from tidewater.session import input_signature, materialize, shared_path
 from tidewater.sources.readers import number_lines
 from tidewater.sources.tables import Tables
 
@@ -35,7 +35,10 @@ def _tag(d):
 
 def _store(spark, d):
     """The triples with their property table and counts, each written once."""
-    return TR.build_store(_triples(spark, d), lambda df, name: materialize(df, f"triples-{name}-{_tag(d)}"))
+    source = university_triples(Tables(spark, d))
+    now = input_signature(source)
+    triples = materialize(source, f"triples-{_tag(d)}", ["p"], "s", signature=now)
+    return TR.build_store(triples, lambda df, name: materialize(df, f"triples-{name}-{_tag(d)}", signature=now))
 
 
 @query("triples_per_predicate", """

@@ -106,17 +106,19 @@ def input_signature(df: DataFrame) -> str:
 _MATERIALIZED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, salt_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, salt_by: str | None = None,
+                signature: str | None = None) -> DataFrame:
     """Write ``df`` under the shared folder and read it back (cuts lineage;
     survives executor loss; enables partition pruning). A second call with the
     same name reads what is there while the input files are unchanged, and
-    replaces it otherwise.
+    replaces it otherwise. ``signature`` stands for the input files where the
+    caller knows it, as for tables derived from another written one.
 
     Before ``partition_by`` the rows are dealt out by those columns and a salt
     of ``salt_by``, so a value's rows lie in as many files as there are shuffle
     partitions at most, and a frequent value in several tasks."""
     spark = df.sparkSession
-    key, now = (spark.sparkContext.applicationId, name), input_signature(df)
+    key, now = (spark.sparkContext.applicationId, name), signature or input_signature(df)
     path, before = _MATERIALIZED.get(key, (None, None))
     if before != now:
         if path is not None:
