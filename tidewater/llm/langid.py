@@ -2,21 +2,27 @@
 
 ``train`` counts words by language over all labelled rows, and character
 n-grams (of orders 1 to ``max_order``, over words with their ends marked) from
-those counts. What a model sends to all tasks holds, of each language, the words
-and the n-grams of each order that occur most often: as many as have a count at
-or over the smallest threshold that leaves at most ``max_words`` and
-``max_grams`` of them, so its size has a bound that does not grow with the data.
-Their counts in all languages are taken. All other words lie in a written table,
-``tail``, and texts meet them by a join. ``predict`` adds, for each word of a
-text, its log frequency in each language; a word that was never counted is
-scored by the longest known n-grams that begin at each of its
-characters, shorter ones where longer ones are unknown, averaged over the word.
+those counts. What a model sends to all tasks, its head, holds the words that
+occur most often: of each language as many as have a count at or over the
+smallest threshold that leaves at most ``max_words`` of them, and no more than
+``cells`` numbers in all, however many languages there are. All other words and
+all n-grams lie in written tables with their counts in every language, and
+meet the texts by joins: the head spares work and changes no result.
+
+``predict`` adds, for each word of a text, its log frequency in each language
+(count + 0.5, over the language's words and half of one for each different word
+of all languages and for an unknown one). A word that was never counted is
+scored by the longest counted n-gram that begins at each character of the
+marked word, averaged over its characters; a character that was never counted
+adds nothing. That n-gram depends only on the ``max_order`` characters that
+begin there, so each different run of them is looked up once.
 
 A word is a run of letters, in lower case. The prediction of a text that is
 null or has no letter is ``und`` with score 0; so is any without a learned
-language. Equal sums go to the first language in order. Rows without text or
-language teach nothing. The score is the share of the predicted language in the
-sum of all languages' likelihoods.
+language. Sums that are equal to six places go to the first language in order.
+Rows without letters or language teach nothing; repeated rows count each. The
+score is the share of the predicted language in the sum of all languages'
+likelihoods.
 """
 
 from __future__ import annotations
@@ -24,21 +30,23 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.shared import drop, saved
+from tidewater.session import spread
 
 LETTERS = re.compile(r"[^\W\d_]+")
 FLUSH = 300_000  # distinct words that a counting task holds
-CACHE = 500_000  # distinct words that a predicting worker holds
+SALTS = 16  # tasks that share a frequent run of characters
+NEVER = math.log(0.5)  # of a count of 0
 _COUNTS = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("gram", pa.string()), ("times", pa.int64())])
 COUNTS = "lang string, n long, gram string, times long"
+PARTS = "gram string, key long, doc_id long, n long, gains array<struct<k:int,v:double>>"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -91,7 +99,7 @@ def count_grams(words: DataFrame, max_order: int) -> DataFrame:
                 held = {}
         yield _table(held)
 
-    return words.mapInArrow(count, COUNTS).groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
+    return spread(words).mapInArrow(count, COUNTS).groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -104,192 +112,185 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.join(least, ["lang", "n"]).filter("times >= least").select("n", "gram").distinct()
 
 
+def by_gram(counts: DataFrame, langs: DataFrame) -> DataFrame:
+    """gram and, of each language that has it, its number and what the count
+    gains over none: an array as long as the languages at most."""
+    gain = F.struct("k", (F.log(F.col("times") + 0.5) - NEVER).alias("v"))
+    return counts.join(langs, "lang").groupBy("gram").agg(F.collect_list(gain).alias("gains"))
+
+
 @dataclass
 class Model:
-    """Log frequencies: of words and of n-grams by their row in a table with a column for each language."""
+    """What is sent: the head's words by their row in a table of gains with a
+    column for each language."""
     langs: list[str]
     words: dict[str, int]
-    word_scores: np.ndarray
-    grams: dict[str, int]
-    gram_scores: np.ndarray
-    max_order: int
-    word_totals: np.ndarray
+    gains: np.ndarray
 
 
 @dataclass
 class Trained(Model):
-    """A model, and the counts of the words outside it (gram, times: an array in the order of ``langs``)."""
+    """A model, the written gains of all words outside its head and of all
+    n-grams, and by language and order (0: words) the log of what divides a count."""
+    max_order: int
+    log_totals: np.ndarray
     tail: DataFrame | None = None
+    grams: DataFrame | None = None
 
     def sent(self) -> Model:
-        return Model(*(getattr(self, f.name) for f in fields(Model)))
-
-
-def _scores(rows: list[tuple], totals: dict, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Log of (times + 0.5) over the language's total of that order."""
-    index: dict[str, int] = {}
-    for _, _, gram, _ in rows:
-        index.setdefault(gram, len(index))
-    column = {lang: k for k, lang in enumerate(langs)}
-    order = np.zeros(len(index), np.int64)
-    times = np.zeros((len(index), len(langs)))
-    for lang, n, gram, t in rows:
-        times[index[gram], column[lang]] = t
-        order[index[gram]] = n
-    total = np.array([[totals.get((lang, n), 0) + 1.0 for lang in langs] for n in range(int(order.max(initial=0)) + 1)])
-    return index, (np.log(times + 0.5) - np.log(total[order] if len(index) else 1.0)).astype(np.float32).reshape(len(index), len(langs))
-
-
-def train(labelled: DataFrame, max_words: int = 50_000, max_grams: int = 10_000, max_order: int = 4, max_langs: int = 256) -> Trained:
-    """Fit on all rows of ``labelled`` (text, lang). With more than
-    ``max_langs`` languages those with most rows are learned."""
-    rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    langs = sorted(r["lang"] for r in rows.groupBy(F.col("lang").cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_langs).collect())
-    words = saved(count_words(rows.filter(F.col("lang").isin(langs))), "lang-words")
+        return Model(self.langs, self.words, self.gains)
+
+
+def train(labelled: DataFrame, max_words: int = 50_000, max_order: int = 4, cells: int = 1 << 22) -> Trained:
+    """Fit on all rows of ``labelled`` (text, lang), all languages. A head of
+    any size gives equal predictions."""
+    words = saved(count_words(labelled), "lang-words")
     grams = saved(count_grams(words, max_order), "lang-grams")
     totals = {(r["lang"], r["n"]): r["t"] for t in (words, grams) for r in t.groupBy("lang", "n").agg(F.sum("times").alias("t")).collect()}
-    # at most max_langs * (max_words + max_order * max_grams) grams
-    listed = lambda df: list(zip(*(c.to_pylist() for c in df.select("lang", "n", "gram", "times").toArrow().columns), strict=True))
-    head = saved(most_frequent(words, max_words), "lang-head")
-    word_index, word_scores = _scores(listed(words.join(head, ["n", "gram"], "left_semi")), totals, langs)
-    gram_index, gram_scores = _scores(listed(grams.join(most_frequent(grams, max_grams), ["n", "gram"], "left_semi")), totals, langs)
-    times = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("times"))), F.lit(0)) for lang in langs]
-    tail = saved(words.join(head, ["n", "gram"], "left_anti").groupBy("gram").agg(F.array(*times).cast("array<long>").alias("times")), "lang-tail") if langs else None
+    langs = sorted({lang for lang, _ in totals})
+    if not langs:
+        drop(words, grams)
+        return Trained(langs, {}, np.zeros((0, 0)), max_order, np.zeros((0, max_order + 1)))
+    numbers = labelled.sparkSession.createDataFrame([(lang, k) for k, lang in enumerate(langs)], "lang string, k int")
+    head = saved(most_frequent(words, min(max_words, cells // len(langs) ** 2)), "lang-head")
+    # at most ``cells`` rows
+    listed = by_gram(words.join(head, ["n", "gram"], "left_semi"), numbers).toArrow()
+    index = {gram: i for i, gram in enumerate(listed.column("gram").to_pylist())}
+    gains = np.zeros((len(index), len(langs)))
+    for i, found in enumerate(listed.column("gains").to_pylist()):
+        for gain in found:
+            gains[i, gain["k"]] = gain["v"]
+    tail = saved(by_gram(words.join(head, ["n", "gram"], "left_anti"), numbers), "lang-tail")
+    wide = saved(by_gram(grams, numbers), "lang-pieces")
     drop(words, grams, head)
-    return Trained(langs, word_index, word_scores, gram_index, gram_scores, max_order, np.array([totals.get((lang, 0), 0) + 1.0 for lang in langs]), tail)
-
-
-class Scorer(dict):
-    """Word to the row of its scores; words never counted are scored once."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self._begin()
-
-    def _begin(self) -> None:
-        self.clear()
-        known = len(self.model.words)
-        self.table = np.zeros((known + (1 << 12), len(self.model.langs)), np.float32)
-        self.table[:known] = self.model.word_scores
-        self.size = known
-        self.new: list[str] = []
-
-    def back_off(self, word: str) -> list[int]:
-        """Rows of the longest known n-grams at each character."""
-        marked, grams, rows = f"^{word}$", self.model.grams, []
-        for i in range(len(marked)):
-            for n in range(min(self.model.max_order, len(marked) - i), 0, -1):
-                row = grams.get(marked[i:i + n])
-                if row is not None:
-                    rows.append(row)
-                    break
-        return rows
-
-    def __missing__(self, word: str) -> int:
-        row = self.model.words.get(word)
-        if row is None:
-            row = self.size + len(self.new)
-            self.new.append(word)
-        self[word] = row
-        return row
-
-    def learn(self) -> None:
-        """Score the words that are new since the last call."""
-        if not self.new:
-            return
-        rows = [self.back_off(w) for w in self.new]
-        counts = np.array([len(r) for r in rows], np.int64)
-        while len(self.table) < self.size + len(rows):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        flat = np.array([x for r in rows for x in r], np.int64)
-        word = np.repeat(np.arange(len(rows)), counts)
-        for k in range(len(self.model.langs)):
-            sums = np.bincount(word, self.model.gram_scores[flat, k] if len(flat) else None, minlength=len(rows))
-            self.table[self.size:self.size + len(rows), k] = sums / np.maximum(counts, 1)
-        self.size += len(rows)
-        self.new = []
-
-    def of(self, words: list[str]) -> np.ndarray:
-        """The scores of words, a column for each language."""
-        if len(self) > CACHE:
-            self._begin()
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        self.learn()
-        return self.table[rows]
-
-
-_scorers: dict[int, Scorer] = {}
+    different = {r["n"]: r["count"] for r in wide.groupBy(F.length("gram").alias("n")).count().collect()} | {0: len(index) + tail.count()}
+    log_totals = np.log([[totals.get((lang, n), 0) + 0.5 * different.get(n, 0) + 0.5 for n in range(max_order + 1)] for lang in langs])
+    return Trained(langs, index, gains, max_order, log_totals, tail, wide)
+
+
+def _one(k) -> Column:
+    """A count of one of what has an order, beside the gains: under number
+    ``k``, behind those of the languages."""
+    return F.array(F.struct(F.lit(k).cast("int").alias("k"), F.lit(1.0).alias("v")))
+
+
+def stems_of(words: DataFrame, order: int) -> DataFrame:
+    """word, size, stem and times: the runs of ``order`` characters (fewer at
+    the end) that begin at the characters of each marked word. Words go by
+    their MD5, as one may be as long as a text."""
+    def cut(batches):
+        for batch in batches:
+            names, grams = batch.column("word").to_pylist(), batch.column("gram").to_pylist()
+            for at in range(0, len(grams), 1_000):
+                ids, sizes, stems, times = [], [], [], []
+                for name, gram in zip(names[at:at + 1_000], grams[at:at + 1_000], strict=True):
+                    marked = f"^{gram}$"
+                    found = Counter(marked[i:i + order] for i in range(len(marked)))
+                    ids += [name] * len(found)
+                    sizes += [len(marked)] * len(found)
+                    stems += found.keys()
+                    times += found.values()
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(stems, pa.string()), pa.array(times, pa.int64())],
+                                                 ["word", "size", "stem", "times"])
+
+    return words.select("word", "gram").mapInArrow(cut, "word binary, size long, stem string, times long")
+
+
+def _one(k: Column) -> Column:
+    """A count of one of what has an order, beside the gains: under number
+    ``k``, behind those of the languages."""
+    return F.array(F.struct(k.cast("int").alias("k"), F.lit(1.0).alias("v")))
+
+
+def back_off(words: DataFrame, model: Trained) -> DataFrame:
+    """word, k and v of never-counted words: the mean gains of the longest
+    counted n-grams at each character, and the share of each order among them."""
+    # a run that many words share is dealt out, as are the short beginnings that many runs share
+    places = saved(stems_of(words, model.max_order), "lang-stems").withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)))
+    cut = places.select("stem").distinct().select("stem", F.explode(F.sequence(F.lit(1), F.length("stem"))).alias("n"))
+    part = F.when(F.col("n") <= 2, F.pmod(F.xxhash64("stem"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    cut = cut.select("stem", "n", F.substr("stem", F.lit(1), F.col("n")).alias("piece"), part.alias("part"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    parts = F.when(F.length("gram") <= 2, every).otherwise(F.array(F.lit(0).cast("long")))
+    known = model.grams.select(F.col("gram").alias("piece"), "gains", F.explode(parts).alias("part"))
+    longest = cut.join(known, ["piece", "part"]).groupBy("stem").agg(F.max_by(F.struct("n", "gains"), "n").alias("at"))
+    longest = longest.select("stem", F.concat("at.gains", _one(F.col("at.n") + len(model.langs))).alias("gains"), F.explode(every).alias("salt"))
+    met = places.join(longest, ["stem", "salt"]).select("word", "size", "times", F.inline("gains"))
+    return met.groupBy("word", "k").agg((F.sum(F.col("v") * F.col("times")) / F.max("size")).alias("v"))
+
+
+def outside_scores(words: DataFrame, model: Trained) -> DataFrame:
+    """word (its MD5), k and v of words outside the head, each once."""
+    met = saved(words.join(model.tail, "gram", "left").withColumn("word", _md5("gram")), "lang-met")
+    counted = met.filter("gains IS NOT NULL").select("word", F.inline(F.concat("gains", _one(F.lit(len(model.langs))))))
+    return counted.unionByName(back_off(met.filter("gains IS NULL"), model))
+
+
+def _md5(column: str) -> Column:
+    return F.unhex(F.md5(F.col(column).cast("binary")))
 
 
 def predict(docs: DataFrame, model: Trained) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of every row, from the text alone."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    langs = model.langs
+    langs, log_totals = model.langs, model.log_totals
     if not langs:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model.sent())  # bounded by the limits of train()
-    key = id(model)
-    sums = [f"s{k}" for k in range(len(langs))]
-    columns = ", ".join(f"{c} double" for c in sums)
+    gain_type = pa.struct([("k", pa.int32()), ("v", pa.float64())])
 
     def begin(batches):
-        """Of each text a row with its words in the head, under a name of its
-        own, and a row for each other word."""
+        """Of each text a row without a gram, with its number of words and the
+        gains of those in the head, and a row for each other word."""
         model = shared.value
-        row_of, scores = model.words.get, model.word_scores
+        row_of, gains = model.words.get, model.gains
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                keys, ids = part.column("key").to_pylist(), part.column("doc_id").to_pylist()
-                names, owners, docs_, words_, times_ = [], [], [], [], []
-                totals = np.zeros((part.num_rows, len(langs)))
-                for k, text in enumerate(part.column("text").to_pylist()):
+                keys = part.column("key").to_pylist()
+                counts, grams, owners, times, offsets, ks, vs = [], [], [], [], [0], [], []
+                for key, text in zip(keys, part.column("text").to_pylist(), strict=True):
                     words = words_of(text)
                     known = np.array([row_of(w, -1) for w in words], np.int64)
                     inside = known >= 0
-                    totals[k] = scores[known[inside]].sum(0, dtype=np.float64)
-                    names.append(f"#{keys[k]}")
-                    owners.append(keys[k])
-                    docs_.append(ids[k])
-                    times_.append(int(inside.sum()))
+                    total = gains[known[inside]].sum(0)
+                    held = np.flatnonzero(total)
+                    ks += [*held.tolist(), len(langs)]
+                    vs += [*total[held].tolist(), float(inside.sum())]
+                    offsets.append(len(ks))
+                    counts.append(len(words))
                     outside = Counter(words[i] for i in np.flatnonzero(~inside).tolist())
-                    words_ += [(w, keys[k], n) for w, n in outside.items()]
-                more = len(words_)
+                    grams += outside.keys()
+                    times += outside.values()
+                    owners += [key] * len(outside)
+                more = len(grams)
+                offsets = pa.array(offsets + [offsets[-1]] * more, pa.int32())
+                pairs = pa.StructArray.from_arrays([pa.array(ks, pa.int32()), pa.array(vs, pa.float64())], fields=list(gain_type))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names + [w for w, _, _ in words_], pa.string()), pa.array(owners + [o for _, o, _ in words_], pa.int64()),
-                     pa.array(docs_ + [None] * more, pa.int64()), pa.array(times_ + [n for _, _, n in words_], pa.int64()),
-                     *[pa.array(np.concatenate([totals[:, k], np.zeros(more)])) for k in range(len(langs))]],
-                    ["gram", "key", "doc_id", "n", *sums])
-
-    def meet(batches):
-        """The scores of words outside the head: from their counts, or from
-        n-grams if they have none."""
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
-        scorer, log_totals = _scorers[key], np.log(shared.value.word_totals)
-        for batch in batches:
-            found = np.stack([batch.column(c).to_numpy() for c in sums], 1)
-            grams, n = batch.column("gram"), batch.column("n").to_numpy()
-            tail, own = batch.column("times").is_valid().to_numpy(zero_copy_only=False), pc.starts_with(grams, "#").to_numpy(zero_copy_only=False)
-            counted, never = np.flatnonzero(tail), np.flatnonzero(~tail & ~own)
-            if len(counted):
-                times = batch.column("times").take(pa.array(counted)).flatten().to_numpy().reshape(-1, len(langs))
-                found[counted] = (np.log(times + 0.5) - log_totals).astype(np.float32) * n[counted, None].astype(np.float64)
-            if len(never):
-                found[never] = scorer.of(grams.take(pa.array(never)).to_pylist()) * n[never, None].astype(np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("n"), *[pa.array(found[:, k]) for k in range(len(langs))]],
-                                             ["key", "doc_id", "n", *sums])
+                    [pa.array([None] * len(keys) + grams, pa.string()), pa.array(keys + owners, pa.int64()),
+                     pa.array(part.column("doc_id").to_pylist() + [None] * more, pa.int64()), pa.array(counts + times, pa.int64()),
+                     pa.ListArray.from_arrays(offsets, pairs)], ["gram", "key", "doc_id", "n", "gains"])
 
     def label(batches):
+        width = len(langs) + log_totals.shape[1]
         for batch in batches:
-            total, words = np.stack([batch.column(c).to_numpy() for c in sums], 1), batch.column("n").to_pylist()
-            best = total.argmax(1)
-            preds = [langs[k] if n else "und" for k, n in zip(best.tolist(), words, strict=True)]
-            scores = [1.0 / math.fsum(np.exp(t - t[k]).tolist()) if n else 0.0 for t, k, n in zip(total, best.tolist(), words, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
-
-    parts = rows.withColumn("key", F.monotonically_increasing_id()).mapInArrow(begin, f"gram string, key long, doc_id long, n long, {columns}")
-    met = parts.join(model.tail, "gram", "left").mapInArrow(meet, f"key long, doc_id long, n long, {columns}")
-    whole = met.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in sums])
-    return whole.mapInArrow(label, "doc_id long, lang_pred string, score double")
+            for at in range(0, batch.num_rows, max(1, (1 << 20) // width)):
+                part = batch.slice(at, max(1, (1 << 20) // width))
+                found, sizes = part.column("gains").flatten(), part.column("gains").value_lengths().to_numpy()
+                sums = np.zeros((part.num_rows, width))
+                sums[np.repeat(np.arange(len(sizes)), sizes), found.field(0).to_numpy()] = found.field(1).to_numpy()
+                total = np.round(sums[:, :len(langs)] + sums[:, len(langs):] @ (NEVER - log_totals).T, 6)
+                best = total.argmax(1)
+                some = part.column("n").to_numpy() > 0
+                shares = np.where(some, 1.0 / np.exp(total - total[np.arange(len(best)), best][:, None]).sum(1), 0.0)
+                preds = [langs[k] if has else "und" for k, has in zip(best.tolist(), some.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(preds, pa.string()), pa.array(shares)], ["doc_id", "lang_pred", "score"])
+
+    parts = saved(rows.withColumn("key", F.monotonically_increasing_id()).mapInArrow(begin, PARTS), "lang-parts")
+    own = parts.filter("gram IS NULL").select("key", "doc_id", "n", F.inline("gains"))
+    outside = parts.filter("gram IS NOT NULL").select("gram", "key", "n")
+    scores = saved(outside_scores(outside.select("gram").distinct(), model), "lang-outside")
+    met = outside.join(scores, _md5("gram") == scores["word"]).select("key", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n"), "k", (F.col("v") * F.col("n")).alias("v"))
+    sums = own.unionByName(met).groupBy("key", "k").agg(F.sum("v").alias("v"), F.max("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    whole = sums.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.collect_list(F.struct("k", "v")).alias("gains"))
+    return whole.select("doc_id", "n", "gains").mapInArrow(label, "doc_id long, lang_pred string, score double")
