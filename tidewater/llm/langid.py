@@ -115,7 +115,7 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 def by_gram(counts: DataFrame, langs: DataFrame) -> DataFrame:
     """gram and, of each language that has it, its number and what the count
     gains over none: an array as long as the languages at most."""
-    gain = F.struct("k", (F.log(F.col("times") + 0.5) - NEVER).alias("v"))
+    gain = F.struct("k", (F.log(F.col("times") + 0.5) - NEVER).cast("float").alias("v"))
     return counts.join(langs, "lang").groupBy("gram").agg(F.collect_list(gain).alias("gains"))
 
 
@@ -168,16 +168,9 @@ def train(labelled: DataFrame, max_words: int = 50_000, max_order: int = 4, cell
     return Trained(langs, index, gains, max_order, log_totals, tail, wide)
 
 
-def _one(k) -> Column:
-    """A count of one of what has an order, beside the gains: under number
-    ``k``, behind those of the languages."""
-    return F.array(F.struct(F.lit(k).cast("int").alias("k"), F.lit(1.0).alias("v")))
-
-
 def stems_of(words: DataFrame, order: int) -> DataFrame:
     """word, size, stem and times: the runs of ``order`` characters (fewer at
-    the end) that begin at the characters of each marked word. Words go by
-    their MD5, as one may be as long as a text."""
+    the end) that begin at the characters of each marked word."""
     def cut(batches):
         for batch in batches:
             names, grams = batch.column("word").to_pylist(), batch.column("gram").to_pylist()
@@ -190,23 +183,17 @@ def stems_of(words: DataFrame, order: int) -> DataFrame:
                     sizes += [len(marked)] * len(found)
                     stems += found.keys()
                     times += found.values()
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(stems, pa.string()), pa.array(times, pa.int64())],
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(sizes, pa.int64()), pa.array(stems, pa.string()), pa.array(times, pa.int64())],
                                                  ["word", "size", "stem", "times"])
 
-    return words.select("word", "gram").mapInArrow(cut, "word binary, size long, stem string, times long")
-
-
-def _one(k: Column) -> Column:
-    """A count of one of what has an order, beside the gains: under number
-    ``k``, behind those of the languages."""
-    return F.array(F.struct(k.cast("int").alias("k"), F.lit(1.0).alias("v")))
+    return words.select("word", "gram").mapInArrow(cut, "word string, size long, stem string, times long")
 
 
 def back_off(words: DataFrame, model: Trained) -> DataFrame:
-    """word, k and v of never-counted words: the mean gains of the longest
-    counted n-grams at each character, and the share of each order among them."""
+    """word, k and v of never-counted words: the mean over its characters of
+    the longest counted n-grams' logs, less what a word has whose count is 0."""
     # a run that many words share is dealt out, as are the short beginnings that many runs share
-    places = saved(stems_of(words, model.max_order), "lang-stems").withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)))
+    places = saved(stems_of(words, model.max_order), "lang-stems")
     cut = places.select("stem").distinct().select("stem", F.explode(F.sequence(F.lit(1), F.length("stem"))).alias("n"))
     part = F.when(F.col("n") <= 2, F.pmod(F.xxhash64("stem"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
     cut = cut.select("stem", "n", F.substr("stem", F.lit(1), F.col("n")).alias("piece"), part.alias("part"))
@@ -214,20 +201,28 @@ def back_off(words: DataFrame, model: Trained) -> DataFrame:
     parts = F.when(F.length("gram") <= 2, every).otherwise(F.array(F.lit(0).cast("long")))
     known = model.grams.select(F.col("gram").alias("piece"), "gains", F.explode(parts).alias("part"))
     longest = cut.join(known, ["piece", "part"]).groupBy("stem").agg(F.max_by(F.struct("n", "gains"), "n").alias("at"))
-    longest = longest.select("stem", F.concat("at.gains", _one(F.col("at.n") + len(model.langs))).alias("gains"), F.explode(every).alias("salt"))
-    met = places.join(longest, ["stem", "salt"]).select("word", "size", "times", F.inline("gains"))
-    return met.groupBy("word", "k").agg((F.sum(F.col("v") * F.col("times")) / F.max("size")).alias("v"))
+    none = [F.array(*map(F.lit, logs)) for logs in (NEVER - model.log_totals).T.tolist()]  # of a count of 0, by order
+    gain = F.map_from_entries("at.gains")
+    logs = F.transform(F.get(F.array(*none), F.col("at.n")), lambda log, k: log + F.coalesce(F.try_element_at(gain, k), F.lit(0.0)))
+    longest = longest.select("stem", logs.alias("logs"), F.explode(every).alias("salt"))
+    met = places.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS))).join(longest, ["stem", "salt"])
+    met = met.select("word", F.posexplode("logs").alias("k", "v"), (F.col("times") / F.col("size")).alias("share"))
+    own = words.select("word", F.posexplode(none[0]).alias("k", "v"), F.lit(-1.0).alias("share"))
+    return met.unionByName(own).groupBy("word", "k").agg(F.sum(F.col("v") * F.col("share")).cast("float").alias("v"))
 
 
 def outside_scores(words: DataFrame, model: Trained) -> DataFrame:
-    """word (its MD5), k and v of words outside the head, each once."""
-    met = saved(words.join(model.tail, "gram", "left").withColumn("word", _md5("gram")), "lang-met")
-    counted = met.filter("gains IS NOT NULL").select("word", F.inline(F.concat("gains", _one(F.lit(len(model.langs))))))
-    return counted.unionByName(back_off(met.filter("gains IS NULL"), model))
+    """word, k and v of words outside the head, each once."""
+    met = saved(words.join(model.tail, "gram", "left").withColumn("word", _short("gram")), "lang-met")
+    counted = met.filter("gains IS NOT NULL").select("word", F.inline("gains"))
+    scores = saved(counted.unionByName(back_off(met.filter("gains IS NULL"), model)), "lang-outside")
+    drop(met)
+    return scores
 
 
-def _md5(column: str) -> Column:
-    return F.unhex(F.md5(F.col(column).cast("binary")))
+def _short(column: str) -> Column:
+    """A word, or a mark and the MD5 of one that is long."""
+    return F.when(F.length(column) <= 32, F.col(column)).otherwise(F.concat(F.lit("#"), F.md5(F.col(column).cast("binary"))))
 
 
 def predict(docs: DataFrame, model: Trained) -> DataFrame:
@@ -255,8 +250,8 @@ def predict(docs: DataFrame, model: Trained) -> DataFrame:
                     inside = known >= 0
                     total = gains[known[inside]].sum(0)
                     held = np.flatnonzero(total)
-                    ks += [*held.tolist(), len(langs)]
-                    vs += [*total[held].tolist(), float(inside.sum())]
+                    ks += held.tolist()
+                    vs += total[held].tolist()
                     offsets.append(len(ks))
                     counts.append(len(words))
                     outside = Counter(words[i] for i in np.flatnonzero(~inside).tolist())
@@ -272,25 +267,26 @@ def predict(docs: DataFrame, model: Trained) -> DataFrame:
                      pa.ListArray.from_arrays(offsets, pairs)], ["gram", "key", "doc_id", "n", "gains"])
 
     def label(batches):
-        width = len(langs) + log_totals.shape[1]
+        most = max(1, (1 << 20) // len(langs))
         for batch in batches:
-            for at in range(0, batch.num_rows, max(1, (1 << 20) // width)):
-                part = batch.slice(at, max(1, (1 << 20) // width))
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
                 found, sizes = part.column("gains").flatten(), part.column("gains").value_lengths().to_numpy()
-                sums = np.zeros((part.num_rows, width))
-                sums[np.repeat(np.arange(len(sizes)), sizes), found.field(0).to_numpy()] = found.field(1).to_numpy()
-                total = np.round(sums[:, :len(langs)] + sums[:, len(langs):] @ (NEVER - log_totals).T, 6)
-                best = total.argmax(1)
-                some = part.column("n").to_numpy() > 0
+                n = part.column("n").to_numpy()
+                total = n[:, None] * (NEVER - log_totals[:, 0])
+                total[np.repeat(np.arange(len(sizes)), sizes), found.field(0).to_numpy()] += found.field(1).to_numpy()
+                total = np.round(total, 6)
+                best, some = total.argmax(1), n > 0
                 shares = np.where(some, 1.0 / np.exp(total - total[np.arange(len(best)), best][:, None]).sum(1), 0.0)
                 preds = [langs[k] if has else "und" for k, has in zip(best.tolist(), some.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(preds, pa.string()), pa.array(shares)], ["doc_id", "lang_pred", "score"])
 
     parts = saved(rows.withColumn("key", F.monotonically_increasing_id()).mapInArrow(begin, PARTS), "lang-parts")
-    own = parts.filter("gram IS NULL").select("key", "doc_id", "n", F.inline("gains"))
+    nothing = F.array(F.struct(F.lit(0).alias("k"), F.lit(0.0).alias("v")))
+    own = parts.filter("gram IS NULL").select("key", "doc_id", "n", F.inline(F.when(F.size("gains") > 0, F.col("gains")).otherwise(nothing)))
     outside = parts.filter("gram IS NOT NULL").select("gram", "key", "n")
-    scores = saved(outside_scores(outside.select("gram").distinct(), model), "lang-outside")
-    met = outside.join(scores, _md5("gram") == scores["word"]).select("key", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n"), "k", (F.col("v") * F.col("n")).alias("v"))
+    scores = outside_scores(outside.select("gram").distinct(), model)
+    met = outside.join(scores, _short("gram") == scores["word"]).select("key", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n"), "k", (F.col("v").cast("double") * F.col("n")).alias("v"))
     sums = own.unionByName(met).groupBy("key", "k").agg(F.sum("v").alias("v"), F.max("doc_id").alias("doc_id"), F.max("n").alias("n"))
     whole = sums.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.collect_list(F.struct("k", "v")).alias("gains"))
     return whole.select("doc_id", "n", "gains").mapInArrow(label, "doc_id long, lang_pred string, score double")
