@@ -49,7 +49,52 @@ def test_learns_more_than_counts(docs):
     found = grulm.train_and_score(docs, HELD()).collect()
     assert counted(found) == expected(pairs(docs))
     own = [r for r in found if r["held_out"]]
-    assert len(own) > 20 and sum(r["score"] for r in own) > sum(r["base_score"] for r in own)
+    gain = sum(r["score"] - r["base_score"] for r in own) * math.log2(10) / sum(r["n_tokens"] for r in own)
+    assert len(own) > 20 and gain > 0.3  # bits a token
+
+
+def plain_score(text, params, hidden, counts, n_words, class_from):
+    """log10 probability of a text, word after word in plain steps."""
+    common = sorted(counts, key=lambda w: (-counts[w], w))[:n_words - 1]
+    place, n_own = {w: k + 1 for k, w in enumerate(common)}, len(common) + 1  # 0: the end
+    other = sum(c + 1 for w, c in counts.items() if w not in place) + 1
+    state, before, total = np.zeros(hidden), 0, 0.0
+
+    def log_softmax(logits, k):
+        return logits[k] - logits.max() - math.log(np.exp(logits - logits.max()).sum())
+
+    for word in [*(w.lower() for w in words(text)), None]:
+        x = (params["x"][before] + params["b"]).astype(float)
+        keep, see = np.split(1 / (1 + np.exp(-(x[:2 * hidden] + state @ params["u"]))), 2)
+        state = keep * state + (1 - keep) * np.tanh(x[2 * hidden:] + (see * state) @ params["v"])
+        before = 0 if word is None else place.get(word, n_own)
+        logits = params["c"] @ state + params["cb"]
+        if before == n_own:
+            total += log_softmax(logits, len(class_from) - 1) / math.log(10) + math.log10((counts[word] + 1) / other)
+            continue
+        k = int(np.searchsorted(class_from, before, "right")) - 1
+        a, b = class_from[k], class_from[k + 1]
+        total += (log_softmax(logits, k) + log_softmax(params["w"][a:b] @ state + params["wb"][a:b], before - a)) / math.log(10)
+    return total
+
+
+def test_score_by_plain_steps(edge, docs):
+    """Scores of whole texts, over many windows, unseen and rare words, from the same parameters."""
+    both = docs.unionByName(edge.select(*docs.columns)).filter("doc_id IS NOT NULL AND doc_id NOT IN (907, 910)").withColumn("held_out", HELD())
+    learned = both.filter("NOT held_out")
+    rows = pairs(both)
+    counts = Counter(w.lower() for doc, text in rows if not held(doc) for w in words(text))
+    counted_words = grulm.saved(grulm.count_words(learned), "lm-test-counts")
+    vocab = grulm.vocabulary(counted_words, learned.count(), 300, 100, 8)
+    vector = grulm.train(learned, vocab, 8)
+    found = {r["doc_id"]: r["score"] for r in grulm.score(both, counted_words, vocab, vector, 8).collect()}
+    params = grulm.Network(vocab, 8, vector).p
+    assert len(found) == len(rows)
+    some = [(doc, text) for doc, text in rows if doc >= 900 and doc != 906 or doc % 40 == 0 or held(doc) and doc % 3 == 0]
+    assert any(held(doc) for doc, _ in some) and max(len(words(text)) for _, text in some) > 100
+    for doc, text in some:
+        want = plain_score(text, params, 8, counts, 100, vocab.class_from)
+        assert math.isclose(found[doc], want, rel_tol=1e-4, abs_tol=1e-3), doc
 
 
 def test_no_documents_and_nothing_to_learn(none, edge):
