@@ -61,3 +61,13 @@ def test_cleaning_and_clean_documents(spark, edge, none):
     assert quality.clean(none).count() == 0
     wide = quality.clean(edge)
     assert wide.filter("text IS NULL AND (kept OR n_words > 0)").count() == 0 and wide.count() == edge.count()
+
+
+def test_clashing_names(spark):
+    text = "This line has some more than ten words and a full stop at its end."
+    rows = spark.createDataFrame([(1, text, "a", 5, "x", "mine"), (2, None, None, None, None, "too")],
+                                 "doc_id long, text string, _w string, n_words int, cleaned_text string, source string")
+    plain = quality.clean(rows.select("doc_id", "text", "source")).collect()
+    found = quality.clean(rows)
+    assert "_w" not in found.columns and found.columns.count("n_words") == 1
+    assert sorted(sorted(r.asDict().items(), key=lambda x: x[0]) for r in found.collect()) == sorted(sorted(r.asDict().items(), key=lambda x: x[0]) for r in plain)

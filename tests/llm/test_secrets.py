@@ -95,3 +95,13 @@ def test_whole_private_keys_are_redacted(spark):
     ledger = secrets.scan(rows, new_folder(spark, "ledger"))
     got = {r["doc_id"]: r["text"] for r in secrets.redact(secrets.findings(rows, ledger, text=True)).collect()}
     assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_clashing_names(spark):
+    rows = spark.createDataFrame([(1, "token=abcdefgh1", "mine", "b", "s", "c", "u"), (2, None, "too", None, None, None, None)],
+                                 "doc_id long, text string, source string, blob string, spans string, _cut string, _spans string")
+    found = secrets.findings(rows, secrets.scan(rows, new_folder(spark, "ledger")), text=True)
+    assert sorted(found.columns) == ["_cut", "blob", "doc_id", "source", "spans", "text"]
+    done = {r["doc_id"]: r for r in secrets.redact(found).collect()}
+    assert done[1]["text"] == "[SECRET]" and done[2]["text"] is None and [done[k]["source"] for k in (1, 2)] == ["mine", "too"]
+    assert "_cut" not in done[1].asDict() and [s["kind"] for s in done[1]["spans"]] == ["assign"]

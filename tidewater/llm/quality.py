@@ -91,7 +91,8 @@ def repeated_words(words: Column, width: int = 5) -> Column:
 def clean(docs: DataFrame, max_lost: float = 0.5) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, n_lines, n_lines_removed, n_words_removed,
-    kept and cleaned_text. Input columns with these names are replaced."""
+    kept and cleaned_text. Input columns with these names are replaced, and
+    ones named _w or _l are left out."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     of_words = let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),

@@ -134,7 +134,8 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = R
     """``versions`` with ``blob`` and ``spans``: an array of (start, rank of
     the rule, end, kind) in this order, of the given rule versions. ``text``
     keeps the text column; as few blobs have findings, these are then counted
-    and, if at most ``SENT``, broadcast, so that the texts stay in place."""
+    and, if at most ``SENT``, broadcast, so that the texts stay in place. Input
+    columns named blob or spans are replaced, and one named _spans is left out."""
     rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(f"{r.name}@{r.version}"), F.lit(i))])
     hits = ledger.withColumn("rank", F.try_element_at(rank, F.concat_ws("@", "rule", "rule_version"))).filter("rank IS NOT NULL AND size(spans) > 0")
     hits = hits.select("blob", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("rank").alias("rank"),
@@ -162,7 +163,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redact(found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``text`` with every span replaced by ``mark``; spans that overlap are
-    one. The parts between the spans are cut out and joined."""
+    one. The parts between the spans are cut out and joined. An input column
+    named _cut is left out."""
     last = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts")),
                        lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
                                                F.when(s["start"] < acc["at"], acc["parts"]).otherwise(
