@@ -115,6 +115,21 @@ def test_stars_equal_pattern_joins(spark, monkeypatch):
     assert empty.columns == {} and TR.match_stars(empty, [("?x", "p0", "?a"), ("?x", "p1", "?b")]).count() == 0
 
 
+def test_store_follows_its_patterns(spark, tmp_path):
+    """Only the patterns' predicates are counted and get a column, the triples
+    are written without an exchange, and constants are asked for before it."""
+    data = [("a", "x", "1", "iri"), ("a", "x", "1", "iri"), ("a", "x", "2", "iri"), ("b", "x", "1", "iri"), ("a", "y", "5", "iri"), ("b", "y", "6", "iri"), (None, "x", "1", "iri"), ("c", "z", "9", "iri")]
+    triples = spark.createDataFrame(data, "s string, p string, o string, dtype string")
+    written = {}
+    store = TR.build_store(triples, lambda df, name: written.setdefault(name, df), ["x", "y", "none"])
+    assert [*written] == ["counts"] and rows(written["counts"], "p", "n", "most") == [("x", 5, 3), ("y", 2, 1)]
+    assert sorted(store.columns) == ["x", "y"] and store.counts == {"x": 5, "y": 2}
+    assert rows(TR.match_stars(store, [("?s", "x", "1"), ("?s", "y", "?v")]).select("s", "v")) == [("a", "5"), ("b", "6")]
+    assert rows(TR.match_stars(store, [("?s", "x", "1"), ("?s", "x", "?v"), ("?s", "y", "5")]).select("s", "v")) == [("a", "1"), ("a", "2")]
+    assert TR.match_stars(store, [("?s", "x", "1"), ("?s", "y", "5"), ("?s", "y", "6")]).count() == 0
+    assert sorted((r["s"] or "", sorted(r["v"])) for r in TR.property_table(triples, {"x": "v"}).collect()) == [("", ["1"]), ("a", ["1", "2"]), ("b", ["1"])]
+
+
 def test_stars_need_few_joins(spark):
     """Four subjects, three joins, instead of one for each further pattern."""
     from tests.conftest import SF001

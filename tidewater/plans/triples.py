@@ -24,21 +24,24 @@ INST_A, INST_B = "CI-1", "CI-2"
 
 
 def _triples(spark, d):
-    # written once per session, partitioned by predicate: every pattern scan
-    # is then a pruned read of one predicate's files
-    return materialize(university_triples(Tables(spark, d)), f"triples-{_tag(d)}", ["p"], "s")
+    # written once per session, in the order of the sheets: no shuffle and no sort
+    return materialize(university_triples(Tables(spark, d)), f"triples-{_tag(d)}")
 
 
 def _tag(d):
     return hashlib.md5(d.encode()).hexdigest()[:10]
 
 
-def _store(spark, d):
-    """The triples with their property table and counts, each written once."""
-    source = university_triples(Tables(spark, d))
+def _store(spark, d, *patterns):
+    """The triples and the counts of the patterns' predicates, each written once."""
+    source, predicates = university_triples(Tables(spark, d)), sorted({p for _, p, _ in patterns})
     now = input_signature(source)
-    triples = materialize(source, f"triples-{_tag(d)}", ["p"], "s", signature=now)
-    return TR.build_store(triples, lambda df, name: materialize(df, f"triples-{name}-{_tag(d)}", signature=now))
+    triples = materialize(source, f"triples-{_tag(d)}", signature=now)
+    return TR.build_store(triples, lambda df, name: materialize(df, f"triples-{name}-{_tag('|'.join(predicates))}-{_tag(d)}", signature=now), predicates)
+
+
+def _match(spark, d, patterns, **kw):
+    return TR.match_stars(_store(spark, d, *patterns), patterns, **kw)
 
 
 @query("triples_per_predicate", """
@@ -64,7 +67,7 @@ def triples_per_predicate(spark, d):
 
 @query("sparql_teachers", _W + "SELECT ind AS ta, name AS tn, n_name AS tp, r_name AS td FROM teachers")
 def sparql_teachers(spark, d):
-    return TR.match_stars(_store(spark, d), [
+    return _match(spark, d, [
         ("?ta", "teacherName", "?tn"), ("?ta", "tDepartment", "?tp"), ("?ta", "tDivision", "?td")])
 
 
@@ -73,7 +76,7 @@ SELECT 'P' || n_nationkey AS prg, n_name AS pn, 'T' || n_nationkey AS pd, r_name
 FROM nation JOIN region ON n_regionkey = r_regionkey
 """)
 def sparql_programmes(spark, d):
-    return TR.match_stars(_store(spark, d), [
+    return _match(spark, d, [
         ("?prg", "programName", "?pn"), ("?prg", "director", "?pd"), ("?prg", "pDepartment", "?ptd")])
 
 
@@ -85,7 +88,7 @@ WHERE i.ay = '{YEAR_2}' AND i.period = '{PERIOD_2}' AND p.p_brand = '{DIVISION}'
   AND regexp_matches(t.name, '(?i)TA.*')
 """)
 def sparql_ta_in_division(spark, d):
-    return TR.match_stars(_store(spark, d), [
+    return _match(spark, d, [
         ("?taURI", "teacherID", "?teacherID"), ("?taURI", "teacherName", "?teacherName"),
         ("?h", "hoursTeacher", "?teacherID"), ("?h", "hoursCourseInstance", "?ci"),
         ("?c", "instanceID", "?ci"), ("?c", "ciCourseCode", "?cc"),
@@ -101,7 +104,7 @@ FROM teachers t JOIN hours h ON h.teacher = t.tid JOIN instances i ON i.ind = h.
 WHERE i.ay = '{YEAR_3}' AND i.period = '{PERIOD_3}' AND i.code = '{COURSE_3}' AND h.hrs > {MIN_HOURS}
 """)
 def sparql_hours_over(spark, d):
-    return TR.match_stars(_store(spark, d), [
+    return _match(spark, d, [
         ("?taURI", "teacherID", "?teacherID"), ("?taURI", "teacherName", "?teacherName"),
         ("?h", "hoursTeacher", "?teacherID"), ("?h", "hoursCourseInstance", "?ci"),
         ("?h", "aHours", "?aHours"),
@@ -118,14 +121,12 @@ WHERE 'CI-' || substr(o_orderpriority, 1, 1) = '{INST_A}'
   AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE 'CI-' || substr(o_orderpriority, 1, 1) = '{INST_B}')
 """)
 def sparql_registered_not_in(spark, d):
-    tr = _store(spark, d)
-    reg_a = TR.match_stars(tr, [
-        ("?studentURI", "studentID", "?studentID"),
-        ("?r", "registrationsStudents", "?studentID"), ("?r", "registrationsCourseInstance", INST_A)],
-        select=["studentID"], distinct=True)
-    reg_b = TR.match_stars(tr, [
-        ("?r", "registrationsStudents", "?studentID"), ("?r", "registrationsCourseInstance", INST_B)],
-        select=["studentID"])
+    in_a = [("?studentURI", "studentID", "?studentID"),
+            ("?r", "registrationsStudents", "?studentID"), ("?r", "registrationsCourseInstance", INST_A)]
+    in_b = [("?r", "registrationsStudents", "?studentID"), ("?r", "registrationsCourseInstance", INST_B)]
+    tr = _store(spark, d, *in_a, *in_b)
+    reg_a = TR.match_stars(tr, in_a, select=["studentID"], distinct=True)
+    reg_b = TR.match_stars(tr, in_b, select=["studentID"])
     return TR.not_exists(reg_a, reg_b, ["studentID"])
 
 
@@ -134,7 +135,7 @@ SELECT 'P' || (p_partkey % 25) AS cprog, CAST(count(*) AS BIGINT) AS owned_cours
 FROM part GROUP BY 1
 """)
 def sparql_courses_per_programme(spark, d):
-    b = TR.match_stars(_store(spark, d), [("?c", "courseCode", "?cc"), ("?c", "cProgram", "?cprog")])
+    b = _match(spark, d, [("?c", "courseCode", "?cc"), ("?c", "cProgram", "?cprog")])
     return TR.group_count(b, "cprog", "cc", "owned_courses").orderBy(F.desc("owned_courses"))
 
 
@@ -142,7 +143,7 @@ def sparql_courses_per_programme(spark, d):
 SELECT CAST(count(*) AS BIGINT) AS teacher_count FROM teachers WHERE regexp_matches(name, '(?i)Teac.*')
 """)
 def sparql_count_senior_teachers(spark, d):
-    b = TR.match_stars(_store(spark, d), [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")],
+    b = _match(spark, d, [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")],
                      filters=[TR.regex_filter("n", "Teac.*", "i")])
     return TR.count_bindings(b, "teacher_count")
 
@@ -152,10 +153,10 @@ SELECT CAST((SELECT count(*) FROM teachers WHERE regexp_matches(name, '(?i)Teac.
           + (SELECT count(*) FROM customer) AS BIGINT) AS people_count
 """)
 def sparql_count_people(spark, d):
-    tr = _store(spark, d)
-    teachers = TR.match_stars(tr, [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")],
-                            filters=[TR.regex_filter("n", "Teac.*", "i")], select=["id"])
-    students = TR.match_stars(tr, [("?s", "studentID", "?id")], select=["id"])
+    seniors, enrolled = [("?t", "teacherID", "?id"), ("?t", "teacherName", "?n")], [("?s", "studentID", "?id")]
+    tr = _store(spark, d, *seniors, *enrolled)
+    teachers = TR.match_stars(tr, seniors, filters=[TR.regex_filter("n", "Teac.*", "i")], select=["id"])
+    students = TR.match_stars(tr, enrolled, select=["id"])
     return TR.count_bindings(teachers.unionByName(students), "people_count")
 
 
@@ -170,7 +171,7 @@ FROM lineitem GROUP BY l_partkey, year(l_shipdate), quarter(l_shipdate) HAVING c
 def sparql_planned_instances(spark, d):
     """Instances whose planned student count (a fact from the second sheet,
     J14) is at least MIN_PLANNED; the typed literal is cast for the filter."""
-    return TR.match_stars(_store(spark, d), [("?c", "instanceID", "?ci"), ("?c", "planNumStudents", "?n")],
+    return _match(spark, d, [("?c", "instanceID", "?ci"), ("?c", "planNumStudents", "?n")],
                         filters=[F.col("n").cast("int") >= MIN_PLANNED], select=["ci", "n"])
 
 
