@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,17 @@ def test_superbits_are_orthogonal_in_blocks():
     planes = LSH.superbit_planes(8, 20)
     assert planes.shape == (20, 8) and np.allclose(planes[:8] @ planes[:8].T, np.eye(8), atol=1e-8) and np.allclose(planes[16:] @ planes[16:].T, np.eye(4), atol=1e-8)
     assert [LSH.probe_rows(n) for n in (0, 100, 400, 10_000, 10**12)] == [16, 16, 20, 100, 10**6]
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path):
+    """A bucket has as many bits as the logarithm of the rows, at its table's places of the signature."""
+    from tidewater.plans.vectors import ORDERS, vec_lsh_buckets
+    assert [LSH.lsh_bits(n) for n in (0, 1, 256, 257, 10**9, 10**12)] == [8, 8, 8, 9, 30, 32]
+    X = np.random.default_rng(3).normal(size=(4_100, 64)).astype(np.float32)
+    for n, bits in ((300, 9), (4_100, 13)):
+        (tmp_path / str(n)).mkdir()
+        pq.write_table(pa.table({"vec_id": pa.array(range(n), pa.int64()), "embedding": pa.array(X[:n].tolist(), pa.list_(pa.float32())), "label": pa.array([0] * n, pa.int32())}),
+                       tmp_path / str(n) / "embeddings.parquet")
+        found = vec_lsh_buckets(spark, str(tmp_path / str(n))).collect()
+        assert len(found) == n
+        assert all(r["buckets"] == ",".join("".join(r["signature"][i] for i in order[:bits]) for order in ORDERS) for r in found)
