@@ -78,6 +78,21 @@ def test_mlp_and_regressors_against_baselines(spark):
     assert curve[1].train_mse < curve[0].train_mse
 
 
+def test_regression_curve_by_one_fit(spark, monkeypatch):
+    """Each depth's errors are those of a tree fitted to that depth, also where
+    branches end early and rows lack a feature or are new; one tree is fitted."""
+    import math
+    data = [(i, float(i % 23), float(i % 7), (i % 23) ** 1.5 + (9.0 if i % 7 > 3 and i % 23 > 11 else 0.0) + math.sin(i)) for i in range(600)]
+    df = spark.createDataFrame([*data, (600, None, 1.0, 5.0)], "id int, a double, b double, y double").repartition(3)
+    train, test, depths, fits, make = df.filter("id % 5 > 0"), df.filter("id % 5 = 0"), (1, 2, 4, 7), [], ML.DecisionTreeRegressor
+    monkeypatch.setattr(ML, "DecisionTreeRegressor", lambda **kw: fits.append(kw["maxDepth"]) or make(**kw))
+    found = {r.max_depth: (r.train_mse, r.test_mse) for r in ML.regression_curve(train, test, ["a", "b"], "y", depths).collect()}
+    assert fits == [7] and sorted(found) == [*depths]
+    for d in depths:
+        m = ML.Pipeline(stages=[*ML._assembler(["a", "b"]), make(featuresCol="features", labelCol="y", maxDepth=d, seed=7)]).fit(train)
+        assert found[d] == pytest.approx([ML.regression_mse(m, x, "y").first()["mse"] for x in (train, test)], abs=2e-6)
+
+
 def test_cross_validation_of_any_estimator_and_sweeps(spark):
     df = _points(spark, 150)
     pipe = ML.Pipeline(stages=[*ML._assembler(["a", "b"]), ML.LinearRegression(featuresCol="features", labelCol="y")])
