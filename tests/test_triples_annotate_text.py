@@ -153,3 +153,13 @@ def test_attach_by_position_with_unequal_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert found == [(i, f"a{i}", f"b{i}" if i < n - 7 else None) for i in range(n)]
+
+
+def test_sheets_are_cut_by_the_partitions(spark, tmp_path, monkeypatch):
+    """No fixed number of files: what a task sorts doesn't grow with the data alone."""
+    from tests.conftest import SF001
+    from tidewater.plans import triples as plans
+    monkeypatch.setattr(plans, "shared_path", lambda spark, name: str(tmp_path / "sheets"))
+    assert plans.sheet_attach_by_position(spark, SF001).count() > 100
+    files = [len([*(tmp_path / "sheets" / name).glob("part-*")]) for name in ("instances", "plannings")]
+    assert files[0] > files[1] > int(spark.conf.get("spark.sql.shuffle.partitions"))

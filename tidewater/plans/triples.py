@@ -187,7 +187,9 @@ def sheet_attach_by_position(spark, d):
     folder = shared_path(spark, f"sheets/{uuid.uuid4().hex}")
     first = plan.select("ind", F.concat_ws("\t", "ind", F.split("ind", "-")[1]).alias("value"))
     second = plan.select("ind", F.concat_ws("\t", *[F.col(c).cast("string") for c in ("plan_students", "senior_hours", "assist_hours")]).alias("value"))
-    for df, name, files in ((first, "instances", 5), (second, "plannings", 3)):
+    # a file is what one task sorts: their number follows the session's partitions
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for df, name, files in ((first, "instances", 5 + files), (second, "plannings", 3 + files)):
         df.repartitionByRange(files, "ind").sortWithinPartitions("ind").select("value").write.text(f"{folder}/{name}")
     sheets = [number_lines(spark, f"{folder}/{name}").select("line_no", F.split("value", "\t").alias("f")) for name in ("instances", "plannings")]
     a = sheets[0].select("line_no", F.col("f")[0].alias("ind"), F.col("f")[1].alias("code"))
