@@ -104,3 +104,31 @@ def test_cross_validation_of_any_estimator_and_sweeps(spark):
     texts = spark.createDataFrame([(i, ("good fine" if i % 2 else "bad poor") + f" w{i % 5}", str(i % 2)) for i in range(40)], "doc_id int, text string, label string")
     grid = ML.text_grid(texts, vocabularies=(20,), ngrams=(1,), cs=(1.0,), folds=2).collect()
     assert [(r.vocab, r.ngram, r.c, r.l1) for r in grid] == [(20, 1, 1.0, 1.0), (20, 1, 1.0, 0.0)] and grid[1].avg_accuracy > 0.9
+
+
+def test_forests_and_boosting_fit_weighted_cells(spark, monkeypatch):
+    """However often rows come, a fit sees each cell of the bins once, with its rows as weight."""
+    df = spark.range(3000).select((F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"),
+                                  F.when(F.col("id") % 5 > 2, "x").otherwise("y").alias("label"), (F.col("id") % 5).cast("double").alias("y"))
+    df = df.unionByName(df.limit(1).withColumn("a", F.lit(None).cast("double")))  # left out
+    seen = []
+
+    def watch(cls):
+        fit = cls._fit
+
+        def spy(self, data):
+            seen.append(data.agg(F.count(F.lit(1)), F.sum("weight")).first())
+            return fit(self, data)
+        monkeypatch.setattr(cls, "_fit", spy)
+
+    watch(ML.RandomForestClassifier), watch(ML.OneVsRest), watch(ML.RandomForestRegressor)
+    models = [ML.fit_classifier(df, ["a", "b"], "label", "forest", num_trees=3), ML.fit_classifier(df, ["a", "b"], "label", "gbt", iters=3)]
+    curve = ML.fit_forest_regressor(df, ["a", "b"], "y", num_trees=5, max_depth=4)
+    assert [tuple(r) for r in seen] == [(15, 3000.0)] * 3
+    for m in models:
+        assert tuple(ML.evaluate_classifier(m, df).first()) == (1.0, 3000)
+    assert ML.regression_mse(curve, df, "y").first().n == 3000
+    monkeypatch.undo()  # ML's own fit on the rows boosts the same stumps
+    rows = ML.Pipeline(stages=[ML._label_indexer("label"), *ML._assembler(["a", "b"]), ML.classifier("gbt", iters=3)]).fit(df)
+    plain = {(r.a, r.b): r.prediction for r in rows.transform(df).select("a", "b", "prediction").distinct().collect()}
+    assert plain == {(r.a, r.b): r.prediction for r in models[1].transform(df).select("a", "b", "prediction").distinct().collect()}

@@ -5,15 +5,21 @@ Everything is an Estimator/Transformer pipeline so fitting is distributed
 treeAggregate). The regression fit by normal equations (M10) is one
 aggregate of sums of products and a closed-form 3×3 solve written as column
 expressions — no driver round trip.
+
+Forests and boosted stumps see a feature by its bins only (``maxBins``, 32), so
+they are fitted on the distinct rows of bins, each with its number of rows as
+weight: the passes of a fit follow the cells of the bins and not the rows.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+import math
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import (IDF, CountVectorizer, NGram, OneHotEncoder, RegexTokenizer, SQLTransformer,
+from pyspark.ml.feature import (IDF, Bucketizer, CountVectorizer, NGram, OneHotEncoder, RegexTokenizer, SQLTransformer,
                                 StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -23,6 +29,8 @@ from pyspark.sql import functions as F
 from tidewater.functions.text import TOKEN_RX
 from tidewater.operators import evaluate as EV
 from tidewater.operators.common import attach_scalars
+from tidewater.operators.forest import bin_edges
+from tidewater.session import cut_lineage, spread
 
 
 def _label_indexer(label: str) -> StringIndexer:
@@ -48,7 +56,7 @@ def classifier(kind: str, seed: int = 7, **kw):
                                       maxDepth=kw.get("max_depth", 5), **common)
     if kind == "gbt":  # binary learner → one-vs-rest for several classes (M5)
         return OneVsRest(classifier=GBTClassifier(maxIter=kw.get("iters", 100), stepSize=1.0, maxDepth=1,
-                                                  seed=seed), **common)
+                                                  seed=seed), parallelism=4, **common)
     if kind == "svc":  # perceptron / linear SVC re-aimed as a linear SVC, scaled inputs
         return OneVsRest(classifier=LinearSVC(maxIter=kw.get("iters", 50)), **common)
     if kind == "logistic":
@@ -59,7 +67,36 @@ def classifier(kind: str, seed: int = 7, **kw):
     raise ValueError(kind)
 
 
+MAX_BINS = 32  # of a feature, as the tree learners' own default
+
+
+def _binner(train: DataFrame, features: list[str]) -> Bucketizer:
+    """Bins of the features' values (all of few ones, else quantiles), up to the
+    edge as in ``bin_edges``; rows with a null or NaN feature are skipped."""
+    edges = bin_edges(train.dropna(subset=features), features, MAX_BINS)
+    splits = [[-math.inf, *[math.nextafter(e, math.inf) for e in found or [0.0]], math.inf] for found in edges]
+    return Bucketizer(splitsArray=splits, inputCols=features, outputCols=_bins(features), handleInvalid="skip")
+
+
+def _bins(features: list[str]) -> list[str]:
+    return [f"_bin{i}" for i in range(len(features))]
+
+
+def _fit_cells(train: DataFrame, features: list[str], stages: list, learner, others: list[str], aggs: list) -> PipelineModel:
+    """The fitted ``stages`` (of the rows), the bins and ``learner``, fitted on
+    the cells: distinct bins and ``others`` with their rows as ``weight``. A
+    forest draws its bootstrap weights by cells."""
+    first = [stage.fit(train) for stage in stages]
+    binner = _binner(train, features)
+    rows = PipelineModel(stages=[*first, binner]).transform(train)
+    cells = rows.groupBy(*_bins(features), *others).agg(F.count(F.lit(1)).cast("double").alias("weight"), *aggs)
+    rest = Pipeline(stages=[*_assembler(_bins(features)), learner]).fit(spread(cut_lineage(cells)))
+    return PipelineModel(stages=[*first, binner, *rest.stages])
+
+
 def fit_classifier(train: DataFrame, features: list[str], label: str, kind: str, **kw):
+    if kind in ("forest", "gbt"):
+        return _fit_cells(train, features, [_label_indexer(label)], classifier(kind, **kw).setWeightCol("weight"), ["label_idx"], [])
     scaled = kind in ("svc", "mlp", "logistic")
     if kind == "mlp":
         kw.setdefault("n_features", len(features))
@@ -76,10 +113,13 @@ def evaluate_classifier(model, test: DataFrame) -> DataFrame:
 
 def fit_forest_regressor(train: DataFrame, features: list[str], label: str, num_trees: int = 20,
                          max_depth: int = 10, seed: int = 7):
-    """M9."""
+    """M9. A cell's label is the mean of its rows', which leaves the gain of
+    every split as it is."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                               maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=[*_assembler(features), rf]).fit(train)
+                               maxDepth=max_depth, seed=seed, weightCol="weight")
+    # a null label stays one, which the learner refuses
+    mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(F.col(label).cast("double"))).alias(label)
+    return _fit_cells(train, features, [], rf, [], [mean])
 
 
 def fit_lasso(train: DataFrame, features: list[str], label: str, reg: float = 0.01):
