@@ -169,3 +169,17 @@ def test_buckets_grow_with_the_table(spark, tmp_path):
         found = vec_lsh_buckets(spark, str(tmp_path / str(n))).collect()
         assert len(found) == n
         assert all(r["buckets"] == ",".join("".join(r["signature"][i] for i in order[:bits]) for order in ORDERS) for r in found)
+
+
+def test_nearest_points_compare_neighbouring_cells_only(spark, monkeypatch):
+    """The default needs no scan of all pairs, and finds what the scan finds."""
+    from tidewater.operators import knn as K
+    from tidewater.plans.geo import nn_haversine
+    points = spark.range(2000).selectExpr("id", "concat('p', id) AS name", "(id * 37 % 1701) / 10.0D - 85 AS lat", "(id * 991 % 3601) / 10.0D - 180 AS lon")
+    queries = spark.range(60).selectExpr("id AS q_id", "(id * 53 % 1601) / 10.0D - 80 AS lat", "(id * 577 % 3601) / 10.0D - 180 AS lon")
+    wanted = sorted((r.q_id, r.id, r.name, round(r.d, 9)) for r in nn_haversine(points, queries, method="scan").collect())
+
+    def scan(data, queries, *rest, **more):
+        raise AssertionError("all pairs were compared")
+    monkeypatch.setattr(K, "knn", scan)
+    assert sorted((r.q_id, r.id, r.name, round(r.d, 9)) for r in nn_haversine(points, queries).collect()) == wanted

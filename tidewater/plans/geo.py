@@ -12,12 +12,12 @@ from tidewater.plans.registry import query
 from tidewater.sources.tables import Tables
 
 
-def nn_haversine(points, queries, k: int = 1, method: str = "scan"):
+def nn_haversine(points, queries, k: int = 1, method: str = "grid"):
     """J8 + P11 + J6: nearest point(s) of every query, names attached.
 
+    ``grid`` compares only neighbouring cells, for large sets on both sides;
     ``scan`` reads the points once and the queries block by block (|Q|·|X|
-    distances); ``grid`` compares only neighbouring cells, for large sets on
-    both sides. Both are exact for any number of queries."""
+    distances). Both are exact for any number of queries."""
     if method == "grid":
         nn = nn_grid(points, queries, k)
     else:
