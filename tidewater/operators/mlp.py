@@ -28,15 +28,17 @@ def shapes(n_features: int, hidden: int) -> int:
 
 
 def loss_and_gradient(w: np.ndarray, X: np.ndarray, y: np.ndarray, hidden: int) -> tuple[float, np.ndarray]:
-    """Sum over rows of the cross entropy on the logits, and its gradient."""
-    d = X.shape[1]
+    """Sum over rows of the cross entropy on the logits, and its gradient; a
+    row's terms in the precision of ``X``, the loss summed in doubles."""
+    d, w = X.shape[1], w.astype(X.dtype)
     a, out = w[:hidden * (d + 1)].reshape(hidden, d + 1), w[hidden * (d + 1):]
     z = np.tanh(X @ a[:, :d].T + a[:, d])
     logit = z @ out[:hidden] + out[hidden]
-    loss = np.logaddexp(0, logit) - y * logit
-    error = 1 / (1 + np.exp(-np.clip(logit, -500, 500))) - y
+    small = np.exp(-np.abs(logit))  # one exponential for the loss and the probability
+    loss = np.maximum(logit, 0) + np.log(1 + small) - y * logit
+    error = np.where(logit >= 0, 1, small) / (1 + small) - y
     back = (error[:, None] * out[:hidden]) * (1 - z * z)
-    return float(loss.sum()), np.concatenate([np.concatenate([back.T @ X, back.sum(0)[:, None]], 1).ravel(), z.T @ error, [error.sum()]])
+    return float(loss.sum(dtype=np.float64)), np.concatenate([np.concatenate([back.T @ X, back.sum(0)[:, None]], 1).ravel(), z.T @ error, [error.sum()]])
 
 
 @dataclass
@@ -65,6 +67,24 @@ class TanhNetwork:
         return df.withColumn("probability", p).withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
 
 
+_BLOCK = 8_192  # rows of a block
+
+
+def blocks(rows: DataFrame, names: list[str], mean: np.ndarray, scale: np.ndarray) -> DataFrame:
+    """(x, y): scaled features and classes of up to ``_BLOCK`` rows as bytes of
+    floats. A pass then hands bytes to Python, not rows; a task reads one split
+    of the written blocks."""
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, _BLOCK):
+                part = batch.slice(at, _BLOCK)
+                X = (np.stack([part.column(c).to_numpy() for c in names], 1) - mean) / scale
+                y = part.column("y").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_pydict({"x": [X.astype(np.float32).tobytes()], "y": [y.astype(np.float32).tobytes()]})
+
+    return rows.mapInArrow(pack, "x binary, y binary")
+
+
 def fit_tanh_network(train: DataFrame, features: list[str], positive: Column, hidden: int = 7, steps: int = 40, rate: float = 1.0, seed: int = 7) -> TanhNetwork:
     """The network of ``positive`` (a boolean column); rows with a null feature
     or class are left out."""
@@ -73,6 +93,7 @@ def fit_tanh_network(train: DataFrame, features: list[str], positive: Column, hi
     rows = cut_lineage(spread(rows))
     names = [f"x{i}" for i in range(len(features))]
     mean, scale = scaling(rows, names)
+    packed = cut_lineage(blocks(rows, names, mean, scale))
     size = shapes(len(features), hidden)
     w = np.random.default_rng(seed).normal(size=size) / np.sqrt(len(features) + 1)
     model = TanhNetwork(features, mean, scale, w, hidden)
@@ -82,9 +103,9 @@ def fit_tanh_network(train: DataFrame, features: list[str], positive: Column, hi
         def run(batches):
             total = np.zeros(len(points) * (size + 1) + 1)
             for batch in batches:
-                if batch.num_rows:
-                    X = (np.stack([batch.column(c).to_numpy() for c in names], 1) - mean) / scale
-                    y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
+                for x, y in zip(batch.column("x"), batch.column("y")):
+                    y = np.frombuffer(y.as_buffer(), np.float32)
+                    X = np.frombuffer(x.as_buffer(), np.float32).reshape(len(y), -1)
                     for k, point in enumerate(points):
                         loss, g = loss_and_gradient(point, X, y, hidden)
                         total[k * (size + 1)] += loss
@@ -93,7 +114,7 @@ def fit_tanh_network(train: DataFrame, features: list[str], positive: Column, hi
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], [f"s{i}" for i in range(len(total))])
 
         n = len(points) * (size + 1) + 1
-        r = rows.mapInArrow(run, ", ".join(f"s{i} double" for i in range(n))).agg(*[F.sum(f"s{i}") for i in range(n)]).first()
+        r = packed.mapInArrow(run, ", ".join(f"s{i} double" for i in range(n))).agg(*[F.sum(f"s{i}") for i in range(n)]).first()
         values = np.array([v or 0.0 for v in r])
         return [(values[k * (size + 1)] / max(values[-1], 1), values[k * (size + 1) + 1:(k + 1) * (size + 1)] / max(values[-1], 1)) for k in range(len(points))]
 
