@@ -95,3 +95,27 @@ def test_edges(spark, texts):
     rows = [(1, "ab cd", "x", 0), (1, "ab cd", "x", 0), (2, "ef gh", "y", 1), (3, None, "y", 0), (4, "ab cd", "x", 1), (5, "ef", None, 0), (6, "ef", "y", None), (7, "ab " * 9000, "x", 1)]
     got = TG.cross_validate_grid(spark.createDataFrame(rows, schema), **small).collect()
     assert sorted((r["fold"], r["n"]) for r in got) == [(0, 3), (1, 3)]
+
+
+def test_blocks_hold_their_own_terms_of_one_fold(spark):
+    """A block is as wide as the terms that its documents have, however many the
+    vocabularies have, and of one fold; frequent terms have the first places."""
+    rows = [(i, f"all {'ab'[i % 2]}{i % 2}w{i % 7} all", "xy"[i % 2], i % 3) for i in range(120)]
+    docs = TG.documents(spark.createDataFrame(rows, "doc_id long, text string, label string, fold int"), "label", "text", "fold")
+    terms = TG.ranked_terms(docs, [0, 1, 2], 50, [2])
+    assert terms.filter("place = 0").select("term").distinct().collect() == [("all",)]
+    size = terms.agg(F.max("place")).first()[0] + 1
+    table = TG.counts_by_place(docs.filter("fold = 1 OR label = 'x'").repartition(1), terms)
+    seen = 0
+    for X, at, y, fold in TG._blocks(table.toArrow().to_batches(), size, ["x", "y"]):
+        assert X.shape == (len(y), len(at)) and (X.sum(0) > 0).all() and (fold == 1 or (y == 0).all() and len(at) < size)
+        seen += len(y)
+    assert seen == 80
+
+
+def test_pairs_of_rare_words_are_not_exchanged(spark):
+    """Only pairs of words as frequent as the last kept word are counted, ties included."""
+    rows = [(i, f"aa bb cc rare{i} aa bb", "xy"[i % 2], i % 2) for i in range(40)]
+    docs = TG.documents(spark.createDataFrame(rows, "doc_id long, text string, label string, fold int"), "label", "text", "fold")
+    found = [(r["term"], r["rank"]) for r in TG.ranked_terms(docs, [0, 1], 4, [2]).filter("fold = 0").orderBy("rank").collect()]
+    assert found == [("aa", 0), ("aa bb", 1), ("bb", 2), ("bb cc", 3)]
