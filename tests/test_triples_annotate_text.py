@@ -201,3 +201,19 @@ def test_sheets_are_cut_by_the_partitions(spark, tmp_path, monkeypatch):
     assert plans.sheet_attach_by_position(spark, SF001).count() > 100
     files = [len([*(tmp_path / "sheets" / name).glob("part-*")]) for name in ("instances", "plannings")]
     assert files[0] > files[1] > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_top_terms_of_words_and_pairs_against_plain_counts(spark):
+    """The most frequent words and pairs, ties by term, though pairs of rarer words aren't counted."""
+    from collections import Counter
+    texts = ["aa bb aa bb cc", "bb aa dd, ee ff", "", None, "aa", "ee ff ee ff ee ff gg", "hh aa bb"]
+    toks = TF.token_arrays(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    times = Counter()
+    for t in texts:
+        w = (t or "").replace(",", "").split()
+        times.update(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    order = [t for t, _ in sorted(times.items(), key=lambda x: (-x[1], x[0]))]
+    for k in (1, 3, 4, 6, len(order), 100):
+        assert sorted(r[0] for r in TF._top_terms_of(toks, k, 2).collect()) == sorted(order[:k])
+    tf = {(r["doc_id"], r["term"]): r["tf"] for r in TF._vocab_tf(toks, TF._top_terms_of(toks, None, 2), None, 2).collect()}
+    assert sum(tf.values()) == sum(times.values()) and tf[5, "ee ff"] == 3

@@ -6,15 +6,17 @@ Contract (the reference's library defaults): lower-case; tokens are runs of
 tf = raw count; idf = ln((1+n)/(1+df)) + 1; each document's vector is
 L2-normalised over its vocabulary terms.
 
-Tokenising whole texts is the expensive step, so it runs once: each
-document's tokens are written, space-joined, under the shared checkpoint
-folder, and every later pass rebuilds unigrams (split) and bigrams (one JVM
-regex) from that compact string. The vocabulary comes first: corpus frequency
-per term is a partial ``groupBy(term)``, and the top ``max_features`` (a bounded
-top-k, ``TakeOrderedAndProject``) are written. The (doc, term) occurrences are
-semi-joined to them *before* the per-document aggregation, so only vocabulary
-terms are shuffled, and the counts are written, too. Document frequencies, idf,
-norms and weights all derive from that table. A vocabulary of up to
+Tokenising whole texts is the expensive step, so a fit does it once: each
+document's tokens are written under the shared checkpoint folder, and every
+later pass takes words and pairs of neighbours from them. The vocabulary comes
+first: corpus frequency per word is a partial ``groupBy(term)``. A pair is no
+more frequent than either of its words, so the ``max_features`` most frequent
+terms hold no pair with a word rarer than the last of as many words: pairs of
+the other words alone are counted, which bounds their exchange by the square of
+those words and not by the texts. The occurrences in a document are joined to
+the vocabulary *before* the per-document aggregation, so only vocabulary terms
+are shuffled, and the counts are written, too. Document frequencies, idf, norms
+and weights all derive from that table. A vocabulary of up to
 ``BROADCAST_TERMS`` terms by its parameter is broadcast; larger or unbounded
 ones are joined by an exchange.
 """
@@ -59,13 +61,6 @@ def term_counts(docs: DataFrame, **kw) -> DataFrame:
     return doc_terms(docs, **kw).groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def _top_terms_of(garr: DataFrame, max_features: int | None) -> DataFrame:
-    cf = _explode(garr).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    if max_features:
-        cf = cf.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
-    return cf.select("term")
-
-
 #: Terms that a broadcast vocabulary has at most.
 BROADCAST_TERMS = 200_000
 
@@ -74,11 +69,46 @@ def _bounded(terms: DataFrame, max_features: int | None) -> DataFrame:
     return F.broadcast(terms) if max_features and max_features <= BROADCAST_TERMS else terms
 
 
-def _vocab_tf(garr: DataFrame, terms: DataFrame, max_features: int | None) -> DataFrame:
-    """(doc_id, term, tf) restricted to the vocabulary (semi-join before the
+def token_arrays(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, toks): the tokens of whole texts."""
+    return spread(docs).select(F.col(id_col).alias("doc_id"), TX.tokens(F.col(text_col)).alias("toks"))
+
+
+def _pairs(toks: DataFrame) -> DataFrame:
+    """(doc_id, a, b) of each two neighbouring tokens; ``b`` of a last token is null."""
+    return toks.select("doc_id", F.inline(F.arrays_zip("toks", F.slice("toks", 2, F.size("toks")))).alias("a", "b"))
+
+
+def _most_frequent(counted: DataFrame, max_features: int) -> DataFrame:
+    return counted.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
+
+
+def _top_terms_of(toks: DataFrame, max_features: int | None, ngram_max: int) -> DataFrame:
+    words = toks.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    pairs = _pairs(toks).filter(F.col("b").isNotNull())
+    pair = F.concat_ws(" ", "a", "b").alias("term")
+    if not max_features:
+        return (words.select("term").unionByName(pairs.select(pair).distinct()) if ngram_max > 1 else words.select("term"))
+    if ngram_max < 2:
+        return _most_frequent(words, max_features).select("term")
+    words = cut_lineage(words)
+    last = _most_frequent(words, max_features).agg(F.when(F.count(F.lit(1)) >= max_features, F.min("n")).otherwise(1).alias("last"))
+    frequent = cut_lineage(attach_scalars(words, last).filter("n >= last").select("term"))
+    for word in "ab":
+        pairs = pairs.join(frequent.withColumnRenamed("term", word), word, "left_semi")
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select(pair, "n")
+    return _most_frequent(words.unionByName(counted), max_features).select("term")
+
+
+def _vocab_tf(toks: DataFrame, terms: DataFrame, max_features: int | None, ngram_max: int) -> DataFrame:
+    """(doc_id, term, tf) restricted to the vocabulary (joined before the
     per-document aggregation)."""
-    return (_explode(garr).join(_bounded(terms, max_features), "term", "left_semi")
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    found = toks.select("doc_id", F.explode("toks").alias("term")).join(_bounded(terms, max_features), "term", "left_semi")
+    if ngram_max > 1:
+        two = F.split("term", " ")
+        known = terms.filter(F.col("term").contains(" ")).select("term", two[0].alias("a"), two[1].alias("b"))
+        found = found.unionByName(_pairs(toks).join(_bounded(known, max_features), ["a", "b"]).select("doc_id", "term"))
+    return found.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _idf(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
@@ -90,10 +120,9 @@ def _idf(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
 
 def _fit(docs: DataFrame, max_features: int | None, ngram_max: int = 1, **kw) -> tuple[DataFrame, DataFrame]:
     """Written (doc_id, term, tf) over the vocabulary, and written (term, idf)."""
-    toks = cut_lineage(token_strings(docs, **kw))
-    garr = _grams(toks, ngram_max)
-    terms = cut_lineage(_top_terms_of(garr, max_features))
-    tf = cut_lineage(_vocab_tf(garr, terms, max_features))
+    toks = cut_lineage(token_arrays(docs, **kw))
+    terms = cut_lineage(_top_terms_of(toks, max_features, ngram_max))
+    tf = cut_lineage(_vocab_tf(toks, terms, max_features, ngram_max))
     return tf, cut_lineage(_idf(tf, toks.agg(F.count(F.lit(1)).alias("n_docs"))))
 
 
@@ -104,16 +133,15 @@ def fit_vocabulary(docs: DataFrame, max_features: int | None = 1000, **kw) -> Da
 
 
 def _weights(tf: DataFrame, vocab: DataFrame, max_features: int | None) -> DataFrame:
-    w = tf.join(_bounded(vocab, max_features), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return (w.join(norms, "doc_id")
-            .select("doc_id", "term", F.round(F.col("w") / F.col("norm"), 6).alias("tfidf")))
+    w = tf.filter(F.col("doc_id").isNotNull()).join(_bounded(vocab, max_features), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return w.select("doc_id", "term", F.round(F.col("w") / norm, 6).alias("tfidf"))
 
 
-def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_features: int | None = 1000, **kw) -> DataFrame:
+def tfidf_transform(vocab: DataFrame, docs: DataFrame, max_features: int | None = 1000, ngram_max: int = 1, **kw) -> DataFrame:
     """Apply a fitted vocabulary/idf (of at most ``max_features`` terms, if
     given) to documents → (doc_id, term, tfidf)."""
-    tf = cut_lineage(_vocab_tf(gram_arrays(docs, **kw), vocab.select("term"), max_features))
+    tf = cut_lineage(_vocab_tf(cut_lineage(token_arrays(docs, **kw)), vocab.select("term"), max_features, ngram_max))
     return _weights(tf, vocab, max_features)
 
 
