@@ -189,14 +189,16 @@ class Columns:
         s = np.zeros((len(X), *weights.shape[1:]), np.float32)
         for lo, hi, wide in self.cuts[fold]:
             a, b = np.searchsorted(at, [lo, hi])
-            s[:, :wide] += (X[:, a:b] @ weights[at[a:b], :wide].reshape(b - a, -1)).reshape(len(X), wide, -1)
+            if a < b:  # the block has such terms
+                s[:, :wide] += (X[:, a:b] @ weights[at[a:b], :wide].reshape(b - a, -1)).reshape(len(X), wide, -1)
         return s
 
     def add_products(self, X: np.ndarray, at: np.ndarray, fold: int, p: np.ndarray, total: np.ndarray) -> None:
         """Adds counts, transposed, times ``p`` (documents × columns × classes)."""
         for lo, hi, wide in self.cuts[fold]:
             a, b = np.searchsorted(at, [lo, hi])
-            total[at[a:b], :wide] += (X[:, a:b].T @ p[:, :wide].reshape(len(X), -1)).reshape(b - a, wide, -1)
+            if a < b:
+                total[at[a:b], :wide] += (X[:, a:b].T @ p[:, :wide].reshape(len(X), -1)).reshape(b - a, wide, -1)
 
     def summed(self, blocks, plain: np.ndarray, change) -> np.ndarray | None:
         """Over all blocks the products of ``change``'d scores, and in a last row their sums."""
